@@ -11,19 +11,24 @@ from pyspark.sql import functions as F
 
 from .dates import to_date_ntz
 from .numeric import to_num
+from .sql import lit, true
 from .text import is_missing, strip
 
 
-def tolerant_equal(a: Column, b: Column, dtype: str, tolerance: float) -> Column:
-    """Both missing, or equal as numbers within the tolerance, as dates, or as stripped text."""
-    both_missing = is_missing(a) & is_missing(b)
+def tolerant_equal(a: str, b: str, dtype: str, tolerance: float) -> str:
+    """Both missing, or equal as numbers within the tolerance, as dates, or as stripped text.
+
+    Identical texts are parsed once, only to see that they are numbers or dates at all.
+    """
+    both_missing = f"({is_missing(a)} AND {is_missing(b)})"
     if dtype in ("int", "float"):
-        same = F.abs(to_num(a) - to_num(b)) <= tolerance
+        near = f"abs({to_num(a)} - {to_num(b)}) <= {lit(float(tolerance))}"
+        same = f"CASE WHEN {a} = {b} THEN {to_num(a)} IS NOT NULL ELSE {near} END"
     elif dtype == "date":
-        same = to_date_ntz(a) == to_date_ntz(b)
+        same = f"CASE WHEN {a} = {b} THEN {to_date_ntz(a)} IS NOT NULL ELSE {to_date_ntz(a)} = {to_date_ntz(b)} END"
     else:
-        same = (strip(a) == strip(b)) & ~is_missing(a) & ~is_missing(b)
-    return both_missing | F.coalesce(same, F.lit(False))
+        same = f"({a} = {b} OR {strip(a)} = {strip(b)}) AND NOT {is_missing(a)} AND NOT {is_missing(b)}"
+    return f"({both_missing} OR {true(same)})"
 
 
 def close_name(name: str, candidates: Sequence[str], cutoff: float = 0.7) -> str | None:

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
+from .sql import bind, lit, pattern
 from .text import is_missing, strip
 
 # Strptime directives and the Spark pattern letters with the same
@@ -14,8 +12,9 @@ from .text import is_missing, strip
 STRPTIME_TO_SPARK = {"%Y": "yyyy", "%m": "M", "%d": "d", "%H": "H", "%M": "m", "%S": "s"}
 
 # Range of a 64-bit nanosecond timestamp; dates beyond it count as unparseable.
-_FIRST = "1677-09-21 00:12:43.145225"
-_LAST = "2262-04-11 23:47:16.854775"
+_FIRST = "TIMESTAMP_NTZ'1677-09-21 00:12:43.145225'"
+_LAST = "TIMESTAMP_NTZ'2262-04-11 23:47:16.854775'"
+_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
 def spark_pattern(fmt: str) -> str:
@@ -26,54 +25,60 @@ def spark_pattern(fmt: str) -> str:
     return fmt
 
 
-def to_date_ntz(c: Column) -> Column:
+def to_date_ntz(c: str) -> str:
     """ISO-8601 date with optional time; unparseable and missing become NULL."""
     s = strip(c)
-    basic = F.when(s.rlike(r"^\d{8}$"), F.try_to_timestamp(s, F.lit("yyyyMMdd")).cast("timestamp_ntz"))
-    ts = F.coalesce(basic, s.try_cast("timestamp_ntz"))
-    inside = ts.between(F.lit(_FIRST).cast("timestamp_ntz"), F.lit(_LAST).cast("timestamp_ntz"))
-    return F.when(~is_missing(c) & inside, ts)
+    basic = (
+        f"CASE WHEN {s} RLIKE {pattern('^[0-9]{8}$')} "
+        f"THEN CAST(try_to_date({s}, 'yyyyMMdd') AS TIMESTAMP_NTZ) ELSE try_cast({s} AS TIMESTAMP_NTZ) END"
+    )
+    parsed = bind(basic, "t", f"CASE WHEN t BETWEEN {_FIRST} AND {_LAST} THEN t END")
+    return f"CASE WHEN NOT {is_missing(c)} THEN {parsed} END"
+
+
+def day_bound(v) -> str:
+    """A contract's date bound as a timestamp literal."""
+    return f"TIMESTAMP_NTZ{lit(str(v))}"
 
 
-def parse_formats(c: Column, formats: Sequence[str]) -> Column:
+def parse_formats(c: str, formats: Sequence[str]) -> str:
     """First format that matches the whole stripped text; NULL when none does."""
     s = strip(c)
-    return F.coalesce(*[F.try_to_date(s, spark_pattern(f)) for f in formats])
+    return "coalesce(" + ", ".join(f"try_to_date({s}, {lit(spark_pattern(f))})" for f in formats) + ")"
 
 
-def iso_date(d: Column) -> Column:
+def iso_date(d: str) -> str:
     """``yyyy-MM-dd`` text, and empty text for no date."""
-    return F.coalesce(d.cast("date").cast("string"), F.lit(""))
+    return f"coalesce(CAST(CAST({d} AS DATE) AS STRING), '')"
 
 
-def swap_day_month(c: Column) -> Column:
+def swap_day_month(c: str) -> str:
     """``MM/DD/YYYY`` rewritten as ``DD/MM/YYYY``; impossible dates and other forms stay."""
-    valid = c.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$")
-    d = F.when(valid, F.try_to_date(c, "M/d/yyyy"))
-    return F.coalesce(F.date_format(d, "dd/MM/yyyy"), c)
+    valid = f"{c} RLIKE " + pattern(r"^\d{1,2}/\d{1,2}/\d{4}$")
+    return f"coalesce(CASE WHEN {valid} THEN date_format(try_to_date({c}, 'M/d/yyyy'), 'dd/MM/yyyy') END, {c})"
 
 
-def epoch_ms_in_name(name: Column) -> Column:
+def epoch_ms_in_name(c: str) -> str:
     """First run of 13 digits in an object name, as epoch milliseconds."""
-    return F.regexp_extract(name, r"(\d{13})", 1).try_cast("bigint")
+    return f"try_cast(regexp_extract({c}, {pattern('([0-9]{13})')}, 1) AS BIGINT)"
 
 
-def from_epoch_ms(ms: Column) -> Column:
+def from_epoch_ms(ms: str) -> str:
     """Epoch milliseconds to a UTC wall-clock timestamp, whatever the session zone."""
-    secs = (ms / F.lit(1000)).cast("decimal(20,6)")
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=secs)
+    return f"({_EPOCH} + make_dt_interval(0, 0, 0, CAST({ms} AS DECIMAL(20, 0)) / 1000))"
 
 
-def to_epoch_ms(ts: Column) -> Column:
-    return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+def to_epoch_ms(ts: str) -> str:
+    return f"timestampdiff(MILLISECOND, {_EPOCH}, {ts})"
 
 
-def local_iso(ms: Column, zone: str = "Australia/Adelaide") -> Column:
+def local_iso(ms: str, zone: str = "Australia/Adelaide") -> str:
     """Epoch milliseconds as local ISO text with offset, to the second."""
-    utc = F.date_trunc("second", from_epoch_ms(ms)).cast("timestamp_ntz")
-    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
-    minutes = F.timestamp_diff("MINUTE", utc, local)
-    sign = F.when(minutes < 0, F.lit("-")).otherwise(F.lit("+"))
-    hh = F.lpad(F.floor(F.abs(minutes) / 60).cast("string"), 2, "0")
-    mm = F.lpad((F.abs(minutes) % 60).cast("string"), 2, "0")
-    return F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), sign, hh, F.lit(":"), mm)
+    utc = from_epoch_ms(f"({ms} - pmod({ms}, 1000))")
+    offset = (
+        "concat(if(m < 0, '-', '+'), lpad(CAST(abs(m) DIV 60 AS STRING), 2, '0'), ':', "
+        "lpad(CAST(abs(m) % 60 AS STRING), 2, '0'))"
+    )
+    shown = "concat(date_format(l, \"yyyy-MM-dd'T'HH:mm:ss\"), " + bind(
+        "timestampdiff(MINUTE, u, l)", "m", offset) + ")"
+    return bind(utc, "u", bind(f"convert_timezone('UTC', {lit(zone)}, u)", "l", shown))

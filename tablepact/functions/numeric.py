@@ -2,37 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
+from .sql import bind, pattern
 from .text import is_missing
 
 # Spark's cast also takes '1d' and '1f'; the pattern keeps those out.
 _NUMBER = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 
 
-def to_num(c: Column) -> Column:
+def to_num(c: str) -> str:
     """Text to double; anything unparseable (and NaN) becomes NULL."""
-    return F.when(c.rlike(_NUMBER), c.try_cast("double"))
+    return f"CASE WHEN {c} RLIKE {pattern(_NUMBER)} THEN try_cast({c} AS DOUBLE) END"
 
 
-def to_key(c: Column) -> Column:
+def to_key(c: str) -> str:
     """Key text to bigint: whole numbers exactly, others cut toward zero, else NULL."""
-    return F.coalesce(F.trim(c).try_cast("bigint"), to_num(c).try_cast("bigint"))
+    return f"coalesce(try_cast(trim({c}) AS BIGINT), try_cast({to_num(c)} AS BIGINT))"
 
 
-def is_integral(x: Column) -> Column:
-    return F.coalesce(x % 1 == 0, F.lit(False))
+def is_integral(x: str) -> str:
+    return f"coalesce({x} % 1 = 0, false)"
 
 
-def ratio(a: Column, b: Column) -> Column:
+def ratio(a: str, b: str) -> str:
     """a / b, with 0/0, x/0 and infinities as NULL."""
-    r = F.try_divide(a, b)
-    return F.when(F.abs(r) < F.lit(float("inf")), r)
+    return bind(f"try_divide({a}, {b})", "r", "CASE WHEN abs(r) < double('inf') THEN r END")
 
 
-def _hundredths(a: Column, places: int) -> tuple[Column, Column]:
-    """Whole part and rounded fraction (in 10**-places) of a non-negative double.
+def _scaled(a: str, places: int) -> str:
+    """Non-negative double below 2**53 to a whole number of 10**-places, as (whole, part).
 
     A double's fraction is a whole multiple of 2**-56 from 1/16 up and of 2**-60
     from 1/256 up, so scaling by that power is exact and the rounding (to nearest,
@@ -40,63 +37,54 @@ def _hundredths(a: Column, places: int) -> tuple[Column, Column]:
     text instead: 2.675 is below 2.675 in binary and has to give 2.67.
     """
     scale = 10**places
-    whole = F.floor(a)
-    frac = a - whole
+    odd = "q % 2 = 1" if places else f"floor({a}) % 2 = 1"
 
-    def rounded(bits: int) -> Column:
-        n = (frac * F.lit(float(2**bits))).cast("bigint") * F.lit(scale)
-        q = F.shiftright(n, bits)
-        rest = n.bitwiseAND(F.lit(2**bits - 1))
-        half = F.lit(2 ** (bits - 1))
-        up = (rest > half) | ((rest == half) & (q % 2 == 1 if places else whole % 2 == 1))
-        return q + up.cast("bigint")
+    def rounded(bits: int) -> str:
+        n = f"CAST(({a} - floor({a})) * {float(2**bits)!r}D AS BIGINT) * {scale}"
+        rest, half = f"(n & {2**bits - 1}L)", f"{2 ** (bits - 1)}L"
+        up = f"CASE WHEN {rest} > {half} OR ({rest} = {half} AND {odd}) THEN 1 ELSE 0 END"
+        body = f"shiftright(n, {bits}) + " + up.replace("q % 2", f"shiftright(n, {bits}) % 2")
+        return bind(n, "n", body)
 
-    part = F.when(frac < F.lit(2.0**-4), rounded(60 if places else 56)).otherwise(rounded(56))
-    return whole + F.when(part >= scale, 1).otherwise(0), F.when(part >= scale, part - scale).otherwise(part)
+    small = rounded(60 if places else 56)
+    part = f"CASE WHEN {a} - floor({a}) < 0.0625D THEN {small} ELSE {rounded(56)} END"
+    return bind(part, "p", f"named_struct('whole', floor({a}) + p DIV {scale}, 'part', p % {scale})")
 
 
-def _text_parts(x: Column, places: int) -> tuple[Column, Column, Column]:
-    whole, part = _hundredths(F.abs(x), places)
-    sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
-    return sign, whole, F.lpad(part.cast("string"), places, "0")
+def fixed_decimal(x: str, places: int = 2) -> str:
+    """Text with a fixed number of decimals, rounded on the exact binary value."""
+    if places not in (0, 2):
+        return f"CAST(CAST({x} AS DECIMAL(38, {places})) AS STRING)"
+    part = f", '.', lpad(CAST(s.part AS STRING), {places}, '0')" if places else ""
+    tail = f", '.{'0' * places}'" if places else ""
+    digits = bind(_scaled("abs(x)", places), "s", f"concat(if(x < 0, '-', ''), CAST(s.whole AS STRING){part})")
+    big = f"coalesce(concat(CAST(try_cast(x AS DECIMAL(38, 0)) AS STRING){tail}), if(x > 0, 'inf', '-inf'))"
+    body = f"CASE WHEN x IS NULL THEN NULL WHEN abs(x) < {float(2**53)!r}D THEN {digits} ELSE {big} END"
+    return bind(f"CAST({x} AS DOUBLE)", "x", body)
 
 
-def fixed_decimal(x: Column, places: int = 2) -> Column:
-    """Text with a fixed number of decimals, rounded on the exact binary value."""
-    if places > 2 or places < 0:
-        return x.cast(f"decimal(38,{places})").cast("string")
-    sign, whole, part = _text_parts(x, places)
-    small = F.concat(sign, whole.cast("string"), F.lit("."), part) if places else F.concat(sign, whole.cast("string"))
-    big = x.try_cast("decimal(38,0)").cast("string")
-    big = F.concat(big, F.lit("." + "0" * places)) if places else big
-    infinite = F.when(x > 0, F.lit("inf")).otherwise(F.lit("-inf"))
-    limit = F.lit(float(2**53))
-    return F.when(F.abs(x) < limit, small).otherwise(F.coalesce(big, F.when(x.isNotNull(), infinite)))
-
-
-def round_even(x: Column, places: int = 0) -> Column:
+def round_even(x: str, places: int = 0) -> str:
     """Round a double to ``places`` decimals, ties (of the exact value) to even."""
-    return F.rint(x) if places == 0 else fixed_decimal(x, places).cast("double")
+    return f"rint({x})" if places == 0 else f"CAST({fixed_decimal(x, places)} AS DOUBLE)"
 
 
-def int_text(x: Column) -> Column:
+def int_text(x: str) -> str:
     """Nearest whole number as text, ties to even."""
-    return F.rint(x).try_cast("decimal(38,0)").cast("string")
+    return f"CAST(try_cast(rint({x}) AS DECIMAL(38, 0)) AS STRING)"
 
 
-def currency_text(c: Column) -> Column:
+def currency_text(c: str) -> str:
     """``1249.5`` -> ``$1,249.50``; the sign goes first and empty cells stay empty."""
-    sign, whole, part = _text_parts(to_num(c), 2)
-    return F.when(is_missing(c), c).otherwise(
-        F.concat(sign, F.lit("$"), F.format_number(whole, 0), F.lit("."), part)
-    )
+    text = "concat(if(x < 0, '-', ''), '$', format_number(s.whole, 0), '.', lpad(CAST(s.part AS STRING), 2, '0'))"
+    shown = bind(to_num(c), "x", bind(_scaled("abs(x)", 2), "s", text))
+    return f"CASE WHEN {is_missing(c)} THEN {c} ELSE {shown} END"
 
 
-def minor_units(c: Column) -> Column:
+def minor_units(c: str) -> str:
     """Dollars to whole cents as text; empty cells stay empty."""
-    return F.when(is_missing(c), c).otherwise(F.rint(to_num(c) * 100).cast("bigint").cast("string"))
+    return f"CASE WHEN {is_missing(c)} THEN {c} ELSE CAST(CAST(rint({to_num(c)} * 100) AS BIGINT) AS STRING) END"
 
 
-def log2_term(p: Column, m: Column) -> Column:
+def log2_term(p: str, m: str) -> str:
     """p * log2(p / m), and 0 where p is 0."""
-    return F.when(p > 0, p * F.log2(p / m)).otherwise(F.lit(0.0))
+    return f"CASE WHEN {p} > 0 THEN {p} * log2({p} / ({m})) ELSE 0.0D END"

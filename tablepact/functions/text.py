@@ -1,65 +1,64 @@
 """Text expressions: missing tokens, whitespace, case, lookups, row rules.
 
-Everything returns a ``Column`` made of built-in functions, so it stays inside
-whole-stage code generation and no Python worker is started.
+All are built-in functions, so they stay inside whole-stage code generation and no
+Python worker is started.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .sql import in_list, lit, literal_map, pattern, true
+
 # Texts that tools write for "no value"; "" is the contract's own form.
 MISSING_TOKENS = ("", "nan", "NaN", "NAN", "None", "none", "null", "NULL", "NaT", "<NA>")
 
 # Unicode white space as Python's str methods see it: Java's \s under (?U) lacks 1C..1F.
 _SPACE = r"[\s\x1c-\x1f]"
-_SPACE_RUN = rf"(?U){_SPACE}+"
-_EDGE_SPACE = rf"(?U)^{_SPACE}+|{_SPACE}+$"
-_HAS_EDGE_SPACE = rf"(?U)^{_SPACE}|{_SPACE}$"
-
-_CASED_RUNS = r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"
 
 
-def is_missing(c: Column) -> Column:
+def is_missing(c: str) -> str:
     """True for NULL and for the ten missing tokens (exact, untrimmed)."""
-    return F.coalesce(c, F.lit("")).isin(*MISSING_TOKENS)
+    return f"(coalesce({c}, '') IN {in_list(MISSING_TOKENS)})"
 
 
-def is_present(c: Column) -> Column:
-    return ~is_missing(c)
+def is_present(c: str) -> str:
+    return f"(NOT {is_missing(c)})"
 
 
-def norm_ws(c: Column) -> Column:
+def norm_ws(c: str) -> str:
     """Collapse white space runs to one blank and strip both ends."""
-    return F.trim(F.regexp_replace(c, _SPACE_RUN, " "))
+    return f"trim(regexp_replace({c}, {pattern(f'(?U){_SPACE}+')}, ' '))"
 
 
-def strip(c: Column) -> Column:
+def strip(c: str) -> str:
     """Strip any Unicode white space; ``trim`` alone only strips blanks."""
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    return f"regexp_replace({c}, {pattern(f'(?U)^{_SPACE}+|{_SPACE}+$')}, '')"
 
 
-def title_case(c: Column) -> Column:
+def title_case(c: str) -> str:
     """Capitalise after every non-letter (``o'neil`` -> ``O'Neil``), lower the rest.
 
     ``initcap`` only restarts after blanks, so it serves plain names directly and
     each run of letters otherwise.
     """
-    by_run = F.array_join(F.transform(F.regexp_extract_all(c, F.lit(_CASED_RUNS), F.lit(1)), F.initcap), "")
-    return F.when(c.rlike("^[A-Za-z ]*$"), F.initcap(c)).otherwise(by_run)
+    cased = r"[\p{Lu}\p{Ll}\p{Lt}]"
+    runs = pattern(rf"({cased}+|[^\p{{Lu}}\p{{Ll}}\p{{Lt}}]+)")
+    by_run = f"array_join(transform(regexp_extract_all({c}, {runs}, 1), t -> initcap(t)), '')"
+    return f"CASE WHEN {c} RLIKE '^[A-Za-z ]*$' THEN initcap({c}) ELSE {by_run} END"
 
 
-def lower(c: Column) -> Column:
-    return F.lower(c)
+def lower(c: str) -> str:
+    return f"lower({c})"
 
 
-def lookup_map(c: Column, mapping: Mapping[str, str]) -> Column:
+def lookup_map(c: str, mapping: Mapping[str, str]) -> str:
     """Case-insensitive canonical value; unmapped and empty values pass through."""
-    pairs = [F.lit(x) for k, v in mapping.items() for x in (k.lower(), v)]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.lower(c)), c)
+    folded = {k.lower(): v for k, v in mapping.items()}
+    return f"coalesce(try_element_at({literal_map(folded)}, lower({c})), {c})"
 
 
 def lookup_join(df: DataFrame, column: str, table: DataFrame, key: str, value: str) -> DataFrame:
@@ -72,39 +71,43 @@ def lookup_join(df: DataFrame, column: str, table: DataFrame, key: str, value: s
     return joined.withColumn(column, F.coalesce("_lv", column)).drop("_lk", "_lv")
 
 
-def contains_at(c: Column) -> Column:
-    return F.coalesce(c.contains("@"), F.lit(False))
+def contains_at(c: str) -> str:
+    return true(f"contains({c}, '@')")
 
 
-def blank_unless_at(c: Column) -> Column:
+def blank_unless_at(c: str) -> str:
     """Addresses without ``@`` become empty."""
-    return F.when(contains_at(c), c).otherwise(F.lit(""))
+    return f"CASE WHEN {contains_at(c)} THEN {c} ELSE '' END"
 
 
-def default_if_missing(c: Column, value: str) -> Column:
+def default_if_missing(c: str, value: str) -> str:
     """Replace an empty cell by a constant."""
-    return F.when(F.coalesce(c, F.lit("")) == "", F.lit(value)).otherwise(c)
+    return f"CASE WHEN coalesce({c}, '') = '' THEN {lit(value)} ELSE {c} END"
 
 
-def full_match(c: Column, pattern: str) -> Column:
-    return F.coalesce(c.rlike(rf"^(?:{pattern})\z"), F.lit(False))
+def full_match(c: str, regex: str) -> str:
+    return true(f"{c} RLIKE " + pattern(rf"^(?:{regex})\z"))
 
 
-RULES: dict[str, Callable[[Column], Column]] = {
-    "trimmed": lambda c: ~c.rlike(_HAS_EDGE_SPACE),
-    "single_spaced": lambda c: ~c.contains("  "),
-    "title_case": lambda c: c == title_case(c),
-    "lower_case": lambda c: c == F.lower(c),
+RULES: dict[str, Callable[[str], str]] = {
+    "trimmed": lambda c: f"NOT {c} RLIKE " + pattern(f"(?U)^{_SPACE}|{_SPACE}$"),
+    "single_spaced": lambda c: f"NOT contains({c}, '  ')",
+    "title_case": lambda c: f"{c} = {title_case(c)}",
+    "lower_case": lambda c: f"{c} = lower({c})",
     "contains_at": contains_at,
 }
 
 
-def register_rule(name: str, rule: Callable[[Column], Column]) -> None:
-    """Add a text rule; ``rule`` maps a Column to a boolean Column (a pandas UDF also fits)."""
-    RULES[name] = rule
+def register_rule(rule: str, make: Callable[[str], str]) -> None:
+    """Add a text rule: from a column expression to a boolean expression.
+
+    The expression may call a function registered with ``spark.udf.register``; a
+    pandas UDF is the vectorised choice there.
+    """
+    RULES[rule] = make
 
 
-def rule_holds(rule: str, c: Column) -> Column:
+def rule_holds(rule: str, c: str) -> str:
     if rule not in RULES:
         raise KeyError(f"unknown text rule {rule!r}; known: {sorted(RULES)}")
-    return F.coalesce(RULES[rule](c), F.lit(False))
+    return true(RULES[rule](c))

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from .sql import array, bind, lit, pattern
 
 # Host parts that mark analytics, ads, fonts and payment widgets.
 NOISE_HOSTS = (
@@ -20,66 +19,55 @@ _MAX_KEYS = 8
 _MAX_NESTING = 4
 
 
-def url_host(url: Column) -> Column:
-    return F.try_parse_url(url, F.lit("AUTHORITY"))
+def url_host(url: str) -> str:
+    return f"try_parse_url({url}, 'AUTHORITY')"
 
 
-def url_path(url: Column) -> Column:
-    return F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.lit(""))
+def url_path(url: str) -> str:
+    return f"coalesce(try_parse_url({url}, 'PATH'), '')"
 
 
-def path_template(path: Column) -> Column:
+def path_template(path: str) -> str:
     """Replace id-like path segments by ``{id}``."""
-    return F.array_join(
-        F.transform(F.split(path, "/"), lambda s: F.when(s.rlike(_ID_SEGMENT), F.lit("{id}")).otherwise(s)), "/"
-    )
+    return f"array_join(transform(split({path}, '/'), s -> if(s RLIKE {pattern(_ID_SEGMENT)}, '{{id}}', s)), '/')"
 
 
-def is_noise_host(host: Column) -> Column:
-    return F.coalesce(host.rlike("|".join(h.replace(".", r"\.") for h in NOISE_HOSTS)), F.lit(False))
+def is_noise_host(host: str) -> str:
+    """The host contains one of the noise parts."""
+    hosts = "|".join(h.replace(".", r"\.") for h in NOISE_HOSTS)
+    return f"coalesce({host} RLIKE {pattern(hosts)}, false)"
 
 
-def json_shape(text: Column) -> Column:
-    """Top-level shape: ``{a, b}``, ``[3 × {a}]``, a scalar type name, ``(non-JSON)`` or empty."""
-    return _shape(text, _MAX_NESTING)
+def auth_headers(header_names: str) -> str:
+    """Credential headers among the request's (lower-case) header names."""
+    return f"array_intersect({array(lit(h) for h in AUTH_HEADERS)}, {header_names})"
 
 
-def _shape(text: Column, depth: int) -> Column:
-    # The one-element transform binds the text once; plain nesting would repeat the
-    # whole expression of the outer level at every mention.
-    return F.get(F.transform(F.array(text), lambda t: _shape_of(t, depth)), F.lit(0))
+def json_shape(text: str) -> str:
+    """Top-level shape: ``{a, b}``, ``[3 × {a}]``, a scalar type name, ``(non-JSON)`` or empty."""
+    return _shape(text, _MAX_NESTING)
 
 
-def _shape_of(text: Column, depth: int) -> Column:
-    body = F.trim(text)
-    doc = F.try_parse_json(text)
-    keys = F.json_object_keys(text)
-    obj = F.concat(
-        F.lit("{"), F.array_join(F.slice(keys, 1, _MAX_KEYS), ", "),
-        F.when(F.size(keys) > _MAX_KEYS, F.lit("…")).otherwise(F.lit("")), F.lit("}"),
+def _shape(text: str, depth: int) -> str:
+    t, v = f"t{depth}", f"v{depth}"
+    keys = f"json_object_keys({t})"
+    obj = (
+        f"concat('{{', array_join(slice({keys}, 1, {_MAX_KEYS}), ', '), if(size({keys}) > {_MAX_KEYS}, '…', ''), '}}')"
     )
     if depth:
         # get_json_object keeps the key order but unquotes strings, hence the type test.
-        quoted = F.schema_of_variant(F.variant_get(doc, "$[0]", "variant")) == "STRING"
         inner = (
-            F.when(quoted, F.lit("str"))
-            .when(body.rlike(r"^\[\s*null"), F.lit("NoneType"))
-            .otherwise(F.coalesce(_shape(F.get_json_object(text, "$[0]"), depth - 1), F.lit("")))
+            f"CASE WHEN schema_of_variant(variant_get({v}, '$[0]', 'variant')) = 'STRING' THEN 'str' "
+            f"WHEN trim({t}) RLIKE {pattern('^[[][ ]*null')} THEN 'NoneType' "
+            f"ELSE coalesce({_shape(f'get_json_object({t}, {lit("$[0]")})', depth - 1)}, '') END"
         )
     else:
-        inner = F.lit("…")
-    arr = F.concat(F.lit("["), F.json_array_length(text).cast("string"), F.lit(" × "), inner, F.lit("]"))
-    scalar = (
-        F.when(body.startswith('"'), F.lit("str"))
-        .when(body.isin("true", "false"), F.lit("bool"))
-        .when(body == "null", F.lit("NoneType"))
-        .when(body.rlike("[.eE]"), F.lit("float"))
-        .otherwise(F.lit("int"))
-    )
-    return (
-        F.when(F.coalesce(text, F.lit("")) == "", F.lit(""))
-        .when(doc.isNull(), F.lit("(non-JSON)"))
-        .when(body.startswith("{"), obj)
-        .when(body.startswith("["), arr)
-        .otherwise(scalar)
+        inner = "'…'"
+    body = (
+        f"CASE WHEN coalesce({t}, '') = '' THEN '' WHEN {v} IS NULL THEN '(non-JSON)' "
+        f"WHEN startswith(trim({t}), '{{') THEN {obj} "
+        f"WHEN startswith(trim({t}), '[') THEN concat('[', CAST(json_array_length({t}) AS STRING), ' × ', {inner}, ']') "
+        f"WHEN startswith(trim({t}), '\"') THEN 'str' WHEN trim({t}) IN ('true', 'false') THEN 'bool' "
+        f"WHEN trim({t}) = 'null' THEN 'NoneType' WHEN {t} RLIKE '[.eE]' THEN 'float' ELSE 'int' END"
     )
+    return bind(text, t, bind(f"try_parse_json({t})", v, body))

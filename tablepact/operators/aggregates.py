@@ -6,27 +6,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import text as X
 from ..functions.numeric import log2_term
+from ..functions.sql import array, lit, name
 
 
-def count_where(cond: Column) -> Column:
-    return F.count_if(F.coalesce(cond, F.lit(False)))
-
-
-def share_where(cond: Column) -> Column:
+def share_where(condition: str) -> str:
     """Share of rows where the predicate holds (NULL counts as false)."""
-    return F.avg(F.coalesce(cond, F.lit(False)).cast("double"))
+    return f"avg(CASE WHEN {condition} THEN 1.0D ELSE 0.0D END)"
 
 
 def histogram(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Counts of present cells, long: ``(by..., column, value, n)``, in one shuffle for all columns."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    cells = array(f"named_struct('column', {lit(c)}, 'value', CAST({name(c)} AS STRING))" for c in columns)
     return (
-        df.select(*by, F.explode(cells).alias("_c")).select(*by, "_c.column", "_c.value")
-        .where(X.is_present(F.col("value")))
+        df.select(*by, F.explode(F.expr(cells)).alias("_c")).select(*by, "_c.column", "_c.value")
+        .where(X.is_present("value"))
         .groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -56,18 +52,16 @@ def js_distance(a: DataFrame, b: DataFrame, by: Sequence[str], value: str = "val
         b.select(*by, F.col(value).alias("_v"), F.lit(0.0).alias("_p"), F.col(share).alias("_q"))
     )
     per_value = both.groupBy(*by, "_v").agg(F.sum("_p").alias("_p"), F.sum("_q").alias("_q"))
-    m = (F.col("_p") + F.col("_q")) / 2
-    total = F.sum(log2_term(F.col("_p"), m) + log2_term(F.col("_q"), m)) / 2
-    empty = (F.sum("_p") == 0) | (F.sum("_q") == 0)
-    return per_value.groupBy(*by).agg(
-        F.when(empty, F.lit(1.0)).otherwise(F.sqrt(F.greatest(F.lit(0.0), total))).alias("js_distance")
-    )
+    m = "(_p + _q) / 2"
+    total = f"sum({log2_term('_p', m)} + {log2_term('_q', m)}) / 2"
+    distance = f"CASE WHEN sum(_p) = 0 OR sum(_q) = 0 THEN 1.0D ELSE sqrt(greatest(0.0D, {total})) END"
+    return per_value.groupBy(*by).agg(F.expr(distance).alias("js_distance"))
 
 
 def row_hashes(columns: Sequence[str]) -> tuple[Column, Column]:
     """128 hash bits of a row. Cells are hashed one by one, NULL apart from empty text."""
-    cells = [x for c in columns for x in (F.col(c).isNull(), F.col(c))]
-    return F.xxhash64(F.lit(1), *cells), F.xxhash64(F.lit(2), *cells)
+    cells = ", ".join(f"{name(c)} IS NULL, {name(c)}" for c in columns)
+    return F.expr(f"xxhash64(1, {cells})"), F.expr(f"xxhash64(2, {cells})")
 
 
 def duplicate_rows(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -120,12 +114,3 @@ def status_counts(results: DataFrame, by: Sequence[str]) -> DataFrame:
     return results.groupBy(*by).agg(
         *[F.count_if(F.col("status") == s).alias(s.lower()) for s in ("PASS", "FAIL", "WARN", "SKIP")]
     )
-
-
-def spell_out(df: DataFrame, columns: Sequence[str]) -> list[Column]:
-    """Text view of typed columns, used where raw cells are compared."""
-    out = []
-    for c in columns:
-        dt = df.schema[c].dataType
-        out.append(F.col(c) if isinstance(dt, T.StringType) else F.col(c).cast("string").alias(c))
-    return out

@@ -10,14 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contract import Contract
 from ..functions import dates as D
 from ..functions import numeric as N
 from ..functions import text as X
-from .aggregates import count_where
+from ..functions.sql import in_list, lit, name
 from .ordering import ORD, distinct_rows, sort_by_key
 from .quantiles import median_map
 
@@ -25,13 +25,13 @@ Step = Callable[[DataFrame], DataFrame]
 _REASON = "_reason"
 
 
-def _apply(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
-    return df.withColumns(exprs) if exprs else df
+def _apply(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
+    return df.withColumns({c: F.expr(e) for c, e in exprs.items()}) if exprs else df
 
 
 def text_step(contract: Contract) -> Step:
     """1: normalise white space in the text columns."""
-    return lambda df: _apply(df, {c: X.norm_ws(F.col(c)) for c in contract.text_columns if c in df.columns})
+    return lambda df: _apply(df, {c: X.norm_ws(name(c)) for c in contract.text_columns if c in df.columns})
 
 
 def case_step(contract: Contract) -> Step:
@@ -41,9 +41,9 @@ def case_step(contract: Contract) -> Step:
         out = {}
         for c in contract.columns:
             if c.name in df.columns and "title_case" in c.rules:
-                out[c.name] = X.title_case(F.col(c.name))
+                out[c.name] = X.title_case(name(c.name))
             elif c.name in df.columns and "lower_case" in c.rules:
-                out[c.name] = X.lower(F.col(c.name))
+                out[c.name] = X.lower(name(c.name))
         return _apply(df, out)
 
     return run
@@ -52,7 +52,7 @@ def case_step(contract: Contract) -> Step:
 def map_step(contract: Contract) -> Step:
     """3: canonical spelling through the column's lookup."""
     return lambda df: _apply(
-        df, {c.name: X.lookup_map(F.col(c.name), c.lookup) for c in contract.columns
+        df, {c.name: X.lookup_map(name(c.name), c.lookup) for c in contract.columns
              if c.lookup and c.name in df.columns}
     )
 
@@ -60,51 +60,52 @@ def map_step(contract: Contract) -> Step:
 def date_step(contract: Contract) -> Step:
     """4: parse by the ordered formats and write ISO text; unparseable becomes empty."""
     return lambda df: _apply(
-        df, {c.name: D.iso_date(D.parse_formats(F.col(c.name), contract.input_date_formats))
+        df, {c.name: D.iso_date(D.parse_formats(name(c.name), contract.input_date_formats))
              for c in contract.columns if c.dtype == "date" and c.name in df.columns}
     )
 
 
 def number_step(contract: Contract) -> Step:
     """5a: numeric columns as doubles; unparseable becomes NULL and is imputed later."""
-    return lambda df: _apply(
-        df, {c: N.to_num(F.col(c)) for c in contract.number_columns if c in df.columns}
-    )
+    return lambda df: _apply(df, {c: N.to_num(name(c)) for c in contract.number_columns if c in df.columns})
 
 
-def reject_reason(df: DataFrame, contract: Contract) -> Column:
-    """First rule that makes a row invalid (after the date and number steps), else NULL.
+def reject_rules(contract: Contract, columns: list[str]) -> list[tuple[str, str]]:
+    """``(reason, condition)`` in contract order, over the state after the date and number steps.
 
     A missing number is not invalid; a missing date or category is.
     """
-    reasons = []
+    rules = []
     for c in contract.columns:
-        if c.name not in df.columns:
+        if c.name not in columns:
             continue
-        v = F.col(c.name)
+        v = name(c.name)
         if c.invalid_le is not None:
-            reasons.append((f"{c.name}_le", v <= c.invalid_le))
+            rules.append((f"{c.name}_le", f"{v} <= {lit(c.invalid_le)}"))
         if c.invalid_lt is not None:
-            reasons.append((f"{c.name}_lt", v < c.invalid_lt))
+            rules.append((f"{c.name}_lt", f"{v} < {lit(c.invalid_lt)}"))
         if c.invalid_unparseable and c.dtype == "date":
-            reasons.append((f"{c.name}_unparseable", v == ""))
+            rules.append((f"{c.name}_unparseable", f"{v} = ''"))
         if c.invalid_not_allowed and c.allowed is not None:
-            reasons.append((f"{c.name}_not_allowed", ~F.coalesce(v, F.lit("")).isin(*c.allowed)))
-    out = F.lit(None).cast("string")
-    for name, bad in reversed(reasons):
-        out = F.when(F.coalesce(bad, F.lit(False)), F.lit(name)).otherwise(out)
-    return out
+            rules.append((f"{c.name}_not_allowed", f"coalesce({v}, '') NOT IN {in_list(c.allowed)}"))
+    return rules
+
+
+def reject_reason(df: DataFrame, contract: Contract) -> str:
+    """First rule that makes a row invalid, else NULL."""
+    whens = " ".join(f"WHEN {bad} THEN {lit(reason)}" for reason, bad in reject_rules(contract, df.columns))
+    return f"CASE {whens} END" if whens else "CAST(NULL AS STRING)"
 
 
 def reject_step(contract: Contract) -> Step:
     """5b: drop invalid rows."""
-    return lambda df: df.where(reject_reason(df, contract).isNull())
+    return lambda df: df.where(f"{reject_reason(df, contract)} IS NULL")
 
 
 def email_step(contract: Contract) -> Step:
     """6: values that must contain ``@`` and do not become empty."""
     return lambda df: _apply(
-        df, {c.name: X.blank_unless_at(F.col(c.name)) for c in contract.columns
+        df, {c.name: X.blank_unless_at(name(c.name)) for c in contract.columns
              if "contains_at" in c.rules and c.name in df.columns}
     )
 
@@ -125,15 +126,15 @@ def impute_step(contract: Contract) -> Step:
     def run(df: DataFrame) -> DataFrame:
         out = {}
         present = [c for c in contract.imputed if c.name in df.columns]
-        by_median = {c.name: F.col(c.name) for c in present if c.impute.method == "median"}
+        by_median = {c.name: name(c.name) for c in present if c.impute.method == "median"}
         if by_median:
             middle = median_map(df.where(F.col(ORD).isNotNull()), by_median,
                                 lambda v, c: N.round_even(v, contract[c].impute.places))
             out = {c: F.coalesce(F.col(c), F.try_element_at(middle, F.lit(c))) for c in by_median}
         for c in present:
             if c.impute.method == "constant":
-                out[c.name] = X.default_if_missing(F.col(c.name), c.impute.value)
-        return _apply(df, out)
+                out[c.name] = F.expr(X.default_if_missing(name(c.name), c.impute.value))
+        return df.withColumns(out) if out else df
 
     return run
 
@@ -146,14 +147,14 @@ def format_step(contract: Contract) -> Step:
         for c in contract.columns:
             if c.name not in df.columns or not c.numeric:
                 continue
-            v = F.col(c.name)
+            v = name(c.name)
             if c.name == contract.key:
-                out[c.name] = F.coalesce(N.to_key(v).cast("string"), F.lit("<NA>"))
+                out[c.name] = f"coalesce(CAST({N.to_key(v)} AS STRING), '<NA>')"
             elif c.dtype == "int":
-                out[c.name] = F.coalesce(N.int_text(v), F.lit(""))
+                out[c.name] = f"coalesce({N.int_text(v)}, '')"
             else:
                 places = 2 if c.decimals is None else c.decimals
-                out[c.name] = F.coalesce(N.fixed_decimal(v, places), F.lit(""))
+                out[c.name] = f"coalesce({N.fixed_decimal(v, places)}, '')"
         return _apply(df, out)
 
     return run
@@ -166,7 +167,7 @@ def sort_step(contract: Contract) -> Step:
         by = contract.sort_by
         if by is None or by not in df.columns:
             return df
-        return sort_by_key(df, N.to_key(F.col(by)))
+        return sort_by_key(df, F.expr(N.to_key(name(by))))
 
     return run
 
@@ -196,23 +197,13 @@ def row_accounting(raw: DataFrame, contract: Contract) -> DataFrame:
     df = raw
     for name in ("text", "case", "map", "date", "number"):
         df = df.transform(STEPS[name](contract))
-    df = df.withColumn(_REASON, reject_reason(df, contract)).transform(email_step(contract))
+    df = df.withColumn(_REASON, F.expr(reject_reason(df, contract))).transform(email_step(contract))
     cols = [c for c in df.columns if c != ORD]
     groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    valid = F.col(_REASON).isNull()
-    names = []
-    for c in contract.columns:
-        if c.name in df.columns:
-            names += [f"{c.name}_le"] * (c.invalid_le is not None)
-            names += [f"{c.name}_lt"] * (c.invalid_lt is not None)
-            names += [f"{c.name}_unparseable"] * (c.invalid_unparseable and c.dtype == "date")
-            names += [f"{c.name}_not_allowed"] * (c.invalid_not_allowed and c.allowed is not None)
-    zero = F.lit(0).cast("bigint")
-    items = [("rows_in", F.sum("_n")), ("duplicates", F.sum(F.when(valid, F.col("_n") - 1)))]
-    items += [(f"invalid:{n}", F.sum(F.when(F.col(_REASON) == n, F.col("_n")))) for n in names]
-    items += [("rows_out", count_where(valid))]
-    totals = groups.agg(*[F.coalesce(e, zero).alias(n) for n, e in items])
-    return totals.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("step"), F.lit(n).alias("item"), F.col(f"`{n}`").alias("rows"))
-        for i, (n, _) in enumerate(items)
-    ])).alias("r")).select("r.*")
+    items = [("rows_in", "sum(_n)"), ("duplicates", f"sum(CASE WHEN {_REASON} IS NULL THEN _n - 1 END)")]
+    items += [(f"invalid:{r}", f"sum(CASE WHEN {_REASON} = {lit(r)} THEN _n END)")
+              for r, _ in reject_rules(contract, raw.columns)]
+    items += [("rows_out", f"count_if({_REASON} IS NULL)")]
+    totals = groups.agg(*[F.expr(f"coalesce({e}, 0L)").alias(n) for n, e in items])
+    rows = ", ".join(f"{i}, {lit(n)}, {name(n)}" for i, (n, _) in enumerate(items))
+    return totals.selectExpr(f"stack({len(items)}, {rows}) AS (step, item, rows)")

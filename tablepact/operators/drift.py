@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions import numeric as N
+from ..functions.sql import array, lit, literal_map
 
 # Fixed values of the drift cases.
 DISCOUNT_CODES = ("SAVE10", "WELCOME5", "SPRING15", "VIP20")
@@ -32,20 +33,19 @@ def rename_column(df: DataFrame, old: str, new: str) -> DataFrame:
     return df.withColumnRenamed(old, new)
 
 
-def insert_after(df: DataFrame, after: str, name: str, value) -> DataFrame:
-    """Add a column right behind a named one."""
+def insert_after(df: DataFrame, after: str, name: str, value: str) -> DataFrame:
+    """Add a column (an expression) right behind a named one."""
     out = []
     for c in df.columns:
         out.append(F.col(c))
         if c == after:
-            out.append(value.alias(name))
+            out.append(F.expr(value).alias(name))
     return df.select(*out)
 
 
-def key_value(key, values: Sequence[str], salt: int = 0):
+def key_choice(key: str, values: Sequence[str]) -> str:
     """A pseudo-random choice that is a pure function of the key, so copies of a row agree."""
-    h = F.pmod(key * 48271 + salt, F.lit(2147483647))
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (h % len(values) + 1).cast("int"))
+    return f"element_at({array(lit(v) for v in values)}, CAST(pmod({key} * 48271, 2147483647) % {len(values)} + 1 AS INT))"
 
 
 def s1_drop(df: DataFrame) -> DataFrame:
@@ -57,15 +57,15 @@ def s2_rename(df: DataFrame) -> DataFrame:
 
 
 def s3_currency(df: DataFrame) -> DataFrame:
-    return df.withColumn("unit_price", N.currency_text(F.col("unit_price")))
+    return df.withColumn("unit_price", F.expr(N.currency_text("unit_price")))
 
 
 def s4_add(df: DataFrame) -> DataFrame:
     """Discount code behind the product: three keys in ten have one, copies share it."""
-    key = N.to_key(F.col("order_id"))
-    filled = F.pmod(key * 7919, F.lit(1000003)) % 10 < 3
-    code = F.when(filled, key_value(key, DISCOUNT_CODES)).otherwise(F.lit(""))
-    return insert_after(df, "product", "discount_code", code)
+    key = N.to_key("order_id")
+    filled = f"pmod({key} * 7919, 1000003) % 10 < 3"
+    return insert_after(df, "product", "discount_code",
+                        f"CASE WHEN {filled} THEN {key_choice(key, DISCOUNT_CODES)} ELSE '' END")
 
 
 def s5_combined(df: DataFrame) -> DataFrame:
@@ -73,24 +73,22 @@ def s5_combined(df: DataFrame) -> DataFrame:
 
 
 def m1_cents(df: DataFrame) -> DataFrame:
-    return df.withColumn("unit_price", N.minor_units(F.col("unit_price")))
+    return df.withColumn("unit_price", F.expr(N.minor_units("unit_price")))
 
 
 def m2_date_swap(df: DataFrame) -> DataFrame:
-    return df.withColumn("order_date", D.swap_day_month(F.col("order_date")))
+    return df.withColumn("order_date", F.expr(D.swap_day_month("order_date")))
 
 
 def m3_iso_codes(df: DataFrame, codes: Mapping[str, str] = ISO_CODES) -> DataFrame:
-    pairs = [F.lit(x) for kv in codes.items() for x in kv]
-    found = F.try_element_at(F.create_map(*pairs), F.lower(F.trim("country")))
-    return df.withColumn("country", F.when(F.col("country") == "", "").otherwise(found))
+    found = f"try_element_at({literal_map(codes)}, lower(trim(country)))"
+    return df.withColumn("country", F.expr(f"CASE WHEN country = '' THEN '' ELSE {found} END"))
 
 
 def probe_extra_row(df: DataFrame, order: str = "_ord") -> DataFrame:
     """Append one valid order with the next key at the end of the file."""
-    last = df.agg(
-        (F.max(N.to_key(F.col("order_id"))) + 1).cast("string").alias("order_id"),
-        (F.max(order) + 10).alias(order),
+    last = df.selectExpr(f"{N.to_key('order_id')} AS k", f"{order} AS o").agg(
+        F.expr("CAST(max(k) + 1 AS STRING)").alias("order_id"), F.expr("max(o) + 10").alias(order)
     )
     probe = last.select(*[
         F.col(c) if c in ("order_id", order) else F.lit(PROBE_ORDER.get(c, "")).alias(c) for c in df.columns

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import numeric as N
 from ..functions import text as X
-from .aggregates import count_where
+from ..functions.sql import name
 
 
 def column_classes(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -21,29 +21,26 @@ def column_classes(df: DataFrame, by: Sequence[str], columns: Sequence[str]) ->
     """
     aggs = []
     for c in columns:
-        v = F.col(f"`{c}`")
-        present = v.isNotNull() & X.is_present(v)
-        num = N.to_num(v)
-        n = F.count_if(present)
-        numbers = count_where(present & num.isNotNull())
-        whole = count_where(present & N.is_integral(num))
-        dates = count_where(present & D.to_date_ntz(v).isNotNull())
-        aggs.append(
-            F.when((n > 0) & (numbers == n), F.when(whole == n, F.lit("int")).otherwise(F.lit("decimal")))
-            .when((n > 0) & (dates == n), F.lit("date")).otherwise(F.lit("text")).alias(c)
-        )
+        v = name(c)
+        present = f"({v} IS NOT NULL AND {X.is_present(v)})"
+        numbers = f"count_if({present} AND {N.to_num(v)} IS NOT NULL)"
+        whole = f"count_if({present} AND {N.is_integral(N.to_num(v))})"
+        dates = f"count_if({present} AND {D.to_date_ntz(v)} IS NOT NULL)"
+        n = f"count_if({present})"
+        aggs.append(F.expr(
+            f"CASE WHEN {n} = 0 THEN 'text' WHEN {numbers} = {n} AND {whole} = {n} THEN 'int' "
+            f"WHEN {numbers} = {n} THEN 'decimal' WHEN {dates} = {n} THEN 'date' ELSE 'text' END"
+        ).alias(c))
     return df.groupBy(*by).agg(*aggs)
 
 
-def _canonical(v: Column, cls: Column) -> Column:
-    whole = F.coalesce(F.trim(v).try_cast("bigint").cast("string"), N.int_text(N.to_num(v)))
-    value = (
-        F.when(cls == "int", whole)
-        .when(cls == "decimal", N.fixed_decimal(N.to_num(v), 2))
-        .when(cls == "date", D.iso_date(D.to_date_ntz(v)))
-        .otherwise(X.strip(v))
+def _canonical(v: str, cls: str) -> str:
+    whole = f"coalesce(CAST(try_cast(trim({v}) AS BIGINT) AS STRING), {N.int_text(N.to_num(v))})"
+    return (
+        f"CASE WHEN {v} IS NULL THEN NULL WHEN {X.is_missing(v)} THEN '' WHEN {cls} = 'int' THEN {whole} "
+        f"WHEN {cls} = 'decimal' THEN {N.fixed_decimal(N.to_num(v), 2)} "
+        f"WHEN {cls} = 'date' THEN {D.iso_date(D.to_date_ntz(v))} ELSE {X.strip(v)} END"
     )
-    return F.when(v.isNull(), v).otherwise(F.when(X.is_missing(v), F.lit("")).otherwise(value))
 
 
 def canonicalize(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -56,13 +53,13 @@ def canonicalize(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> Da
     classes = column_classes(df, by, columns).withColumnsRenamed({c: f"_cls_{c}" for c in columns})
     if by:
         joined = df.join(classes, by)
-        cls = {c: F.col(f"`_cls_{c}`") for c in columns}
+        cls = {c: name(f"_cls_{c}") for c in columns}
     else:
-        one = classes.select(F.struct(*[F.col(f"`_cls_{c}`") for c in columns]).alias("s")).scalar()
+        one = classes.select(F.struct(*[F.col(name(f"_cls_{c}")) for c in columns]).alias("s")).scalar()
         joined = df.withColumn("_cls", one)
-        cls = {c: F.col("_cls").getField(f"_cls_{c}") for c in columns}
-    keep = [F.col(c) for c in df.columns if c not in columns]
-    return joined.select(*keep, *[_canonical(F.col(f"`{c}`"), cls[c]).alias(c) for c in columns])
+        cls = {c: "_cls." + name(f"_cls_{c}") for c in columns}
+    keep = [F.col(name(c)) for c in df.columns if c not in columns]
+    return joined.select(*keep, *[F.expr(_canonical(name(c), cls[c])).alias(c) for c in columns])
 
 
 def _hash_sum(seed: int, columns: Sequence[str]) -> Column:
@@ -71,8 +68,8 @@ def _hash_sum(seed: int, columns: Sequence[str]) -> Column:
     Each cell enters with its own NULL flag, so shifting a value between columns
     changes the hash.
     """
-    cells = [x for c in columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
-    return F.sum(F.xxhash64(F.lit(seed), *cells).cast("decimal(20,0)"))
+    cells = ", ".join(f"{name(c)} IS NULL, {name(c)}" for c in columns)
+    return F.expr(f"sum(CAST(xxhash64({seed}, {cells}) AS DECIMAL(20, 0)))")
 
 
 def fingerprints(canonical: DataFrame, by: Sequence[str], columns: Sequence[str],

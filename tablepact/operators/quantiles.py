@@ -8,11 +8,13 @@ buckets that hold the wanted ranks are ordered.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.sql import array, lit, name
+
 # Buckets per e-fold. A double has at most 2 * 709.8 * this many buckets, a fixed
 # number of small rows per group; data seen in practice touch a few thousand.
 _PER_E = 4096
@@ -25,17 +27,18 @@ def _bucket(v: Column) -> Column:
     return F.coalesce(F.when(v < 0, -b).otherwise(b), F.lit(0).cast("bigint"))
 
 
-def value_counts(df: DataFrame, by: Sequence[str], columns: Sequence[str] | dict[str, Column]) -> DataFrame:
+def value_counts(df: DataFrame, by: Sequence[str], columns: Sequence[str] | Mapping[str, str]) -> DataFrame:
     """Present numeric values and their counts, ``(by..., column, v, n)``, one pass for all columns.
 
-    The values are exploded before the NULL filter, which therefore stays above
-    whatever ``df`` is (a deduplication, say) and leaves its plan reusable.
+    ``columns`` are names, or labels with expressions. The values are exploded before
+    the NULL filter, which therefore stays above whatever ``df`` is (a deduplication,
+    say) and leaves its plan reusable.
     """
-    exprs = columns if isinstance(columns, dict) else {c: F.col(c) for c in columns}
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), e.cast("double").alias("v")) for c, e in exprs.items()])
+    exprs = columns if isinstance(columns, Mapping) else {c: name(c) for c in columns}
+    cells = array(f"named_struct('column', {lit(c)}, 'v', CAST({e} AS DOUBLE))" for c, e in exprs.items())
     return (
-        df.select(*by, F.explode(cells).alias("_c")).select(*by, "_c.column", "_c.v")
-        .where(F.col("v").isNotNull()).groupBy(*by, "column", "v").agg(F.count(F.lit(1)).alias("n"))
+        df.select(*by, F.explode(F.expr(cells)).alias("_c")).select(*by, "_c.column", "_c.v")
+        .where("v IS NOT NULL").groupBy(*by, "column", "v").agg(F.count(F.lit(1)).alias("n"))
     )
 
 
@@ -93,24 +96,20 @@ def quantiles(counts: DataFrame, by: Sequence[str], probs: Sequence[float]) -> D
     return out.select(*by, "prob", value.alias("value"))
 
 
-def medians(df: DataFrame, by: Sequence[str], columns: Sequence[str] | dict[str, Column]) -> DataFrame:
+def medians(df: DataFrame, by: Sequence[str], columns: Sequence[str] | Mapping[str, str]) -> DataFrame:
     """Exact interpolated medians, ``(by..., column, value)``."""
     group = [*by, "column"]
     return quantiles(value_counts(df, by, columns), group, [0.5]).select(*group, "value")
 
 
-def median_map(df: DataFrame, columns: dict[str, Column],
-               rounding: Callable[[Column, str], Column] | None = None) -> Column:
-    """Medians of several columns as one scalar subquery, a map with an entry per column name."""
-    m = medians(df, [], columns)
-    value = F.col("value")
+def median_map(df: DataFrame, columns: Mapping[str, str],
+               rounding: Callable[[str, str], str] | None = None) -> Column:
+    """Medians of several columns as one scalar subquery, a map with an entry per label."""
+    value = "value"
     if rounding is not None:
-        out = value
-        for c in columns:
-            out = F.when(F.col("column") == c, rounding(value, c)).otherwise(out)
-        value = out
-    entries = F.collect_list(F.struct(F.col("column"), value.alias("value")))
-    return m.agg(F.map_from_entries(entries).alias("medians")).scalar()
+        value = "CASE " + " ".join(f"WHEN column = {lit(c)} THEN {rounding('value', c)}" for c in columns) + " END"
+    entries = F.expr(f"map_from_entries(collect_list(struct(column, {value})))")
+    return medians(df, [], columns).agg(entries.alias("medians")).scalar()
 
 
 def approx_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float],

@@ -7,9 +7,9 @@ outputs, truth, inputs and baseline together (:func:`key_facts`).
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Collection, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contract import Contract
@@ -17,7 +17,8 @@ from ..functions import dates as D
 from ..functions import numeric as N
 from ..functions import text as X
 from ..functions.compare import tolerant_equal
-from ..operators.aggregates import count_where, duplicate_keys, duplicate_rows
+from ..functions.sql import array, in_list, lit, literal_map, name
+from ..operators.aggregates import duplicate_keys, duplicate_rows
 from ..operators.ordering import ORD, order_breaks
 from ..operators.quantiles import quantiles
 from .runs import CASE, RUN, RunSet
@@ -27,61 +28,61 @@ CHUNK = 80  # aggregates per scan: a wider generated method would fall out of co
 
 
 def _cell_rules(contract: Contract, checks: Collection[str], columns: Collection[str]):
-    """``(check, column, rule, violation, limit_expr)`` for every single-cell rule.
+    """``(check, column, rule, violation)`` for every single-cell rule.
 
-    ``p`` (present), ``x`` (number) and ``d`` (date) columns are prepared by the caller.
+    ``v_`` (text), ``p_`` (present), ``x_`` (number) and ``d_`` (date) columns are
+    prepared by :func:`_prepared`.
     """
     for c in contract.columns:
         if c.name not in columns:
             continue
-        v, p, x, d = (F.col(f"{k}_{c.name}") for k in ("v", "p", "x", "d"))
+        v, p, x, d = (name(f"{k}_{c.name}") for k in ("v", "p", "x", "d"))
         if "SCH-02" in checks and c.dtype != "string":
-            bad = x.isNull() if c.dtype == "float" else (x.isNull() | ~N.is_integral(x) if c.dtype == "int" else d.isNull())
-            yield "SCH-02", c, "castable", p & bad
+            good = {"float": f"{x} IS NOT NULL", "int": N.is_integral(x), "date": f"{d} IS NOT NULL"}[c.dtype]
+            yield "SCH-02", c, "castable", f"{p} AND NOT ({good})"
         if "CLN-02" in checks and not c.nullable:
-            yield "CLN-02", c, "not_null", v.isNotNull() & ~p
+            yield "CLN-02", c, "not_null", f"{v} IS NOT NULL AND NOT {p}"
         if "CLN-03" in checks:
             for rule in c.rules:
-                yield "CLN-03", c, rule, p & ~X.rule_holds(rule, v)
+                yield "CLN-03", c, rule, f"{p} AND NOT {X.rule_holds(rule, v)}"
         if "CLN-04" in checks and c.allowed is not None:
-            yield "CLN-04", c, "allowed", p & ~v.isin(*c.allowed)
+            yield "CLN-04", c, "allowed", f"{p} AND {v} NOT IN {in_list(c.allowed)}"
         if "CLN-05" in checks and (c.min is not None or c.max is not None):
-            if c.dtype == "date":
-                lo, hi = (F.lit(str(b)).cast("timestamp_ntz") for b in (c.min, c.max))
-                bad = (d < lo) | (d > hi)
-            else:
-                lo = float("-inf") if c.min is None else float(c.min)
-                hi = float("inf") if c.max is None else float(c.max)
-                bad = (x < lo) | (x > hi)
-            yield "CLN-05", c, "range", bad
+            u, bound = (d, D.day_bound) if c.dtype == "date" else (x, lambda b: lit(float(b)))
+            sides = [f"{u} < {bound(c.min)}"] * (c.min is not None) + [f"{u} > {bound(c.max)}"] * (c.max is not None)
+            yield "CLN-05", c, "range", " OR ".join(sides)
         if "CLN-09" in checks:
-            yield "CLN-09", c, "null_token", v.isNotNull() & ~p & (v != "")
+            yield "CLN-09", c, "null_token", f"{v} IS NOT NULL AND NOT {p} AND {v} <> ''"
             if c.dtype == "date":
-                yield "CLN-09", c, "not_YYYY-MM-DD", p & ~X.full_match(v, r"\d{4}-\d{2}-\d{2}")
+                yield "CLN-09", c, "not_YYYY-MM-DD", f"{p} AND NOT {X.full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2}')}"
             elif c.dtype == "float" and c.decimals:
-                yield "CLN-09", c, f"not_{c.decimals}dp", p & ~X.full_match(v, rf"-?\d+\.\d{{{c.decimals}}}")
+                yield "CLN-09", c, f"not_{c.decimals}dp", (
+                    f"{p} AND NOT " + X.full_match(v, rf"-?[0-9]+\.[0-9]{{{c.decimals}}}"))
             elif c.dtype == "int":
-                yield "CLN-09", c, "not_integer_literal", p & ~X.full_match(v, r"-?\d+")
+                yield "CLN-09", c, "not_integer_literal", f"{p} AND NOT {X.full_match(v, '-?[0-9]+')}"
 
 
 def _prepared(df: DataFrame, contract: Contract, columns: Collection[str], keep: Collection[str]) -> DataFrame:
-    out: list[Column] = [F.col(k) for k in keep]
-    for name in columns:
-        v, dtype = F.col(f"`{name}`"), contract[name].dtype
-        out += [v.alias(f"v_{name}"), (v.isNotNull() & X.is_present(v)).alias(f"p_{name}")]
+    """Text, presence and parsed value of each column; native numbers and dates are not re-parsed."""
+    out = [name(k) for k in keep]
+    for c in columns:
+        v, dtype, have = name(c), contract[c].dtype, df.schema[c].dataType.typeName()
+        native = have != "string"
+        present = f"{v} IS NOT NULL" if native else f"({v} IS NOT NULL AND {X.is_present(v)})"
+        out += [f"CAST({v} AS STRING) AS {name('v_' + c)}", f"{present} AS {name('p_' + c)}"]
         if dtype in ("int", "float"):
-            out.append(N.to_num(v).alias(f"x_{name}"))
+            out.append(f"{f'nanvl(CAST({v} AS DOUBLE), NULL)' if native else N.to_num(v)} AS {name('x_' + c)}")
         elif dtype == "date":
-            out.append(D.to_date_ntz(v).alias(f"d_{name}"))
-    return df.select(*out)
+            out.append(f"{f'CAST({v} AS TIMESTAMP_NTZ)' if native else D.to_date_ntz(v)} AS {name('d_' + c)}")
+    return df.selectExpr(*out)
 
 
-def _seen(c, which) -> Column:
+def _seen(c, which: str) -> str:
     """Smallest or largest parsed value of a ranged column, as text."""
     if c.dtype == "date":
-        return which(F.col(f"d_{c.name}")).cast("date").cast("string")
-    x = which(F.col(f"x_{c.name}"))
-    return F.when(N.is_integral(x), N.int_text(x)).otherwise(x.cast("string"))
+        return f"CAST(CAST({which}({name('d_' + c.name)}) AS DATE) AS STRING)"
+    x = f"{which}({name('x_' + c.name)})"
+    return f"CASE WHEN {N.is_integral(x)} THEN {N.int_text(x)} ELSE CAST({x} AS STRING) END"
 
 
 def cell_metrics(df: DataFrame, contract: Contract, by: list[str], checks: Collection[str] = CELL_CHECKS) -> DataFrame:
@@ -91,45 +92,43 @@ def cell_metrics(df: DataFrame, contract: Contract, by: list[str], checks: Colle
     A contract wide enough to leave code generation is split by column, and each part
     scans its own columns only.
     """
+    if not by:
+        one = cell_metrics(df.withColumn("_all", F.lit(0)), contract, ["_all"], checks)
+        return one.drop("_all")
     columns = [c for c in contract.names if c in df.columns]
     parts: list[list[str]] = [[]]
     width = 0
-    for name in columns:
-        n = sum(1 for _ in _cell_rules(contract, checks, [name])) + 3
+    for column in columns:
+        n = sum(1 for _ in _cell_rules(contract, checks, [column])) + 3
         if width and width + n > CHUNK:
             parts.append([])
             width = 0
-        parts[-1].append(name)
+        parts[-1].append(column)
         width += n
     result = None
     for part in parts:
         rules = list(_cell_rules(contract, checks, part))
-        aggs = [F.count(F.lit(1)).alias("rows")]
-        names = sorted({c.name for _, c, _, _ in rules})
-        aggs += [count_where(F.col(f"p_{n}")).alias(f"present_{n}") for n in names]
-        for i, (check, c, _, bad) in enumerate(rules):
-            aggs.append(count_where(bad).alias(f"n{i}"))
+        used = sorted({c.name for _, c, _, _ in rules})
+        aggs = [F.expr("count(*)").alias("rows")]
+        aggs += [F.expr(f"count_if({name('p_' + n)})").alias(f"present_{n}") for n in used]
+        cells = []
+        for i, (check, c, rule, bad) in enumerate(rules):
+            aggs.append(F.expr(f"count_if({bad})").alias(f"n{i}"))
+            lo = hi = "CAST(NULL AS STRING)"
             if check == "CLN-05":
-                aggs += [_seen(c, F.min).alias(f"lo{i}"), _seen(c, F.max).alias(f"hi{i}")]
-        agg = _prepared(df, contract, part, by).groupBy(*by).agg(*aggs)
-        none = F.lit(None).cast("string")
-        cells = F.array(*[
-            F.struct(
-                F.lit(check).alias("check_id"), F.lit(c.name).alias("column"), F.lit(rule).alias("rule"),
-                F.col(f"present_{c.name}").alias("present"), F.col(f"n{i}").alias("violations"),
-                (F.col(f"lo{i}") if check == "CLN-05" else none).alias("min_seen"),
-                (F.col(f"hi{i}") if check == "CLN-05" else none).alias("max_seen"),
+                lo, hi = f"lo{i}", f"hi{i}"
+                aggs += [F.expr(_seen(c, "min")).alias(lo), F.expr(_seen(c, "max")).alias(hi)]
+            cells.append(
+                f"named_struct('check_id', {lit(check)}, 'column', {lit(c.name)}, 'rule', {lit(rule)}, "
+                f"'present', {name('present_' + c.name)}, 'violations', n{i}, 'min_seen', {lo}, 'max_seen', {hi})"
             )
-            for i, (check, c, rule, _) in enumerate(rules)
-        ])
-        agg = agg.select(*by, "rows", cells.alias("cells"))
+        agg = _prepared(df, contract, used, by).groupBy(*by).agg(*aggs)
+        agg = agg.selectExpr(*[name(b) for b in by], "rows", f"{array(cells)} AS cells")
         if result is None:
             result = agg
         else:
             more = agg.select(*by, F.col("cells").alias("_more"))
-            result = (result.join(more, by) if by else result.crossJoin(more)).select(
-                *by, "rows", F.concat("cells", "_more").alias("cells")
-            )
+            result = result.join(more, by).select(*by, "rows", F.concat("cells", "_more").alias("cells"))
     return result
 
 
@@ -140,15 +139,12 @@ def offending_values(df: DataFrame, contract: Contract, by: list[str],
     Second pass for reports; only violating cells leave the scan, counted map-side.
     """
     columns = [c for c in contract.names if c in df.columns]
-    prepared = _prepared(df, contract, columns, by)
-    hits = F.array(*[
-        F.when(F.coalesce(bad, F.lit(False)), F.struct(
-            F.lit(check).alias("check_id"), F.lit(c.name).alias("column"), F.lit(rule).alias("rule"),
-            F.col(f"v_{c.name}").alias("value"),
-        ))
+    hits = array(
+        f"CASE WHEN {bad} THEN named_struct('check_id', {lit(check)}, 'column', {lit(c.name)}, "
+        f"'rule', {lit(rule)}, 'value', {name('v_' + c.name)}) END"
         for check, c, rule, bad in _cell_rules(contract, checks, columns)
-    ])
-    exploded = prepared.select(*by, F.explode(F.array_compact(hits)).alias("h"))
+    )
+    exploded = _prepared(df, contract, columns, by).selectExpr(*[name(b) for b in by], f"explode(array_compact({hits})) AS h")
     return exploded.groupBy(*by, "h.check_id", "h.column", "h.rule", "h.value").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -170,8 +166,8 @@ def duplicate_metrics(rs: RunSet) -> DataFrame:
 
 def order_metrics(rs: RunSet) -> DataFrame:
     """``(run_id, rows, first_break, first_null)`` of the numeric key in file order."""
-    key = F.col(rs.contract.key)
-    return order_breaks(rs.outputs.where(key.isNotNull()), [RUN], N.to_num(key))
+    key = name(rs.contract.key)
+    return order_breaks(rs.outputs.where(f"{key} IS NOT NULL"), [RUN], F.expr(N.to_num(key)))
 
 
 # ---------------------------------------------------------------- by key
@@ -189,144 +185,134 @@ def key_facts(rs: RunSet, checks: Collection[str] = KEY_CHECKS) -> DataFrame:
     """
     c, key = rs.contract, rs.contract.key
     level, date = c.level_column, c.date_column
-    imputed = [i for i in c.imputed if rs.inputs is not None]
+    imputed = [] if rs.inputs is None else c.imputed
     truth_columns = [n for n in c.names if n != key]
-    need: list[str] = []
-    if "CLN-08" in checks and rs.expected is not None:
-        need += truth_columns
-    if "CLN-06" in checks:
-        need += [i.name for i in imputed]
-    if "SEM-02" in checks and level:
-        need.append(level)
-    if "SEM-04" in checks and date:
-        need.append(date)
-    need = [n for n in c.names if n in need]
-
-    def cells(df: DataFrame, names: Collection[str] = need) -> Column:
-        # A non-empty struct also when no cell is needed, so that presence shows.
-        return F.struct(F.lit(True).alias("_row"), *[
-            (rs.column(df, n) if n in names else F.lit(None).cast("string")).alias(n) for n in need
-        ])
-
-    none = F.lit(None)
-    ord_type = rs.outputs.schema[ORD].dataType
-    no_mask = F.lit(0).cast("bigint")
-
-    def side(df: DataFrame, tag: int, cell: Column, order: Column, mask: Column = no_mask) -> DataFrame:
-        return df.select(
-            RUN, N.to_key(F.col(key)).alias("_k"), F.lit(tag).alias("_side"), order.cast(ord_type).alias("_o"),
-            cell.alias("_c"), mask.alias("_m"),
-        ).where(F.col("_k").isNotNull())
-
-    no_cells = F.lit(None).cast(F"struct<_row:boolean{''.join(f',`{n}`:string' for n in need)}>")
-    sides = [side(rs.outputs, 0, cells(rs.outputs), F.col(ORD))]
+    compare_cells = "CLN-08" in checks and rs.expected is not None
+    compare_level = "SEM-02" in checks and level is not None and rs.baseline is not None
+    compare_date = "SEM-04" in checks and date is not None and rs.baseline is not None
+    wanted = set(truth_columns if compare_cells else ())
+    wanted.update(i.name for i in imputed if "CLN-06" in checks)
+    wanted.update([level] * compare_level + [date] * compare_date)
+    need = [n for n in c.names if n in wanted]
+    order_type = rs.outputs.schema[ORD].dataType.simpleString()
+
+    def cells(df: DataFrame, only: Collection[str] = need) -> str:
+        # The flag makes presence show even when no cell is needed or present.
+        return "named_struct('_row', true" + "".join(
+            f", {lit(n)}, {rs.column(df, n) if n in only else 'CAST(NULL AS STRING)'}" for n in need) + ")"
+
+    def side(df: DataFrame, tag: int, cell: str, order: str = "NULL", mask: str = "0L") -> DataFrame:
+        return df.selectExpr(
+            RUN, f"{N.to_key(name(key))} AS _k", f"{tag} AS _side", f"CAST({order} AS {order_type}) AS _o",
+            f"{cell} AS _c", f"{mask} AS _m",
+        ).where("_k IS NOT NULL")
+
+    sides = [side(rs.outputs, 0, cells(rs.outputs), ORD)]
     if rs.expected is not None and any(x in checks for x in ("ROW-02", "CLN-06", "CLN-08")):
-        sides.append(side(rs.per_run(rs.expected), 1, cells(rs.expected), none))
-    compare_level = "SEM-02" in checks and level is not None
-    compare_date = "SEM-04" in checks and date is not None
-    if rs.baseline is not None and (compare_level or compare_date):
-        wanted = [n for n, on in ((level, compare_level), (date, compare_date)) if on]
-        base = rs.baseline.select(key, *[n for n in wanted if n in rs.baseline.columns])
-        runs = F.array(*[F.lit(r) for r in rs.headers])
-        every = base.withColumn(RUN, F.explode(runs))
-        sides.append(side(every, 2, cells(base, wanted), none))
-    flags = [i.name for i in imputed if i.name in rs.inputs.columns] if rs.inputs is not None else []
+        sides.append(side(rs.per_run(rs.expected), 1, cells(rs.expected)))
+    if compare_level or compare_date:
+        only = [level] * compare_level + [date] * compare_date
+        base = rs.baseline.select(key, *[n for n in only if n in rs.baseline.columns])
+        every = base.withColumn(RUN, F.explode(F.expr(array(lit(r) for r in rs.headers))))
+        sides.append(side(every, 2, cells(base, only)))
+    flags = [i.name for i in imputed if i.name in rs.inputs.columns]
     if compare_level and rs.inputs is not None and level in rs.inputs.columns and level not in flags:
         flags.append(level)
-    if flags and ("CLN-06" in checks or compare_level):
-        gone = [(rs.column(rs.inputs, n).isNotNull() & X.is_missing(rs.column(rs.inputs, n))) for n in flags]
-        mask = sum((F.when(g, F.lit(2**j)).otherwise(F.lit(0)) for j, g in enumerate(gone)), F.lit(0)).cast("bigint")
-        marked = rs.inputs.select(CASE, key, mask.alias("_mask")).where("_mask <> 0")
-        sides.append(side(rs.per_run(marked), 3, no_cells, none, F.col("_mask")))
+    if flags:
+        gone = [f"CASE WHEN {name(n)} IS NOT NULL AND {X.is_missing(name(n))} THEN {2**j}L ELSE 0L END"
+                for j, n in enumerate(flags)]
+        marked = rs.inputs.selectExpr(CASE, name(key), f"{' + '.join(gone)} AS _mask").where("_mask <> 0")
+        empty = "named_struct('_row', false" + "".join(f", {lit(n)}, CAST(NULL AS STRING)" for n in need) + ")"
+        sides.append(side(rs.per_run(marked), 3, empty, mask="_mask"))
     union = sides[0]
     for s in sides[1:]:
         union = union.unionByName(s)
-    is_side = [F.col("_side") == i for i in range(4)]
     keyed = union.groupBy(RUN, "_k").agg(
-        F.count_if(is_side[0]).alias("n_out"), F.count_if(is_side[1]).alias("n_exp"),
-        F.min(F.when(is_side[0], F.struct("_o", "_c"))).alias("_first"),
-        F.min(F.when(is_side[1], F.col("_c"))).alias("e"), F.min(F.when(is_side[2], F.col("_c"))).alias("b"),
-        F.bit_or("_m").alias("mask"),
-    ).withColumn("o", F.col("_first._c"))
-
-    got, exp = F.col("n_out") > 0, F.col("n_exp") > 0
-    based = F.col("b").isNotNull()
-    facts: list[Column] = []
-
-    def fact(when: Column, kind: str, name: str, v: Column | None = None, n: Column | None = None) -> None:
-        facts.append(F.when(F.coalesce(when, F.lit(False)), F.struct(
-            F.lit(kind).alias("kind"), F.lit(name).alias("name"),
-            (F.lit(None) if v is None else v).cast("double").alias("v"),
-            (F.lit(1) if n is None else n).cast("bigint").alias("w"),
-        )))
+        F.expr("count_if(_side = 0)").alias("n_out"), F.expr("count_if(_side = 1)").alias("n_exp"),
+        F.expr("min(CASE WHEN _side = 0 THEN struct(_o, _c) END)").alias("_first"),
+        F.expr("min(CASE WHEN _side = 1 THEN _c END)").alias("e"),
+        F.expr("min(CASE WHEN _side = 2 THEN _c END)").alias("b"), F.expr("bit_or(_m)").alias("mask"),
+    )
+
+    o, e, b = (lambda n: f"_first._c.{name(n)}"), (lambda n: f"e.{name(n)}"), (lambda n: f"b.{name(n)}")
+    facts: list[str] = []
+
+    def fact(when: str, kind: str, what: str, v: str = "CAST(NULL AS DOUBLE)", n: str = "1L") -> None:
+        facts.append(f"CASE WHEN {when} THEN named_struct('kind', {lit(kind)}, 'name', {lit(what)}, 'v', {v}, 'w', {n}) END")
+
+    def was_missing(n: str) -> str:
+        return f"mask & {2 ** flags.index(n) if n in flags else 0}L <> 0"
 
     if "ROW-02" in checks and rs.expected is not None:
-        fact(exp & ~got, "ROW-02", "missing")
-        fact(got & ~exp, "ROW-02", "unexpected")
-        fact(F.col("n_out") > 1, "ROW-02", "duplicate", n=F.col("n_out") - 1)
-    if "CLN-08" in checks and rs.expected is not None:
-        fact(got & exp, "CLN-08", "compared")
+        fact("n_exp > 0 AND n_out = 0", "ROW-02", "missing")
+        fact("n_out > 0 AND n_exp = 0", "ROW-02", "unexpected")
+        fact("n_out > 1", "ROW-02", "duplicate", n="n_out - 1")
+    if compare_cells:
+        both = "n_out > 0 AND n_exp > 0"
+        fact(both, "CLN-08", "compared")
         for n in truth_columns:
             if n in rs.expected.columns:
-                same = tolerant_equal(F.col(f"o.{n}"), F.col(f"e.{n}"), c[n].dtype, c.numeric_abs)
-                fact(got & exp & F.col(f"o.{n}").isNotNull() & ~same, "CLN-08", n)
+                same = tolerant_equal(o(n), e(n), c[n].dtype, c.numeric_abs)
+                fact(f"{both} AND {o(n)} IS NOT NULL AND NOT {same}", "CLN-08", n)
     if "CLN-06" in checks:
         for i in imputed:
             if i.name not in flags:
                 continue
-            was_missing = F.col("mask").bitwiseAND(F.lit(2 ** flags.index(i.name)).cast("bigint")) != 0
-            o, e = F.col(f"o.{i.name}"), F.col(f"e.{i.name}")
-            hit = got & was_missing & o.isNotNull()
+            hit = f"n_out > 0 AND {was_missing(i.name)} AND {o(i.name)} IS NOT NULL"
             if i.impute.method == "median":
-                fact(hit, "CLN-06", i.name, N.to_num(o))
-                fact(hit & N.to_num(e).isNotNull(), "CLN-06 target", i.name, N.to_num(e))
+                fact(hit, "CLN-06", i.name, N.to_num(o(i.name)))
+                fact(f"{hit} AND {N.to_num(e(i.name))} IS NOT NULL", "CLN-06 target", i.name, N.to_num(e(i.name)))
             else:
-                fact(hit, "CLN-06", i.name, (o == i.impute.value).cast("double"))
-    if compare_level and rs.baseline is not None:
-        measured = F.col("mask").bitwiseAND(F.lit(2 ** flags.index(level) if level in flags else 0).cast("bigint")) == 0
-        r = N.ratio(N.to_num(F.col(f"o.{level}")), N.to_num(F.col(f"b.{level}")))
-        fact(based & measured & r.isNotNull(), "SEM-02", "ratio", r)
-        fact(based & ~measured, "SEM-02", "excluded")
-    if compare_date and rs.baseline is not None:
-        ref, new = D.to_date_ntz(F.col(f"b.{date}")), D.to_date_ntz(F.col(f"o.{date}"))
-        same = F.coalesce(new == ref, F.lit(False))
-        swapped = F.coalesce((F.month(new) == F.dayofmonth(ref)) & (F.dayofmonth(new) == F.month(ref)), F.lit(False))
-        fact(based, "SEM-04", "compared")
-        fact(based & same, "SEM-04", "unchanged")
-        fact(based & new.isNotNull() & ~same & swapped, "SEM-04", "transposed")
-        fact(based & new.isNotNull() & ~same & ~swapped, "SEM-04", "other")
-        fact(based & new.isNull(), "SEM-04", "lost")
-        fact(based & new.isNull() & (F.dayofmonth(ref) > 12), "SEM-04", "lost_day_gt_12")
+                fact(hit, "CLN-06", i.name, f"CASE WHEN {o(i.name)} = {lit(i.impute.value)} THEN 1D ELSE 0D END")
+    if compare_level:
+        r = N.ratio(N.to_num(o(level)), N.to_num(b(level)))
+        fact(f"b IS NOT NULL AND NOT {was_missing(level)} AND {r} IS NOT NULL", "SEM-02", "ratio", r)
+        fact(f"b IS NOT NULL AND {was_missing(level)}", "SEM-02", "excluded")
+    extra = [f"{D.to_date_ntz(b(date))} AS _ref", f"{D.to_date_ntz(o(date))} AS _new"] if compare_date else []
+    if compare_date:
+        same = "coalesce(_new = _ref, false)"
+        swapped = "coalesce(month(_new) = day(_ref) AND day(_new) = month(_ref), false)"
+        fact("b IS NOT NULL", "SEM-04", "compared")
+        fact(f"b IS NOT NULL AND {same}", "SEM-04", "unchanged")
+        fact(f"b IS NOT NULL AND _new IS NOT NULL AND NOT {same} AND {swapped}", "SEM-04", "transposed")
+        fact(f"b IS NOT NULL AND _new IS NOT NULL AND NOT {same} AND NOT {swapped}", "SEM-04", "other")
+        fact("b IS NOT NULL AND _new IS NULL", "SEM-04", "lost")
+        fact("b IS NOT NULL AND _new IS NULL AND day(_ref) > 12", "SEM-04", "lost_day_gt_12")
+    # The keyed columns may be absent from the struct when no check needs them.
     return (
-        keyed.select(RUN, F.explode(F.array_compact(F.array(*facts))).alias("f")).select(RUN, "f.*")
-        .groupBy(RUN, "kind", "name", "v").agg(F.sum("w").alias("n"))
+        keyed.selectExpr("*", *extra).selectExpr(RUN, f"explode(array_compact({array(facts)})) AS f")
+        .select(RUN, "f.*").groupBy(RUN, "kind", "name", "v").agg(F.sum("w").alias("n"))
     )
 
 
-def facts_of(facts: DataFrame, kind: str) -> DataFrame:
+def facts_of(facts: DataFrame, *kinds: str) -> DataFrame:
     """Facts of one kind. Naming ``n`` keeps the predicate above the aggregation, so all
     kinds read the same shuffled facts instead of each running its own plan below."""
-    return facts.where(F.when(F.col("n") > 0, F.col("kind")) == kind).drop("kind")
+    return facts.where(f"CASE WHEN n > 0 THEN kind END IN {in_list(kinds)}")
+
 
+def _sum_where(condition: str) -> str:
+    return f"coalesce(sum(CASE WHEN {condition} THEN n END), 0L)"
 
-def _count(name: str) -> Column:
-    return F.coalesce(F.sum(F.when(F.col("name") == name, F.col("n"))), F.lit(0).cast("bigint"))
+
+def _counts(labels: Mapping[str, str]) -> list:
+    return [F.expr(_sum_where(f"name = {lit(k)}")).alias(v) for k, v in labels.items()]
 
 
 def accounting_metrics(facts: DataFrame) -> DataFrame:
     """ROW-02: missing and unexpected keys, extra copies of keys, per run."""
-    return facts_of(facts, "ROW-02").groupBy(RUN).agg(
-        _count("missing").alias("missing_keys"), _count("unexpected").alias("unexpected_keys"),
-        _count("duplicate").alias("duplicate_key_rows"),
-    )
+    return facts_of(facts, "ROW-02").groupBy(RUN).agg(*_counts({
+        "missing": "missing_keys", "unexpected": "unexpected_keys", "duplicate": "duplicate_key_rows"}))
 
 
 def truth_metrics(facts: DataFrame, contract: Contract) -> DataFrame:
     """CLN-08: ``(run_id, compared, mismatches)``, mismatches per column as an array of structs."""
-    columns = [n for n in contract.names if n != contract.key]
+    items = array(
+        f"named_struct('column', {lit(n)}, 'mismatches', {_sum_where(f'name = {lit(n)}')})"
+        for n in contract.names if n != contract.key
+    )
     return facts_of(facts, "CLN-08").groupBy(RUN).agg(
-        _count("compared").alias("compared"),
-        F.array(*[F.struct(F.lit(n).alias("column"), _count(n).alias("mismatches")) for n in columns]).alias("mismatches"),
+        *_counts({"compared": "compared"}), F.expr(items).alias("mismatches")
     )
 
 
@@ -337,44 +323,42 @@ def imputation_metrics(facts: DataFrame, rs: RunSet) -> DataFrame:
     imputed keys; when it holds several (or none), the known median of the input.
     """
     c = rs.contract
-    targets = facts_of(facts, "CLN-06 target").groupBy(RUN, "name").agg(
-        F.count(F.lit(1)).alias("_values"), F.max("v").alias("_value")
-    )
-    known = F.lit(None).cast("double")
-    for n, m in rs.medians.items():
-        known = F.when(F.col("name") == n, F.lit(float(m))).otherwise(known)
-    values = facts_of(facts, "CLN-06").join(targets, [RUN, "name"], "left").withColumn(
-        "_target", F.when(F.col("_values") == 1, F.col("_value")).otherwise(known)
+    median = [i.name for i in c.imputed if i.impute.method == "median"]
+    fixed = {i.name: i.impute.value for i in c.imputed if i.impute.method == "constant"}
+    cell = facts_of(facts, "CLN-06", "CLN-06 target").withColumn("is_target", F.expr("kind = 'CLN-06 target'"))
+    # One row per run and column: the ground truth's values for the imputed keys.
+    known = "CAST(NULL AS DOUBLE)"
+    if rs.medians:
+        known = "CASE " + " ".join(f"WHEN name = {lit(n)} THEN {lit(float(m))}" for n, m in rs.medians.items()) + " END"
+    targets = cell.where("is_target").groupBy(RUN, "name").agg(
+        F.expr("CASE WHEN count(*) = 1 THEN max(v) END").alias("_one")
     )
-    constant = F.col("name").isin(*[i.name for i in c.imputed if i.impute.method == "constant"])
-    right = F.when(constant, F.col("v") == 1).otherwise(F.abs(F.col("v") - F.col("_target")) <= c.imputed_abs)
-    fixed = F.lit(None).cast("string")
-    for i in c.imputed:
-        if i.impute.method == "constant":
-            fixed = F.when(F.col("name") == i.name, F.lit(i.impute.value)).otherwise(fixed)
-    return values.groupBy(RUN, F.col("name").alias("column")).agg(
-        F.sum("n").alias("imputed_rows"),
-        F.coalesce(F.first(fixed, ignorenulls=True), F.max("_target").cast("string")).alias("target"),
-        F.coalesce(F.sum(F.when(~F.coalesce(right, F.lit(False)), F.col("n"))), F.lit(0).cast("bigint")).alias("wrong"),
+    values = cell.where("NOT is_target").join(targets, [RUN, "name"], "left").withColumn(
+        "_target", F.expr(f"CASE WHEN name IN {in_list(median or [''])} THEN coalesce(_one, {known}) END")
     )
+    right = f"CASE WHEN name IN {in_list(fixed or [''])} THEN v = 1 ELSE abs(v - _target) <= {c.imputed_abs}D END"
+    constant = f"try_element_at({literal_map(fixed)}, name)" if fixed else "CAST(NULL AS STRING)"
+    return values.groupBy(RUN, "name").agg(
+        F.sum("n").alias("imputed_rows"), F.expr("max(_target)").alias("_t"),
+        F.expr(_sum_where(f"NOT coalesce({right}, false)")).alias("wrong"),
+    ).selectExpr(RUN, "name AS column", "imputed_rows", f"coalesce({constant}, CAST(_t AS STRING)) AS target", "wrong")
 
 
 def ratio_metrics(facts: DataFrame, contract: Contract) -> DataFrame:
     """SEM-02: ``(run_id, compared, changed, changed_share, median_ratio, excluded)``."""
     f = facts_of(facts, "SEM-02")
-    ratios = F.when(F.col("name") == "ratio", F.col("n"))
-    moved = F.abs(F.col("v") - 1) > contract.per_key_ratio_tolerance
+    moved = f"name = 'ratio' AND abs(v - 1) > {contract.per_key_ratio_tolerance}D"
     counts = f.groupBy(RUN).agg(
-        F.coalesce(F.sum(ratios), F.lit(0).cast("bigint")).alias("compared"),
-        F.coalesce(F.sum(F.when(moved, ratios)), F.lit(0).cast("bigint")).alias("changed"),
-        _count("excluded").alias("excluded"),
+        *_counts({"ratio": "compared", "excluded": "excluded"}), F.expr(_sum_where(moved)).alias("changed")
     )
-    hist = f.where(F.col("v").isNotNull()).select(RUN, "v", "n")
+    hist = f.where("v IS NOT NULL").select(RUN, "v", "n")
     mid = quantiles(hist, [RUN], [0.5]).select(RUN, F.col("value").alias("median_ratio"))
-    return counts.join(mid, RUN, "left").withColumn("changed_share", F.try_divide("changed", "compared"))
+    return counts.join(mid, RUN, "left").selectExpr(
+        RUN, "compared", "changed", "try_divide(changed, compared) AS changed_share", "median_ratio", "excluded"
+    )
 
 
 def date_metrics(facts: DataFrame) -> DataFrame:
     """SEM-04: per-key date comparison counts."""
-    names = ("compared", "unchanged", "transposed", "other", "lost", "lost_day_gt_12")
-    return facts_of(facts, "SEM-04").groupBy(RUN).agg(*[_count(n).alias(n) for n in names])
+    labels = ("compared", "unchanged", "transposed", "other", "lost", "lost_day_gt_12")
+    return facts_of(facts, "SEM-04").groupBy(RUN).agg(*_counts({n: n for n in labels}))

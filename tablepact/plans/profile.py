@@ -11,6 +11,7 @@ from ..contract import Contract
 from ..functions import dates as D
 from ..functions import numeric as N
 from ..functions import text as X
+from ..functions.sql import array, lit, name
 from ..operators.aggregates import js_distance, shares
 from ..operators.quantiles import quantiles
 from .runs import RUN, RunSet
@@ -25,38 +26,39 @@ def value_facts(df: DataFrame, contract: Contract, by: Sequence[str]) -> DataFra
     """
     cells = []
 
-    def cell(kind: str, column: str, v=None, s=None, when=None):
-        cells.append(F.when(when, F.struct(
-            F.lit(kind).alias("kind"), F.lit(column).alias("column"),
-            (F.lit(None) if v is None else v).cast("double").alias("v"),
-            (F.lit(None) if s is None else s).cast("string").alias("s"),
-        )))
+    def cell(kind: str, column: str, when: str, v: str = "CAST(NULL AS DOUBLE)", s: str = "CAST(NULL AS STRING)"):
+        cells.append(f"CASE WHEN {when} THEN named_struct('kind', {lit(kind)}, 'column', {lit(column)}, "
+                     f"'v', CAST({v} AS DOUBLE), 's', CAST({s} AS STRING)) END")
 
+    prepared = [name(b) for b in by]
     for c in contract.columns:
         if c.name not in df.columns:
             continue
-        raw = F.col(f"`{c.name}`")
+        raw, native = name(c.name), df.schema[c.name].dataType.typeName() != "string"
         if c.numeric and c.name != contract.key:
-            x = N.to_num(raw)
-            cell("number", c.name, v=x, when=x.isNotNull())
+            x = name("x_" + c.name)
+            prepared.append(f"{f'nanvl(CAST({raw} AS DOUBLE), NULL)' if native else N.to_num(raw)} AS {x}")
+            cell("number", c.name, f"{x} IS NOT NULL", v=x)
         if c.drift == "distribution":
-            cell("share", c.name, s=raw, when=X.is_present(raw))
+            prepared.append(f"CAST({raw} AS STRING) AS {raw}")
+            cell("share", c.name, X.is_present(raw), s=raw)
         if c.drift == "date":
-            d = D.to_date_ntz(raw)
-            cell("month", c.name, s=F.month(d), when=d.isNotNull())
-            cell("bound", c.name, v=F.unix_date(d.cast("date")), when=d.isNotNull())
+            d = name("d_" + c.name)
+            prepared.append(f"{f'CAST({raw} AS TIMESTAMP_NTZ)' if native else D.to_date_ntz(raw)} AS {d}")
+            cell("month", c.name, f"{d} IS NOT NULL", s=f"month({d})")
+            cell("bound", c.name, f"{d} IS NOT NULL", v=f"unix_date(CAST({d} AS DATE))")
             if c.min is not None:
-                lo, hi = (F.lit(str(b)).cast("timestamp_ntz") for b in (c.min, c.max))
-                cell("window", c.name, v=((d < lo) | (d > hi)).cast("int"), when=d.isNotNull())
+                out = f"{d} < {D.day_bound(c.min)} OR {d} > {D.day_bound(c.max)}"
+                cell("window", c.name, f"{d} IS NOT NULL", v=f"CASE WHEN {out} THEN 1 ELSE 0 END")
     return (
-        df.select(*by, F.explode(F.array_compact(F.array(*cells))).alias("f")).select(*by, "f.*")
-        .groupBy(*by, "kind", "column", "v", "s").agg(F.count(F.lit(1)).alias("n"))
+        df.selectExpr(*prepared).selectExpr(*[name(b) for b in by], f"explode(array_compact({array(cells)})) AS f")
+        .select(*by, "f.*").groupBy(*by, "kind", "column", "v", "s").agg(F.count(F.lit(1)).alias("n"))
     )
 
 
 def of_kind(facts: DataFrame, kind: str) -> DataFrame:
     """Facts of one kind; the predicate names ``n`` so that it stays above the shared aggregation."""
-    return facts.where(F.when(F.col("n") > 0, F.col("kind")) == kind).drop("kind")
+    return facts.where(f"CASE WHEN n > 0 THEN kind END = {lit(kind)}").drop("kind")
 
 
 def profile(df: DataFrame, contract: Contract, by: Sequence[str] = ()) -> DataFrame:
@@ -102,16 +104,16 @@ def distribution_metrics(facts: DataFrame, rs: RunSet, reference: DataFrame) ->
     Columns the reference lacks, or the run's table lacks, have no row. The reference
     shares are repeated per run by exploding the list of runs, not by a cross join.
     """
-    mine = facts.where(F.when(F.col("n") > 0, F.col("kind")).isin("share", "month"))
+    mine = facts.where("CASE WHEN n > 0 THEN kind END IN ('share', 'month')")
     mine = shares(mine, [RUN, "column"], "s").select(RUN, "column", F.col("s").alias("value"), "share")
     drift = [c.name for c in rs.contract.columns if c.drift in ("distribution", "date")]
-    has = F.array(*[
-        F.struct(F.lit(r).alias(RUN), F.array(*[F.lit(c) for c in drift if c in h]).cast("array<string>").alias("cols"))
+    has = array(
+        f"named_struct('run', {lit(r)}, 'cols', CAST({array(lit(c) for c in drift if c in h)} AS ARRAY<STRING>))"
         for r, h in rs.headers.items()
-    ])
-    ref = reference_shares(reference).withColumn("r", F.explode(has)).where(
-        F.array_contains("r.cols", F.col("column"))
-    ).select(f"r.{RUN}", "column", "value", "share")
+    )
+    ref = reference_shares(reference).withColumn("r", F.explode(F.expr(has))).where(
+        "array_contains(r.cols, column)"
+    ).selectExpr(f"r.run AS {RUN}", "column", "value", "share")
     known = ref.select(RUN, "column").distinct()
     return js_distance(mine.join(known, [RUN, "column"], "left_semi"), ref, [RUN, "column"])
 

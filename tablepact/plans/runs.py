@@ -2,29 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..contract import Contract
 from ..functions.compare import close_name
+from ..functions.sql import array, lit, name
 from ..operators.ordering import ORD
 
 RUN = "run_id"
 CASE = "case"
 
-META_SCHEMA = T.StructType([
-    T.StructField(RUN, T.StringType(), False), T.StructField(CASE, T.StringType(), False),
-    T.StructField("header", T.ArrayType(T.StringType()), False),
-    T.StructField("input_header", T.ArrayType(T.StringType())),
-    T.StructField("missing", T.ArrayType(T.StringType()), False),
-    T.StructField("extra", T.ArrayType(T.StringType()), False),
-    T.StructField("renames", T.ArrayType(T.StringType()), False),
-    T.StructField("expected_rows", T.LongType()),
-])
+
+def values_table(spark: SparkSession, columns: Sequence[str], rows: Sequence[Sequence[str]]) -> DataFrame:
+    """Driver metadata as an inline table; cells are SQL literals."""
+    body = ", ".join("(" + ", ".join(r) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(columns)})")
+
+
+def _texts(items: Sequence[str]) -> str:
+    return f"CAST({array(lit(i) for i in items)} AS ARRAY<STRING>)"
 
 
 @dataclass(frozen=True)
@@ -63,20 +63,26 @@ class RunSet:
             extra = [c for c in header if c not in want]
             renames = [f"{m}→{found}" for m in missing if (found := close_name(m, extra))]
             expected = (self.expected_rows or {}).get(case)
-            rows.append((run, case, list(header), self.input_headers.get(case), missing, extra, renames, expected))
-        return self.spark.createDataFrame(rows, META_SCHEMA)
+            inp = self.input_headers.get(case)
+            rows.append((
+                lit(run), lit(case), _texts(header), "CAST(NULL AS ARRAY<STRING>)" if inp is None else _texts(inp),
+                _texts(missing), _texts(extra), _texts(renames), f"CAST({lit(expected)} AS BIGINT)",
+            ))
+        columns = [RUN, CASE, "header", "input_header", "missing", "extra", "renames", "expected_rows"]
+        return values_table(self.spark, columns, rows)
 
     def run_cases(self) -> DataFrame:
         """``(run_id, case)``, one row per run header held by the driver: bounded, so broadcast."""
-        rows = [(r, self.cases[r]) for r in self.headers]
-        return F.broadcast(self.spark.createDataFrame(rows, f"{RUN} string, {CASE} string"))
+        return F.broadcast(values_table(self.spark, [RUN, CASE], [(lit(r), lit(self.cases[r])) for r in self.headers]))
 
     def per_run(self, df: DataFrame) -> DataFrame:
         """Repeat per-case rows for every run of the case."""
         return df.join(self.run_cases(), CASE)
 
-    def column(self, df: DataFrame, name: str):
-        return F.col(f"`{name}`") if name in df.columns else F.lit(None).cast("string").alias(name)
+    @staticmethod
+    def column(df: DataFrame, column: str) -> str:
+        """Expression of a column, NULL when the table lacks it."""
+        return name(column) if column in df.columns else "CAST(NULL AS STRING)"
 
     @staticmethod
     def single(spark: SparkSession, contract: Contract, output: DataFrame, *, run: str = "run",

@@ -6,13 +6,16 @@ and in any engine.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contract import ORDERS
 from ..functions import numeric as N
+from ..functions.sql import array, lit, literal_map
 from ..operators.ordering import ORD
 from ..operators.quantiles import median_map
+from ..plans.runs import RunSet
+from ..sources.staging import staged
 
 COLUMNS = ORDERS.names
 
@@ -33,12 +36,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def pick(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def pick(values: list[str], index: str) -> str:
+    return f"element_at({array(lit(v) for v in values)}, CAST({index} AS INT) + 1)"
 
 
-def recode(c: Column, mapping: dict[str, str]) -> Column:
-    return F.try_element_at(F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv]), c)
+def recode(c: str, mapping: dict[str, str]) -> str:
+    return f"try_element_at({literal_map(mapping)}, {c})"
 
 
 def typed_orders(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,45 +52,35 @@ def typed_orders(spark: SparkSession, sf: str) -> DataFrame:
     part = table(spark, sf, "part").where("p_partkey BETWEEN 0 AND 199").select(
         "p_partkey", "p_name", "p_retailprice"
     )
-    k = F.col("o_orderkey")
-    base = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(
-        F.broadcast(part), F.pmod(k, F.lit(200)) == F.col("p_partkey")
-    )
-    status = F.when(k % 10 == 7, "cancelled").otherwise(
-        recode(F.col("o_orderstatus"), {"F": "delivered", "O": "shipped", "P": "pending"})
-    )
-    return base.select(
-        k.alias("k"), (k % 100).alias("m"), F.floor(k / 100).alias("h"),
-        k.cast("string").alias("order_id"),
-        recode(F.col("c_mktsegment"), NAMES).alias("customer_name"),
-        F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit("@example.com")).alias("email"),
-        pick(COUNTRIES, F.col("c_nationkey") % 5).alias("country"),
-        F.date_add(F.lit("2026-01-01").cast("date"), (k % 181).cast("int")).alias("order_date"),
-        F.col("p_name").alias("product"),
-        pick(CATEGORIES, F.col("p_partkey") % 5).alias("category"),
-        (1 + k % 20).cast("int").alias("quantity"),
-        F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price"),
-        status.alias("status"),
+    base = orders.join(customer, F.expr("o_custkey = c_custkey")).join(
+        F.broadcast(part), F.expr("pmod(o_orderkey, 200) = p_partkey")
+    ).withColumn("k", F.col("o_orderkey"))
+    return base.selectExpr(
+        "k", "k % 100 AS m", "k DIV 100 AS h", "CAST(k AS STRING) AS order_id",
+        f"{recode('c_mktsegment', NAMES)} AS customer_name",
+        "concat('c', CAST(c_custkey AS STRING), '@example.com') AS email",
+        f"{pick(COUNTRIES, 'c_nationkey % 5')} AS country",
+        "date_add(DATE'2026-01-01', CAST(k % 181 AS INT)) AS order_date",
+        "p_name AS product", f"{pick(CATEGORIES, 'p_partkey % 5')} AS category",
+        "CAST(1 + k % 20 AS INT) AS quantity", "CAST(p_retailprice AS DECIMAL(10, 2)) AS unit_price",
+        "CASE WHEN k % 10 = 7 THEN 'cancelled' ELSE "
+        f"{recode('o_orderstatus', {'F': 'delivered', 'O': 'shipped', 'P': 'pending'})} END AS status",
     )
 
 
 def clean_truth(spark: SparkSession, sf: str) -> DataFrame:
     """Expected output of the cleaner as text, built from the typed rows and not by the cleaner."""
     t = typed_orders(spark, sf).where("m >= 5")
-    m = F.col("m")
-    middle = median_map(t, {"quantity": F.when(~m.between(5, 8), F.col("quantity")),
-                            "unit_price": F.when(~m.between(9, 12), F.col("unit_price"))})
-    med_q, med_p = F.try_element_at(middle, F.lit("quantity")), F.try_element_at(middle, F.lit("unit_price"))
-    price = F.when(m.between(9, 12), med_p.cast("decimal(10,2)")).otherwise(F.col("unit_price"))
-    return t.select(
-        "k", "order_id",
-        F.when(m == 18, "Unknown").otherwise(F.col("customer_name")).alias("customer_name"),
-        F.when(m.between(13, 15) | m.between(19, 20), "").otherwise(F.col("email")).alias("email"),
-        F.when(m.between(16, 17), "Unknown").otherwise(F.col("country")).alias("country"),
-        F.date_format("order_date", "yyyy-MM-dd").alias("order_date"),
-        "product", "category",
-        F.when(m.between(5, 8), F.rint(med_q).cast("int")).otherwise(F.col("quantity")).cast("string").alias("quantity"),
-        price.cast("decimal(10,2)").cast("string").alias("unit_price"),
+    middle = median_map(t, {"quantity": "CASE WHEN m NOT BETWEEN 5 AND 8 THEN quantity END",
+                            "unit_price": "CASE WHEN m NOT BETWEEN 9 AND 12 THEN unit_price END"})
+    return t.withColumn("med", middle).selectExpr(
+        "k", "order_id", "CASE WHEN m = 18 THEN 'Unknown' ELSE customer_name END AS customer_name",
+        "CASE WHEN m BETWEEN 13 AND 15 OR m BETWEEN 19 AND 20 THEN '' ELSE email END AS email",
+        "CASE WHEN m BETWEEN 16 AND 17 THEN 'Unknown' ELSE country END AS country",
+        "CAST(order_date AS STRING) AS order_date", "product", "category",
+        "CAST(CASE WHEN m BETWEEN 5 AND 8 THEN CAST(rint(med['quantity']) AS INT) ELSE quantity END AS STRING) AS quantity",
+        "CAST(CASE WHEN m BETWEEN 9 AND 12 THEN CAST(med['unit_price'] AS DECIMAL(10, 2)) ELSE unit_price END AS STRING)"
+        " AS unit_price",
         "status",
     )
 
@@ -99,41 +92,31 @@ def expected_output(spark: SparkSession, sf: str) -> DataFrame:
 
 def messy_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Messy raw table: every cell text, ``_ord`` the file position."""
-    t = typed_orders(spark, sf)
-    m, h, k = F.col("m"), F.col("h"), F.col("k")
-    variants = F.try_element_at(
-        F.create_map(*[x for c, v in VARIANTS.items() for x in (F.lit(c), F.array(*[F.lit(s) for s in v]))]),
-        F.col("country"),
-    )
-    variant = F.element_at(variants, (h % 3 + 1).cast("int"))
-    name = F.col("customer_name")
-    spaced = F.concat(F.lit("  "), F.regexp_replace(name, " ", "   "), F.lit(" "))
-    copies = F.when(m.between(56, 60), F.sequence(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    t = t.withColumn("copy", F.explode(copies))
-    near = (F.col("copy") == 1) & m.between(59, 60)
-    position = F.pmod(k * 7919, F.lit(1000003)) * 10 + F.floor(k / 1000003) * 10000030
-    return t.select(
-        (position + F.col("copy")).alias(ORD),
-        "order_id",
-        F.when(m == 18, "")
-        .when(m.between(37, 44), F.when(h % 3 == 0, F.upper(name)).when(h % 3 == 1, F.lower(name)).otherwise(spaced))
-        .when(near, F.upper(name)).otherwise(name).alias("customer_name"),
-        F.when(m.between(13, 15), "").when(m.between(19, 20), F.regexp_replace("email", "@", ""))
-        .when(m.between(51, 53), F.upper("email")).otherwise(F.col("email")).alias("email"),
-        F.when(m.between(16, 17), "").when(m.between(25, 36) | near, variant)
-        .otherwise(F.col("country")).alias("country"),
-        F.when(m == 3, pick(BAD_DATES, h % 3))
-        .when(m.between(21, 24), F.date_format("order_date", "yyyy-MM-dd"))
-        .otherwise(F.date_format("order_date", "MM/dd/yyyy")).alias("order_date"),
-        F.when(m.between(54, 55), F.concat(F.lit(" "), F.col("product"), F.lit("  ")))
-        .otherwise(F.col("product")).alias("product"),
+    variants = "map(" + ", ".join(f"{lit(c)}, {array(lit(v) for v in vs)}" for c, vs in VARIANTS.items()) + ")"
+    t = typed_orders(spark, sf).withColumn("copy", F.expr(
+        "explode(CASE WHEN m BETWEEN 56 AND 60 THEN array(0, 1) ELSE array(0) END)"))
+    near = "copy = 1 AND m BETWEEN 59 AND 60"
+    variant = f"element_at(element_at({variants}, country), CAST(h % 3 AS INT) + 1)"
+    styled = ("CASE h % 3 WHEN 0 THEN upper(customer_name) WHEN 1 THEN lower(customer_name) "
+              "ELSE concat('  ', replace(customer_name, ' ', '   '), ' ') END")
+    price = "CAST(unit_price AS STRING)"
+    return t.selectExpr(
+        f"pmod(k * 7919, 1000003) * 10 + (k DIV 1000003) * 10000030 + copy AS {ORD}", "order_id",
+        f"CASE WHEN m = 18 THEN '' WHEN m BETWEEN 37 AND 44 THEN {styled} WHEN {near} THEN upper(customer_name) "
+        "ELSE customer_name END AS customer_name",
+        "CASE WHEN m BETWEEN 13 AND 15 THEN '' WHEN m BETWEEN 19 AND 20 THEN replace(email, '@', '') "
+        "WHEN m BETWEEN 51 AND 53 THEN upper(email) ELSE email END AS email",
+        f"CASE WHEN m BETWEEN 16 AND 17 THEN '' WHEN m BETWEEN 25 AND 36 OR ({near}) THEN {variant} "
+        "ELSE country END AS country",
+        f"CASE WHEN m = 3 THEN {pick(BAD_DATES, 'h % 3')} WHEN m BETWEEN 21 AND 24 THEN CAST(order_date AS STRING) "
+        "ELSE date_format(order_date, 'MM/dd/yyyy') END AS order_date",
+        "CASE WHEN m BETWEEN 54 AND 55 THEN concat(' ', product, '  ') ELSE product END AS product",
         "category",
-        F.when(m == 0, "0").when(m == 1, "-1").when(m.between(5, 8), "")
-        .otherwise(F.col("quantity").cast("string")).alias("quantity"),
-        F.when(m == 2, F.concat(F.lit("-"), F.col("unit_price").cast("string"))).when(m.between(9, 12), "")
-        .otherwise(F.col("unit_price").cast("string")).alias("unit_price"),
-        F.when(m == 4, pick(BAD_STATUSES, h % 4)).when(m.between(45, 50) | near, F.upper("status"))
-        .otherwise(F.col("status")).alias("status"),
+        "CASE WHEN m = 0 THEN '0' WHEN m = 1 THEN '-1' WHEN m BETWEEN 5 AND 8 THEN '' "
+        "ELSE CAST(quantity AS STRING) END AS quantity",
+        f"CASE WHEN m = 2 THEN concat('-', {price}) WHEN m BETWEEN 9 AND 12 THEN '' ELSE {price} END AS unit_price",
+        f"CASE WHEN m = 4 THEN {pick(BAD_STATUSES, 'h % 4')} WHEN m BETWEEN 45 AND 50 OR ({near}) THEN upper(status) "
+        "ELSE status END AS status",
     )
 
 
@@ -154,49 +137,70 @@ def run_headers() -> dict[str, list[str]]:
     return out
 
 
-def saved_runs(spark: SparkSession, sf: str, runs: list[str] | None = None) -> DataFrame:
+def saved_runs(spark: SparkSession, sf: str) -> DataFrame:
     """All saved runs in one table ``(run_id, case, _ord, columns...)``.
 
     NULL means that the run's file has no such column; a missing cell is empty text.
     """
-    truth = clean_truth(spark, sf)
-    run, k, m = F.col("run_id"), F.col("k"), F.col("k") % 100
-    r = truth.withColumn("run_id", F.explode(F.array(*[F.lit(x) for x in (runs or RUNS)])))
-    part = k % 500
-    date = F.col("order_date").cast("date")
-    twice = F.when((run == "bad_duplicate") & (part == 65), F.sequence(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    r = r.where(
-        ~((run == "bad_missing") & (part == 66)) & ~((run == "bad_swap") & (F.dayofmonth(date) > 12))
-    ).withColumn("copy", F.explode(twice))
-    name, price = F.col("customer_name"), F.col("unit_price")
-    null = F.lit(None).cast("string")
-    out = r.select(
-        "run_id", F.lit("baseline").alias("case"),
-        F.when(run == "bad_order", -k * 2).otherwise(k * 2 + F.col("copy")).alias(ORD),
-        "order_id",
-        F.when(run == "bad_rename", null)
-        .when((run == "bad_text") & (part == 68), F.concat(F.lit("  "), F.upper(name)))
-        .otherwise(name).alias("customer_name"),
-        F.when(run == "bad_rename", name).alias(EXTRA),
+    r = truth(spark, sf).withColumnRenamed(ORD, "k").withColumn(
+        "run_id", F.explode(F.expr(array(lit(x) for x in RUNS)))
+    ).withColumn("part", F.expr("k % 500"))
+    r = r.where("NOT (run_id = 'bad_missing' AND part = 66) AND "
+                "NOT (run_id = 'bad_swap' AND day(CAST(order_date AS DATE)) > 12)")
+    r = r.withColumn("copy", F.expr(
+        "explode(CASE WHEN run_id = 'bad_duplicate' AND part = 65 THEN array(0, 1) ELSE array(0) END)"))
+    return r.selectExpr(
+        "run_id", "'baseline' AS case",
+        f"CASE WHEN run_id = 'bad_order' THEN -k * 2 ELSE k * 2 + copy END AS {ORD}", "order_id",
+        "CASE WHEN run_id = 'bad_rename' THEN NULL WHEN run_id = 'bad_text' AND part = 68 "
+        "THEN concat('  ', upper(customer_name)) ELSE customer_name END AS customer_name",
         "email",
-        F.when(run == "bad_drop", null)
-        .when((run == "bad_category") & (F.col("country") == "United States"), "USA")
-        .when(run == "bad_iso", F.coalesce(recode(F.col("country"), ISO2), F.col("country")))
-        .otherwise(F.col("country")).alias("country"),
-        F.when((run == "bad_range") & (part == 70), F.date_format(F.add_months(date, 12), "yyyy-MM-dd"))
-        .when(run == "bad_format", F.concat(F.col("order_date"), F.lit(" 00:00:00")))
-        .when(run == "bad_swap", F.date_format(date, "yyyy-dd-MM"))
-        .otherwise(F.col("order_date")).alias("order_date"),
+        "CASE WHEN run_id = 'bad_drop' THEN NULL WHEN run_id = 'bad_category' AND country = 'United States' THEN 'USA' "
+        f"WHEN run_id = 'bad_iso' THEN coalesce({recode('country', ISO2)}, country) ELSE country END AS country",
+        "CASE WHEN run_id = 'bad_range' AND part = 70 THEN CAST(add_months(CAST(order_date AS DATE), 12) AS STRING) "
+        "WHEN run_id = 'bad_format' THEN concat(order_date, ' 00:00:00') "
+        "WHEN run_id = 'bad_swap' THEN date_format(CAST(order_date AS DATE), 'yyyy-dd-MM') "
+        "ELSE order_date END AS order_date",
         "product",
-        F.when((run == "bad_null") & (part == 67), "None").otherwise(F.col("category")).alias("category"),
-        F.when((run == "bad_range") & (part == 69), "99")
-        .when((run == "bad_imputation") & m.between(5, 8), "4")
-        .when(run == "bad_format", F.concat(F.col("quantity"), F.lit(".0")))
-        .otherwise(F.col("quantity")).alias("quantity"),
-        F.when(run == "bad_type", N.currency_text(price))
-        .when(run == "bad_cents", (price.cast("decimal(10,2)") * 100).cast("decimal(12,2)").cast("string"))
-        .when((run == "bad_cell") & (k == 1234), "999.99")
-        .otherwise(price).alias("unit_price"),
+        "CASE WHEN run_id = 'bad_null' AND part = 67 THEN 'None' ELSE category END AS category",
+        "CASE WHEN run_id = 'bad_range' AND part = 69 THEN '99' "
+        "WHEN run_id = 'bad_imputation' AND k % 100 BETWEEN 5 AND 8 THEN '4' "
+        "WHEN run_id = 'bad_format' THEN concat(quantity, '.0') ELSE quantity END AS quantity",
+        f"CASE WHEN run_id = 'bad_type' THEN {N.currency_text('unit_price')} WHEN run_id = 'bad_cents' "
+        "THEN CAST(CAST(CAST(unit_price AS DECIMAL(10, 2)) * 100 AS DECIMAL(12, 2)) AS STRING) "
+        "WHEN run_id = 'bad_cell' AND k = 1234 THEN '999.99' ELSE unit_price END AS unit_price",
         "status",
+        f"CASE WHEN run_id = 'bad_rename' THEN customer_name END AS {EXTRA}",
+    )
+
+
+# ---------------------------------------------------------------- stored fixtures
+def _stored(spark: SparkSession, sf: str, name: str, build, partition_by=()) -> DataFrame:
+    return staged(spark, f"{sf}|{name}", lambda: build(spark, sf), partition_by)
+
+
+def messy(spark: SparkSession, sf: str) -> DataFrame:
+    """The messy input as a stored table, as an upload would leave it."""
+    return _stored(spark, sf, "messy", messy_orders)
+
+
+def truth(spark: SparkSession, sf: str) -> DataFrame:
+    """The ground truth as a stored table (``_ord`` and the contract columns)."""
+    return _stored(spark, sf, "truth", expected_output)
+
+
+def runs(spark: SparkSession, sf: str) -> DataFrame:
+    """All saved runs as one stored table, foldered by case and run."""
+    return _stored(spark, sf, "runs", saved_runs, ("case", "run_id"))
+
+
+def run_set(spark: SparkSession, sf: str) -> RunSet:
+    """Everything a validation of the saved runs needs."""
+    headers = run_headers()
+    expected = truth(spark, sf).drop(ORD)
+    return RunSet(
+        spark, ORDERS, runs(spark, sf), headers, {r: "baseline" for r in headers},
+        inputs=messy(spark, sf).drop(ORD).withColumn("case", F.lit("baseline")),
+        input_headers={"baseline": COLUMNS}, baseline_header=COLUMNS,
+        expected=expected.withColumn("case", F.lit("baseline")), baseline=expected,
     )
-    return out.select("run_id", "case", ORD, *COLUMNS, EXTRA)
