@@ -44,8 +44,11 @@ def close_value(c: Column, candidates: Sequence[str], cutoff: float = 0.7) -> Co
     UDF; apply it to distinct values.
     """
 
+    names = list(candidates)
+
+    # Uses the standard library only, so workers need not have this package.
     @F.pandas_udf("string")
     def match(s: pd.Series) -> pd.Series:
-        return s.map(lambda v: close_name(v or "", candidates, cutoff))
+        return s.map(lambda v: next(iter(difflib.get_close_matches(v or "", names, n=1, cutoff=cutoff)), None))
 
     return match(c)

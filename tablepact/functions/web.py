@@ -58,7 +58,7 @@ def _shape(text: str, depth: int) -> str:
         # get_json_object keeps the key order but unquotes strings, hence the type test.
         inner = (
             f"CASE WHEN schema_of_variant(variant_get({v}, '$[0]', 'variant')) = 'STRING' THEN 'str' "
-            f"WHEN trim({t}) RLIKE {pattern('^[[][ ]*null')} THEN 'NoneType' "
+            f"WHEN trim({t}) RLIKE {pattern(r'^\[ *null')} THEN 'NoneType' "
             f"ELSE coalesce({_shape(f'get_json_object({t}, {lit("$[0]")})', depth - 1)}, '') END"
         )
     else:
