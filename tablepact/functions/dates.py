@@ -5,15 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from .sql import bind, lit, pattern
-from .text import is_missing, strip
+from .text import is_present, strip
 
 # Strptime directives and the Spark pattern letters with the same
 # leniency (one- or two-digit month and day, four-digit year).
 STRPTIME_TO_SPARK = {"%Y": "yyyy", "%m": "M", "%d": "d", "%H": "H", "%M": "m", "%S": "s"}
 
 # Range of a 64-bit nanosecond timestamp; dates beyond it count as unparseable.
-_FIRST = "TIMESTAMP_NTZ'1677-09-21 00:12:43.145225'"
-_LAST = "TIMESTAMP_NTZ'2262-04-11 23:47:16.854775'"
+_RANGE = "BETWEEN '1677-09-21' AND '2262-04-11 23:47:16.854775807'"
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
@@ -27,13 +26,15 @@ def spark_pattern(fmt: str) -> str:
 
 def to_date_ntz(c: str) -> str:
     """ISO-8601 date with optional time; unparseable and missing become NULL."""
-    s = strip(c)
-    basic = (
-        f"CASE WHEN {s} RLIKE {pattern('^[0-9]{8}$')} "
+    return f"CASE WHEN {is_present(c)} THEN {date_of(strip(c))} END"
+
+
+def date_of(s: str) -> str:
+    """The same for text that is known to be present and stripped."""
+    return (
+        f"CASE WHEN NOT {s} {_RANGE} THEN NULL WHEN {s} RLIKE '^[0-9]{{8}}$' "
         f"THEN CAST(try_to_date({s}, 'yyyyMMdd') AS TIMESTAMP_NTZ) ELSE try_cast({s} AS TIMESTAMP_NTZ) END"
     )
-    parsed = bind(basic, "t", f"CASE WHEN t BETWEEN {_FIRST} AND {_LAST} THEN t END")
-    return f"CASE WHEN NOT {is_missing(c)} THEN {parsed} END"
 
 
 def day_bound(v) -> str:

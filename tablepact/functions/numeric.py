@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from .sql import bind, pattern
 from .text import is_missing
 
@@ -25,42 +28,45 @@ def is_integral(x: str) -> str:
 
 def ratio(a: str, b: str) -> str:
     """a / b, with 0/0, x/0 and infinities as NULL."""
-    return bind(f"try_divide({a}, {b})", "r", "CASE WHEN abs(r) < double('inf') THEN r END")
+    r = f"try_divide({a}, {b})"
+    return f"CASE WHEN abs({r}) < double('inf') THEN {r} END"
 
 
-def _scaled(a: str, places: int) -> str:
-    """Non-negative double below 2**53 to a whole number of 10**-places, as (whole, part).
+def _hundredths(x: str) -> str:
+    """|x| below 2**53 as a whole number of hundredths, rounded to nearest, ties to even.
 
-    A double's fraction is a whole multiple of 2**-56 from 1/16 up and of 2**-60
-    from 1/256 up, so scaling by that power is exact and the rounding (to nearest,
-    ties to even) is done on 64-bit integers. Decimal casts would round the shortest
-    text instead: 2.675 is below 2.675 in binary and has to give 2.67.
+    The tie is judged on the double's exact value, on 64-bit integers: a fraction is a
+    whole multiple of 2**-58 (from 1/64 up; the only near-ties below, 0.005 and 0.015,
+    come out right too), and hundredths are that multiple * 25 / 2**56. Decimal casts
+    would round the shortest text instead: 2.675 is below 2.675 in binary and has to
+    give 2.67.
     """
-    scale = 10**places
-    odd = "q % 2 = 1" if places else f"floor({a}) % 2 = 1"
+    v = f"(CAST(rint((abs({x}) - floor(abs({x}))) * {float(2**58)!r}D) AS BIGINT) * 25)"
+    return f"(floor(abs({x})) * 100 + shiftright({v} + {2**55 - 1}L + (shiftright({v}, 56) & 1L), 56))"
+
+
+def _money(x: str) -> str:
+    return f"(CAST({_hundredths(x)} AS DECIMAL(18, 0)) * 0.01BD)"
 
-    def rounded(bits: int) -> str:
-        n = f"CAST(({a} - floor({a})) * {float(2**bits)!r}D AS BIGINT) * {scale}"
-        rest, half = f"(n & {2**bits - 1}L)", f"{2 ** (bits - 1)}L"
-        up = f"CASE WHEN {rest} > {half} OR ({rest} = {half} AND {odd}) THEN 1 ELSE 0 END"
-        body = f"shiftright(n, {bits}) + " + up.replace("q % 2", f"shiftright(n, {bits}) % 2")
-        return bind(n, "n", body)
 
-    small = rounded(60 if places else 56)
-    part = f"CASE WHEN {a} - floor({a}) < 0.0625D THEN {small} ELSE {rounded(56)} END"
-    return bind(part, "p", f"named_struct('whole', floor({a}) + p DIV {scale}, 'part', p % {scale})")
+def _bound(x: str, body: Callable[[str], str]) -> str:
+    """``body`` over a column reference as it is; any other expression is evaluated once first."""
+    return body(x) if re.fullmatch(r"[\w.`]+", x) else bind(f"CAST({x} AS DOUBLE)", "x", body("x"))
 
 
 def fixed_decimal(x: str, places: int = 2) -> str:
     """Text with a fixed number of decimals, rounded on the exact binary value."""
-    if places not in (0, 2):
+    if places == 0:
+        return int_text(x)
+    if places != 2:
         return f"CAST(CAST({x} AS DECIMAL(38, {places})) AS STRING)"
-    part = f", '.', lpad(CAST(s.part AS STRING), {places}, '0')" if places else ""
-    tail = f", '.{'0' * places}'" if places else ""
-    digits = bind(_scaled("abs(x)", places), "s", f"concat(if(x < 0, '-', ''), CAST(s.whole AS STRING){part})")
-    big = f"coalesce(concat(CAST(try_cast(x AS DECIMAL(38, 0)) AS STRING){tail}), if(x > 0, 'inf', '-inf'))"
-    body = f"CASE WHEN x IS NULL THEN NULL WHEN abs(x) < {float(2**53)!r}D THEN {digits} ELSE {big} END"
-    return bind(f"CAST({x} AS DOUBLE)", "x", body)
+
+    def body(x: str) -> str:
+        small = f"concat(if({x} < 0, '-', ''), CAST({_money(x)} AS STRING))"
+        big = f"coalesce(CAST(try_cast({x} AS DECIMAL(38, 2)) AS STRING), if({x} > 0, 'inf', if({x} < 0, '-inf', NULL)))"
+        return f"CASE WHEN abs({x}) < {float(2**53)!r}D THEN {small} ELSE {big} END"
+
+    return _bound(x, body)
 
 
 def round_even(x: str, places: int = 0) -> str:
@@ -75,9 +81,8 @@ def int_text(x: str) -> str:
 
 def currency_text(c: str) -> str:
     """``1249.5`` -> ``$1,249.50``; the sign goes first and empty cells stay empty."""
-    text = "concat(if(x < 0, '-', ''), '$', format_number(s.whole, 0), '.', lpad(CAST(s.part AS STRING), 2, '0'))"
-    shown = bind(to_num(c), "x", bind(_scaled("abs(x)", 2), "s", text))
-    return f"CASE WHEN {is_missing(c)} THEN {c} ELSE {shown} END"
+    text = f"concat(if(x < 0, '-$', '$'), format_number({_money('x')}, 2))"
+    return f"CASE WHEN {is_missing(c)} THEN {c} ELSE {bind(to_num(c), 'x', text)} END"
 
 
 def minor_units(c: str) -> str:

@@ -16,8 +16,12 @@ from .sql import in_list, lit, literal_map, pattern, true
 # Texts that tools write for "no value"; "" is the contract's own form.
 MISSING_TOKENS = ("", "nan", "NaN", "NAN", "None", "none", "null", "NULL", "NaT", "<NA>")
 
-# Unicode white space as Python's str methods see it: Java's \s under (?U) lacks 1C..1F.
-_SPACE = r"[\s\x1c-\x1f]"
+# Fixed value: Unicode white space as Python's str methods see it.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+_RUN = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 
 
 def is_missing(c: str) -> str:
@@ -31,12 +35,12 @@ def is_present(c: str) -> str:
 
 def norm_ws(c: str) -> str:
     """Collapse white space runs to one blank and strip both ends."""
-    return f"trim(regexp_replace({c}, {pattern(f'(?U){_SPACE}+')}, ' '))"
+    return f"trim(regexp_replace({c}, {pattern(_RUN)}, ' '))"
 
 
 def strip(c: str) -> str:
-    """Strip any Unicode white space; ``trim`` alone only strips blanks."""
-    return f"regexp_replace({c}, {pattern(f'(?U)^{_SPACE}+|{_SPACE}+$')}, '')"
+    """Strip any Unicode white space; plain ``trim`` only strips blanks."""
+    return f"trim(BOTH {lit(WHITE_SPACE)} FROM {c})"
 
 
 def title_case(c: str) -> str:
@@ -90,7 +94,7 @@ def full_match(c: str, regex: str) -> str:
 
 
 RULES: dict[str, Callable[[str], str]] = {
-    "trimmed": lambda c: f"NOT {c} RLIKE " + pattern(f"(?U)^{_SPACE}|{_SPACE}$"),
+    "trimmed": lambda c: f"{c} = {strip(c)}",
     "single_spaced": lambda c: f"NOT contains({c}, '  ')",
     "title_case": lambda c: f"{c} = {title_case(c)}",
     "lower_case": lambda c: f"{c} = lower({c})",

@@ -182,9 +182,9 @@ STEPS: dict[str, Callable[[Contract], Step]] = {
 def clean(raw: DataFrame, contract: Contract, until: str | None = None) -> DataFrame:
     """Clean a raw string table (with ``_ord``); ``until`` stops after the named step."""
     df = raw
-    for name, make in STEPS.items():
+    for step, make in STEPS.items():
         df = df.transform(make(contract))
-        if name == until:
+        if step == until:
             break
     return df
 
@@ -195,8 +195,8 @@ def row_accounting(raw: DataFrame, contract: Contract) -> DataFrame:
     One shuffle: rows are counted per distinct content and reason.
     """
     df = raw
-    for name in ("text", "case", "map", "date", "number"):
-        df = df.transform(STEPS[name](contract))
+    for step in ("text", "case", "map", "date", "number"):
+        df = df.transform(STEPS[step](contract))
     df = df.withColumn(_REASON, F.expr(reject_reason(df, contract))).transform(email_step(contract))
     cols = [c for c in df.columns if c != ORD]
     groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))

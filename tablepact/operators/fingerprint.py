@@ -19,27 +19,27 @@ def column_classes(df: DataFrame, by: Sequence[str], columns: Sequence[str]) ->
     ``<column>`` -> ``int`` (all numbers, all whole), ``decimal`` (all numbers),
     ``date`` (all dates) or ``text``. One row per group.
     """
-    aggs = []
-    for c in columns:
+    keys = [name(b) for b in by]
+    first, second, aggs = list(keys), list(keys), []
+    for i, c in enumerate(columns):
         v = name(c)
-        present = f"({v} IS NOT NULL AND {X.is_present(v)})"
-        numbers = f"count_if({present} AND {N.to_num(v)} IS NOT NULL)"
-        whole = f"count_if({present} AND {N.is_integral(N.to_num(v))})"
-        dates = f"count_if({present} AND {D.to_date_ntz(v)} IS NOT NULL)"
-        n = f"count_if({present})"
+        p, x, d, s = f"p{i}", f"x{i}", f"d{i}", f"s{i}"
+        first += [f"{v} IS NOT NULL AND {X.is_present(v)} AS {p}", f"{X.strip(v)} AS {s}"]
+        second += [p, f"{N.to_num(s)} AS {x}", f"{D.date_of(s)} IS NOT NULL AS {d}"]
         aggs.append(F.expr(
-            f"CASE WHEN {n} = 0 THEN 'text' WHEN {numbers} = {n} AND {whole} = {n} THEN 'int' "
-            f"WHEN {numbers} = {n} THEN 'decimal' WHEN {dates} = {n} THEN 'date' ELSE 'text' END"
+            f"CASE WHEN count_if({p}) = 0 THEN 'text' WHEN count_if({p} AND {N.is_integral(x)}) = count_if({p}) THEN 'int' "
+            f"WHEN count_if({p} AND {x} IS NOT NULL) = count_if({p}) THEN 'decimal' "
+            f"WHEN count_if({p} AND {d}) = count_if({p}) THEN 'date' ELSE 'text' END"
         ).alias(c))
-    return df.groupBy(*by).agg(*aggs)
+    return df.selectExpr(*first).selectExpr(*second).groupBy(*by).agg(*aggs)
 
 
-def _canonical(v: str, cls: str) -> str:
-    whole = f"coalesce(CAST(try_cast(trim({v}) AS BIGINT) AS STRING), {N.int_text(N.to_num(v))})"
+def _canonical(s: str, cls: str, x: str, d: str) -> str:
+    """``s`` is the stripped text (empty when missing, NULL when the table lacks the column)."""
+    whole = f"coalesce(CAST(try_cast({s} AS BIGINT) AS STRING), {N.int_text(x)})"
     return (
-        f"CASE WHEN {v} IS NULL THEN NULL WHEN {X.is_missing(v)} THEN '' WHEN {cls} = 'int' THEN {whole} "
-        f"WHEN {cls} = 'decimal' THEN {N.fixed_decimal(N.to_num(v), 2)} "
-        f"WHEN {cls} = 'date' THEN {D.iso_date(D.to_date_ntz(v))} ELSE {X.strip(v)} END"
+        f"CASE WHEN {s} IS NULL OR {s} = '' OR {cls} = 'text' THEN {s} WHEN {cls} = 'int' THEN {whole} "
+        f"WHEN {cls} = 'decimal' THEN {N.fixed_decimal(x, 2)} ELSE {D.iso_date(d)} END"
     )
 
 
@@ -58,8 +58,16 @@ def canonicalize(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> Da
         one = classes.select(F.struct(*[F.col(name(f"_cls_{c}")) for c in columns]).alias("s")).scalar()
         joined = df.withColumn("_cls", one)
         cls = {c: "_cls." + name(f"_cls_{c}") for c in columns}
-    keep = [F.col(name(c)) for c in df.columns if c not in columns]
-    return joined.select(*keep, *[F.expr(_canonical(name(c), cls[c])).alias(c) for c in columns])
+    keep = [name(c) for c in df.columns if c not in columns]
+    first, second = [], []
+    for i, c in enumerate(columns):
+        v, k, s = name(c), cls[c], f"s{i}"
+        first += [f"CASE WHEN {v} IS NULL OR NOT {X.is_missing(v)} THEN {X.strip(v)} ELSE '' END AS {s}", f"{k} AS k{i}"]
+        second += [s, f"k{i}", f"CASE WHEN k{i} IN ('int', 'decimal') THEN {N.to_num(s)} END AS x{i}",
+                   f"CASE WHEN k{i} = 'date' THEN {D.date_of(s)} END AS d{i}"]
+    return joined.selectExpr(*keep, *first).selectExpr(*keep, *second).selectExpr(
+        *keep, *[f"{_canonical(f's{i}', f'k{i}', f'x{i}', f'd{i}')} AS {name(c)}" for i, c in enumerate(columns)]
+    )
 
 
 def _hash_sum(seed: int, columns: Sequence[str]) -> Column:

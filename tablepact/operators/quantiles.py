@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sql import array, lit, name
@@ -18,13 +18,14 @@ from ..functions.sql import array, lit, name
 # Buckets per e-fold. A double has at most 2 * 709.8 * this many buckets, a fixed
 # number of small rows per group; data seen in practice touch a few thousand.
 _PER_E = 4096
+# Largest count table that one aggregation buffer may hold (some tens of megabytes).
+COMPACT_ROWS = 500_000
 
 
-def _bucket(v: Column) -> Column:
-    # Never NULL, so the join below adds no filter that would make its two inputs
-    # different plans: both read the same shuffled counts.
-    b = F.floor(F.log1p(F.abs(v)) * F.lit(_PER_E))
-    return F.coalesce(F.when(v < 0, -b).otherwise(b), F.lit(0).cast("bigint"))
+# Never NULL, so the join below adds no filter that would make its two inputs
+# different plans: both read the same shuffled counts.
+_LOG = f"floor(log1p(abs(v)) * {_PER_E})"
+_BUCKET = f"coalesce(CASE WHEN v < 0 THEN -{_LOG} ELSE {_LOG} END, 0L)"
 
 
 def value_counts(df: DataFrame, by: Sequence[str], columns: Sequence[str] | Mapping[str, str]) -> DataFrame:
@@ -42,58 +43,45 @@ def value_counts(df: DataFrame, by: Sequence[str], columns: Sequence[str] | Mapp
     )
 
 
-def quantiles(counts: DataFrame, by: Sequence[str], probs: Sequence[float]) -> DataFrame:
+def quantiles(counts: DataFrame, by: Sequence[str], probs: Sequence[float], rows: int | None = None) -> DataFrame:
     """``(by..., prob, value)`` from a ``(by..., v, n)`` table; linear interpolation.
 
-    A group without values has no rows.
+    A group without values has no rows. ``rows`` is the measured size of ``counts``:
+    up to :data:`COMPACT_ROWS` distinct values the weighted ``percentile`` does it in
+    one aggregation, beyond that (or unmeasured) the bucketed way below.
     """
     by = list(by)
     group = by or ["_all"]
     c = counts if by else counts.withColumn("_all", F.lit(0))
-    c = c.select(*group, "v", "n", _bucket(F.col("v")).alias("_b"))
-    before = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    wanted = ", ".join(f"{float(p)!r}D" for p in probs)
+    if rows is not None and rows <= COMPACT_ROWS:
+        q = c.groupBy(*group).agg(F.expr(f"percentile(v, array({wanted}), n)").alias("_q")).where("_q IS NOT NULL")
+        return q.selectExpr(*map(name, by), f"explode(map_from_arrays(array({wanted}), _q)) AS (prob, value)")
+    c = c.select(*group, "v", "n", F.expr(_BUCKET).alias("_b"))
+    part = ", ".join(name(g) for g in group)
     # One row per bucket and group: a bounded number of rows for this window.
-    spans = c.groupBy(*group, "_b").agg(F.sum("n").alias("_nb")).select(
-        *group, "_b", "_nb",
-        F.coalesce(F.sum("_nb").over(before), F.lit(0)).alias("_start"),
-        F.sum("_nb").over(Window.partitionBy(*group)).alias("_total"),
-    )
-    wanted = F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.lit(float(p)).alias("pos")) for p in probs])
-    ranks = F.transform(
-        wanted,
-        lambda w: F.struct(
-            w["prob"].alias("prob"),
-            F.floor(w["pos"] * (F.col("_total") - 1)).alias("lo"),
-            F.ceil(w["pos"] * (F.col("_total") - 1)).alias("hi"),
-            (w["pos"] * (F.col("_total") - 1) - F.floor(w["pos"] * (F.col("_total") - 1))).alias("frac"),
-        ),
+    spans = c.groupBy(*group, "_b").agg(F.sum("n").alias("_nb")).selectExpr(
+        *map(name, group), "_b", "_nb",
+        f"coalesce(sum(_nb) OVER (PARTITION BY {part} ORDER BY _b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS _start",
+        f"sum(_nb) OVER (PARTITION BY {part}) AS _total",
     )
+    rank = "p * (_total - 1)"
+    ranks = (f"transform(array({wanted}), p -> named_struct('prob', p, 'lo', floor({rank}), 'hi', ceil({rank}), "
+             f"'frac', {rank} - floor({rank})))")
     spans = spans.withColumn(
-        "_ranks",
-        F.filter(ranks, lambda r: (r["hi"] >= F.col("_start")) & (r["lo"] < F.col("_start") + F.col("_nb"))),
-    ).where(F.size("_ranks") > 0)
-    inside = Window.partitionBy(*group, "_b").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = (
-        c.join(spans, [*group, "_b"])
-        .withColumn("_end", F.col("_start") + F.sum("n").over(inside))
-        .select(*group, "v", (F.col("_end") - F.col("n")).alias("_from"), "_end", F.explode("_ranks").alias("r"))
-    )
-
-    def at(rank: str) -> Column:
-        hit = (F.col("_from") <= F.col(f"r.{rank}")) & (F.col(f"r.{rank}") < F.col("_end"))
-        return F.max(F.when(hit, F.col("v")))
-
-    out = placed.groupBy(*group, F.col("r.prob").alias("prob"), F.col("r.frac").alias("_frac")).agg(
-        at("lo").alias("_lo"), at("hi").alias("_hi")
-    )
-    step = F.col("_hi") - F.col("_lo")
-    value = (
-        F.when(F.col("_hi") == F.col("_lo"), F.col("_lo"))
-        .when(F.col("_frac") == 0.5, (F.col("_lo") + F.col("_hi")) / 2)
-        .when(F.col("_frac") < 0.5, F.col("_lo") + step * F.col("_frac"))
-        .otherwise(F.col("_hi") - step * (1 - F.col("_frac")))
+        "_ranks", F.expr(f"filter({ranks}, r -> r.hi >= _start AND r.lo < _start + _nb)")
+    ).where("size(_ranks) > 0")
+    placed = c.join(spans, [*group, "_b"]).selectExpr(
+        *map(name, group), "v", "n", "_ranks",
+        f"_start + sum(n) OVER (PARTITION BY {part}, _b ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _end",
+    ).selectExpr(*map(name, group), "v", "_end - n AS _from", "_end", "explode(_ranks) AS r")
+    at = "max(CASE WHEN _from <= r.{0} AND r.{0} < _end THEN v END)"
+    out = placed.groupBy(*group, F.expr("r.prob").alias("prob"), F.expr("r.frac").alias("_frac")).agg(
+        F.expr(at.format("lo")).alias("_lo"), F.expr(at.format("hi")).alias("_hi")
     )
-    return out.select(*by, "prob", value.alias("value"))
+    value = ("CASE WHEN _hi = _lo THEN _lo WHEN _frac = 0.5 THEN (_lo + _hi) / 2 "
+             "WHEN _frac < 0.5 THEN _lo + (_hi - _lo) * _frac ELSE _hi - (_hi - _lo) * (1 - _frac) END")
+    return out.selectExpr(*map(name, by), "prob", f"{value} AS value")
 
 
 def medians(df: DataFrame, by: Sequence[str], columns: Sequence[str] | Mapping[str, str]) -> DataFrame:

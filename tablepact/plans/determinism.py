@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.sql import array, lit
 from ..operators.diff import cell_diff
 from ..operators.fingerprint import canonicalize, fingerprints
 from .runs import CASE, RUN
@@ -43,10 +44,15 @@ def diffs_vs_first(outputs: DataFrame, prints: DataFrame, first: str, key: str,
 
     The representatives are found by hash; only their rows are read for the diff.
     """
-    base_hash = prints.where(F.col(RUN) == first).agg(F.max("content_hash").alias("h")).scalar()
-    others = prints.where(F.col("content_hash") != base_hash).groupBy("content_hash").agg(F.min(RUN).alias(RUN)).select(RUN)
-    b = outputs.join(others, RUN, "left_semi")
-    a = outputs.where(F.col(RUN) == first).drop(RUN)
-    # The first run once per representative; the list of runs is metadata-sized.
-    a = a.withColumn(RUN, F.explode(others.agg(F.collect_list(RUN).alias("r")).scalar()))
-    return cell_diff(a.select(RUN, key, *columns), b.select(RUN, key, *columns), key, columns, by=[RUN])
+    # One row per run: the list of representatives is metadata, and as literals it
+    # prunes the run folders.
+    content = {r[RUN]: r["content_hash"] for r in prints.select(RUN, "content_hash").collect()}
+    chosen: dict[str, str] = {}
+    for run in sorted(content):
+        if content[run] != content[first]:
+            chosen.setdefault(content[run], run)
+    names = sorted(chosen.values())
+    a = outputs.where(F.col(RUN) == first).select(key, *columns).withColumn(
+        RUN, F.explode(F.expr(f"CAST({array(lit(n) for n in names)} AS ARRAY<STRING>)")))
+    b = outputs.where(F.col(RUN).isin(*names)) if names else outputs.where("false")
+    return cell_diff(a, b.select(RUN, key, *columns), key, columns, by=[RUN])

@@ -64,17 +64,20 @@ def _cell_rules(contract: Contract, checks: Collection[str], columns: Collection
 
 def _prepared(df: DataFrame, contract: Contract, columns: Collection[str], keep: Collection[str]) -> DataFrame:
     """Text, presence and parsed value of each column; native numbers and dates are not re-parsed."""
-    out = [name(k) for k in keep]
+    first, out = [name(k) for k in keep], [name(k) for k in keep]
     for c in columns:
-        v, dtype, have = name(c), contract[c].dtype, df.schema[c].dataType.typeName()
-        native = have != "string"
+        v, dtype, native = name(c), contract[c].dtype, df.schema[c].dataType.typeName() != "string"
+        t, p, s = name("v_" + c), name("p_" + c), name("s_" + c)
         present = f"{v} IS NOT NULL" if native else f"({v} IS NOT NULL AND {X.is_present(v)})"
-        out += [f"CAST({v} AS STRING) AS {name('v_' + c)}", f"{present} AS {name('p_' + c)}"]
+        first += [f"CAST({v} AS STRING) AS {t}", f"{present} AS {p}"]
+        out += [t, p]
         if dtype in ("int", "float"):
-            out.append(f"{f'nanvl(CAST({v} AS DOUBLE), NULL)' if native else N.to_num(v)} AS {name('x_' + c)}")
+            first.append(f"CAST({v} AS DOUBLE) AS {s}" if native else f"{v} AS {s}")
+            out.append(f"{f'nanvl({s}, NULL)' if native else N.to_num(s)} AS {name('x_' + c)}")
         elif dtype == "date":
-            out.append(f"{f'CAST({v} AS TIMESTAMP_NTZ)' if native else D.to_date_ntz(v)} AS {name('d_' + c)}")
-    return df.selectExpr(*out)
+            first.append(f"CAST({v} AS TIMESTAMP_NTZ) AS {s}" if native else f"{X.strip(v)} AS {s}")
+            out.append(f"{s if native else f'CASE WHEN {p} THEN {D.date_of(s)} END'} AS {name('d_' + c)}")
+    return df.selectExpr(*first).selectExpr(*out)
 
 
 def _seen(c, which: str) -> str:
@@ -264,12 +267,15 @@ def key_facts(rs: RunSet, checks: Collection[str] = KEY_CHECKS) -> DataFrame:
                 fact(f"{hit} AND {N.to_num(e(i.name))} IS NOT NULL", "CLN-06 target", i.name, N.to_num(e(i.name)))
             else:
                 fact(hit, "CLN-06", i.name, f"CASE WHEN {o(i.name)} = {lit(i.impute.value)} THEN 1D ELSE 0D END")
+    stripped, extra = [], []
     if compare_level:
-        r = N.ratio(N.to_num(o(level)), N.to_num(b(level)))
+        extra += [f"{N.to_num(o(level))} AS _lo", f"{N.to_num(b(level))} AS _lb"]
+        r = N.ratio("_lo", "_lb")
         fact(f"b IS NOT NULL AND NOT {was_missing(level)} AND {r} IS NOT NULL", "SEM-02", "ratio", r)
         fact(f"b IS NOT NULL AND {was_missing(level)}", "SEM-02", "excluded")
-    extra = [f"{D.to_date_ntz(b(date))} AS _ref", f"{D.to_date_ntz(o(date))} AS _new"] if compare_date else []
     if compare_date:
+        stripped += [f"{X.strip(b(date))} AS _sref", f"{X.strip(o(date))} AS _snew"]
+        extra += [f"{D.date_of('_sref')} AS _ref", f"{D.date_of('_snew')} AS _new"]
         same = "coalesce(_new = _ref, false)"
         swapped = "coalesce(month(_new) = day(_ref) AND day(_new) = month(_ref), false)"
         fact("b IS NOT NULL", "SEM-04", "compared")
@@ -278,9 +284,8 @@ def key_facts(rs: RunSet, checks: Collection[str] = KEY_CHECKS) -> DataFrame:
         fact(f"b IS NOT NULL AND _new IS NOT NULL AND NOT {same} AND NOT {swapped}", "SEM-04", "other")
         fact("b IS NOT NULL AND _new IS NULL", "SEM-04", "lost")
         fact("b IS NOT NULL AND _new IS NULL AND day(_ref) > 12", "SEM-04", "lost_day_gt_12")
-    # The keyed columns may be absent from the struct when no check needs them.
     return (
-        keyed.selectExpr("*", *extra).selectExpr(RUN, f"explode(array_compact({array(facts)})) AS f")
+        keyed.selectExpr("*", *stripped).selectExpr("*", *extra).selectExpr(RUN, f"explode(array_compact({array(facts)})) AS f")
         .select(RUN, "f.*").groupBy(RUN, "kind", "name", "v").agg(F.sum("w").alias("n"))
     )
 
@@ -344,7 +349,7 @@ def imputation_metrics(facts: DataFrame, rs: RunSet) -> DataFrame:
     ).selectExpr(RUN, "name AS column", "imputed_rows", f"coalesce({constant}, CAST(_t AS STRING)) AS target", "wrong")
 
 
-def ratio_metrics(facts: DataFrame, contract: Contract) -> DataFrame:
+def ratio_metrics(facts: DataFrame, contract: Contract, rows: int | None = None) -> DataFrame:
     """SEM-02: ``(run_id, compared, changed, changed_share, median_ratio, excluded)``."""
     f = facts_of(facts, "SEM-02")
     moved = f"name = 'ratio' AND abs(v - 1) > {contract.per_key_ratio_tolerance}D"
@@ -352,7 +357,7 @@ def ratio_metrics(facts: DataFrame, contract: Contract) -> DataFrame:
         *_counts({"ratio": "compared", "excluded": "excluded"}), F.expr(_sum_where(moved)).alias("changed")
     )
     hist = f.where("v IS NOT NULL").select(RUN, "v", "n")
-    mid = quantiles(hist, [RUN], [0.5]).select(RUN, F.col("value").alias("median_ratio"))
+    mid = quantiles(hist, [RUN], [0.5], rows).select(RUN, F.col("value").alias("median_ratio"))
     return counts.join(mid, RUN, "left").selectExpr(
         RUN, "compared", "changed", "try_divide(changed, compared) AS changed_share", "median_ratio", "excluded"
     )

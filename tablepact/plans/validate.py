@@ -79,7 +79,7 @@ def run_metrics(rs: RunSet, checks: Collection[str] = tuple(CHECKS), reference:
         sources.append(rs.per_run(per_case).select(RUN, "truth_rows"))
     key_checks = [x for x in M.KEY_CHECKS if x in checks]
     if key_checks and keyed:
-        facts = materialize(M.key_facts(rs, key_checks), "key_facts")
+        facts, n = materialize(M.key_facts(rs, key_checks), "key_facts")
         if "ROW-02" in checks:
             sources.append(M.accounting_metrics(facts))
         if "CLN-08" in checks:
@@ -90,17 +90,17 @@ def run_metrics(rs: RunSet, checks: Collection[str] = tuple(CHECKS), reference:
                 F.sort_array(F.collect_list(items)).alias("imputed")
             ))
         if "SEM-02" in checks and rs.baseline is not None and c.level_column:
-            r = M.ratio_metrics(facts, c)
+            r = M.ratio_metrics(facts, c, n)
             sources.append(r.select(RUN, F.struct(*[x for x in r.columns if x != RUN]).alias("sem02")))
         if "SEM-04" in checks and rs.baseline is not None and c.date_column:
             r = M.date_metrics(facts)
             sources.append(r.select(RUN, F.struct(*[x for x in r.columns if x != RUN]).alias("sem04")))
     if any(x in checks for x in ("SEM-01", "SEM-03", "SEM-05")) and (reference is not None or rs.baseline is not None):
         ref = reference if reference is not None else P.profile(rs.baseline, c)
-        ref = materialize(ref, "reference_profile")
-        values = materialize(P.value_facts(out, c, [RUN]), "value_facts")
+        ref, _ = materialize(ref, "reference_profile")
+        values, n = materialize(P.value_facts(out, c, [RUN]), "value_facts")
         if "SEM-01" in checks and c.level_column:
-            r = P.level_metrics(values, ref, c)
+            r = P.level_metrics(values, ref, c, n)
             sources.append(r.select(RUN, F.struct("median", "reference_median", "ratio").alias("sem01")))
         if "SEM-03" in checks:
             sources.append(P.window_metrics(values))
@@ -305,7 +305,7 @@ def validate_runs(rs: RunSet, checks: Sequence[str] = (*STRUCTURAL, *SEMANTIC),
 
     ``provenance`` (``run_id, status, message``) adds INP-01.
     """
-    wide = materialize(run_metrics(rs, checks, reference), "run_metrics")
+    wide, _ = materialize(run_metrics(rs, checks, reference), "run_metrics")
     verdicts = _verdicts(rs, wide, checks)
     items = array(
         f"named_struct('check_id', {lit(check)}, 'name', {lit(CHECKS[check])}, 'status', {status}, "

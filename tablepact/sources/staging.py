@@ -6,7 +6,8 @@ import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _roots: dict[str, str] = {}
 _tables: dict[tuple[str, str], str] = {}
@@ -53,13 +54,15 @@ def staged(spark: SparkSession, name: str, build: Callable[[], DataFrame],
     return spark.read.parquet(_tables[key])
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     """Write a compact intermediate result and go on from the written table.
 
     Used where several later steps read one aggregated result: it is computed once,
-    the lineage ends there, and the plans that follow stay small.
+    the lineage ends there, and the plans that follow stay small. Also returns the
+    number of rows, observed while writing.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), int(seen.get["rows"])

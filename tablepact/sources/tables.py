@@ -51,7 +51,9 @@ def as_raw_strings(df: DataFrame, order: str) -> DataFrame:
 def write_clean_csv(df: DataFrame, path: str) -> None:
     """Cleaned table as CSV with header, empty cells empty. A sorted input keeps its order across part files."""
     out = df.drop(ORD) if ORD in df.columns else df
-    out.write.options(header=True, emptyValue="", escape='"').csv(path)
+    out.write.options(
+        header=True, emptyValue="", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
 
 
 # ---------------------------------------------------------------- objects and logs

@@ -87,7 +87,7 @@ c AS (SELECT count(*) AS rows_in, count(*) FILTER (why = 'order_date_unparseable
   count(*) FILTER (why = 'unit_price_lt') AS p, count(*) FILTER (why = 'status_not_allowed') AS s, count(*) FILTER (why IS NULL) AS valid FROM r),
 u AS (SELECT count(*) AS rows_out FROM (SELECT DISTINCT {O.COLS.replace('email', 'mail')} FROM r WHERE why IS NULL))
 SELECT unnest(['rows_in', 'duplicates', 'invalid:order_date_unparseable', 'invalid:quantity_le', 'invalid:unit_price_lt',
-  'invalid:status_not_allowed', 'rows_out']) AS item, unnest([rows_in, valid - rows_out, d, q, p, s, rows_out]) AS rows FROM c, u""")
+  'invalid:status_not_allowed', 'rows_out']) AS item, unnest([rows_in, valid - rows_out, d, q, p, s, rows_out]) AS rows FROM c, u""", ("messy",))
 def _(spark, sf):
     return row_accounting(fx.messy(spark, sf), ORDERS).select("item", "rows")
 
