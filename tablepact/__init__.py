@@ -1,0 +1 @@
+"""Data contracts on Spark: clean, validate, profile, detect drift, compare runs."""

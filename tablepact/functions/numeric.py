@@ -13,8 +13,13 @@ _NUMBER = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))\
 
 
 def to_num(c: str) -> str:
-    """Text to double; anything unparseable (and NaN) becomes NULL."""
-    return f"CASE WHEN {c} RLIKE {pattern(_NUMBER)} THEN try_cast({c} AS DOUBLE) END"
+    """Text to double; anything unparseable (and NaN) becomes NULL.
+
+    Texts that start with a letter other than I (73, 105) cannot be numbers and skip
+    the pattern.
+    """
+    may = f"(ascii({c}) < 58 OR ascii({c}) IN (73, 105))"
+    return f"CASE WHEN {may} AND {c} RLIKE {pattern(_NUMBER)} THEN try_cast({c} AS DOUBLE) END"
 
 
 def to_key(c: str) -> str:

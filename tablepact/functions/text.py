@@ -39,8 +39,13 @@ def norm_ws(c: str) -> str:
 
 
 def strip(c: str) -> str:
-    """Strip any Unicode white space; plain ``trim`` only strips blanks."""
-    return f"trim(BOTH {lit(WHITE_SPACE)} FROM {c})"
+    """Strip any Unicode white space; plain ``trim`` only strips blanks.
+
+    A cell with visible ASCII characters at both ends, the usual case, is left alone
+    without searching the set of white space characters.
+    """
+    clean = f"ascii({c}) BETWEEN 33 AND 126 AND ascii(right({c}, 1)) BETWEEN 33 AND 126"
+    return f"CASE WHEN {clean} THEN {c} ELSE trim(BOTH {lit(WHITE_SPACE)} FROM {c}) END"
 
 
 def title_case(c: str) -> str:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions import numeric as N
 from ..functions import text as X
-from ..functions.sql import name
+from ..functions.sql import lit, name
 
 
 def column_classes(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -36,7 +36,8 @@ def column_classes(df: DataFrame, by: Sequence[str], columns: Sequence[str]) ->
 
 def _canonical(s: str, cls: str, x: str, d: str) -> str:
     """``s`` is the stripped text (empty when missing, NULL when the table lacks the column)."""
-    whole = f"coalesce(CAST(try_cast({s} AS BIGINT) AS STRING), {N.int_text(x)})"
+    # Plain digits go through 64-bit integers; a failing cast would cost an exception per cell.
+    whole = f"CASE WHEN {s} RLIKE '^[+-]?[0-9]{{1,18}}$' THEN CAST(CAST({s} AS BIGINT) AS STRING) ELSE {N.int_text(x)} END"
     return (
         f"CASE WHEN {s} IS NULL OR {s} = '' OR {cls} = 'text' THEN {s} WHEN {cls} = 'int' THEN {whole} "
         f"WHEN {cls} = 'decimal' THEN {N.fixed_decimal(x, 2)} ELSE {D.iso_date(d)} END"
@@ -70,30 +71,44 @@ def canonicalize(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> Da
     )
 
 
-def _hash_sum(seed: int, columns: Sequence[str]) -> Column:
-    """Sum of row hashes: order does not matter, repeated rows count, and it combines map-side.
-
-    Each cell enters with its own NULL flag, so shifting a value between columns
-    changes the hash.
-    """
+def _row_hash(seed: int, columns: Sequence[str]) -> str:
+    """Hash of a row's cells. Each cell enters with its own NULL flag, so shifting a value
+    between columns changes the hash."""
     cells = ", ".join(f"{name(c)} IS NULL, {name(c)}" for c in columns)
-    return F.expr(f"sum(CAST(xxhash64({seed}, {cells}) AS DECIMAL(20, 0)))")
+    return f"CAST(xxhash64({seed}, {cells}) AS DECIMAL(20, 0))"
+
+
+def _digest(columns: Sequence[str], headers: bool, sums: Sequence[str]) -> str:
+    header = "array_join(header, '\x1f')" if headers else lit("\x1f".join(columns))
+    return f"sha2(concat_ws('|', rows, {', '.join(sums)}, {header}), 256)"
 
 
 def fingerprints(canonical: DataFrame, by: Sequence[str], columns: Sequence[str],
                  headers: DataFrame | None = None) -> DataFrame:
     """``(by..., rows, content_hash)``: equal iff the same multiset of rows under the same header.
 
-    ``headers`` is ``(by..., header)``, the ordered column names; column order is content.
+    Sums of two row hashes: order does not matter, repeated rows count, and they
+    combine map-side. ``headers`` is ``(by..., header)``, the ordered column names;
+    column order is content.
     """
-    by = list(by)
     sums = canonical.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("rows"), _hash_sum(1, columns).alias("_h1"), _hash_sum(2, columns).alias("_h2")
+        F.count(F.lit(1)).alias("rows"),
+        *[F.expr(f"sum({_row_hash(seed, columns)})").alias(f"_h{seed}") for seed in (1, 2)],
     )
-    parts = [F.col("rows").cast("string"), F.col("_h1").cast("string"), F.col("_h2").cast("string")]
     if headers is not None:
-        sums = sums.join(headers, by)
-        parts.append(F.array_join("header", "\x1f"))
-    else:
-        parts.append(F.lit("\x1f".join(columns)))
-    return sums.select(*by, "rows", F.sha2(F.concat_ws("|", *parts), 256).alias("content_hash"))
+        sums = sums.join(headers, list(by))
+    return sums.select(*by, "rows", F.expr(_digest(columns, headers is not None, ["_h1", "_h2"])).alias("content_hash"))
+
+
+def raw_and_content(df: DataFrame, by: Sequence[str], columns: Sequence[str], headers: DataFrame) -> DataFrame:
+    """``(by..., rows, raw_hash, content_hash)``, raw and canonical cells hashed in the same pass."""
+    tagged = df.select(*by, *columns, *[F.expr(_row_hash(seed, columns)).alias(f"_r{seed}") for seed in (1, 2)])
+    canonical = canonicalize(tagged, by, columns)
+    sums = canonical.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("_r1").alias("_r1"), F.sum("_r2").alias("_r2"),
+        *[F.expr(f"sum({_row_hash(seed, columns)})").alias(f"_h{seed}") for seed in (1, 2)],
+    ).join(headers, list(by))
+    return sums.select(
+        *by, "rows", F.expr(_digest(columns, True, ["_r1", "_r2"])).alias("raw_hash"),
+        F.expr(_digest(columns, True, ["_h1", "_h2"])).alias("content_hash"),
+    )

@@ -9,22 +9,20 @@ from pyspark.sql import functions as F
 
 from ..functions.sql import array, lit
 from ..operators.diff import cell_diff
-from ..operators.fingerprint import canonicalize, fingerprints
-from .runs import CASE, RUN
+from ..operators.fingerprint import raw_and_content
+from .runs import CASE, RUN, values_table
 
 
 def header_table(spark: SparkSession, headers: Mapping[str, Sequence[str]]) -> DataFrame:
     """``(run_id, header)`` from the runs' column lists (driver metadata)."""
-    return spark.createDataFrame([(r, list(h)) for r, h in headers.items()], f"{RUN} string, header array<string>")
+    rows = [(lit(r), array(lit(c) for c in h)) for r, h in headers.items()]
+    return values_table(spark, [RUN, "header"], rows)
 
 
 def run_fingerprints(spark: SparkSession, outputs: DataFrame, headers: Mapping[str, Sequence[str]],
                      columns: Sequence[str]) -> DataFrame:
     """``(run_id, rows, raw_hash, content_hash)``: raw cells and canonical cells."""
-    heads = header_table(spark, headers)
-    raw = fingerprints(outputs, [RUN], columns, heads).select(RUN, F.col("content_hash").alias("raw_hash"))
-    canonical = canonicalize(outputs.select(RUN, *columns), [RUN], columns)
-    return fingerprints(canonical, [RUN], columns, heads).join(raw, RUN)
+    return raw_and_content(outputs, [RUN], columns, header_table(spark, headers))
 
 
 def determinism(prints: DataFrame, by: Sequence[str] = (CASE,)) -> DataFrame:

@@ -147,7 +147,7 @@ def offending_values(df: DataFrame, contract: Contract, by: list[str],
         f"'rule', {lit(rule)}, 'value', {name('v_' + c.name)}) END"
         for check, c, rule, bad in _cell_rules(contract, checks, columns)
     )
-    exploded = _prepared(df, contract, columns, by).selectExpr(*[name(b) for b in by], f"explode(array_compact({hits})) AS h")
+    exploded = _prepared(df, contract, columns, by).selectExpr(*[name(b) for b in by], f"explode({hits}) AS h").where("h IS NOT NULL")
     return exploded.groupBy(*by, "h.check_id", "h.column", "h.rule", "h.value").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -285,8 +285,8 @@ def key_facts(rs: RunSet, checks: Collection[str] = KEY_CHECKS) -> DataFrame:
         fact("b IS NOT NULL AND _new IS NULL", "SEM-04", "lost")
         fact("b IS NOT NULL AND _new IS NULL AND day(_ref) > 12", "SEM-04", "lost_day_gt_12")
     return (
-        keyed.selectExpr("*", *stripped).selectExpr("*", *extra).selectExpr(RUN, f"explode(array_compact({array(facts)})) AS f")
-        .select(RUN, "f.*").groupBy(RUN, "kind", "name", "v").agg(F.sum("w").alias("n"))
+        keyed.selectExpr("*", *stripped).selectExpr("*", *extra).selectExpr(RUN, f"explode({array(facts)}) AS f")
+        .where("f IS NOT NULL").select(RUN, "f.*").groupBy(RUN, "kind", "name", "v").agg(F.sum("w").alias("n"))
     )
 
 

@@ -52,8 +52,8 @@ def value_facts(df: DataFrame, contract: Contract, by: Sequence[str]) -> DataFra
                 out = f"{d} < {D.day_bound(c.min)} OR {d} > {D.day_bound(c.max)}"
                 cell("window", c.name, f"{d} IS NOT NULL", v=f"CASE WHEN {out} THEN 1 ELSE 0 END")
     return (
-        df.selectExpr(*prepared).selectExpr(*[name(b) for b in by], f"explode(array_compact({array(cells)})) AS f")
-        .select(*by, "f.*").groupBy(*by, "kind", "column", "v", "s").agg(F.count(F.lit(1)).alias("n"))
+        df.selectExpr(*prepared).selectExpr(*[name(b) for b in by], f"explode({array(cells)}) AS f")
+        .where("f IS NOT NULL").select(*by, "f.*").groupBy(*by, "kind", "column", "v", "s").agg(F.count(F.lit(1)).alias("n"))
     )
 
 

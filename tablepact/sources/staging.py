@@ -41,12 +41,13 @@ def staged(spark: SparkSession, name: str, build: Callable[[], DataFrame],
     """Write ``build()`` once per application under ``name`` and read it back.
 
     Unlike a cache it survives the loss of executors, and readers prune its columns
-    and partitions.
+    and partitions. Rows are spread over the cores first: an input of one small file
+    would otherwise leave one file, and every reader with one task.
     """
     key = (spark.sparkContext.applicationId, name)
     if key not in _tables:
         path = new_path(spark, "".join(ch if ch.isalnum() else "_" for ch in name)[-60:])
-        writer = build().write.mode("errorifexists")
+        writer = build().repartition(spark.sparkContext.defaultParallelism).write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)

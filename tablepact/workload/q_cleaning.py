@@ -78,7 +78,7 @@ def _(spark, sf):
 @query("clean_orders", f"SELECT {O.COLS} FROM truth", ("truth",))
 def _(spark, sf):
     """Flagship: the whole cleaner; the oracle is the ground truth, not a second cleaner."""
-    return clean(fx.messy_orders(spark, sf), ORDERS).drop("_ord")
+    return clean(fx.messy(spark, sf), ORDERS).drop("_ord")
 
 
 @query("row_accounting", """, n AS (""" + O.normalised("messy", O.C) + f"""),
