@@ -284,6 +284,8 @@ def key_facts(rs: RunSet, checks: Collection[str] = KEY_CHECKS) -> DataFrame:
         fact(f"b IS NOT NULL AND _new IS NOT NULL AND NOT {same} AND NOT {swapped}", "SEM-04", "other")
         fact("b IS NOT NULL AND _new IS NULL", "SEM-04", "lost")
         fact("b IS NOT NULL AND _new IS NULL AND day(_ref) > 12", "SEM-04", "lost_day_gt_12")
+    # Without truth, inputs or baseline nothing can be compared: no facts.
+    facts = facts or ["CAST(NULL AS STRUCT<kind: STRING, name: STRING, v: DOUBLE, w: BIGINT>)"]
     return (
         keyed.selectExpr("*", *stripped).selectExpr("*", *extra).selectExpr(RUN, f"explode({array(facts)}) AS f")
         .where("f IS NOT NULL").select(RUN, "f.*").groupBy(RUN, "kind", "name", "v").agg(F.sum("w").alias("n"))

@@ -77,22 +77,23 @@ def run_metrics(rs: RunSet, checks: Collection[str] = tuple(CHECKS), reference:
     if "ROW-01" in checks and rs.expected_rows is None and rs.expected is not None:
         per_case = rs.expected.groupBy(CASE).agg(F.count(F.lit(1)).alias("truth_rows"))
         sources.append(rs.per_run(per_case).select(RUN, "truth_rows"))
-    key_checks = [x for x in M.KEY_CHECKS if x in checks]
+    context = {"CLN-06": rs.inputs, "SEM-02": rs.baseline, "SEM-04": rs.baseline}
+    key_checks = [x for x in M.KEY_CHECKS if x in checks and context.get(x, rs.expected) is not None]
     if key_checks and keyed:
         facts, n = materialize(M.key_facts(rs, key_checks), "key_facts")
-        if "ROW-02" in checks:
+        if "ROW-02" in key_checks:
             sources.append(M.accounting_metrics(facts))
-        if "CLN-08" in checks:
+        if "CLN-08" in key_checks:
             sources.append(M.truth_metrics(facts, c))
-        if "CLN-06" in checks and rs.inputs is not None:
+        if "CLN-06" in key_checks:
             items = F.struct("column", "imputed_rows", "target", "wrong")
             sources.append(M.imputation_metrics(facts, rs).groupBy(RUN).agg(
                 F.sort_array(F.collect_list(items)).alias("imputed")
             ))
-        if "SEM-02" in checks and rs.baseline is not None and c.level_column:
+        if "SEM-02" in key_checks and c.level_column:
             r = M.ratio_metrics(facts, c, n)
             sources.append(r.select(RUN, F.struct(*[x for x in r.columns if x != RUN]).alias("sem02")))
-        if "SEM-04" in checks and rs.baseline is not None and c.date_column:
+        if "SEM-04" in key_checks and c.date_column:
             r = M.date_metrics(facts)
             sources.append(r.select(RUN, F.struct(*[x for x in r.columns if x != RUN]).alias("sem04")))
     if any(x in checks for x in ("SEM-01", "SEM-03", "SEM-05")) and (reference is not None or rs.baseline is not None):
