@@ -50,8 +50,8 @@ def powers_of_two(n: int) -> list[int]:
     return [1 << b for b in range(n.bit_length() - 1, -1, -1) if n >> b & 1]
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, window: int = 4096, sentence_cost: float = 8.0, word_cost: float = 64.0,
-         hard_every: int = 64, block_windows: int = 64) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, window: int = 4096, sentence_cost: float = 4.0, word_cost: float = 16.0,
+         hard_every: int = 16, block_windows: int = 64) -> DataFrame:
     """Pieces of all documents: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, copy, ids``.
 
     Each text's ids plus ``end_id`` are cut into pieces; a sequence holds at most ``window`` ids, without

@@ -11,7 +11,13 @@ from ..sources.staging import new_path
 from .common import table
 from .embedding_dedup import near_vectors
 from .hamming_search import nearest
+from .html_text import main_text
+from .mixing import plan
+from .ngram_join import jaccard_join
 from .packing import pack
+from .pseudonyms import pseudonymise
+from .quality import held_out, score, train
+from .secret_scan import scan
 from .token_codes import read_tokens, write_tokens
 
 
@@ -67,3 +73,76 @@ def op2_token_codes(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(table(spark, sf, "documents"), vocabulary("word_bpe_49k.json")).drop("ids")
+
+
+@query
+def op3_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return scan(table(spark, sf, "documents"))
+
+
+@query
+def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = train(docs, table(spark, sf, "labels"))
+    return score(docs.select("doc_id", "text"), model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query
+def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return plan(table(spark, sf, "documents").select("doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+#: A table of (doc_id, source, size) to what the mix takes of it.
+MIX_SQL = """by_source AS (SELECT source, sum(size) AS source_size FROM sized GROUP BY source),
+turns AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS turn, (3 * source_size)::DOUBLE AS cap FROM by_source),
+weighted AS (SELECT *, (turn % 3 + 1)::DOUBLE AS weight FROM turns),
+levels AS (SELECT *, (SELECT sum(source_size) FROM by_source)::DOUBLE
+- coalesce(sum(cap) OVER (ORDER BY cap / weight, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+sum(weight) OVER (ORDER BY cap / weight, turn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS among FROM weighted),
+tested AS (SELECT *, cap * among <= rest * weight AS capped FROM levels),
+level AS (SELECT rest, among FROM tested WHERE NOT capped ORDER BY cap / weight, turn LIMIT 1),
+targets AS (SELECT t.source, t.source_size, CASE WHEN capped OR l.rest IS NULL THEN cap ELSE weight * l.rest / l.among END AS target
+FROM tested t LEFT JOIN level l ON true),
+placed AS (SELECT s.*, t.source_size, t.target, coalesce(sum(size) OVER (PARTITION BY s.source
+ORDER BY coalesce(md5(doc_id::VARCHAR), ''), doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+mixed AS (SELECT *, (greatest(0, least(size, floor(target) - before)) + greatest(0, least(size, floor(target) - before - source_size))
++ greatest(0, least(size, floor(target) - before - 2 * source_size)))::BIGINT AS taken FROM placed)"""
+ORACLES["op9_mixing"] = rf"""WITH sized AS (SELECT doc_id, source,
+coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+{MIX_SQL}
+SELECT doc_id, size, source_size::BIGINT AS source_size, target, taken FROM mixed"""
+
+
+@query
+def op5_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    return main_text(table(spark, sf, "pages"))
+
+
+@query
+def op6_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
+    return pseudonymise(table(spark, sf, "documents"), key=b"an example key, not a secret")
+
+
+@query
+def op8_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join(table(spark, sf, "documents"))
+
+
+#: Classes of equal shingle sets are joined on shared shingles; components follow by recursion.
+JOIN_SQL = r"""words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM input),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+classes AS (SELECT min(doc_id) AS id, list_sort(s) AS s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY list_sort(s)),
+grams AS (SELECT id, n, unnest(s) AS g FROM classes),
+p AS (SELECT a.id AS a, b.id AS b FROM grams a JOIN grams b ON a.g = b.g AND a.id < b.id
+GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT id, id AS root FROM classes UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id WHERE r.root < e.b),
+roots AS (SELECT id, min(root) AS root FROM r GROUP BY id),
+joined AS (SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(t.root, s.doc_id) AS component_id
+FROM sets s LEFT JOIN classes c ON c.s = list_sort(s.s) LEFT JOIN roots t ON t.id = c.id)"""
+ORACLES["op8_ngram_join"] = f"""WITH RECURSIVE input AS (SELECT doc_id, text FROM documents),
+{JOIN_SQL}
+SELECT doc_id, n_shingles, component_id FROM joined"""
