@@ -5,8 +5,8 @@ one signature. Two sets that are similar enough differ in at most ``reach`` shin
 ``reach + 1 + spare`` segments they agree in at least ``1 + spare``. Segments are allotted by cost:
 
 * empty segments, and subsets that too many unrelated documents share, are passed over; ``spare`` pays for them;
-* every other segment must agree exactly;
-* documents that pass over more than ``spare`` are joined among themselves on half as many, larger segments,
+* of the others, so many must agree exactly as ``spare`` leaves to ask for (``need``, at least one);
+* documents that pass over too many for that are joined among themselves on half as many, larger segments,
   matched up to one deletion (a subset meets itself and its one-deletion neighbourhood).
 
 Every candidate pair is verified on whole sets, unless links found before hold its documents
@@ -15,8 +15,7 @@ together already. Nothing is sampled, capped or dropped.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -54,33 +53,53 @@ _PLACES = _mix(np.arange(1001, 1101, dtype=_U) * _ODD) | _U(1)
 _BASE = 0x2545F4914F6CDD1D
 
 
-@lru_cache(maxsize=1)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, modulo 2 ** 64."""
-    with np.errstate(over="ignore"):
-        up = np.cumprod(np.concatenate([[1], np.full(n, _BASE, dtype=_U)]).astype(_U))
-        down = np.cumprod(np.concatenate([[1], np.full(n, pow(_BASE, -1, 1 << 64), dtype=_U)]).astype(_U))
-    return up, down
+_SPOTS = _mix(np.arange(1, (1 << 16) + 1, dtype=_U) * _ODD + _U(77)) | _U(1)
+#: Bytes of text that are hashed together.
+BATCH = 1 << 18
+
 
+def shingles_of(texts: Sequence[str | None], n: int = 5) -> list[np.ndarray]:
+    """Per text the sorted distinct 64-bit hashes of its ``n``-word shingles; a shorter text is one shingle, an empty one none."""
+    out: list[np.ndarray] = []
+    part: list[bytes] = []
+    size = 0
+    for text in texts:
+        part.append((text or "").encode("utf-8", "surrogatepass"))
+        size += len(part[-1])
+        if size >= BATCH:
+            out += _hashed(part, n)
+            part, size = [], 0
+    return out + _hashed(part, n) if part else out
 
-def shingles(text: str | None, n: int = 5) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the ``n``-word shingles; a shorter text is one shingle, an empty one none."""
-    raw = _LOWER[np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)]
+
+def _hashed(texts: list[bytes], n: int) -> list[np.ndarray]:
+    raw = _LOWER[np.frombuffer(b" ".join(texts), np.uint8)]
     gap = _GAP[raw]
     edge = np.flatnonzero(np.diff(np.concatenate([[True], gap, [True]]).view(np.int8)))
-    starts, ends = edge[::2], edge[1::2]
+    starts, lengths = edge[::2], edge[1::2] - edge[::2]
+    none = np.zeros(0, dtype=_U)
     if not len(starts):
-        return np.zeros(0, dtype=_U)
-    up, down = _powers(max(1 << 17, 1 << len(raw).bit_length()))
+        return [none] * len(texts)
+    at = np.cumsum([0] + [len(t) + 1 for t in texts])
+    bounds = np.searchsorted(starts, at)  # first word of each text
     with np.errstate(over="ignore"):
-        total = np.concatenate([np.zeros(1, _U), np.cumsum(_BYTES[raw] * up[: len(raw)])])
-        words = _mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(_U) * _ODD)
-        k = min(n, len(words))
-        m = len(words) - k + 1
-        acc = np.full(m, k, dtype=_U)
-        for i in range(k):
-            acc += _mix(words[i : i + m] * _PLACES[i] + _PLACES[i + 50])
-        return np.unique(_mix(acc))
+        first = np.cumsum(lengths) - lengths
+        spot = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
+        words = np.add.reduceat(_BYTES[raw[~gap]] * _SPOTS[spot & 0xFFFF] + (spot >> 16).astype(_U), first)
+        words = _mix(words + lengths.astype(_U) * _ODD)
+        placed = [words * _PLACES[i] + _PLACES[i + 50] for i in range(n)]
+        placed = [x ^ (x >> _U(29)) for x in placed]
+
+        def windows(a: int, b: int, k: int) -> np.ndarray:
+            m = b - a - k + 1
+            acc = np.full(m, k, dtype=_U)
+            for i in range(k):
+                acc += placed[i][a + i : a + i + m]
+            return acc
+
+        whole = _mix(windows(0, len(words), n)) if len(words) >= n else none
+        return [np.unique(whole[a : b - n + 1]) if b - a >= n else _mix(windows(a, b, b - a)) if b > a else none
+                for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
 
 class Bands:
@@ -112,52 +131,63 @@ class Bands:
         return (self.reach(slot) + 1) * 12 // 100 + 2
 
 
-def _segments(s: np.ndarray, slot: int, m: int, scheme: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Segment and value of each shingle, sum of values and count of each segment."""
-    seed = _mix(np.array([slot * 2 + scheme + 1], dtype=_U) * _ODD)
+def _segments(sets: list[np.ndarray], slots: np.ndarray, m: np.ndarray, scheme: int):
+    """Of sets laid end to end: shingle values, their segment among all, each segment's sum, count and key place."""
+    sizes = np.array([len(x) for x in sets])
+    base = np.cumsum(m) - m
     with np.errstate(over="ignore"):
-        seg = ((_mix(s ^ seed) >> _U(32)) * _U(m) >> _U(32)).astype(np.int64)
-        value = _mix(s * _ODD + seed)
-        low = np.bincount(seg, (value & _U(0xFFFFFFFF)).astype(np.float64), m)
-        high = np.bincount(seg, (value >> _U(32)).astype(np.float64), m)
+        s, seed = np.concatenate(sets), _mix((slots * 2 + scheme + 1).astype(_U) * _ODD)
+        seeds, many = np.repeat(seed, sizes), np.repeat(m.astype(_U), sizes)
+        seg = ((_mix(s ^ seeds) >> _U(32)) * many >> _U(32)).astype(np.int64) + np.repeat(base, sizes)
+        value = _mix(s * _ODD + seeds)
+        low = np.bincount(seg, (value & _U(0xFFFFFFFF)).astype(np.float64), int(m.sum()))
+        high = np.bincount(seg, (value >> _U(32)).astype(np.float64), int(m.sum()))
         total = low.astype(_U) + (high.astype(_U) << _U(32))
-    return seg, value, total, np.bincount(seg, minlength=m)
+        place = (np.arange(int(m.sum())) - np.repeat(base, m)).astype(_U) * _U(4096) + np.repeat(slots, m).astype(_U)
+        return value, seg, total, np.bincount(seg, minlength=int(m.sum())), _mix(place * _U(2) + _U(scheme + 1))
+
+
+def _slotted(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the set and slot of every (set, slot) in which sets of that size can differ and be similar."""
+    pairs = [(i, k) for i, s in enumerate(sets) if len(s) for k in bands.slots(len(s)) if bands.reach(k)]
+    return np.array([i for i, _ in pairs], dtype=np.int64), np.array([k for _, k in pairs], dtype=np.int64)
+
 
+#: ``meta`` of a key: slot * NEEDS + how many keys of the slot must be shared.
+NEEDS = 1 << 20
 
-def _named(total: np.ndarray, seg: np.ndarray, slot: int, scheme: int) -> np.ndarray:
-    """Key of a subset: its sum, told apart by segment, slot and scheme."""
+
+def exact_keys(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the subsets that must agree exactly, with the index of their set and ``meta``.
+
+    Empty segments are passed over where ``spare`` pays for them, and are keys like others elsewhere.
+    """
+    which, slots = _slotted(sets, bands)
+    if not len(which):
+        return np.zeros(0, np.int64), which, slots
+    spare = np.array([bands.spare(k) for k in slots.tolist()])
+    m = np.array([bands.reach(k) for k in slots.tolist()]) + 1 + spare
+    _, _, total, count, place = _segments([sets[i] for i in which], slots, m, 0)
+    empty = np.add.reduceat((count == 0).astype(np.int64), np.cumsum(m) - m)
+    need = np.where(empty <= spare, 1 + spare - empty, 1)
+    keep = (count > 0) | np.repeat(empty > spare, m)
+    return _mix(total ^ place).view(np.int64)[keep], np.repeat(which, m)[keep], np.repeat(slots * NEEDS + need, m)[keep]
+
+
+def deletion_keys(sets: list[np.ndarray], bands: Bands, slot_of: list[set[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, index of their set, and which are one-deletion neighbours, in the given slots of each set."""
+    which, slots = _slotted(sets, bands)
+    keep = np.array([k in slot_of[i] for i, k in zip(which.tolist(), slots.tolist(), strict=True)], dtype=bool)
+    which, slots = which[keep], slots[keep]
+    if not len(which):
+        return np.zeros(0, np.int64), which, np.zeros(0, bool)
+    m = np.array([bands.reach(k) for k in slots.tolist()]) // 2 + 1
+    value, seg, total, _, place = _segments([sets[i] for i in which], slots, m, 1)
     with np.errstate(over="ignore"):
-        place = _mix((seg.astype(_U) * _U(4096) + _U(slot)) * _U(2) + _U(scheme + 1))
-        return _mix(total ^ place).view(np.int64)
-
-
-def exact_keys(s: np.ndarray, bands: Bands) -> np.ndarray:
-    """Keys of the subsets that must agree exactly. Empty segments count only where ``spare`` can't pay for them."""
-    out = []
-    for slot in bands.slots(len(s)):
-        if reach := bands.reach(slot):
-            m = reach + 1 + bands.spare(slot)
-            _, _, total, count = _segments(s, slot, m, 0)
-            seg = np.arange(m)
-            if (count == 0).sum() <= bands.spare(slot):
-                seg = np.flatnonzero(count)
-            out.append(_named(total[seg], seg, slot, 0))
-    return np.concatenate(out) if out else np.zeros(0, np.int64)
-
-
-def deletion_keys(s: np.ndarray, bands: Bands, costly: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys, and which are one-deletion neighbours, in the slots where ``costly`` more passed over exceed ``spare``."""
-    keys, less = [np.zeros(0, np.int64)], [np.zeros(0, bool)]
-    for slot in bands.slots(len(s)):
-        reach, spare = bands.reach(slot), bands.spare(slot)
-        if not reach or (_segments(s, slot, reach + 1 + spare, 0)[3] == 0).sum() + costly <= spare:
-            continue
-        m = reach // 2 + 1
-        seg, value, total, _ = _segments(s, slot, m, 1)
-        with np.errstate(over="ignore"):
-            keys += [_named(total, np.arange(m), slot, 1), _named(total[seg] - value, seg, slot, 1)]
-        less += [np.zeros(m, bool), np.ones(len(seg), bool)]
-    return np.concatenate(keys), np.concatenate(less)
+        less = _mix((total[seg] - value) ^ place[seg])
+    sizes = np.array([len(sets[i]) for i in which])
+    return (np.concatenate([_mix(total ^ place), less]).view(np.int64), np.concatenate([np.repeat(which, m), np.repeat(which, sizes)]),
+            np.concatenate([np.zeros(len(total), bool), np.ones(len(less), bool)]))
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -167,63 +197,80 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _prints(s: np.ndarray) -> tuple[int, int]:
+def _prints(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     with np.errstate(over="ignore"):
-        return int(_mix(s).sum(dtype=_U).view(np.int64)), int(np.bitwise_xor.reduce(_mix(s + _ODD)).view(np.int64)) if len(s) else 0
+        return [(int(_mix(s).sum(dtype=_U).view(np.int64)), int(np.bitwise_xor.reduce(s).view(np.int64))) if len(s) else (0, 0) for s in sets]
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows whose key is not alone, with the first node of the key; rows come sorted by key and node."""
-    held: tuple[int, int, int, bool] | None = None
-    names = ["key", "node", "first"]
+    held: list[np.ndarray] = []  # the last row, its key's first node, and whether a row before has its key
+    names = ["key", "node", "meta", "first"]
     for batch in batches:
         if not batch.num_rows:
             continue
-        k, n = int64(batch["key"]), int64(batch["node"])
+        k, n, e = (int64(batch[c]) for c in names[:3])
         if held:
-            k, n = np.concatenate([[held[0]], k]), np.concatenate([[held[1]], n])
+            k, n, e = (np.concatenate([h, x]) for h, x in zip(held, (k, n, e), strict=False))
         same = np.concatenate([[False], k[1:] == k[:-1]])
         start = np.maximum.accumulate(np.where(same, 0, np.arange(len(k))))
         first = n[start]
         if held:
-            first[start == 0] = held[2]
-            same[0] = held[3]
+            first[start == 0] = held[3]
+            same[0] = held[4][0]
         keep = same.copy()
         keep[:-1] |= k[1:] == k[:-1]
-        held = int(k[-1]), int(n[-1]), int(first[-1]), bool(same[-1])
+        held = [x[-1:] for x in (k, n, e, first, same)]
         keep[-1] = False  # until the next row is known
         if keep.any():
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (k, n, first)], names=names)
-    if held and held[3]:
-        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in held[:3]], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (k, n, e, first)], names=names)
+    if held and held[4][0]:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[:4]], names=names)
 
 
 def _pairs_of(batches: Iterator[pa.RecordBatch], mode: str) -> Iterator[pa.RecordBatch]:
-    """Per key (rows sorted by key, component, node): pairs of nodes from different components.
+    """Per key (rows sorted by key, component, node): pairs ``(a, b, meta)`` of nodes from different components.
 
     ``star``: the first node with the first of every other component. ``all``: every pair, unless more than
-    ``COSTLY`` components meet: then a row ``(node, null)`` for each node. ``deletions``: every pair with an exact
-    subset on at least one side.
+    ``COSTLY`` components meet: then a row ``(node, null, meta)`` for each node. ``deletions``: every pair with an
+    exact subset on at least one side; ``meta`` tells which rows are neighbours. Otherwise a pair's ``meta`` is
+    the larger one: the slot is the same, so that is the larger need.
     """
-    names = ["key", "comp", "node", "less"]
-    for _, comp, node, less in runs(batches, 1, lambda b: [int64(b[c]) for c in names]):
+    names, out, size = ["key", "comp", "node", "meta"], [], 0
+
+    def batch() -> pa.RecordBatch:
+        a, b, e = (np.concatenate(x) for x in zip(*out, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b, mask=b == _NONE), pa.array(e)], names=["a", "b", "meta"])
+
+    for _, comp, node, meta in runs(batches, 1, lambda b: [int64(b[c]) for c in names]):
         if comp[0] == comp[-1]:
             continue
         begins = np.flatnonzero(np.concatenate([[True], comp[1:] != comp[:-1]]))
         if mode == "star":
-            a, b = np.full(len(begins) - 1, node[0]), node[begins[1:]]
+            x, y = np.zeros(len(begins) - 1, dtype=np.int64), begins[1:]
+            out.append((node[x], node[y], np.maximum(meta[x], meta[y])))
         elif mode == "all" and len(begins) > COSTLY:
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.nulls(len(node), pa.int64())], names=["a", "b"])
-            continue
+            out.append((node, np.full(len(node), _NONE), meta))
         else:
-            for at in range(len(node)):
-                other = np.flatnonzero(comp[at + 1 :] != comp[at]) + at + 1
-                if mode == "deletions" and less[at]:
-                    other = other[less[other] == 0]
-                if len(other):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(other), node[at])), pa.array(node[other])], names=["a", "b"])
-            continue
-        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            for at in range(int(begins[-1])):
+                y = int(np.searchsorted(comp, comp[at], side="right"))
+                a, b, e, f = np.full(len(node) - y, node[at]), node[y:], meta[at], meta[y:]
+                if mode == "deletions" and e:
+                    a, b, f = a[f == 0], b[f == 0], f[f == 0]
+                out.append((np.minimum(a, b), np.maximum(a, b), np.maximum(e, f)))
+                size += len(a)
+                if size > 1 << 16:
+                    yield batch()
+                    out, size = [], 0
+        size += len(node)
+        if size > 1 << 16 and out:
+            yield batch()
+            out, size = [], 0
+    if out:
+        yield batch()
+
+
+_NONE = np.iinfo(np.int64).min
 
 
 def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -239,24 +286,23 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t, n) for t in batch["text"].to_pylist()]
-            both = [_prints(s) for s in sets]
+            sets = shingles_of(batch["text"].to_pylist(), n)
+            both = _prints(sets)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([len(s) for s in sets], pa.int64()), pa.array([p for p, _ in both], pa.int64()),
                                               pa.array([q for _, q in both], pa.int64())], names=["doc_id", "n_shingles", "f1", "f2"])
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()  # combines copies before the shuffle; at most the documents of a split
         for batch in batches:
-            out, node = [], []
-            for d, t in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                s = shingles(t, n)
-                mark = _prints(s)
-                if len(s) and mark not in seen:
-                    seen.add(mark)
-                    out.append(exact_keys(s, bands))
-                    node.append(np.full(len(out[-1]), d))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out)), pa.array(np.concatenate(node).astype(np.int64))], names=["key", "node"])
+            ids, texts = int64(batch["doc_id"]), batch["text"].to_pylist()
+            for at in range(0, len(ids), 256):
+                sets = shingles_of(texts[at : at + 256], n)
+                marks = _prints(sets)
+                new = [i for i, m in enumerate(marks) if len(sets[i]) and m not in seen and not seen.add(m)]
+                k, which, meta = exact_keys([sets[i] for i in new], bands)
+                if len(k):
+                    yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(ids[at : at + 256][np.array(new)[which]]), pa.array(meta.astype(np.int32))],
+                                                     names=["key", "node", "meta"])
 
     known = docs.filter("doc_id IS NOT NULL")
     each = written(docs.mapInArrow(prints, "doc_id long, n_shingles long, f1 long, f2 long"), "prints")
@@ -264,14 +310,16 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     first = sets.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
     edges = written(sets.join(first, ["f1", "f2", "n_shingles"]).filter("a <> doc_id").select("a", F.col("doc_id").alias("b")), "copies")
 
-    shared = written(known.mapInArrow(keys, "key long, node long").repartition("key").sortWithinPartitions("key", "node").mapInArrow(
-        _shared, "key long, node long, first long"), "shared")
-    nodes = written(shared.select("node").distinct(), "nodes")
-    few = nodes.count() <= BROADCAST_IDS
-    active = written(known.join(F.broadcast(nodes) if few else nodes, known["doc_id"] == nodes["node"], "left_semi"), "active")
+    shared = written(known.mapInArrow(keys, "key long, node long, meta int").repartition("key").sortWithinPartitions("key", "node").mapInArrow(
+        _shared, "key long, node long, meta long, first long"), "shared")
+    need = F.pmod(F.col("meta"), F.lit(NEEDS))
+    slot = F.shiftright("meta", 20).alias("slot")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs ``(a, b)`` that link; every centre ``a`` is split into stars of about ``STAR`` members."""
+        nodes = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
+        few = nodes.count() <= BROADCAST_IDS
+        active = written(known.join(F.broadcast(nodes) if few else nodes, known["doc_id"] == nodes["node"], "left_semi"), "active")
         stars = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / STAR).cast("int").alias("n"))
         centre = stars.join(active, F.col("a") == F.col("doc_id")).select(
             "a", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), "text")
@@ -279,62 +327,67 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
             "a", F.pmod(F.xxhash64("b"), F.col("n")).cast("int").alias("salt"), "b", "text")
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            at, sets = None, []
+            at, centres = None, []
             for batch in batches:
                 found = []
-                for a, salt, b, t in zip(*(batch[c].to_pylist() for c in ("a", "salt", "b", "text")), strict=True):
+                sets = shingles_of(batch["text"].to_pylist(), n)
+                for a, salt, b, s in zip(*(batch[c].to_pylist() for c in ("a", "salt", "b")), sets, strict=True):
                     if (a, salt) != at:
-                        at, sets = (a, salt), []
-                    s = shingles(t, n)
+                        at, centres = (a, salt), []
                     if b is None:
-                        sets.append(s)
-                    elif any(similar(s, x, percent) for x in sets):
+                        centres.append(s)
+                    elif any(similar(s, x, percent) for x in centres):
                         found.append((a, b))
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-        stars_ = centre.unionByName(member).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-        return written(stars_.mapInArrow(compare, "a long, b long").distinct(), "links")
+        rows = centre.unionByName(member).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+        return written(rows.mapInArrow(compare, "a long, b long").distinct(), "links")
 
     def grouped(df: DataFrame, joined: DataFrame, mode: str) -> DataFrame:
-        """Candidates among rows ``(key, node, less)`` whose keys hold several components."""
+        """``(a, b, slot, n, need)``: pairs of rows ``(key, node, meta)`` whose keys hold several components, ``n`` keys of a slot."""
         df = df.join(joined.withColumnRenamed("id", "node"), "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
         split = df.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key")
-        df = df.join(split, "key").select("key", "comp", "node", "less").repartition("key").sortWithinPartitions("key", "comp", "node")
-        return written(df.mapInArrow(lambda batches: _pairs_of(batches, mode), "a long, b long").distinct(), "pairs")
+        df = df.join(split, "key").select("key", "comp", "node", "meta").repartition("key").sortWithinPartitions("key", "comp", "node")
+        pairs = df.mapInArrow(lambda batches: _pairs_of(batches, mode), "a long, b long, meta long")
+        return written(pairs.groupBy("a", "b", slot).agg(F.count(F.lit(1)).alias("n"), F.min(need).alias("need")), "pairs")
 
     # The neighbour that a node shares most keys with goes first; then components' first nodes; then what is left.
-    most = shared.filter("node <> first").groupBy("first", "node").count().groupBy("node").agg(F.max(F.struct("count", "first")).alias("m"))
-    edges = edges.unionByName(verified(written(most.select(F.col("m.first").alias("a"), F.col("node").alias("b")), "nearest")))
-    rows = shared.select("key", "node", F.lit(0).alias("less"))
+    most = shared.filter("node <> first").groupBy("first", "node", slot).agg(F.count(F.lit(1)).alias("n"), F.min(need).alias("need")).filter("n >= need")
+    most = most.groupBy("node").agg(F.max(F.struct("n", "first")).alias("m")).select(F.col("m.first").alias("a"), F.col("node").alias("b"))
+    edges = edges.unionByName(verified(written(most, "nearest")))
+    rows = shared.select("key", "node", "meta")
     joined = written(components(edges), "joined")
     for mode in ("star", "all"):
         pairs = grouped(rows, joined, mode)
-        real = pairs.filter("b IS NOT NULL")
+        if mode == "all":  # keys passed over lower what a pair must share
+            over = written(pairs.filter("b IS NULL").select(F.col("a").alias("node"), "slot", F.col("n").alias("over"), (F.col("need") - F.col("n")).alias("left")), "over")
+            x, y = (over.select(F.col("node").alias(c), "slot", F.col("over").alias(f"over_{c}")) for c in "ab")
+            # Both sides' needs hold; less the larger number passed over is at most the larger of the two.
+            pairs = pairs.filter("b IS NOT NULL").join(x, ["a", "slot"], "left").join(y, ["b", "slot"], "left").withColumn(
+                "need", F.col("need") - F.greatest(F.coalesce("over_a", F.lit(0)), F.coalesce("over_b", F.lit(0))))
+        real = written(pairs.filter("n >= need").select("a", "b").distinct(), "real")
         if not real.isEmpty():
             new = verified(real)
             if not new.isEmpty():
                 edges = edges.unionByName(new)
                 joined = written(components(edges), "joined")
 
-    costly = written(pairs.filter("b IS NULL").select("a").distinct(), "costly")
-    if not costly.isEmpty():
-        # How many costly keys a node has bounds how many of a slot's it passes over.
-        split = rows.join(joined.withColumnRenamed("id", "node"), "node", "left").groupBy("key").agg(
-            F.count_distinct(F.coalesce("component", "node")).alias("n")).filter(F.col("n") > COSTLY).select("key")
-        loaded = written(rows.join(split, "key").groupBy("node").agg(F.count(F.lit(1)).cast("int").alias("costly")), "loaded")
-        bound = loaded.count() <= BROADCAST_IDS
+    loaded = written(over.filter("left <= 0").groupBy("node").agg(F.collect_set("slot").alias("slots")), "loaded")
+    if not loaded.isEmpty():  # at most two slots a node
+        few = loaded.count() <= BROADCAST_IDS
 
         def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for d, t, c in zip(*(batch[x].to_pylist() for x in ("doc_id", "text", "costly")), strict=True):
-                    k, less = deletion_keys(shingles(t, n), bands, c)
+                ids, slots, texts = int64(batch["doc_id"]), [set(x) for x in batch["slots"].to_pylist()], batch["text"].to_pylist()
+                for at in range(0, len(ids), 256):
+                    k, which, less = deletion_keys(shingles_of(texts[at : at + 256], n), bands, slots[at : at + 256])
                     if len(k):
-                        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(np.full(len(k), d)), pa.array(less.astype(np.int32))], names=["key", "node", "less"])
+                        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(ids[at : at + 256][which]), pa.array(less.astype(np.int64))], names=["key", "node", "meta"])
 
-        near = active.join(F.broadcast(loaded) if bound else loaded, active["doc_id"] == loaded["node"]).select("doc_id", "text", "costly")
-        pairs = grouped(written(near.mapInArrow(neighbours, "key long, node long, less int").distinct(), "neighbours"), joined, "deletions")
-        edges = edges.unionByName(verified(pairs))
-        joined = written(components(edges), "joined")
+        near = known.join(F.broadcast(loaded) if few else loaded, known["doc_id"] == loaded["node"]).select("doc_id", "text", "slots")
+        close = written(near.mapInArrow(neighbours, "key long, node long, meta long").distinct(), "neighbours")
+        new = verified(written(grouped(close, joined, "deletions").select("a", "b").distinct(), "close"))
+        joined = written(components(edges.unionByName(new)), "joined")
     return each.join(joined, F.col("doc_id") == F.col("id"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

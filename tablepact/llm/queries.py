@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpus_pipeline import run, vocabulary
+
 from ..sources.staging import new_path
 from .common import table
 from .embedding_dedup import near_vectors
@@ -21,13 +23,6 @@ from .secret_scan import scan
 from .token_codes import read_tokens, write_tokens
 
 
-def vocabulary(name: str) -> str:
-    """Path of a public tokenizer's file."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -37,9 +32,9 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
-_VALID = """v AS (SELECT vec_id, embedding::DOUBLE[] AS e, sqrt(list_sum(list_transform(embedding::DOUBLE[], x -> x * x))) AS n
-FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-AND len(list_filter(embedding, x -> x <> 0)) > 0)"""
+_VALID = """v AS (SELECT vec_id, embedding::DOUBLE[] AS e, sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS n
+FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+AND len(list_filter(embedding, lambda x: x <> 0)) > 0)"""
 
 
 @query
@@ -131,10 +126,10 @@ def op8_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
 
 #: Classes of equal shingle sets are joined on shared shingles; components follow by recursion.
 JOIN_SQL = r"""words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM input),
+'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM input),
 sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
-classes AS (SELECT min(doc_id) AS id, list_sort(s) AS s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY list_sort(s)),
+ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+classes AS (SELECT min(doc_id) AS id, list_sort(s) AS s, len(min(s)) AS n FROM sets WHERE len(s) > 0 GROUP BY list_sort(s)),
 grams AS (SELECT id, n, unnest(s) AS g FROM classes),
 p AS (SELECT a.id AS a, b.id AS b FROM grams a JOIN grams b ON a.g = b.g AND a.id < b.id
 GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
@@ -146,3 +141,8 @@ FROM sets s LEFT JOIN classes c ON c.s = list_sort(s.s) LEFT JOIN roots t ON t.i
 ORACLES["op8_ngram_join"] = f"""WITH RECURSIVE input AS (SELECT doc_id, text FROM documents),
 {JOIN_SQL}
 SELECT doc_id, n_shingles, component_id FROM joined"""
+
+
+@query
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    return run(spark, sf)
