@@ -107,8 +107,9 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), repeats: int = 3,
     p = p.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))).withColumn("words", _taken(F.col("copy"))).filter("words > 0")
     share = (F.col("copy") * F.col("source_size") + F.col("before") + F.col("words") / 2) / F.col("target")
     of = lambda i: F.element_at(F.array(*(F.lit(float(r[i])) for r in ramps)), (F.col("turn") % len(ramps) + 1).cast("int"))
-    head = F.concat(F.lit(r"^[\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){"), (F.col("words") - 1).cast("string"), F.lit(r"}[^\x20\x09-\x0D]++"))
-    text = F.when(F.col("words") < F.col("size"), F.regexp_substr(F.col("doc.text"), head)).otherwise(F.col("doc.text"))
+    words = F.regexp_extract_all("doc.text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    cut = F.array_join(F.slice(words, F.lit(1), F.col("words").cast("int")), "")
+    text = F.when(F.col("words") < F.col("size"), cut).otherwise(F.col("doc.text"))
     p = p.withColumn("position", position(share, of(0), of(1)))
     fields = {c: F.col(f"doc.`{c}`") for c in docs.columns} | {"text": text}
     if "n_chars" in docs.columns:
