@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -155,24 +157,46 @@ def tiled(members: DataFrame, probers: DataFrame, key: Sequence[str], fn: Callab
 class PieceCoder:
     """Token ids of whole texts, remembered by piece.
 
-    Pieces are cut where the tokenizer's own pre-tokenizer always cuts (see ``cut``), so
-    joining the pieces' ids gives the text's ids; the vocabulary's merges never cross a
-    cut. Texts that the cutting rule does not cover are encoded whole. ``limit`` bounds
-    the memory: a full store starts anew.
+    Pieces are cut where the tokenizer's own pre-tokenizer always cuts (see ``pieces``), so joining the
+    pieces' ids gives the text's ids; the vocabulary's merges never cross a cut. A new piece of
+    Latin-1 is cut into the pre-tokenizer's parts, which recur more often, and those go straight to the
+    library's model; other pieces, and texts that the cutting rule does not cover, are encoded as texts.
+    ``limit`` bounds the memory: a full store starts anew.
     """
 
-    def __init__(self, path: str, cut: str, limit: int = 400_000):
+    #: The pre-tokenizers' patterns, with the letters, numbers and white space of Latin-1.
+    _PARTS = {
+        "spaces": r" ?[L]+| ?[N]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^WLN]+|[W]+(?![^W])|[W]+",
+        "words": r"[L]+|[N]|'s|'t|'re|'ve|'m|'ll|'d|[^WLN]+",
+    }
+    _CLASSES = {"L": "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "N": "0-9\xb2\xb3\xb9\xbc-\xbe", "W": "\t-\r \x85\xa0"}
+
+    def __init__(self, path: str, cut: str, limit: int = 250_000):
+        import os
+
         from tokenizers import Tokenizer
 
+        # One task, one thread: the library must not start a pool in each worker.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.cut, self.limit = Tokenizer.from_file(path), cut, limit
         with open(path, encoding="utf-8") as f:
             self.special = [t["content"] for t in json.load(f)["added_tokens"]]
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.split = re.compile("".join(self._CLASSES.get(c, c) for c in self._PARTS[cut])).findall
+        # The byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in set(plain)]
+        self.alphabet = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in got]
 
+    def _part(self, part: str) -> bytes:
+        raw = part.encode().decode("latin-1").translate(self.alphabet)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(raw)])
+
     def pieces(self, text: str) -> list[str] | None:
         # Python counts these four controls as white space, the tokenizer does not.
         if any(s in text for s in (*self.special, "\x1c", "\x1d", "\x1e", "\x1f")):
@@ -187,7 +211,6 @@ class PieceCoder:
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        os_threads_off()
         for text in texts:
             cut = self.pieces(text)
             if cut is None:
@@ -202,11 +225,23 @@ class PieceCoder:
             yield b"".join(map(self.known.__getitem__, cut))
 
     def _learn(self, new: list[str]) -> None:
-        self.known.update(zip(new, self._encode(new), strict=True))
-
-
-def os_threads_off() -> None:
-    """One task, one thread: the tokenizers library must not start a pool in each worker."""
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        other = []
+        for p in new:
+            if max(p) > "\xff":
+                other.append(p)
+                continue
+            cut = self.split(p.lower() if self.cut == "words" else p)
+            for x in cut:
+                if x not in self.parts:
+                    self.parts[x] = self._part(x)
+            self.known[p] = b"".join([self.parts[x] for x in cut]) if len(cut) > 1 else self.parts[cut[0]]
+            if len(self.parts) > self.limit:
+                self.parts.clear()
+        if other:
+            self.known.update(zip(other, self._encode(other), strict=True))
+
+
+@lru_cache(maxsize=2)
+def piece_coder(path: str, cut: str) -> PieceCoder:
+    """One coder a worker process, so that tasks which follow one another share what is known."""
+    return PieceCoder(path, cut)

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PieceCoder
+from .common import piece_coder
 
 PIECE_SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
                 "copy long, ids binary")
@@ -62,7 +62,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, window: int = 4096, s
     that and one document. An empty table gives no pieces; other columns are not read.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, end = PieceCoder(tokenizer, "words"), np.array([end_id], "<u4").tobytes()
+        coder, end = piece_coder(tokenizer, "words"), np.array([end_id], "<u4").tobytes()
         vocabulary = coder.tokenizer.get_vocab()
         stops = np.zeros(max([*vocabulary.values(), end_id]) + 1, dtype=bool)
         stops[[i for t, i in vocabulary.items() if t.removesuffix("</w>")[-1:] in (".", "!", "?")]] = True

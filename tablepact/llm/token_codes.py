@@ -13,7 +13,6 @@ values (u8), the chunks (u1 each), the bitmap (padded to bytes), the rank direct
 from __future__ import annotations
 
 import struct
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import PieceCoder, int64
+from .common import int64, piece_coder
 
 MAGIC, HEAD, RANK = b"DAC1", struct.Struct("<4sIQI"), 512
 BLOCK_SCHEMA = "shard long, block int, first_token long, n_tokens long, payload binary"
@@ -97,7 +96,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bl
     document. Other columns are not read; an empty table writes no block.
     """
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, end = PieceCoder(tokenizer, "spaces"), np.array([end_id], "<u4").tobytes()
+        coder, end = piece_coder(tokenizer, "spaces"), np.array([end_id], "<u4").tobytes()
         shard, block, first, size = None, 0, 0, 0
         docs: list[int | None] = []
         parts: list[bytes] = []
@@ -129,26 +128,22 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """``(doc_id, start, n_tokens, ids)`` of every document of a written set; ``ids`` is little-endian u4."""
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, first, payload in zip(int64(batch["shard"]), int64(batch["first_token"]), batch["payload"].to_pylist(), strict=True):
+            for first, payload in zip(int64(batch["first_token"]), batch["payload"].to_pylist(), strict=True):
                 block = Block(payload)
                 raw, ends = block.tokens().tobytes(), np.cumsum(block.lengths, dtype=np.int64)
                 starts = ends - block.lengths
                 for at in range(0, len(ends), 1024):
                     s, e = starts[at : at + 1024], ends[at : at + 1024]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(s), shard)), pa.array(block.doc_ids[at : at + 1024], pa.int64()), pa.array(first + s), pa.array(e - s),
+                        [pa.array(block.doc_ids[at : at + 1024], pa.int64()), pa.array(first + s), pa.array(e - s),
                          pa.array([raw[4 * a : 4 * b] for a, b in zip(s, e, strict=True)], pa.binary())],
-                        names=["shard", "doc_id", "start", "n_tokens", "ids"])
+                        names=["doc_id", "start", "n_tokens", "ids"])
 
     blocks = spark.read.schema(BLOCK_SCHEMA).parquet(path)
-    docs = blocks.select("shard", "first_token", "payload").mapInArrow(
-        decode, "shard long, doc_id long, start long, n_tokens long, ids binary")
-    # One row a shard: as many as the writer had tasks.
+    # One row a shard, so at most as many as the writer had tasks: small enough to broadcast.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = blocks.groupBy("shard").agg(F.sum("n_tokens").alias("n")).select(
         "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    return docs.join(shards, "shard").select("doc_id", (F.col("before") + F.col("start")).alias("start"), "n_tokens", "ids")
-
-
-def crc(ids: bytes) -> int:
-    return zlib.crc32(ids)
+    placed = blocks.select("shard", "first_token", "payload").join(F.broadcast(shards), "shard").select(
+        (F.col("before") + F.col("first_token")).alias("first_token"), "payload")
+    return placed.mapInArrow(decode, "doc_id long, start long, n_tokens long, ids binary")
