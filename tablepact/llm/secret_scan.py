@@ -53,7 +53,7 @@ class Novelty:
         return (self.size(around + candidate) - self.size(around)) / len(candidate)
 
 
-def find_secrets(text: str, novelty: Novelty, threshold: float = 0.6) -> list[tuple[int, int, str]]:
+def find_secrets(text: str, novelty: Novelty, threshold: float = 0.8) -> list[tuple[int, int, str]]:
     """``(start, end, kind)`` in code points, by start, then in the order of ``KINDS``.
 
     A novel span is 16 or more characters of a key's alphabet with a digit and a letter, not touched by
@@ -84,7 +84,7 @@ def digest(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for a, b, k in spans)
 
 
-def scan(docs: DataFrame, dictionary: str = IDENTIFIERS, threshold: float = 0.6) -> DataFrame:
+def scan(docs: DataFrame, dictionary: str = IDENTIFIERS, threshold: float = 0.8) -> DataFrame:
     """Per row of ``docs``: ``doc_id, spans, n_assign, n_access, n_hex, n_novel, base_sha256``.
 
     ``spans`` lists ``kind:start:end``; the hash covers all but the novel ones. Null texts are empty, empty texts
@@ -104,7 +104,7 @@ def scan(docs: DataFrame, dictionary: str = IDENTIFIERS, threshold: float = 0.6)
     return rows.mapInArrow(run, "doc_id long, spans string, n_assign long, n_access long, n_hex long, n_novel long, base_sha256 string")
 
 
-def redact(docs: DataFrame, dictionary: str = IDENTIFIERS, threshold: float = 0.6, mark: str = "<SECRET>") -> DataFrame:
+def redact(docs: DataFrame, dictionary: str = IDENTIFIERS, threshold: float = 0.8, mark: str = "<SECRET>") -> DataFrame:
     """``docs`` with every span of its texts replaced by ``mark``, overlapping ones together; ``n_chars`` follows.
 
     Null texts stay null; rows without a span stay as they are.
