@@ -171,7 +171,7 @@ class PieceCoder:
     }
     _CLASSES = {"L": "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "N": "0-9\xb2\xb3\xb9\xbc-\xbe", "W": "\t-\r \x85\xa0"}
 
-    def __init__(self, path: str, cut: str, limit: int = 250_000):
+    def __init__(self, path: str, cut: str, limit: int = 500_000):
         import os
 
         from tokenizers import Tokenizer
