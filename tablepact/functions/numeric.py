@@ -19,7 +19,10 @@ def to_num(c: str) -> str:
     the pattern.
     """
     may = f"(ascii({c}) < 58 OR ascii({c}) IN (73, 105))"
-    return f"CASE WHEN {may} AND {c} RLIKE {pattern(_NUMBER)} THEN try_cast({c} AS DOUBLE) END"
+    number = f"try_cast({c} AS DOUBLE)"
+    # Digits beyond the range of doubles are no number; only a written infinity is infinite.
+    finite = f"if(abs({number}) = double('inf') AND NOT {c} RLIKE '[iI]', NULL, {number})"
+    return f"CASE WHEN {may} AND {c} RLIKE {pattern(_NUMBER)} THEN {finite} END"
 
 
 def to_key(c: str) -> str:
@@ -59,17 +62,34 @@ def _bound(x: str, body: Callable[[str], str]) -> str:
     return body(x) if re.fullmatch(r"[\w.`]+", x) else bind(f"CAST({x} AS DOUBLE)", "x", body("x"))
 
 
+def _scaled(x: str, places: int) -> str:
+    """|x| below 2**53 as a whole number of 10**-places, ties of the exact value to even, as DECIMAL(38, 0)."""
+    part = f"CAST(rint((abs({x}) - floor(abs({x}))) * {float(2**58)!r}D) AS DECIMAL(20, 0)) * CAST({10**places} AS DECIMAL(12, 0))"
+    whole, rest = f"CAST(({part}) div {2**58}L AS DECIMAL(20, 0))", f"(({part}) % {2**58}BD)"
+    up = f"if({rest} > {2**57}BD OR ({rest} = {2**57}BD AND {whole} % 2 = 1), 1, 0)"
+    return f"CAST(CAST(floor(abs({x})) AS DECIMAL(17, 0)) * CAST({10**places} AS DECIMAL(12, 0)) + {whole} + {up} AS DECIMAL(38, 0))"
+
+
+def _beyond(x: str, places: int) -> str:
+    """Text of |x| from 2**53 on, where doubles are whole: the shortest digits that name the double, or ``inf``."""
+    tail = f", '.{'0' * places}'" if places else ""
+    whole = f"CAST(try_cast(abs({x}) AS DECIMAL(38, 0)) AS STRING)"
+    return f"if(abs({x}) = double('inf'), 'inf', concat(coalesce({whole}, format_string('%.0f', abs({x}))){tail}))"
+
+
 def fixed_decimal(x: str, places: int = 2) -> str:
-    """Text with a fixed number of decimals, rounded on the exact binary value."""
-    if places == 0:
-        return int_text(x)
-    if places != 2:
-        return f"CAST(CAST({x} AS DECIMAL(38, {places})) AS STRING)"
+    """Text with up to four decimals, rounded on the exact binary value below 2**53; no finite value is replaced or lost."""
 
     def body(x: str) -> str:
-        small = f"concat(if({x} < 0, '-', ''), CAST({_money(x)} AS STRING))"
-        big = f"coalesce(CAST(try_cast({x} AS DECIMAL(38, 2)) AS STRING), if({x} > 0, 'inf', if({x} < 0, '-inf', NULL)))"
-        return f"CASE WHEN abs({x}) < {float(2**53)!r}D THEN {small} ELSE {big} END"
+        if places == 2:
+            small = f"CAST({_money(x)} AS STRING)"
+        elif places:
+            small = bind(f"CAST({_scaled(x, places)} AS STRING)", "t", f"concat(substr(lpad(t, greatest(length(t), {places + 1}), '0'), 1, "
+                         f"greatest(length(t), {places + 1}) - {places}), '.', right(lpad(t, greatest(length(t), {places + 1}), '0'), {places}))")
+        else:
+            small = f"CAST(CAST(rint(abs({x})) AS DECIMAL(38, 0)) AS STRING)"
+        minus = f"if({x} < 0 AND rint({x}) <> 0, '-', '')" if not places else f"if({x} < 0, '-', '')"
+        return f"concat({minus}, CASE WHEN abs({x}) < {float(2**53)!r}D THEN {small} ELSE {_beyond(x, places)} END)"
 
     return _bound(x, body)
 
@@ -81,18 +101,20 @@ def round_even(x: str, places: int = 0) -> str:
 
 def int_text(x: str) -> str:
     """Nearest whole number as text, ties to even."""
-    return f"CAST(try_cast(rint({x}) AS DECIMAL(38, 0)) AS STRING)"
+    return fixed_decimal(x, 0)
 
 
 def currency_text(c: str) -> str:
-    """``1249.5`` -> ``$1,249.50``; the sign goes first and empty cells stay empty."""
-    text = f"concat(if(x < 0, '-$', '$'), format_number({_money('x')}, 2))"
-    return f"CASE WHEN {is_missing(c)} THEN {c} ELSE {bind(to_num(c), 'x', text)} END"
+    """``1249.5`` -> ``$1,249.50``; the sign goes first, empty cells stay empty, infinity is ``$inf``."""
+    near = f"format_number(CAST(replace({fixed_decimal('x')}, '-', '') AS DECIMAL(38, 2)), 2)"
+    far = "coalesce(format_number(try_cast(abs(x) AS DECIMAL(38, 0)), 2), format_string('%,.2f', abs(x)))"
+    size = f"CASE WHEN abs(x) = double('inf') THEN 'inf' WHEN abs(x) < {float(2**53)!r}D THEN {near} ELSE {far} END"
+    return f"CASE WHEN {is_missing(c)} THEN {c} ELSE {bind(to_num(c), 'x', f"concat(if(x < 0, '-$', '$'), {size})")} END"
 
 
 def minor_units(c: str) -> str:
-    """Dollars to whole cents as text; empty cells stay empty."""
-    return f"CASE WHEN {is_missing(c)} THEN {c} ELSE CAST(CAST(rint({to_num(c)} * 100) AS BIGINT) AS STRING) END"
+    """Dollars to whole cents as text; empty cells stay empty, infinity is ``inf``."""
+    return f"CASE WHEN {is_missing(c)} THEN {c} ELSE {int_text(f'{to_num(c)} * 100')} END"
 
 
 def log2_term(p: str, m: str) -> str:

@@ -20,11 +20,12 @@ _MAX_NESTING = 4
 
 
 def url_host(url: str) -> str:
-    return f"try_parse_url({url}, 'AUTHORITY')"
+    """Lenient: whatever stands between ``//`` and the next slash, also beside characters that no URL may hold."""
+    return f"regexp_extract({url}, {pattern('^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)')}, 1)"
 
 
 def url_path(url: str) -> str:
-    return f"coalesce(try_parse_url({url}, 'PATH'), '')"
+    return f"coalesce(regexp_extract({url}, {pattern('^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)')}, 1), '')"
 
 
 def path_template(path: str) -> str:
