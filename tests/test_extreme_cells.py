@@ -14,7 +14,7 @@ def test_fixed_decimal(spark, places):
     values = [0.15, 0.25, 1.0005, 2.5, 2.675, 0.5, 1.5, 12345.678, 1e15, 2.0**53, 1e17, -1e22, -0.125, 0.03125]
     cells = ", ".join(f"({v!r}D)" for v in values)
     got = [r["t"] for r in spark.sql(f"SELECT {numeric.fixed_decimal('v', places)} AS t FROM VALUES {cells} AS t(v)").collect()]
-    assert got == [f"{v:.{places}f}" for v in values]
+    assert got == [t if (t := f"{v:.{places}f}") != "-0" else "0" for v in values]
 
 
 def test_far_values(spark):
