@@ -25,7 +25,7 @@ BLOCK = frozenset((
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul").split())
 DROPPED = frozenset("script style noscript template textarea title head nav footer aside form button select iframe svg object canvas dialog menu".split())
-CONTAINERS = frozenset("article body div main section td center blockquote dd".split())
+CONTAINERS = frozenset(["", *"article body div main section td center blockquote dd".split()])  # "": a fragment's root
 # Start tags that end an open element of the second group, up to the nearest of the third.
 _IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
             "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
