@@ -78,7 +78,7 @@ def _beyond(x: str, places: int) -> str:
 
 
 def fixed_decimal(x: str, places: int = 2) -> str:
-    """Text with up to four decimals, rounded on the exact binary value below 2**53; no finite value is replaced or lost."""
+    """Text with up to four decimals, rounded on the exact binary value below 2**53; no finite value is replaced or lost; NULL stays NULL."""
 
     def body(x: str) -> str:
         if places == 2:
@@ -89,7 +89,8 @@ def fixed_decimal(x: str, places: int = 2) -> str:
         else:
             small = f"CAST(CAST(rint(abs({x})) AS DECIMAL(38, 0)) AS STRING)"
         minus = f"if({x} < 0 AND rint({x}) <> 0, '-', '')" if not places else f"if({x} < 0, '-', '')"
-        return f"concat({minus}, CASE WHEN abs({x}) < {float(2**53)!r}D THEN {small} ELSE {_beyond(x, places)} END)"
+        text = f"CASE WHEN abs({x}) < {float(2**53)!r}D THEN {small} ELSE {_beyond(x, places)} END"
+        return f"CASE WHEN {x} IS NULL THEN NULL WHEN isnan({x}) THEN 'nan' ELSE concat({minus}, {text}) END"
 
     return _bound(x, body)
 
@@ -108,7 +109,7 @@ def currency_text(c: str) -> str:
     """``1249.5`` -> ``$1,249.50``; the sign goes first, empty cells stay empty, infinity is ``$inf``."""
     near = f"format_number(CAST(replace({fixed_decimal('x')}, '-', '') AS DECIMAL(38, 2)), 2)"
     far = "coalesce(format_number(try_cast(abs(x) AS DECIMAL(38, 0)), 2), format_string('%,.2f', abs(x)))"
-    size = f"CASE WHEN abs(x) = double('inf') THEN 'inf' WHEN abs(x) < {float(2**53)!r}D THEN {near} ELSE {far} END"
+    size = f"CASE WHEN x IS NULL THEN NULL WHEN abs(x) = double('inf') THEN 'inf' WHEN abs(x) < {float(2**53)!r}D THEN {near} ELSE {far} END"
     return f"CASE WHEN {is_missing(c)} THEN {c} ELSE {bind(to_num(c), 'x', f"concat(if(x < 0, '-$', '$'), {size})")} END"
 
 

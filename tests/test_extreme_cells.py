@@ -25,6 +25,12 @@ def test_far_values(spark):
     assert one(spark, numeric.to_num("'1e400'")) is None and one(spark, numeric.to_num("'inf'")) == float("inf")
 
 
+@pytest.mark.parametrize("places", range(4))
+def test_missing_stays_missing(spark, places):
+    assert one(spark, numeric.fixed_decimal("CAST(NULL AS DOUBLE)", places)) is None
+    assert one(spark, numeric.currency_text("'abc'")) is None and one(spark, numeric.minor_units("'abc'")) is None
+
+
 def test_currency_and_cents(spark):
     for cell, text, cents in [("1249.5", "$1,249.50", "124950"), ("-0.01", "-$0.01", "-1"), ("1e17", "$100,000,000,000,000,000.00", "1" + "0" * 19),
                               ("inf", "$inf", "inf"), ("", "", ""), ("9007199254740991", "$9,007,199,254,740,991.00", "900719925474099072")]:
