@@ -75,32 +75,39 @@ def _scrambled(c: Column) -> Column:
     return x.bitwiseXOR(F.shiftleft(x, 17))
 
 
+def _unscrambled(c: Column) -> Column:
+    """The id that :func:`_scrambled` maps to ``c``: each of its steps undone, last first."""
+    x = c.bitwiseXOR(F.shiftleft(c, 17)).bitwiseXOR(F.shiftleft(c, 34)).bitwiseXOR(F.shiftleft(c, 51))
+    for n in (7, 14, 28, 56):
+        x = x.bitwiseXOR(F.shiftrightunsigned(x, n))
+    return x.bitwiseXOR(F.shiftleft(x, 13)).bitwiseXOR(F.shiftleft(x, 26)).bitwiseXOR(F.shiftleft(x, 39)).bitwiseXOR(F.shiftleft(x, 52))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(id, component)`` of every end of ``edges(a, b)``: the smallest id that links reach.
 
     Each round maps every node to the smallest neighbour (ids are scrambled first, so a
     constant share of nodes vanishes a round even on chains) and relabels the edges. A
     node's edges are never gathered: minima combine before the shuffle, relabelling is a
-    join whose large keys are split.
+    join whose large keys are split. The rounds' maps are written and joined once at the end;
+    repeated edges only take part in minima, so no round pays a shuffle to drop them.
     """
-    ends = edges.filter("a <> b").select(F.col("a").cast("long"), F.col("b").cast("long")).distinct()
-    ends, n = materialize(ends, "edges")
-    spark = edges.sparkSession
+    ends = edges.filter("a <> b").select(_scrambled(F.col("a").cast("long")).alias("u"), _scrambled(F.col("b").cast("long")).alias("v"))
+    both = F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v"))))
+    live, n = materialize(ends.select(both), "live")
     if not n:
-        return spark.createDataFrame([], "id long, component long")
-    s = ends.select(_scrambled(F.col("a")).alias("u"), _scrambled(F.col("b")).alias("v"))
-    live = s.unionByName(s.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    label: DataFrame | None = None
+        return edges.sparkSession.createDataFrame([], "id long, component long")
+    steps: list[DataFrame] = []
     while n:
         step = written(live.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "step")
-        label = step if label is None else written(
-            label.join(step.select(F.col("u").alias("m"), F.col("m").alias("next")), "m", "left")
-            .select("u", F.coalesce("next", "m").alias("m")), "label")
+        steps.append(step)
         to = live.join(step.withColumnRenamed("m", "mu"), "u").select("mu", F.col("v").alias("u"))
         to = to.join(step.withColumnRenamed("m", "mv"), "u").select(F.col("mu").alias("u"), F.col("mv").alias("v"))
-        live, n = materialize(to.filter("u <> v").distinct(), "live")
-    ids = ends.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("u", _scrambled(F.col("id")))
-    named = written(ids.join(label, "u").select("id", "m"), "named")
+        live, n = materialize(to.filter("u <> v"), "live")
+    label = steps[0]  # the first round saw every end
+    for step in steps[1:]:
+        label = label.join(step.select(F.col("u").alias("m"), F.col("m").alias("next")), "m", "left").select("u", F.coalesce("next", "m").alias("m"))
+    named = written(label.select(_unscrambled(F.col("u")).alias("id"), "m"), "named")
     return named.join(named.groupBy("m").agg(F.min("id").alias("component")), "m").select("id", "component")
 
 

@@ -342,7 +342,7 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
         rows = centre.unionByName(member).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-        return written(rows.mapInArrow(compare, "a long, b long").distinct(), "links")
+        return written(rows.mapInArrow(compare, "a long, b long"), "links")
 
     def grouped(df: DataFrame, joined: DataFrame, mode: str) -> DataFrame:
         """``(a, b, slot, n, need)``: pairs of rows ``(key, node, meta)`` whose keys hold several components, ``n`` keys of a slot."""
