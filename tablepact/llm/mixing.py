@@ -18,13 +18,17 @@ from .common import WORD, written
 #: Documents of a source in one bucket of its order, about.
 BUCKET = 1000
 
+#: The sources' weights at the begin and end of training, in turn.
+RAMPS = ((1.5, 0.5), (1.0, 1.0), (0.5, 1.5))
+
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def shares(sizes: DataFrame, weights: Sequence[float], repeats: int) -> DataFrame:
-    """Per source of ``sizes(source, size)``: ``source_size``, ``docs``, ``turn`` (0 for the first) and ``target``.
+    """Per source of ``sizes(source, size)``: ``source_size``, ``docs``, ``turn`` (0 for the first), ``target`` and ``ramp``,
+    the turn among the sources that take words.
 
     Ordered by the ratio of cap to weight, the capped sources come first, so the level of the rest
     follows from running sums: one row a source, no iteration.
@@ -42,9 +46,29 @@ def shares(sizes: DataFrame, weights: Sequence[float], repeats: int) -> DataFram
     by = by.withColumn("capped", F.col("cap") * F.col("among") <= F.col("left") * F.col("weight"))
     level = F.min(F.when(~F.col("capped"), F.struct(F.col("cap") / F.col("weight"), "turn", "left", "among"))).over(every)
     by = by.withColumn("level", level)
-    return by.select("source", "source_size", "docs", "turn", F.when(
+    by = by.select("source", "source_size", "docs", "turn", F.when(
         F.col("level").isNull() | F.col("capped"), F.col("cap")).otherwise(
         F.col("weight") * F.col("level.left") / F.col("level.among")).alias("target"))
+    earlier = Window.orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    return by.withColumn("ramp", F.coalesce(F.count_if(F.floor("target") >= 1).over(earlier), F.lit(0)))
+
+
+def _key() -> Column:
+    return F.coalesce(F.md5(F.col("doc_id").cast("string")), F.lit("")).alias("key")
+
+
+def _bucketed(df: DataFrame, by: DataFrame) -> DataFrame:
+    """Rows with their source's columns of ``by`` and the ``bucket`` of its order."""
+    df = df.join(by.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    place = F.coalesce(F.conv(F.substring("key", 1, 8), 16, 10).cast("long"), F.lit(0))
+    return df.withColumn("bucket", F.shiftright(place * F.ceil(F.col("docs") / BUCKET).cast("long"), 32))
+
+
+def _bases(slim: DataFrame, by: DataFrame) -> DataFrame:
+    """Per ``turn`` and ``bucket``: the words of the source's buckets before, ``base``."""
+    totals = _bucketed(slim, by).groupBy("turn", "bucket").agg(F.sum("size").alias("n"))
+    earlier = Window.partitionBy("turn").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return written(totals.select("turn", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base")), "buckets")
 
 
 def plan(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), repeats: int = 3, carry: bool = False) -> DataFrame:
@@ -56,26 +80,15 @@ def plan(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), repeats: int = 3
     ``taken`` adds up to the whole part of ``target``, and is at most ``repeats`` times the size. Empty tables give
     no rows. With ``carry`` the row's own columns come along in a struct ``doc``.
     """
-    key = F.coalesce(F.md5(F.col("doc_id").cast("string")), F.lit(""))
-    own = ["doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("key")]
+    own = ["doc_id", "source", word_count(F.col("text")).alias("size"), _key()]
     slim = written(docs.select(*own), "sizes")
     by = written(shares(slim, weights, repeats), "shares")
     rows = docs.select(*own, F.struct("*").alias("doc")) if carry else slim
-    place = F.coalesce(F.conv(F.substring("key", 1, 8), 16, 10).cast("long"), F.lit(0))
-
-    def bucketed(df: DataFrame) -> DataFrame:
-        df = df.join(by.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-        n = F.ceil(F.col("docs") / BUCKET).cast("long")
-        return df.withColumn("bucket", F.shiftright(place * n, 32))
-
-    totals = bucketed(slim).groupBy("turn", "bucket").agg(F.sum("size").alias("n"))
-    earlier = Window.partitionBy("turn").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = written(totals.select("turn", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base")), "buckets")
     within = Window.partitionBy("turn", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    out = bucketed(rows).withColumn("within", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    out = out.join(totals, ["turn", "bucket"]).withColumn("before", F.col("base") + F.col("within"))
+    out = _bucketed(rows, by).withColumn("within", F.coalesce(F.sum("size").over(within), F.lit(0)))
+    out = out.join(_bases(slim, by), ["turn", "bucket"]).withColumn("before", F.col("base") + F.col("within"))
     taken = sum((_taken(F.lit(e)) for e in range(repeats)), F.lit(0).cast("long"))
-    keep = ["doc_id", "source", "size", "source_size", "target", "turn", "before", taken.alias("taken")]
+    keep = ["doc_id", "source", "size", "source_size", "target", "turn", "ramp", "before", taken.alias("taken")]
     return out.select(*keep, *(["doc"] if carry else []))
 
 
@@ -95,22 +108,38 @@ def position(share: Column, begin: Column, end: Column) -> Column:
     return F.when(F.abs(k) < 1e-9, share).otherwise(root)
 
 
+def _position(copy: Column, words: Column, ramps: Sequence[tuple[float, float]]) -> Column:
+    """Where pass ``copy``, which takes ``words``, stands in training: at its middle word's share of what the source gives."""
+    of = lambda i: F.element_at(F.array(*(F.lit(float(r[i])) for r in ramps)), (F.col("ramp") % len(ramps) + 1).cast("int"))
+    return position((copy * F.col("source_size") + F.col("before") + words / 2) / F.floor("target"), of(0), of(1))
+
+
+def schedule(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), repeats: int = 3,
+             ramps: Sequence[tuple[float, float]] = RAMPS) -> DataFrame:
+    """The rows of :func:`plan` with ``positions``, one for each pass that takes words, range-sorted by the first one.
+
+    Documents that no pass takes have no positions and come last.
+    """
+    passes = [F.when(_taken(F.lit(e)) > 0, _position(F.lit(e), _taken(F.lit(e)), ramps)) for e in range(repeats)]
+    p = written(plan(docs, weights, repeats).withColumn("positions", F.array_compact(F.array(*passes))), "schedule")
+    first = F.try_element_at("positions", F.lit(1)).asc_nulls_last()
+    return p.repartitionByRange(first, "doc_id").sortWithinPartitions(first, "doc_id")
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), repeats: int = 3,
-        ramps: Sequence[tuple[float, float]] = ((1.5, 0.5), (1.0, 1.0), (0.5, 1.5))) -> DataFrame:
+        ramps: Sequence[tuple[float, float]] = RAMPS) -> DataFrame:
     """The mix itself: the columns of ``docs`` in training order, a row for each pass that takes words.
 
-    ``ramps`` are the sources' weights at the begin and end of training, in turn. The last document that a
+    ``ramps`` are the weights at the begin and end of training of the sources that take words, in turn. The last document that a
     source's demand reaches is cut after the words it takes, with ``n_chars`` following if there
     is such a column. Documents without words are in no mix. Rows are range-sorted by position.
     """
     p = plan(docs, weights, repeats, carry=True)
     p = p.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))).withColumn("words", _taken(F.col("copy"))).filter("words > 0")
-    share = (F.col("copy") * F.col("source_size") + F.col("before") + F.col("words") / 2) / F.col("target")
-    of = lambda i: F.element_at(F.array(*(F.lit(float(r[i])) for r in ramps)), (F.col("turn") % len(ramps) + 1).cast("int"))
     words = F.regexp_extract_all("doc.text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     cut = F.array_join(F.slice(words, F.lit(1), F.col("words").cast("int")), "")
     text = F.when(F.col("words") < F.col("size"), cut).otherwise(F.col("doc.text"))
-    p = p.withColumn("position", position(share, of(0), of(1)))
+    p = p.withColumn("position", _position(F.col("copy"), F.col("words"), ramps))
     fields = {c: F.col(f"doc.`{c}`") for c in docs.columns} | {"text": text}
     if "n_chars" in docs.columns:
         fields["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)

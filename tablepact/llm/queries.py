@@ -14,7 +14,7 @@ from .common import table
 from .embedding_dedup import near_vectors
 from .hamming_search import nearest
 from .html_text import main_text
-from .mixing import plan
+from .mixing import schedule
 from .ngram_join import jaccard_join
 from .packing import pack
 from .pseudonyms import pseudonymise
@@ -84,7 +84,8 @@ def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
-    return plan(table(spark, sf, "documents").select("doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken")
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source")
+    return schedule(docs).select("doc_id", "size", "source_size", "target", "taken", "positions")
 
 
 #: A table of (doc_id, source, size) to what the mix takes of it.
@@ -103,6 +104,14 @@ ORDER BY coalesce(md5(doc_id::VARCHAR), ''), doc_id NULLS FIRST, size ROWS BETWE
 FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
 mixed AS (SELECT *, (greatest(0, least(size, floor(target) - before)) + greatest(0, least(size, floor(target) - before - source_size))
 + greatest(0, least(size, floor(target) - before - 2 * source_size)))::BIGINT AS taken FROM placed)"""
+#: Continues it: each pass's place in training, by the source's ramp.
+PASSES_SQL = """ramps AS (SELECT source, [-0.5, 0, 0.5][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS k
+FROM targets WHERE floor(target) >= 1),
+passes AS (SELECT m.doc_id, copy, k, greatest(0, least(size, floor(target) - before - copy * source_size)) AS words,
+(copy * source_size + before + words / 2) / floor(target) AS share
+FROM mixed m JOIN ramps r ON m.source IS NOT DISTINCT FROM r.source, range(3) c(copy)),
+ordered AS (SELECT doc_id, copy, CASE WHEN k = 0 THEN share ELSE (sqrt((1 - k) * (1 - k) + 4 * k * share) - (1 - k)) / (2 * k) END AS position
+FROM passes WHERE words > 0)"""
 ORACLES["op9_mixing"] = rf"""WITH sized AS (SELECT doc_id, source,
 coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
 {MIX_SQL}

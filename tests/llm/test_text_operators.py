@@ -14,11 +14,11 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tablepact.llm import packing
 from tablepact.llm.common import PieceCoder, components
-from tablepact.llm.mixing import mix, plan
+from tablepact.llm.mixing import mix, plan, RAMPS, schedule
 from tablepact.llm.ngram_join import Bands, deletion_keys, exact_keys, jaccard_join, shingles_of, similar
 from tablepact.llm.pseudonyms import Feistel, Pseudonyms, luhn, pseudonymise
 from tablepact.llm.quality import held_out, score, train
-from tablepact.llm.queries import MIX_SQL
+from tablepact.llm.queries import MIX_SQL, PASSES_SQL, QUERIES
 from tablepact.llm.secret_scan import find_secrets, Novelty, redact, scan
 from tablepact.llm.token_codes import Block, encode_block, read_tokens, write_tokens
 from tablepact.sources.staging import new_path
@@ -172,6 +172,71 @@ def test_mixing_like_sql(spark, odd, empty):
     assert plan(empty).count() == mix(empty).count() == 0
 
 
+def brute_mix(rows, weights=(1, 2, 3), repeats=3, ramps=RAMPS):
+    """``(position, doc_id, copy, words)`` of rows ``(doc_id, text, source)`` in training order; ids are unique."""
+    by = {}
+    for d, t, s in rows:
+        by.setdefault(s, []).append((hashlib.md5(str(d).encode()).hexdigest(), d, len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))))
+    names = sorted(by, key=lambda s: (s is None, s or ""))
+    size = {s: sum(n for _, _, n in by[s]) for s in names}
+    weight = {s: float(weights[i % len(weights)]) for i, s in enumerate(names)}
+    target, left, rest = {}, float(sum(size.values())), sorted(names, key=lambda s: (repeats * size[s] / weight[s], names.index(s)))
+    while rest and repeats * size[rest[0]] * sum(weight[s] for s in rest) <= left * weight[rest[0]]:
+        target[rest[0]] = float(repeats * size[rest[0]])
+        left -= target[rest.pop(0)]
+    target |= {s: weight[s] * left / sum(weight[x] for x in rest) for s in rest}
+    out, taking = [], [s for s in names if int(target[s])]
+    for i, s in enumerate(taking):
+        begin, end = ramps[i % len(ramps)]
+        at = 0
+        for copy in range(repeats):
+            for _, d, n in sorted(by[s]):
+                words = max(0, min(n, int(target[s]) - at))
+                share, low, high = (at + words / 2) / int(target[s]), 0.0, 1.0
+                for _ in range(60):  # bisection of the integral of the weight, as a share of the whole
+                    t = (low + high) / 2
+                    used = (begin * t + (end - begin) * t * t / 2) / ((begin + end) / 2)
+                    low, high = (t, high) if used < share else (low, t)
+                if words:
+                    out.append((low, d, copy, words))
+                at += n
+    return sorted(out)
+
+
+def sourced(spark):
+    """Sources that are repeated, cut and without words."""
+    rng = np.random.default_rng(31)
+    rows = [(i, text(500 + i, int(rng.integers(1, 60))), ["a", "b", "c", None, "d"][int(rng.choice(5, p=[.5, .25, .05, .1, .1]))]) for i in range(160)]
+    rows += [(900, "", "aa"), (901, None, "aa"), (902, " ", "c")]
+    return rows, spark.createDataFrame([(*r, len(r[1] or ""), 7, "x", "y") for r in rows], SCHEMA)
+
+
+def test_positions_and_order_like_bisection(spark):
+    rows, docs = sourced(spark)
+    want = brute_mix(rows)
+    got = schedule(docs).collect()
+    assert len(got) == len(rows) and [r["doc_id"] for r in got if r["positions"]] == [d for _, d, c, _ in want if c == 0]
+    assert not any(r["positions"] for r in got[len([w for w in want if w[2] == 0]) :])
+    flat = sorted((p, r["doc_id"], c) for r in got for c, p in enumerate(r["positions"]))
+    assert [x[1:] for x in flat] == [w[1:3] for w in want] and [x[0] for x in flat] == pytest.approx([w[0] for w in want], abs=1e-9)
+    con = duckdb.connect()
+    con.register("documents", docs.select("doc_id", "text", "source").toPandas())
+    sql = con.execute(rf"""WITH sized AS (SELECT doc_id, source,
+        coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents), {MIX_SQL}, {PASSES_SQL}
+        SELECT position, doc_id, copy FROM ordered ORDER BY ALL""").fetchall()
+    assert [x[1:] for x in sql] == [x[1:] for x in flat] and [x[0] for x in sql] == pytest.approx([x[0] for x in flat], abs=1e-12)
+    flatly = schedule(docs, ramps=[(1.0, 1.0)]).collect()
+    assert [r["doc_id"] for r in flatly] != [r["doc_id"] for r in got]
+    out = [(r["doc_id"], len(r["text"].split())) for r in mix(docs).collect()]
+    assert out == [(d, n) for _, d, _, n in want]
+
+
+def test_query_has_positions(spark, sf):
+    rows = QUERIES["op9_mixing"](spark, sf).collect()
+    want = brute_mix(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "source").collect())
+    assert [r["doc_id"] for r in rows if r["positions"]] == [d for _, d, c, _ in want if c == 0]
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 140)] + [(7, 7), (300, 299)]
     got = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
