@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablepact.llm.common import table, written
-from tablepact.llm.mixing import mix
+from tablepact.llm.mixing import mix, placed
 from tablepact.llm.ngram_join import jaccard_join
 from tablepact.llm.packing import pack
 from tablepact.llm.quality import score, train
@@ -59,8 +59,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all rows in windows of 4096 ids; passes of one document are told apart by ``copy``."""
-    return pack(docs, vocabulary("word_bpe_49k.json")).drop("ids")
+    """Pieces of all rows in windows of 4096 ids, in training order: sequence ids ascend with it. The order is worked
+    out anew from the mix's rows. Passes of one document are told apart by ``copy``."""
+    return pack(placed(docs), vocabulary("word_bpe_49k.json"), order="position").drop("ids")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

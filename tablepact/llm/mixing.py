@@ -126,6 +126,30 @@ def schedule(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), repeats: int
     return p.repartitionByRange(first, "doc_id").sortWithinPartitions(first, "doc_id")
 
 
+def placed(mixed: DataFrame, ramps: Sequence[tuple[float, float]] = RAMPS) -> DataFrame:
+    """``doc_id, text, position`` of the rows of a mix, the positions being those that :func:`mix` sorted by.
+
+    They follow from the rows alone, whatever their order: a source's first passes add up to its size if any
+    document has a second one, all its rows to its demand, and only the last pass can be shorter than the first.
+    Rows must not share an id but as passes. Of rows without an id, those of equal text count as passes of one document.
+    """
+    name = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).alias("name")
+    rows = mixed.select("doc_id", "source", word_count(F.col("text")).alias("size"), _key(), name, "text")
+    slim = rows.drop("text").groupBy("source", "doc_id", "key", "name").agg(F.sum("size").alias("all"), F.max("size").alias("size"))
+    slim = written(slim, "documents")
+    by = slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum("all").alias("target"), F.count(F.lit(1)).alias("docs"))
+    turn = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
+    by = written(by.withColumn("turn", turn).withColumn("ramp", F.col("turn")), "shares")
+    document = Window.partitionBy("turn", "bucket", "key", "doc_id", "name")
+    out = _bucketed(rows, by).withColumn("copy", F.row_number().over(document.orderBy(F.desc("size"))) - 1).withColumn(
+        "whole", F.max("size").over(document))
+    first = F.when(F.col("copy") == 0, F.col("size")).otherwise(0)
+    order = Window.partitionBy("turn", "bucket").orderBy("key", "doc_id", "whole", "name", "copy").rowsBetween(Window.unboundedPreceding, -1)
+    out = out.withColumn("within", F.coalesce(F.sum(first).over(order), F.lit(0)) - F.when(F.col("copy") > 0, F.col("whole")).otherwise(0))
+    out = out.join(_bases(slim, by), ["turn", "bucket"]).withColumn("before", F.col("base") + F.col("within"))
+    return out.select("doc_id", "text", _position(F.col("copy"), F.col("size"), ramps).alias("position"))
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), repeats: int = 3,
         ramps: Sequence[tuple[float, float]] = RAMPS) -> DataFrame:
     """The mix itself: the columns of ``docs`` in training order, a row for each pass that takes words.

@@ -1,6 +1,6 @@
 """Packing documents into fixed windows, in order, by dynamic programming.
 
-Documents are laid end to end in ``doc_id`` order. Cuts cost nothing at a document's end, a
+Documents are laid end to end in ``doc_id`` order or by a given column. Cuts cost nothing at a document's end, a
 little at a sentence's end, more elsewhere; a window costs its padding. The cheapest series of
 cuts follows from ``best(j) = cost(j) + min over i in reach of (best(i) + i) + window - j``, whose
 minimum over the sliding reach is kept in a monotone queue: linear time.
@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import piece_coder
@@ -51,13 +51,13 @@ def powers_of_two(n: int) -> list[int]:
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, window: int = 4096, sentence_cost: float = 4.0, word_cost: float = 16.0,
-         hard_every: int = 16, block_windows: int = 64) -> DataFrame:
+         hard_every: int = 16, block_windows: int = 64, order: str | None = None) -> DataFrame:
     """Pieces of all documents: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, copy, ids``.
 
     Each text's ids plus ``end_id`` are cut into pieces; a sequence holds at most ``window`` ids, without
-    gaps. Tasks pack ranges of ``doc_id`` on their own; what is left at a range's end goes into sequences whose
+    gaps. Tasks pack ranges of ``doc_id``, or of the column ``order`` if given, on their own; what is left at a range's end goes into sequences whose
     lengths are powers of two, which need no padding. Null texts are empty (one id), null doc_ids come
-    first, and repeated ids are told apart by ``copy`` (0, 1, ... in order of text). The plan is made for
+    first, and repeated ids are told apart by ``copy`` (0, 1, ... in order of text, or of ``order`` and text). The plan is made for
     ``block_windows`` windows at a time, carrying the last window over, so memory is bounded by
     that and one document. An empty table gives no pieces; other columns are not read.
     """
@@ -71,6 +71,16 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, window: int = 4096, s
         held: deque[tuple[int | None, int, bytes, int]] = deque()
         size, last, copy = 0, object(), 0
 
+        def copies(batch: pa.RecordBatch) -> Iterator[int]:
+            nonlocal last, copy
+            if order:
+                yield from batch["copy"].to_pylist()
+                return
+            for doc in batch["doc_id"].to_pylist():
+                copy = copy + 1 if doc == last else 0
+                last = doc
+                yield copy
+
         def places() -> tuple[list[int], list[float]]:
             at, where, cost = 0, [np.zeros(1, np.int64)], [np.zeros(1)]
             for _, _, ids, done in held:
@@ -120,15 +130,18 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, window: int = 4096, s
             return lengths[:-1] + powers_of_two(lengths[-1])
 
         for batch in batches:
-            for doc, ids in zip(batch["doc_id"].to_pylist(), coder.ids(batch["text"].to_pylist()), strict=True):
-                copy = copy + 1 if doc == last else 0
-                last = doc
-                held.append((doc, copy, ids + end, 0))
+            for doc, number, ids in zip(batch["doc_id"].to_pylist(), copies(batch), coder.ids(batch["text"].to_pylist()), strict=True):
+                held.append((doc, number, ids + end, 0))
                 size += len(ids) // 4 + 1
                 if size >= block_windows * window:
                     yield from emit(planned(False))
         if held:
             yield from emit(planned(True))
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(run, PIECE_SCHEMA)
+    text = F.coalesce("text", F.lit("")).alias("text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text, *([F.col(order).alias("at")] if order else []))
+    if not order:
+        return rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(run, PIECE_SCHEMA)
+    copy = (F.row_number().over(Window.partitionBy("doc_id").orderBy("at", "text")) - 1).alias("copy")
+    rows = rows.select("doc_id", "text", copy, "at").repartitionByRange("at", "doc_id").sortWithinPartitions("at", "doc_id", "copy")
+    return rows.mapInArrow(run, PIECE_SCHEMA)

@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tablepact.llm import packing
 from tablepact.llm.common import PieceCoder, components
-from tablepact.llm.mixing import mix, plan, RAMPS, schedule
+from tablepact.llm.mixing import mix, placed, plan, RAMPS, schedule
 from tablepact.llm.ngram_join import Bands, deletion_keys, exact_keys, jaccard_join, shingles_of, similar
 from tablepact.llm.pseudonyms import Feistel, Pseudonyms, luhn, pseudonymise
 from tablepact.llm.quality import held_out, score, train
@@ -231,6 +231,19 @@ def test_positions_and_order_like_bisection(spark):
     assert out == [(d, n) for _, d, _, n in want]
 
 
+def test_packing_in_the_order_of_the_mix(spark):
+    rows, docs = sourced(spark)
+    want = brute_mix(rows)
+    shuffled = mix(docs).orderBy(F.xxhash64("doc_id", F.length("text"), F.rand(3)))
+    got = sorted(tuple(r) for r in placed(shuffled).select("position", "doc_id", "text").collect())
+    assert [x[0] for x in got] == pytest.approx([w[0] for w in want], abs=1e-9)
+    assert [(d, len(t.split())) for _, d, t in got] == [(d, n) for _, d, _, n in want]
+    packed = packing.pack(placed(shuffled), public_tokenizers.path("word_bpe_49k.json"), window=64, order="position").collect()
+    starts = [r for r in sorted(packed, key=lambda r: (r["sequence_id"], r["offset"])) if r["start"] == 0]
+    assert [(r["doc_id"], r["copy"]) for r in starts] == [w[1:3] for w in want]
+    assert placed(docs.limit(0)).count() == 0
+
+
 def test_query_has_positions(spark, sf):
     rows = QUERIES["op9_mixing"](spark, sf).collect()
     want = brute_mix(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "source").collect())
@@ -339,3 +352,24 @@ def test_pipeline(spark, sf):
             assert want is None or {r["doc_id"] for r in out.collect()} == {c for _, c in want.values()}
         docs = out
     assert corpus_pipeline.packing(spark, docs, sf).count() >= docs.count()
+
+
+def test_pipeline_packs_what_the_mix_holds_in_its_order(spark, sf, monkeypatch):
+    kept = {}
+    whole = corpus_pipeline.written
+    monkeypatch.setattr(corpus_pipeline, "written", lambda df, name: kept.setdefault(name, whole(df, name)))
+    got = sorted(corpus_pipeline.run(spark, sf).collect(), key=lambda r: (r["sequence_id"], r["offset"]))
+    rows = kept["secrets"].select("doc_id", "text", "source").collect()
+    texts = {r["doc_id"]: r["text"] for r in rows}
+    want = brute_mix(rows)
+    assert [(r["doc_id"], r["copy"]) for r in got if r["start"] == 0] == [w[1:3] for w in want]
+    at = {}
+    for r in got:
+        at.setdefault((r["doc_id"], r["copy"]), []).append(r)
+    for _, d, copy, n in want:
+        t = "".join(re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+", texts[d])[:n]) if n < len(texts[d].split()) else texts[d]
+        ids, place = ids_of("word_bpe_49k.json", t), 0
+        for r in at[d, copy]:
+            assert r["start"] == place and r["doc_tokens"] == len(ids) and r["ids_crc32"] == zlib.crc32(ids[place : place + r["length"]].tobytes())
+            place += r["length"]
+        assert place == len(ids)
