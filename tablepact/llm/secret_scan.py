@@ -7,6 +7,7 @@ words, names and repeated text add little, random strings add nearly their entro
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator
@@ -26,6 +27,18 @@ _CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
 _CONTEXT = re.compile(r"key|secret|token|passw|credential|auth|bearer|private|access|signature|pwd", re.I | re.A)
 _NEAR = 48
 _AROUND = 256
+# Base64 has six bits of a byte: the most that the entropy coder leaves of a random string among others of its kind.
+_AMONG = 0.75
+# The last, shorter line of a wrapped key.
+_TAIL = re.compile(r"[ \t]*\r?\n[ \t]*([A-Za-z0-9+/_=-]{1,15})(?=[ \t]*(?:\r?\n|\Z))")
+_TAIL_LOOKS = re.compile(r"[A-Za-z0-9].*[0-9+/=]|[0-9+/=].*[A-Za-z0-9]|[a-z].*[A-Z]")
+#: Plain prose, so that words cost in a short text what they cost in a long one.
+PROSE = (
+    "The committee met again on Thursday evening to discuss how the old library could be opened for visitors during the summer months, "
+    "because many of the families living near the river had asked for a quiet place where children might read after school. Although "
+    "nobody expected an immediate decision, several members explained that the building requires only small repairs, and that volunteers "
+    "would gladly help with painting, cleaning and moving the heavy shelves before the first warm weekend of June. "
+)
 
 #: Identifiers that code holds anywhere; the scan's default dictionary.
 IDENTIFIERS = (
@@ -56,9 +69,11 @@ class Novelty:
 def find_secrets(text: str, novelty: Novelty, threshold: float = 0.8) -> list[tuple[int, int, str]]:
     """``(start, end, kind)`` in code points, by start, then in the order of ``KINDS``.
 
-    A novel span is 16 or more characters of a key's alphabet with a digit and a letter, not touched by
-    another kind's span, with a sensitive word within 48 characters before it, and adds ``threshold``
-    bytes a character or more.
+    A novel span is 16 or more characters of a key's alphabet, not touched by another kind's span, that adds
+    ``threshold`` bytes a character or more. It stands within 48 characters of a sensitive word, on either side, or of a
+    span that does so or is carried on from one: the lines of a key, the keys of a list. Among other
+    candidates it may add ``threshold`` only without them, if it adds three quarters of it with them. A shorter
+    last line of a wrapped key belongs to it.
     """
     spans = []
     low = text.lower()
@@ -67,19 +82,60 @@ def find_secrets(text: str, novelty: Novelty, threshold: float = 0.8) -> list[tu
     if "AKIA" in text:
         spans += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text)]
     spans += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
-    base = sorted((a, b) for a, b, _ in spans)
-    if _CONTEXT.search(text):
-        for m in _CANDIDATE.finditer(text):
-            a, b, s = m.start(), m.end(), m[0]
-            if not (any(c.isdigit() for c in s) and any(c.isalpha() for c in s)) or any(x < b and a < y for x, y in base):
-                continue
-            if not _CONTEXT.search(text, max(0, a - _NEAR), a):
-                continue
-            if novelty.of(s, text[max(0, a - _AROUND) : a] + text[b : b + _AROUND]) >= threshold:
-                spans.append((a, b, "novel"))
+    if spans or _CONTEXT.search(text):
+        spans += [(a, b, "novel") for a, b in _novel(text, spans, novelty, threshold)]
     return sorted(spans, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 
 
+def _explained(text: str, a: int, b: int, novelty: Novelty, threshold: float) -> bool:
+    s, before, after = text[a:b], text[max(0, a - _AROUND) : a], text[b : b + _AROUND]
+    # Words without a digit are common, and so are numbers: a short or odd text must not make them look random.
+    mixed = any(c.isdigit() for c in s) and any(c.isalpha() for c in s)
+    if not mixed and novelty.of(s, PROSE) < threshold:
+        return True
+    added = novelty.of(s, ("" if mixed else PROSE) + before + after)
+    if added >= threshold or added < _AMONG * threshold:
+        return added < threshold
+    alone = _CANDIDATE.sub("", before) + _CANDIDATE.sub("", after)
+    return len(alone) == len(before) + len(after) or novelty.of(s, PROSE + alone) < threshold
+
+
+def _novel(text: str, base: list[tuple[int, int, str]], novelty: Novelty, threshold: float) -> list[tuple[int, int]]:
+    taken: list[list[int]] = []  # the base spans, overlapping ones as one
+    for a, b, _ in sorted(base):
+        if taken and a < taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], b)
+        else:
+            taken.append([a, b])
+    starts = [a for a, _ in taken]
+
+    def touched(a: int, b: int) -> bool:
+        i = bisect.bisect_left(starts, b) - 1
+        return i >= 0 and taken[i][1] > a
+
+    items = sorted([*base, *((m.start(), m.end(), "") for m in _CANDIDATE.finditer(text) if not touched(m.start(), m.end()))])
+    said: list[bool | None] = [True if k in ("assign", "access") else None for _, _, k in items]
+    for order in (range(len(items)), range(len(items) - 1, -1, -1)):
+        last = None  # the nearest span before, in this direction, that is context
+        for i in order:
+            a, b, k = items[i]
+            if said[i] is None:
+                close = last is not None and max(a - items[last][1], items[last][0] - b) <= _NEAR
+                if close or _CONTEXT.search(text, max(0, a - _NEAR), a) or _CONTEXT.search(text, b, b + _NEAR):
+                    said[i] = k == "hex" or not _explained(text, a, b, novelty, threshold)
+            if said[i]:
+                last = i
+    out = []
+    for (a, b, k), yes in zip(items, said, strict=True):
+        if not yes or k:
+            continue
+        out.append((a, b))
+        if b - a >= 32 and not text[text.rfind("\n", 0, a) + 1 : a].strip() and (m := _TAIL.match(text, b)) and not touched(m.start(1), m.end(1)):
+            if _TAIL_LOOKS.search(m[1]) or text[m.end() : m.end() + 40].lstrip().startswith("-----END"):
+                out.append(m.span(1))
+    return out
+
+
 def digest(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for a, b, k in spans)
 
