@@ -33,6 +33,13 @@ _IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
 NOISE = re.compile(
     r"(?:^|[-_\s])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disclaimer|disqus|footer|header|login|menu|modal|nav\w*|newsletter|notices?|"
     r"pager|pagination|popup|promo\w*|recommend\w*|related|replies|reply|respond|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[-_\s\d])", re.I)
+#: Parts of names that tell how a wrapper is laid out.
+_STATE = re.compile(r"(?:^|(?<=[-_\s]))(?:has|with|without|no)[-_]+[^-_\s]+", re.I)
+#: Noise that may well be longer than the article.
+_LONG = re.compile(r"comment|disqus|repl(?:y|ies)|respond|cookie|consent|disclaimer", re.I)
+_ARTICLE = ("article", "main")
+_PARAGRAPHS = frozenset("p pre blockquote dd td li".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(?P<end>/)?(?P<tag>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
@@ -43,6 +50,7 @@ class Node:
     path: str
     up: Node | None
     dropped: bool = False
+    noisy: str = ""  # class, id and role, if only they say that it is not the article
     links: int = 0
     inside: list = field(default_factory=list)  # str, Node, or None for a line break
 
@@ -61,6 +69,7 @@ def parse(page: str) -> Node:
     """Block elements as a tree; inline elements only pass their text on, links count its length."""
     root = node = Node("", "", None)
     at, link = 0, 0
+    named: list[Node] = []
 
     def text(piece: str) -> None:
         if piece:
@@ -109,15 +118,55 @@ def parse(page: str) -> Node:
                     node = n.up
             attributes = _attributes(m["attrs"]) if m["attrs"] else {}
             marks = " ".join(attributes.get(k, "") for k in ("class", "id", "role"))
-            noisy = tag not in ("html", "body", "article", "main") and bool(marks.strip()) and bool(NOISE.search(marks))
+            noisy = tag not in ("html", "body", "article", "main") and bool(marks.strip()) and bool(NOISE.search(_STATE.sub(" ", marks)))
             hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "")
             new = Node(tag, f"{node.path}>{_step(tag, attributes)}" if node.path else _step(tag, attributes), node,
-                       node.dropped or tag in DROPPED or tag == "header" or noisy or hidden)
+                       tag in DROPPED or tag == "header" or noisy or hidden)
+            if noisy and not (tag in DROPPED or tag == "header" or hidden):
+                new.noisy = marks
+                named.append(new)
             node.inside.append(new)
             node, link = new, 0
+    if named:
+        _restore(root, named)
     return root
 
 
+def _own(n: Node) -> int:
+    """Length of the text directly in the node, less its links."""
+    return sum(len(x.strip()) for x in n.inside if isinstance(x, str)) - 2 * n.links
+
+
+def _restore(root: Node, named: list[Node]) -> None:
+    """Takes up elements dropped by name alone that hold most of the page's paragraph text or an article.
+
+    Comments and notices can hold most of it: they stay out if there are other paragraphs, as does all that
+    stands beside an article with text. Names within an article count unless most of the text is there.
+    """
+    order, todo = [], [(root, "", False)]  # parents first; the article or main it stands in, whether in a named element
+    while todo:
+        n, inside, named_above = todo.pop()
+        order.append((n, inside, named_above))
+        for x in n.inside:
+            if isinstance(x, Node) and (x.noisy or not x.dropped):
+                todo.append((x, "article" if "article" in (inside, n.tag) else "main" if n.tag == "main" else inside, named_above or bool(n.noisy)))
+    size, holds, nested, clean, article = {}, {}, {}, 0, 0
+    for n, inside, named_above in reversed(order):
+        below = [x for x in n.inside if isinstance(x, Node) and id(x) in size]
+        own = max(0, _own(n))
+        size[id(n)] = own + sum(size[id(x)] for x in below)
+        holds[id(n)] = any(holds[id(x)] or x.tag in _ARTICLE and size[id(x)] > 0 for x in below)
+        nested[id(n)] = inside
+        if own and not (named_above or n.noisy or n.tag in _HEADINGS):
+            clean, article = clean + own, article + own * bool(inside or n.tag in _ARTICLE)
+    for n in named:
+        if id(n) not in size:
+            continue
+        most = 2 * size[id(n)] > size[id(root)] and not (clean and _LONG.search(n.noisy)) and bool(nested[id(n)] or not article)
+        if most or holds[id(n)] and nested[id(n)] != "article":
+            n.dropped = False
+
+
 def blocks(node: Node) -> list[str]:
     """The node's text, one entry a block: white space as one blank, trimmed, empty ones left out."""
     out: list[str] = []
@@ -163,7 +212,7 @@ def scores(root: Node) -> dict[int, tuple[float, Node]]:
     """Containers by the text of their paragraphs: in full for the parent, half for the grandparent."""
     got: dict[int, tuple[float, Node]] = {}
     for n in _walk(root):
-        own = sum(len(x.strip()) for x in n.inside if isinstance(x, str)) - 2 * n.links
+        own = _own(n)
         if own <= 0:
             continue
         up, part = (n, 1.0) if n.tag in CONTAINERS else (n.up, 1.0)
@@ -178,20 +227,65 @@ def scores(root: Node) -> dict[int, tuple[float, Node]]:
     return got
 
 
+def _whole(root: Node, best: list[Node]) -> list[Node]:
+    """The smallest containers that hold ``best`` and the paragraphs and headings beside them, not beyond an article.
+
+    What frames the whole page (``body``, or a lone element in it) may hold other things in ``div``s: only
+    paragraphs outside of these count there.
+    """
+    order = list(_walk(root))
+    every: dict[int, int] = {}  # paragraphs and headings in a node, and those not in a div of it
+    near: dict[int, int] = {}
+    for n in reversed(order):
+        below = [x for x in n.inside if isinstance(x, Node) and not x.dropped]
+        own = int((n.tag in _PARAGRAPHS or n.tag in _HEADINGS) and _own(n) > 0)
+        every[id(n)] = own + sum(every[id(x)] for x in below)
+        near[id(n)] = own + sum(near[id(x)] for x in below if x.tag != "div")
+    frames, f = set(), root
+    while f:
+        frames.add(id(f))
+        below = [x for x in f.inside if isinstance(x, Node) and not x.dropped]
+        f = below[0] if len(below) == 1 and below[0].tag not in _ARTICLE and _own(f) <= 0 else None
+    out: list[Node] = []
+    for n in best:
+        top, at, more = n, n, False
+        while at.up and at.tag not in _ARTICLE:
+            up = at.up
+            page = up.tag in ("", "html", "body")
+            for x in up.inside:
+                if isinstance(x, Node) and x is not at and not x.dropped and not more:
+                    more = (0 if x.tag == "div" or page and x.tag in _HEADINGS else near[id(x)]) > 0 if page or id(up) in frames else every[id(x)] > 0
+            more = more or up.tag in CONTAINERS and not page and _own(up) > 0
+            if more and up.tag in CONTAINERS:
+                top, more = up, False
+            at = up
+        if not any(x is top for x in out):
+            out.append(top)
+    return out
+
+
 def vote(root: Node) -> tuple[str, float] | None:
-    """Path and score of the page's best container; the first in page order of equals."""
+    """Path and score of the page's best container, taken whole; the first in page order of equals."""
     best = max(scores(root).values(), key=lambda x: x[0], default=None)
-    return (best[1].path, best[0]) if best else None
+    return (_whole(root, [best[1]])[0].path, best[0]) if best else None
 
 
 def extract(root: Node, path: str | None) -> str:
-    """Text of the outermost containers under ``path``, else of the page's own best one."""
+    """Text of the outermost containers under ``path``, else of the page's own best one, taken whole."""
     found = [n for n in _walk(root) if n.path == path] if path else []
     found = [n for n in found if blocks(n)]
     if not found:
         best = max(scores(root).values(), key=lambda x: x[0], default=None)
         found = [best[1]] if best else []
-    return "\n".join(line for n in found for line in blocks(n))
+    found = _whole(root, found)
+    kept, chosen = [], {id(n) for n in found}
+    for n in found:
+        up = n.up
+        while up and id(up) not in chosen:
+            up = up.up
+        if not up:
+            kept.append(n)
+    return "\n".join(line for n in kept for line in blocks(n))
 
 
 def host(url):

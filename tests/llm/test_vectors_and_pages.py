@@ -95,5 +95,28 @@ def test_page_text(spark):
     assert main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_text_beside_a_long_section_stays(spark):
+    long = "<p>" + "a long paragraph of the article, " * 30 + "</p>"
+    for tag in ("section", "blockquote", "div"):
+        page = f"<body><article><h1>Title</h1><p>The intro.</p><{tag}>{long}</{tag}></article><div class='ad'>buy</div>"
+        assert extract(parse(page), None).split("\n")[:2] == ["Title", "The intro."] and "buy" not in extract(parse(page), None)
+    table = f"<body><div><div id='x'><p>The intro.</p><table><tr><td>{long}</td><td>second cell</td></tr></table></div><div><p>other</p></div></div>"
+    assert extract(parse(table), None).split("\n")[0] == "The intro." and extract(parse(table), None).endswith("second cell")
+    rows = [(i, f"http://h.example/{i}", f"<article><h1>T{i}</h1><p>Intro {i}</p><section>{long}</section></article>") for i in range(6)]
+    got = main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert all(r["path"] == "article" and r["text"].startswith(f"T{r['page_id']}\nIntro {r['page_id']}\n") for r in got)
+    assert extract(parse("<div>" * 20000 + "<p>deep text</p>"), None) == "deep text"
+
+
+def test_names_of_wrappers_drop_no_article():
+    text = "<p>" + "words of the article " * 20 + "</p>"
+    for name in ("has-sidebar", "content-with-sidebar", "no-comments", "sidebar", "page-header"):
+        assert extract(parse(f"<body><div class='{name}'><article><h1>T</h1>{text}</article></div>"), None).startswith("T\nwords")
+        assert "words" in extract(parse(f"<body><p>By somebody</p><div class='{name}'>{text}</div>"), None)
+        assert "words" in extract(parse(f"<body><article><p>short</p><div class='{name}'>{text}</div></article>"), None)
+    page = f"<body><article>{text}<div class='related'><p>another one</p></div><div class='sidebar'><p>side</p></div></article><div class='comments'>{text * 3}</div>"
+    assert extract(parse(page), None) == " ".join(["words of the article"] * 20)
+
+
 def test_every_operator_is_registered():
     assert sorted({int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")}) == list(range(1, 11)) and "pipeline" in QUERIES
