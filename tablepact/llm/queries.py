@@ -20,7 +20,10 @@ from .packing import pack
 from .pseudonyms import pseudonymise
 from .quality import held_out, score, train
 from .secret_scan import scan
+from .sentence_pieces import decode, encode
+from .spelling_variants import variants
 from .token_codes import read_tokens, write_tokens
+from .whitening import whiten
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,6 +155,43 @@ ORACLES["op8_ngram_join"] = f"""WITH RECURSIVE input AS (SELECT doc_id, text FRO
 SELECT doc_id, n_shingles, component_id FROM joined"""
 
 
+@query
+def op11_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whiten(table(spark, sf, "embeddings"), components=16)
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return variants(table(spark, sf, "documents"))
+
+
+#: CRC-32 by its polynomial; near words share what is left of them without one letter, at the same place or against the whole.
+ORACLES["op12_spelling_variants"] = r"""WITH RECURSIVE
+polynomial AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i::BIGINT, range(8)), lambda c, k: xor(c >> 1, 3988292384 * (c & 1)))) AS t),
+runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS h FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+sums AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(len(h) // 2), lambda i: ('0x' || substr(h, (2 * i + 1)::INT, 2))::BIGINT)),
+lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM counted, polynomial),
+found AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run) + 2)::INT) ELSE run END AS word, n FROM sums),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM found WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+less AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM words)),
+pairs AS (SELECT a.word AS a, b.word AS b FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+UNION SELECT a.word, b.word FROM words a JOIN less b ON a.word = b.rest UNION SELECT b.word, a.word FROM words a JOIN less b ON a.word = b.rest),
+ranked AS (SELECT p.a, p.b, w.n, count(*) OVER (PARTITION BY p.a) AS n_near, row_number() OVER (PARTITION BY p.a ORDER BY w.n DESC, p.b) AS k FROM pairs p JOIN words w ON w.word = p.b),
+forms AS (SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.n >= 5 * w.n THEN r.b END AS form, CASE WHEN r.n >= 5 * w.n THEN r.n END AS form_n
+FROM words w LEFT JOIN ranked r ON r.a = w.word AND r.k = 1),
+chain AS (SELECT word, word AS at, form AS next FROM forms UNION ALL SELECT c.word, c.next, f.form FROM chain c JOIN forms f ON f.word = c.next)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n FROM forms f JOIN chain c ON c.word = f.word AND c.next IS NULL"""
+
+
+@query
+def op13_sentence_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    path = vocabulary("piece_bpe_32k.model")
+    coded = encode(table(spark, sf, "documents").select("doc_id", "text"), path).drop("text")
+    return decode(coded, path).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return run(spark, sf)
