@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,36 +12,10 @@ from ..functions import dates as D
 from ..functions import web as H
 from ..functions.sql import array, lit
 from ..operators.ordering import ORD
-
-BOM = "﻿"
+from .csv_scan import csv_headers, scan_raw_strings  # noqa: F401
 
 
 # ---------------------------------------------------------------- raw tables
-def csv_header(spark: SparkSession, path: str, **options) -> list[str]:
-    """Column names of a CSV file or folder: reads the first line only, strips a byte order mark."""
-    names = spark.read.options(header=True, inferSchema=False, escape='"', **options).csv(path).columns
-    return [n[1:] if n.startswith(BOM) else n for n in names]
-
-
-def scan_raw_strings(spark: SparkSession, path: str, header: Sequence[str] | None = None, **options) -> DataFrame:
-    """CSV as an all-text table: nothing is inferred, an empty cell is ``""`` and never NULL.
-
-    ``_ord`` is the row's position, ``(file, start, seq)``: splits of a large file land
-    in any partition, but inside a split the sequence follows the file.
-    """
-    names = list(header) if header is not None else csv_header(spark, path, **options)
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = spark.read.options(
-        header=True, escape='"', enforceSchema=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-        **options,
-    ).schema(schema).csv(path)
-    position = F.struct(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("seq"),
-    )
-    return df.select(position.alias(ORD), *names).na.fill("", subset=names)
-
-
 def as_raw_strings(df: DataFrame, order: str) -> DataFrame:
     """The same view over a typed table: cells as text, NULL as ``""``, ``order`` as the position."""
     cells = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns if c != order]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..contract import ORDERS, Contract
@@ -22,13 +23,57 @@ table = fx.table
 
 
 # ---------------------------------------------------------------- sources and sinks
-@query("scan_raw_strings", f"SELECT {O.COLS}, dense_rank() OVER (ORDER BY _ord) > 0 AS in_order FROM messy", ("messy",))
+#: Files of the scan: 4,000 keys each, three layouts in turn; every seventh row has a quoted line break, some rows are ragged.
+FILE_KEYS = 4000
+_LAYOUTS = [ORDERS.names, ORDERS.names[::-1], [*(n for n in ORDERS.names if n != "category"), "note"]]
+
+
+def messy_files(spark, sf):
+    """The messy table as CSV text files under one folder, as uploads of several tools would leave them."""
+    def quoted(c):
+        return f"""CASE WHEN {c} RLIKE '[",\\\\n]' THEN concat('"', replace({c}, '"', '""'), '"') ELSE {c} END"""
+
+    rows = fx.messy(spark, sf).selectExpr("*", "CAST(order_id AS BIGINT) AS k").selectExpr("*", f"k DIV {FILE_KEYS} AS f").selectExpr(
+        "* EXCEPT (product)", """CASE WHEN k % 7 = 0 THEN concat(product, '\\n"', 'x', '",') ELSE product END AS product""", "concat('n', CAST(k AS STRING)) AS note")
+    layouts = []
+    for names in _LAYOUTS:
+        every = "array(" + ", ".join(quoted(n) for n in names) + ")"
+        short = f"slice({every}, 1, {len(names) - 1})"
+        layouts.append(f"array_join(CASE WHEN k % 11 = 0 THEN {short} WHEN k % 13 = 0 THEN concat({every}, array('more')) ELSE {every} END, ',')")
+    heads = [",".join(names) for names in _LAYOUTS]
+    pick = lambda items: f"CASE f % 3 WHEN 0 THEN {items[0]} WHEN 1 THEN {items[1]} ELSE {items[2]} END"
+    lines = rows.selectExpr("f", "_ord", f"{pick(layouts)} AS line")
+    body = lines.groupBy("f").agg(F.sort_array(F.collect_list(F.struct("_ord", "line"))).alias("rows"))
+    text = body.selectExpr("f", f"concat({pick([repr(h) for h in heads])}, '\\n', array_join(rows.line, '\\n')) AS value")
+    path = new_path(spark, "messy_files")
+    text.write.partitionBy("f").text(path)
+    return path
+
+
+def _cell(n):
+    """Expected cell: the last one of a short row is empty, a column that the file lacks is NULL."""
+    last = " ".join(f"WHEN f % 3 = {i} AND k % 11 = 0 THEN ''" for i, names in enumerate(_LAYOUTS) if names[-1] == n)
+    lacks = " ".join(f"WHEN f % 3 = {i} THEN NULL" for i, names in enumerate(_LAYOUTS) if n not in names)
+    return f"CASE {lacks} {last} ELSE {n} END AS {n}" if last or lacks else n
+
+
+def _expected_text():
+    texts = []
+    for names in _LAYOUTS:
+        every = [f"""CASE WHEN regexp_matches({n}, '[",\\n]') THEN '"' || replace({n}, '"', '""') || '"' ELSE {n} END""" for n in names]
+        texts.append(f"CASE WHEN k % 11 = 0 THEN concat_ws(',', {', '.join(every[:-1])}) WHEN k % 13 = 0 THEN concat_ws(',', {', '.join(every)}, 'more') END")
+    return f"CASE f % 3 WHEN 0 THEN {texts[0]} WHEN 1 THEN {texts[1]} ELSE {texts[2]} END"
+
+
+@query("scan_raw_strings", f"""SELECT f, row_number() OVER (PARTITION BY f ORDER BY _ord) AS pos, {', '.join(_cell(n) for n in [*ORDERS.names, 'note'])}, {_expected_text()} AS corrupt
+FROM (SELECT * REPLACE (CASE WHEN k % 7 = 0 THEN product || chr(10) || '"x",' ELSE product END AS product), 'n' || k AS note, k // {FILE_KEYS} AS f
+FROM (SELECT *, CAST(order_id AS BIGINT) AS k FROM messy))""", ("messy",))
 def _(spark, sf):
-    """Round trip: the messy table written as CSV and scanned as raw text again."""
-    path = new_path(spark, "messy_csv")
-    S.write_clean_csv(fx.messy(spark, sf).orderBy("_ord"), path)
-    scanned = S.scan_raw_strings(spark, path)
-    return scanned.select(*ORDERS.names, F.expr("_ord.seq >= 0").alias("in_order"))
+    """Files of three layouts with line breaks in cells and ragged rows, scanned as one raw table in file order."""
+    scanned = S.scan_raw_strings(spark, messy_files(spark, sf), corrupt="corrupt")
+    of_file = Window.partitionBy("f").orderBy("_ord")
+    rows = scanned.withColumn("f", F.regexp_extract("_ord.file", "f=([0-9]+)", 1).cast("long")).withColumn("pos", F.row_number().over(of_file).cast("long"))
+    return rows.select("f", "pos", *ORDERS.names, "note", "corrupt")
 
 
 @query("write_clean_csv", f"SELECT {O.COLS} FROM truth", ("truth",))
