@@ -2,12 +2,13 @@
 
 Fusion: every rule that looks at single cells is a counter of one aggregation over
 one scan (:func:`cell_metrics`); every comparison by key comes out of one shuffle of
-outputs, truth, inputs and baseline together (:func:`key_facts`).
+the outputs that meets truth, inputs and baseline, each folded once per key (:func:`key_facts`).
 """
 
 from __future__ import annotations
 
 from collections.abc import Collection, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from ..functions.sql import array, in_list, lit, literal_map, name
 from ..operators.aggregates import duplicate_keys, duplicate_rows
 from ..operators.ordering import ORD, order_breaks
 from ..operators.quantiles import quantiles
+from ..sources.staging import materialize
 from .runs import CASE, RUN, RunSet
 
 CELL_CHECKS = ("SCH-02", "CLN-02", "CLN-03", "CLN-04", "CLN-05", "CLN-09")
@@ -177,19 +179,34 @@ def order_metrics(rs: RunSet) -> DataFrame:
 KEY_CHECKS = ("ROW-02", "CLN-06", "CLN-08", "SEM-02", "SEM-04")
 
 
+#: Repeated keys that a join may broadcast; more go by a shuffle.
+FEW_KEYS = 200_000
+
+
+def _unique(df: DataFrame, by: list[str], columns: Collection[str]) -> DataFrame:
+    """One row per key of a reference table. It should be so; where keys repeat, the smallest row stands for them."""
+    repeated, n = materialize(df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*by), "repeated")
+    if not n:
+        return df
+    row = F.struct(*columns)
+    first = df.join(repeated, by, "left_semi").groupBy(*by).agg(F.min(row).alias("_row")).select(*by, "_row.*")
+    return df.join(repeated, by, "left_anti").select(*by, *columns).unionByName(first)
+
+
 def key_facts(rs: RunSet, checks: Collection[str] = KEY_CHECKS) -> DataFrame:
     """Everything the key comparisons need, as counted facts ``(run_id, kind, name, v, n)``.
 
-    Outputs, truth, inputs and baseline are tagged, unioned and grouped by (run, key)
-    once: one shuffle, combined map-side, so a key that fills the table is one partial
-    row per task and copies never multiply. The first output row of a key stands for
-    it. Missing keys are left out (the cell counters report them). Each key then emits
-    the few facts that hold for it, and facts are counted.
+    Outputs are dealt by (case, key) once and meet truth, input mask and baseline there, each folded once per key and
+    never repeated per run. What holds for a row becomes a number of bits and the few values that matter;
+    rows with equal ones are counted before the shuffle. Keys that a run lacks are the reference's count less
+    those found, so no run is joined outwards. Keys that repeat within a run are found by counting; the first
+    output row (by ``_ord``, unique in a run) stands for them. Missing keys are left out (the cell counters report them).
     """
     c, key = rs.contract, rs.contract.key
     level, date = c.level_column, c.date_column
     imputed = [] if rs.inputs is None else c.imputed
     truth_columns = [n for n in c.names if n != key]
+    with_truth = rs.expected is not None and any(x in checks for x in ("ROW-02", "CLN-06", "CLN-08"))
     compare_cells = "CLN-08" in checks and rs.expected is not None
     compare_level = "SEM-02" in checks and level is not None and rs.baseline is not None
     compare_date = "SEM-04" in checks and date is not None and rs.baseline is not None
@@ -197,99 +214,135 @@ def key_facts(rs: RunSet, checks: Collection[str] = KEY_CHECKS) -> DataFrame:
     wanted.update(i.name for i in imputed if "CLN-06" in checks)
     wanted.update([level] * compare_level + [date] * compare_date)
     need = [n for n in c.names if n in wanted]
-    order_type = rs.outputs.schema[ORD].dataType.simpleString()
-
-    def cells(df: DataFrame, only: Collection[str] = need) -> str:
-        # The flag makes presence show even when no cell is needed or present.
-        return "named_struct('_row', true" + "".join(
-            f", {lit(n)}, {rs.column(df, n) if n in only else 'CAST(NULL AS STRING)'}" for n in need) + ")"
-
-    def side(df: DataFrame, tag: int, cell: str, order: str = "NULL", mask: str = "0L") -> DataFrame:
-        return df.selectExpr(
-            RUN, f"{N.to_key(name(key))} AS _k", f"{tag} AS _side", f"CAST({order} AS {order_type}) AS _o",
-            f"{cell} AS _c", f"{mask} AS _m",
-        ).where("_k IS NOT NULL")
-
-    sides = [side(rs.outputs, 0, cells(rs.outputs), ORD)]
-    if rs.expected is not None and any(x in checks for x in ("ROW-02", "CLN-06", "CLN-08")):
-        sides.append(side(rs.per_run(rs.expected), 1, cells(rs.expected)))
-    if compare_level or compare_date:
-        only = [level] * compare_level + [date] * compare_date
-        base = rs.baseline.select(key, *[n for n in only if n in rs.baseline.columns])
-        every = base.withColumn(RUN, F.explode(F.expr(array(lit(r) for r in rs.headers))))
-        sides.append(side(every, 2, cells(base, only)))
+    by_key = [CASE, "_k"]
+    k = f"{N.to_key(name(key))} AS _k"
+
+    def cells(df: DataFrame, prefix: str, only: Collection[str]) -> list[str]:
+        return [f"{rs.column(df, n)} AS {name(prefix + n)}" for n in only]
+
+    out = rs.outputs.selectExpr(RUN, CASE, k, ORD, *cells(rs.outputs, "o_", need)).where("_k IS NOT NULL")
+    counts = out.groupBy(RUN, "_k").agg(F.count(F.lit(1)).alias("n_out")).where("n_out > 1")
+    repeated, n_repeated = materialize(counts, "repeated_keys")
+    rows = out
+    if n_repeated:
+        few = F.broadcast(repeated) if n_repeated <= FEW_KEYS else repeated
+        first = out.select(RUN, "_k", ORD).join(few, [RUN, "_k"], "left_semi").groupBy(RUN, "_k").agg(F.min(ORD).alias("_first"))
+        rows = out.join(F.broadcast(first) if n_repeated <= FEW_KEYS else first, [RUN, "_k"], "left").where(f"_first IS NULL OR _first = {ORD}").drop("_first")
+    per_run = rs.run_cases()
+    totals: list[DataFrame] = []
+
+    def total(per_case: DataFrame, kind: str, what: str, n: str) -> None:
+        """A fact of every run of a case, from a count of its case."""
+        totals.append(per_case.selectExpr(CASE, f"{lit(kind)} AS kind", f"{lit(what)} AS name", f"{n} AS n"))
+
+    if with_truth:
+        e_cells = cells(rs.expected, "e_", need)
+        exp = _unique(rs.expected.selectExpr(CASE, k, *e_cells).where("_k IS NOT NULL"), by_key, ["e_" + n for n in need])
+        rows = rows.join(exp.withColumn("_e", F.lit(True)), by_key, "left")
+        if "ROW-02" in checks:
+            total(exp.groupBy(CASE).agg(F.count(F.lit(1)).alias("_n")), "ROW-02", "missing", "_n")
     flags = [i.name for i in imputed if i.name in rs.inputs.columns]
     if compare_level and rs.inputs is not None and level in rs.inputs.columns and level not in flags:
         flags.append(level)
+    mask = None
     if flags:
-        gone = [f"CASE WHEN {name(n)} IS NOT NULL AND {X.is_missing(name(n))} THEN {2**j}L ELSE 0L END"
-                for j, n in enumerate(flags)]
-        marked = rs.inputs.selectExpr(CASE, name(key), f"{' + '.join(gone)} AS _mask").where("_mask <> 0")
-        empty = "named_struct('_row', false" + "".join(f", {lit(n)}, CAST(NULL AS STRING)" for n in need) + ")"
-        sides.append(side(rs.per_run(marked), 3, empty, mask="_mask"))
-    union = sides[0]
-    for s in sides[1:]:
-        union = union.unionByName(s)
-    keyed = union.groupBy(RUN, "_k").agg(
-        F.expr("count_if(_side = 0)").alias("n_out"), F.expr("count_if(_side = 1)").alias("n_exp"),
-        F.expr("min(CASE WHEN _side = 0 THEN struct(_o, _c) END)").alias("_first"),
-        F.expr("min(CASE WHEN _side = 1 THEN _c END)").alias("e"),
-        F.expr("min(CASE WHEN _side = 2 THEN _c END)").alias("b"), F.expr("bit_or(_m)").alias("mask"),
-    )
+        gone = [f"CASE WHEN {name(n)} IS NOT NULL AND {X.is_missing(name(n))} THEN {2**j}L ELSE 0L END" for j, n in enumerate(flags)]
+        marked = rs.inputs.selectExpr(CASE, k, f"{' + '.join(gone)} AS _m").where("_m <> 0 AND _k IS NOT NULL")
+        mask = marked.groupBy(*by_key).agg(F.expr("bit_or(_m)").alias("mask"))
+        rows = rows.join(mask, by_key, "left")
+    else:
+        rows = rows.withColumn("mask", F.lit(None).cast("bigint"))
 
-    o, e, b = (lambda n: f"_first._c.{name(n)}"), (lambda n: f"e.{name(n)}"), (lambda n: f"b.{name(n)}")
-    facts: list[str] = []
+    def was_missing(n: str) -> str:
+        return f"coalesce(mask, 0L) & {2 ** flags.index(n) if n in flags else 0}L <> 0"
 
-    def fact(when: str, kind: str, what: str, v: str = "CAST(NULL AS DOUBLE)", n: str = "1L") -> None:
-        facts.append(f"CASE WHEN {when} THEN named_struct('kind', {lit(kind)}, 'name', {lit(what)}, 'v', {v}, 'w', {n}) END")
+    with_base = compare_level or compare_date
+    if with_base:
+        only = [level] * compare_level + [date] * compare_date
+        base = _unique(rs.baseline.selectExpr(k, *cells(rs.baseline, "b_", only)).where("_k IS NOT NULL"), ["_k"], ["b_" + n for n in only])
+        if compare_date:
+            base = base.withColumn("_sref", F.expr(X.strip(name("b_" + date)))).withColumn("_ref", F.expr(D.date_of("_sref"))).drop("_sref", "b_" + date)
+        # The baseline holds for every case; cases are few, runs are not.
+        base = base.withColumn(CASE, F.explode(per_run.agg(F.collect_set(CASE).alias("c")).scalar()))
+        rows = rows.join(base.withColumn("_b", F.lit(True)), by_key, "left")
+        known = base.join(mask, by_key, "left") if mask is not None else base.withColumn("mask", F.lit(None).cast("bigint"))
+        sizes = known.groupBy(CASE).agg(F.count(F.lit(1)).alias("_n"), *(
+            [F.expr(f"count_if({was_missing(level)})").alias("_masked")] if compare_level else []), *(
+            [F.expr("count_if(day(_ref) > 12)").alias("_late")] if compare_date else []))
+        if compare_level:
+            total(sizes, "SEM-02", "excluded", "_masked")
+        if compare_date:
+            total(sizes, "SEM-04", "compared", "_n")
+            total(sizes, "SEM-04", "lost", "_n")
+            total(sizes, "SEM-04", "lost_day_gt_12", "_late")
+
+    o, e = (lambda n: name("o_" + n)), (lambda n: name("e_" + n))
+    bits: list[str] = []
+    values: dict[str, str] = {}
+    facts: list[str] = []
 
-    def was_missing(n: str) -> str:
-        return f"mask & {2 ** flags.index(n) if n in flags else 0}L <> 0"
+    def fact(when: str, kind: str, what: str, v: str | None = None, sign: str = "") -> None:
+        """Counts rows for which ``when`` holds, apart by the value ``v`` if there is one."""
+        if v is None:
+            if when not in bits:
+                bits.append(when)
+            facts.append(f"CASE WHEN bits & {2 ** bits.index(when)}L <> 0 THEN named_struct('kind', {lit(kind)}, 'name', {lit(what)}, 'v', CAST(NULL AS DOUBLE), 'w', {sign}n) END")
+        else:
+            column = f"v{len(values)}"
+            values[column] = f"CASE WHEN {when} THEN {v} END"
+            facts.append(f"CASE WHEN {column} IS NOT NULL THEN named_struct('kind', {lit(kind)}, 'name', {lit(what)}, 'v', {column}, 'w', n) END")
 
-    if "ROW-02" in checks and rs.expected is not None:
-        fact("n_exp > 0 AND n_out = 0", "ROW-02", "missing")
-        fact("n_out > 0 AND n_exp = 0", "ROW-02", "unexpected")
-        fact("n_out > 1", "ROW-02", "duplicate", n="n_out - 1")
+    stripped, extra = [], []
+    if "ROW-02" in checks and with_truth:
+        fact("_e IS NULL", "ROW-02", "unexpected")
+        fact("_e IS NOT NULL", "ROW-02", "missing", sign="-")
     if compare_cells:
-        both = "n_out > 0 AND n_exp > 0"
-        fact(both, "CLN-08", "compared")
+        fact("_e IS NOT NULL", "CLN-08", "compared")
         for n in truth_columns:
             if n in rs.expected.columns:
                 same = tolerant_equal(o(n), e(n), c[n].dtype, c.numeric_abs)
-                fact(f"{both} AND {o(n)} IS NOT NULL AND NOT {same}", "CLN-08", n)
+                fact(f"_e IS NOT NULL AND {o(n)} IS NOT NULL AND NOT {same}", "CLN-08", n)
     if "CLN-06" in checks:
         for i in imputed:
             if i.name not in flags:
                 continue
-            hit = f"n_out > 0 AND {was_missing(i.name)} AND {o(i.name)} IS NOT NULL"
+            hit = f"{was_missing(i.name)} AND {o(i.name)} IS NOT NULL"
             if i.impute.method == "median":
-                fact(hit, "CLN-06", i.name, N.to_num(o(i.name)))
-                fact(f"{hit} AND {N.to_num(e(i.name))} IS NOT NULL", "CLN-06 target", i.name, N.to_num(e(i.name)))
+                # Cells that are no numbers are counted too, as a value that no target equals.
+                fact(hit, "CLN-06", i.name, f"coalesce({N.to_num(o(i.name))}, DOUBLE('NaN'))")
+                if with_truth:
+                    fact(hit, "CLN-06 target", i.name, N.to_num(e(i.name)))
             else:
                 fact(hit, "CLN-06", i.name, f"CASE WHEN {o(i.name)} = {lit(i.impute.value)} THEN 1D ELSE 0D END")
-    stripped, extra = [], []
     if compare_level:
-        extra += [f"{N.to_num(o(level))} AS _lo", f"{N.to_num(b(level))} AS _lb"]
-        r = N.ratio("_lo", "_lb")
-        fact(f"b IS NOT NULL AND NOT {was_missing(level)} AND {r} IS NOT NULL", "SEM-02", "ratio", r)
-        fact(f"b IS NOT NULL AND {was_missing(level)}", "SEM-02", "excluded")
+        extra += [f"{N.to_num(o(level))} AS _lo", f"{N.to_num(name('b_' + level))} AS _lb"]
+        fact(f"_b IS NOT NULL AND NOT {was_missing(level)}", "SEM-02", "ratio", N.ratio("_lo", "_lb"))
     if compare_date:
-        stripped += [f"{X.strip(b(date))} AS _sref", f"{X.strip(o(date))} AS _snew"]
-        extra += [f"{D.date_of('_sref')} AS _ref", f"{D.date_of('_snew')} AS _new"]
+        stripped.append(f"{X.strip(o(date))} AS _snew")
+        extra.append(f"{D.date_of('_snew')} AS _new")
+        found = "_b IS NOT NULL AND _new IS NOT NULL"
         same = "coalesce(_new = _ref, false)"
         swapped = "coalesce(month(_new) = day(_ref) AND day(_new) = month(_ref), false)"
-        fact("b IS NOT NULL", "SEM-04", "compared")
-        fact(f"b IS NOT NULL AND {same}", "SEM-04", "unchanged")
-        fact(f"b IS NOT NULL AND _new IS NOT NULL AND NOT {same} AND {swapped}", "SEM-04", "transposed")
-        fact(f"b IS NOT NULL AND _new IS NOT NULL AND NOT {same} AND NOT {swapped}", "SEM-04", "other")
-        fact("b IS NOT NULL AND _new IS NULL", "SEM-04", "lost")
-        fact("b IS NOT NULL AND _new IS NULL AND day(_ref) > 12", "SEM-04", "lost_day_gt_12")
+        fact(f"_b IS NOT NULL AND {same}", "SEM-04", "unchanged")
+        fact(f"{found} AND NOT {same} AND {swapped}", "SEM-04", "transposed")
+        fact(f"{found} AND NOT {same} AND NOT {swapped}", "SEM-04", "other")
+        fact(found, "SEM-04", "lost", sign="-")
+        fact(f"{found} AND coalesce(day(_ref) > 12, false)", "SEM-04", "lost_day_gt_12", sign="-")
     # Without truth, inputs or baseline nothing can be compared: no facts.
     facts = facts or ["CAST(NULL AS STRUCT<kind: STRING, name: STRING, v: DOUBLE, w: BIGINT>)"]
-    return (
-        keyed.selectExpr("*", *stripped).selectExpr("*", *extra).selectExpr(RUN, f"explode({array(facts)}) AS f")
-        .where("f IS NOT NULL").select(RUN, "f.*").groupBy(RUN, "kind", "name", "v").agg(F.sum("w").alias("n"))
-    )
+    bit = " + ".join(f"CASE WHEN {when} THEN {2**i}L ELSE 0L END" for i, when in enumerate(bits)) or "0L"
+    pattern = rows.selectExpr("*", *stripped).selectExpr("*", *extra).selectExpr(RUN, f"{bit} AS bits", *(f"{v} AS {n}" for n, v in values.items()))
+    pattern = pattern.groupBy(RUN, "bits", *values).agg(F.count(F.lit(1)).alias("n"))
+    counted = pattern.selectExpr(RUN, f"explode({array(facts)}) AS f").where("f IS NOT NULL").selectExpr(RUN, "f.kind", "f.name", "f.v", "f.w AS n")
+    if "ROW-02" in checks and with_truth and n_repeated:
+        counted = counted.unionByName(repeated.groupBy(RUN).agg(F.sum(F.col("n_out") - 1).alias("n")).selectExpr(
+            RUN, "'ROW-02' AS kind", "'duplicate' AS name", "CAST(NULL AS DOUBLE) AS v", "n"))
+    if totals:
+        # A few rows per case, written: the join to runs then has a key of its own even if there is one case only.
+        every, _ = materialize(reduce(DataFrame.unionByName, totals), "totals")
+        counted = counted.unionByName(per_run.join(every, CASE).selectExpr(RUN, "kind", "name", "CAST(NULL AS DOUBLE) AS v", "n"))
+    summed = counted.groupBy(RUN, "kind", "name", "v").agg(F.sum("n").alias("n"))
+    return summed.where("n <> 0").select(RUN, "kind", "name", F.nanvl("v", F.lit(None).cast("double")).alias("v"), "n")
 
 
 def facts_of(facts: DataFrame, *kinds: str) -> DataFrame:

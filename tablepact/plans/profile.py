@@ -108,19 +108,13 @@ def reference_shares(reference: DataFrame) -> DataFrame:
 def distribution_metrics(facts: DataFrame, rs: RunSet, reference: DataFrame) -> DataFrame:
     """JS distance of every category and month column to the reference: ``(run_id, column, js_distance)``.
 
-    Columns the reference lacks, or the run's table lacks, have no row. The reference
-    shares are repeated per run by exploding the list of runs, not by a cross join.
+    Columns the reference lacks, or the run's table lacks, have no row. Reference shares meet the runs by column name.
     """
     mine = facts.where("CASE WHEN n > 0 THEN kind END IN ('share', 'month')")
     mine = shares(mine, [RUN, "column"], "s").select(RUN, "column", F.col("s").alias("value"), "share")
     drift = [c.name for c in rs.contract.columns if c.drift in ("distribution", "date")]
-    has = array(
-        f"named_struct('run', {lit(r)}, 'cols', CAST({array(lit(c) for c in drift if c in h)} AS ARRAY<STRING>))"
-        for r, h in rs.headers.items()
-    )
-    ref = reference_shares(reference).withColumn("r", F.explode(F.expr(has))).where(
-        "array_contains(r.cols, column)"
-    ).selectExpr(f"r.run AS {RUN}", "column", "value", "share")
+    has = rs.run_headers().select(RUN, F.explode(F.array_distinct("header")).alias("column")).where(F.col("column").isin(*drift))
+    ref = reference_shares(reference).join(has, "column").select(RUN, "column", "value", "share")
     known = ref.select(RUN, "column").distinct()
     return js_distance(mine.join(known, [RUN, "column"], "left_semi"), ref, [RUN, "column"])
 

@@ -9,12 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contract import Contract
-from ..functions.compare import close_name
 from ..functions.sql import array, lit, name
 from ..operators.ordering import ORD
-
-RUN = "run_id"
-CASE = "case"
+from .headers import CASE, RUN, compared, drift
 
 
 def values_table(spark: SparkSession, columns: Sequence[str], rows: Sequence[Sequence[str]]) -> DataFrame:
@@ -37,14 +34,16 @@ class RunSet:
     ``expected``  ``(case, columns...)`` ground truth, unique by key; None when unknown.
     ``baseline``  ``(columns...)`` trusted output, the reference of the drift checks.
 
-    Headers are metadata: plain lists, as a scan reports them.
+    Headers are tables, as a scan reports them: ``header_table`` ``(run_id, case, header, layouts)`` and
+    ``input_header_table`` ``(case, header)``. Where a caller has them as plain lists instead,
+    ``headers``, ``cases`` and ``input_headers`` stand for them.
     """
 
     spark: SparkSession
     contract: Contract
     outputs: DataFrame
-    headers: Mapping[str, list[str]]
-    cases: Mapping[str, str]
+    headers: Mapping[str, list[str]] = field(default_factory=dict)
+    cases: Mapping[str, str] = field(default_factory=dict)
     inputs: DataFrame | None = None
     input_headers: Mapping[str, list[str]] = field(default_factory=dict)
     baseline_header: list[str] | None = None
@@ -52,28 +51,36 @@ class RunSet:
     expected_rows: Mapping[str, int] | None = None
     baseline: DataFrame | None = None
     medians: Mapping[str, float] = field(default_factory=dict)
+    header_table: DataFrame | None = None
+    input_header_table: DataFrame | None = None
+
+    def run_headers(self) -> DataFrame:
+        """``(run_id, case, header, layouts)``, one row per run."""
+        if self.header_table is not None:
+            return self.header_table.select(RUN, CASE, "header", "layouts")
+        rows = [(lit(r), lit(self.cases[r]), _texts(h), "1L") for r, h in self.headers.items()]
+        return values_table(self.spark, [RUN, CASE, "header", "layouts"], rows)
+
+    def case_inputs(self) -> DataFrame:
+        """``(case, input_header, input_removed, input_added)``: input headers and their drift."""
+        if self.input_header_table is not None:
+            known = self.input_header_table.select(CASE, F.col("header").alias("input_header"))
+        else:
+            rows = [(lit(c), _texts(h)) for c, h in self.input_headers.items()] or [("CAST(NULL AS STRING)", _texts([]))]
+            known = values_table(self.spark, [CASE, "input_header"], rows).where(F.col(CASE).isNotNull())
+        drifted = drift(known, self.baseline_header or [], "input_header")
+        return drifted.select(CASE, "input_header", F.col("removed").alias("input_removed"), F.col("added").alias("input_added"))
 
     def meta(self) -> DataFrame:
-        """One row per run, with what its header says (driver metadata, not data)."""
-        want = self.contract.names
-        rows = []
-        for run, header in self.headers.items():
-            case = self.cases[run]
-            missing = [c for c in want if c not in header]
-            extra = [c for c in header if c not in want]
-            renames = [f"{m}→{found}" for m in missing if (found := close_name(m, extra))]
-            expected = (self.expected_rows or {}).get(case)
-            inp = self.input_headers.get(case)
-            rows.append((
-                lit(run), lit(case), _texts(header), "CAST(NULL AS ARRAY<STRING>)" if inp is None else _texts(inp),
-                _texts(missing), _texts(extra), _texts(renames), f"CAST({lit(expected)} AS BIGINT)",
-            ))
-        columns = [RUN, CASE, "header", "input_header", "missing", "extra", "renames", "expected_rows"]
-        return values_table(self.spark, columns, rows)
+        """One row per run, with what its header and its input's header say."""
+        rows = [(lit(c), f"CAST({lit(n)} AS BIGINT)") for c, n in (self.expected_rows or {}).items()]
+        counts = values_table(self.spark, [CASE, "expected_rows"], rows or [("CAST(NULL AS STRING)", "CAST(NULL AS BIGINT)")])
+        found = compared(self.run_headers(), self.contract.names).join(self.case_inputs(), CASE, "left").join(counts, CASE, "left")
+        return found.select(RUN, CASE, "header", "layouts", "missing", "extra", "renames", "input_header", "input_removed", "input_added", "expected_rows")
 
     def run_cases(self) -> DataFrame:
-        """``(run_id, case)``, one row per run header held by the driver: bounded, so broadcast."""
-        return F.broadcast(values_table(self.spark, [RUN, CASE], [(lit(r), lit(self.cases[r])) for r in self.headers]))
+        """``(run_id, case)``, one row per run."""
+        return self.run_headers().select(RUN, CASE)
 
     def per_run(self, df: DataFrame) -> DataFrame:
         """Repeat per-case rows for every run of the case."""

@@ -9,6 +9,7 @@ break are put in order again to join their lines to records; all others become r
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,16 +23,24 @@ _HELD, _MARK = "\x01", "\x02"
 _PLACE = ("file", "start", "seq")
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """``(file, start, seq, line, odd)``: every line with its place; ``start`` is the first byte of its split."""
+def text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, start, value)``: the lines of all files; ``start`` is the first byte of a line's split."""
     # Both passes must cut the files alike, also if executors come or go between them.
     if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
         spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
-    text = spark.read.option("lineSep", "\n").text(path)
+    return placed_lines(spark.read.option("lineSep", "\n").text(path))
+
+
+def placed_lines(text: DataFrame) -> DataFrame:
+    """Rows of a text source, batch or stream, with their places."""
+    return text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
+
+
+def _numbered(text: DataFrame) -> DataFrame:
+    """``(file, start, seq, line, odd)``: every line with its place and whether its quote signs are odd in number."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     return text.select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("seq"), F.col("value").alias("line"),
+        "file", "start", F.monotonically_increasing_id().alias("seq"), F.col("value").alias("line"),
         F.when(F.contains("value", F.lit('"')), quotes % 2).otherwise(0).alias("odd"),
     )
 
@@ -99,12 +108,52 @@ def _headers(records: DataFrame, splits: DataFrame, sep: str) -> DataFrame:
     return materialize(records.join(first, list(_PLACE)).select(*_PLACE, names.alias("header")), "csv_headers")[0]
 
 
+@dataclass(frozen=True)
+class Scan:
+    """Records and headers of a set of files."""
+
+    records: DataFrame
+    heads: DataFrame
+    sep: str
+
+    @property
+    def headers(self) -> DataFrame:
+        """``(file, header)``: the column names of every file that has text, without a byte order mark."""
+        return self.heads.select("file", "header")
+
+    def rows(self, header: Sequence[str] | None = None, corrupt: str | None = None) -> DataFrame:
+        """The table of :func:`scan_raw_strings`."""
+        if header is None:
+            # Distinct headers are metadata: as many rows as there are layouts.
+            layouts = self.heads.groupBy("header").agg(F.min("file").alias("file")).orderBy("file").collect()
+            header = list(dict.fromkeys(n for r in layouts for n in r["header"]))
+        names = list(header)
+        place = F.array(*(F.array_position("header", n) for n in names)).cast("array<bigint>")
+        of_file = self.heads.select("file", F.struct("start", "seq").alias("head"), F.size("header").alias("width"), place.alias("place"))
+        rows = self.records.join(of_file, "file").where(~((F.col("start") == F.col("head.start")) & (F.col("seq") == F.col("head.seq"))))
+        cut = rows.withColumn("cells", cells(F.col("record"), self.sep))
+        ragged = (F.size("cells") != F.col("width")) | ((F.length("record") - F.length(F.replace("record", F.lit('"'), F.lit("")))) % 2 == 1)
+
+        def cell(i: int) -> Column:
+            at = F.col("place")[i].cast("int")
+            return F.when(at > 0, F.coalesce(F.try_element_at("cells", at), F.lit("")))
+
+        out = [F.struct(*_PLACE).alias(ORD), *(cell(i).alias(n) for i, n in enumerate(names))]
+        return cut.select(*out, *([F.when(ragged, F.col("record")).alias(corrupt)] if corrupt else []))
+
+
+def scan_lines(text: DataFrame, sep: str = ",") -> Scan:
+    """Records and headers of ``(file, start, value)`` lines, as :func:`text_lines` gives them."""
+    lines = _numbered(text)
+    splits = _splits(lines)
+    records = _records(lines, splits)
+    return Scan(records, _headers(records, splits, sep), sep)
+
+
 def csv_headers(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     """``(file, header)``: the column names of every CSV file under ``path``, without a byte order mark. Files
     without any text have no row."""
-    lines = _lines(spark, path)
-    splits = _splits(lines)
-    return _headers(_records(lines, splits), splits, sep).select("file", "header")
+    return scan_lines(text_lines(spark, path), sep).headers
 
 
 def scan_raw_strings(spark: SparkSession, path: str, header: Sequence[str] | None = None, sep: str = ",", corrupt: str | None = None) -> DataFrame:
@@ -116,27 +165,4 @@ def scan_raw_strings(spark: SparkSession, path: str, header: Sequence[str] | Non
     text of such rows, and of rows whose quotes never close, and is NULL elsewhere. Blank lines are no rows.
     ``_ord`` is the row's position, ``(file, start, seq)``: ascending along each file.
     """
-    lines = _lines(spark, path)
-    splits = _splits(lines)
-    records = _records(lines, splits)
-    heads = _headers(records, splits, sep)
-    if header is None:
-        # Distinct headers are metadata: as many rows as there are layouts.
-        layouts = heads.groupBy("header").agg(F.min("file").alias("file")).orderBy("file").collect()
-        header = list(dict.fromkeys(n for r in layouts for n in r["header"]))
-    names = list(header)
-    if not names:
-        schema = "struct<file: string, start: bigint, seq: bigint>"
-        return spark.createDataFrame([], f"{ORD} {schema}" + (f", {corrupt} string" if corrupt else ""))
-    place = F.array(*(F.array_position("header", n) for n in names))
-    of_file = heads.select("file", F.struct("start", "seq").alias("head"), F.size("header").alias("width"), place.alias("place"))
-    rows = records.join(of_file, "file").where(~((F.col("start") == F.col("head.start")) & (F.col("seq") == F.col("head.seq"))))
-    cut = rows.withColumn("cells", cells(F.col("record"), sep))
-    ragged = (F.size("cells") != F.col("width")) | ((F.length("record") - F.length(F.replace("record", F.lit('"'), F.lit("")))) % 2 == 1)
-
-    def cell(i: int) -> Column:
-        at = F.col("place")[i].cast("int")
-        return F.when(at > 0, F.coalesce(F.try_element_at("cells", at), F.lit("")))
-
-    out = [F.struct(*_PLACE).alias(ORD), *(cell(i).alias(n) for i, n in enumerate(names))]
-    return cut.select(*out, *([F.when(ragged, F.col("record")).alias(corrupt)] if corrupt else []))
+    return scan_lines(text_lines(spark, path), sep).rows(header, corrupt)

@@ -76,8 +76,11 @@ def read_event_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- results
-def write_check_report(results: DataFrame, path: str, header: Mapping[str, str] | None = None) -> None:
-    """One JSON document per run: header fields, overall result, checks; foldered by case and run."""
+def write_check_report(results: DataFrame, path: str, header: Mapping[str, str] | None = None, replace: bool = False) -> None:
+    """One JSON document per run: header fields, overall result, checks; foldered by case and run.
+
+    ``replace`` puts each run's report in place of an earlier one and leaves other runs' reports alone.
+    """
     severity = F.max(F.when(F.col("status") == "FAIL", 2).when(F.col("status") == "WARN", 1).otherwise(0))
     check = F.struct("check_id", "name", "status", "message", "details")
     docs = results.groupBy("case", "run_id").agg(
@@ -85,7 +88,8 @@ def write_check_report(results: DataFrame, path: str, header: Mapping[str, str]
         F.when(severity == 2, "FAIL").when(severity == 1, "WARN").otherwise("PASS").alias("result"),
         F.sort_array(F.collect_list(check)).alias("checks"),
     )
-    docs.write.mode("append").partitionBy("case", "run_id").json(path)
+    write = docs.write.option("partitionOverwriteMode", "dynamic").mode("overwrite") if replace else docs.write.mode("append")
+    write.partitionBy("case", "run_id").json(path)
 
 
 _CHECK = T.StructType([T.StructField(n, T.StringType()) for n in ("check_id", "name", "status", "message", "details")])

@@ -14,8 +14,10 @@ from ..functions import numeric as N
 from ..functions.sql import array, lit, literal_map
 from ..operators.ordering import ORD
 from ..operators.quantiles import median_map
+from ..plans.headers import by_run, folder_value
 from ..plans.runs import RunSet
-from ..sources.staging import staged
+from ..sources.staging import materialize, new_path, staged
+from ..sources.tables import csv_headers, write_clean_csv
 
 COLUMNS = ORDERS.names
 
@@ -194,6 +196,27 @@ def runs(spark: SparkSession, sf: str) -> DataFrame:
     return _stored(spark, sf, "runs", saved_runs, ("case", "run_id"))
 
 
+_files: dict[tuple[str, str], str] = {}
+
+
+def run_files(spark: SparkSession, sf: str) -> str:
+    """The saved runs as CSV files, each with the columns and the order of its own run, foldered by run."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _files:
+        path = new_path(spark, "run_files")
+        saved = runs(spark, sf)
+        for run, header in run_headers().items():
+            write_clean_csv(saved.where(F.col("run_id") == run).select(*header), f"{path}/run_id={run}")
+        _files[key] = path
+    return _files[key]
+
+
+def stored_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """``(run_id, case, header, layouts)`` as the stored files say."""
+    found = by_run(csv_headers(spark, run_files(spark, sf)), folder_value(F.col("file"), "run_id"), F.lit("baseline"))
+    return materialize(found, "stored_headers")[0]
+
+
 def run_set(spark: SparkSession, sf: str) -> RunSet:
     """Everything a validation of the saved runs needs."""
     headers = run_headers()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ..contract import ORDERS
@@ -11,10 +13,11 @@ from ..operators.clean import clean
 from ..operators.ordering import ORD
 from ..plans import metrics as M
 from ..plans import profile as P
+from ..plans.headers import by_run, folder_value
 from ..plans.runs import RunSet
 from ..plans.validate import CHECKS, SEMANTIC, STRUCTURAL, summarize, validate_run, validate_runs
-from ..sources.staging import new_path, staged
-from ..sources.tables import read_check_reports, write_check_report
+from ..sources.staging import materialize, new_path, staged
+from ..sources.tables import csv_headers, read_check_reports, write_check_report, write_clean_csv
 from . import fixtures as fx
 from . import oracle as O
 from .registry import query
@@ -156,8 +159,50 @@ SCH03 = "SELECT run_id, 'SCH-03' AS check_id, 'PASS' AS status FROM runs GROUP B
 ROW03 = "SELECT run_id, 'ROW-03' AS check_id, CASE WHEN count(*) = 0 THEN 'FAIL' ELSE 'PASS' END AS status FROM runs GROUP BY 1"
 ROW01 = ("SELECT run_id, 'ROW-01' AS check_id, CASE WHEN count(*) = (SELECT count(*) FROM truth) THEN 'PASS' ELSE 'FAIL' END AS status "
          "FROM runs GROUP BY 1")
-query("check_sch01_columns", SCH01, ("runs",))(checked("SCH-01"))
-query("check_sch03_header_drift", SCH03, ("runs",))(checked("SCH-03"))
+
+
+#: Headers from the rows: a run has the columns in which any of its cells is not NULL; one run's recipe also swaps two.
+HEADERS = f"""present AS (SELECT run_id, list_filter([{', '.join(f"CASE WHEN count({c}) > 0 THEN '{c}' WHEN '{c}' = 'customer_name' AND count({fx.EXTRA}) > 0 THEN '{fx.EXTRA}' END" for c in O.C)}],
+  lambda x: x IS NOT NULL) AS cols FROM runs GROUP BY 1),
+headers AS (SELECT run_id, CASE WHEN run_id <> 'bad_reorder' THEN cols ELSE list_transform(cols, lambda x: CASE x WHEN 'product' THEN 'category'
+  WHEN 'category' THEN 'product' ELSE x END) END AS header FROM present),
+compared AS (SELECT *, list_filter([{', '.join(O.q(c) for c in O.C)}], lambda x: NOT list_contains(header, x)) AS missing,
+  list_filter(header, lambda x: NOT list_contains([{', '.join(O.q(c) for c in O.C)}], x)) AS extra FROM headers)"""
+
+
+@query("check_sch01_columns", f""", {HEADERS} SELECT run_id, array_to_string(header, ',') AS header, array_to_string(missing, ',') AS missing,
+array_to_string(extra, ',') AS extra, CASE WHEN len(missing) + len(extra) > 0 THEN 'FAIL' WHEN header <> [{', '.join(O.q(c) for c in O.C)}] THEN 'WARN' ELSE 'PASS' END AS status,
+CASE WHEN list_contains(missing, 'customer_name') AND list_contains(extra, '{fx.EXTRA}') THEN 'customer_name→{fx.EXTRA}' ELSE '' END AS renames FROM compared""", ("runs",))
+def _(spark, sf):
+    """SCH-01 from the headers of the runs' stored files."""
+    rs = replace(fx.run_set(spark, sf), headers={}, cases={}, header_table=fx.stored_headers(spark, sf))
+    status = validate_runs(rs, ["SCH-01"]).select("run_id", "status")
+    text = [F.array_join(c, ",").alias(c) for c in ("header", "missing", "extra", "renames")]
+    return rs.meta().select("run_id", *text).join(status, "run_id")
+
+
+def _case_sql(n: str) -> str:
+    """A drift case's input header, as its own SELECT says."""
+    return f"SELECT '{n}' AS \"case\", (SELECT list(column_name) FROM (DESCRIBE SELECT * FROM drifted_{n.replace('-', '_')}) WHERE column_name <> '_ord') AS header"
+
+
+@query("check_sch03_header_drift", ", " + ", ".join(f"drifted_{n.replace('-', '_')} AS ({O.drifted(n)})" for n in G.CASES)
+       + ", heads AS (" + " UNION ALL ".join(map(_case_sql, G.CASES)) + """), base AS (SELECT header AS b FROM heads WHERE "case" = 'baseline')
+SELECT "case" AS run_id, CASE WHEN header = b THEN 'PASS' ELSE 'WARN' END AS status, array_to_string(list_filter(b, lambda x: NOT list_contains(header, x)), ',') AS removed,
+array_to_string(list_filter(header, lambda x: NOT list_contains(b, x)), ',') AS added FROM heads, base""", ("messy",))
+def _(spark, sf):
+    """SCH-03 of every drift case: the input is stored as CSV and its header read from the file."""
+    path = new_path(spark, "case_files")
+    for n, make in G.CASES.items():
+        write_clean_csv(make(fx.messy(spark, sf)), f"{path}/case={n}")
+    case = folder_value(F.col("file"), "case")
+    heads, _ = materialize(by_run(csv_headers(spark, path), case, case), "case_headers")
+    truth = fx.truth(spark, sf).select(ORD, *fx.COLUMNS).withColumns({"run_id": F.lit("baseline"), "case": F.lit("baseline")})
+    rs = RunSet(spark, ORDERS, truth, header_table=heads, input_header_table=heads, baseline_header=fx.COLUMNS)
+    status = validate_runs(rs, ["SCH-03"]).select("run_id", "status")
+    return rs.meta().select("run_id", F.array_join("input_removed", ",").alias("removed"), F.array_join("input_added", ",").alias("added")).join(status, "run_id")
+
+
 query("check_row03_not_empty", ROW03, ("runs",))(checked("ROW-03"))
 query("check_row01_count", ROW01, ("runs", "truth"))(checked("ROW-01"))
 

@@ -70,7 +70,8 @@ FROM (SELECT * REPLACE (CASE WHEN k % 7 = 0 THEN product || chr(10) || '"x",' EL
 FROM (SELECT *, CAST(order_id AS BIGINT) AS k FROM messy))""", ("messy",))
 def _(spark, sf):
     """Files of three layouts with line breaks in cells and ragged rows, scanned as one raw table in file order."""
-    scanned = S.scan_raw_strings(spark, messy_files(spark, sf), corrupt="corrupt")
+    # Small tables lack the layout that has notes, so the columns are named.
+    scanned = S.scan_raw_strings(spark, messy_files(spark, sf), [*ORDERS.names, "note"], corrupt="corrupt")
     of_file = Window.partitionBy("f").orderBy("_ord")
     rows = scanned.withColumn("f", F.regexp_extract("_ord.file", "f=([0-9]+)", 1).cast("long")).withColumn("pos", F.row_number().over(of_file).cast("long"))
     return rows.select("f", "pos", *ORDERS.names, "note", "corrupt")

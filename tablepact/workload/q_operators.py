@@ -14,6 +14,7 @@ from ..operators.diff import cell_diff, first_diffs
 from ..operators.fingerprint import canonicalize
 from ..operators.quantiles import approx_quantiles, medians, quantiles, value_counts
 from ..plans import determinism as T
+from ..plans.headers import drift
 from ..sources.staging import materialize
 from . import fixtures as fx
 from . import oracle as O
@@ -338,13 +339,12 @@ def _(spark, sf):
 
 
 @query("set_header_diff", f"""
-SELECT run_id, CASE run_id WHEN 'bad_rename' THEN 'customer_name' WHEN 'bad_drop' THEN 'country' ELSE '' END AS removed,
-  CASE run_id WHEN 'bad_rename' THEN 'customer_full_name' ELSE '' END AS added, count(*) AS rows FROM runs GROUP BY 1""", ("runs",))
+SELECT run_id, array_to_string(list_filter([{', '.join(O.q(c) for c in fx.COLUMNS)}], lambda c: NOT list_contains(present, c)), ',') AS removed,
+  array_to_string(list_filter(present, lambda c: NOT list_contains([{', '.join(O.q(c) for c in fx.COLUMNS)}], c)), ',') AS added, rows FROM (
+  SELECT run_id, list_filter([{', '.join(f"CASE WHEN count({c}) > 0 THEN '{c}' END" for c in [*fx.COLUMNS, fx.EXTRA])}], lambda c: c IS NOT NULL) AS present, count(*) AS rows FROM runs GROUP BY 1)""", ("runs",))
 def _(spark, sf):
-    heads = T.header_table(spark, fx.run_headers())
-    base = F.array(*[F.lit(c) for c in fx.COLUMNS])
-    diff = heads.select("run_id", F.array_join(F.array_except(base, "header"), ",").alias("removed"),
-                        F.array_join(F.array_except("header", base), ",").alias("added"))
+    """Columns that each run's stored files lack or add, with the run's rows."""
+    diff = drift(fx.stored_headers(spark, sf), fx.COLUMNS).select("run_id", F.array_join("removed", ",").alias("removed"), F.array_join("added", ",").alias("added"))
     return fx.runs(spark, sf).groupBy("run_id").agg(F.count(F.lit(1)).alias("rows")).join(diff, "run_id")
 
 

@@ -2,6 +2,8 @@
 
 import json
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,15 +133,66 @@ def test_csv_keeps_order_blanks_and_byte_order_mark(spark, tmp_path):
     assert S.scan_raw_strings(spark, str(tmp_path / "out")).drop("_ord").exceptAll(df.drop("_ord")).count() == 0
 
 
-def test_landing_stream_validates_each_run_once(spark, sf, tmp_path):
-    t = fx.truth(spark, sf)
-    land, rep, ck = (str(tmp_path / n) for n in ("land", "rep", "ck"))
-
-    def drop(run):
-        t.select(F.lit(run).alias("run_id"), F.col("_ord"), *ORDERS.names).coalesce(1).write.mode("append").parquet(land)
-        validate_landing(spark, ORDERS, land, rep, ck, expected=t.drop("_ord")).awaitTermination()
-
-    drop("first")
-    drop("second")
-    got = {r.run_id: r.result for r in S.read_check_reports(spark, rep).collect()}
-    assert got == {"first": "PASS", "second": "PASS"} and S.read_check_reports(spark, rep).count() == 2
+def test_landing_stream_sees_drift_and_merges_batches(spark, sf, tmp_path):
+    t = fx.truth(spark, sf).drop("_ord").orderBy(F.col("order_id").cast("long"))
+    land, rep, state = (str(tmp_path / n) for n in ("land", "rep", "state"))
+    half = t.count() // 2
+
+    def drop(run, df, name):
+        folder = tmp_path / "land" / f"run_id={run}"
+        folder.mkdir(parents=True, exist_ok=True)
+        df.toPandas().to_csv(folder / name, index=False)
+
+    def go():
+        validate_landing(spark, ORDERS, land, rep, state, expected=t).awaitTermination()
+        return {r.run_id: r for r in S.read_check_reports(spark, rep).collect()}
+
+    def check(report, check_id):
+        return next((c.status, c.message) for c in report.checks if c.check_id == check_id)
+
+    drop("whole", t, "a.csv")
+    drop("S1", t.drop("country"), "a.csv")
+    drop("S2", t.withColumnRenamed("customer_name", "customer_full_name"), "a.csv")
+    drop("S4", t.withColumn("discount_code", F.lit("")), "a.csv")
+    drop("007", t.limit(half), "a.csv")
+    got = go()
+    assert set(got) == {"whole", "S1", "S2", "S4", "007"} and got["whole"].result == "PASS"
+    assert check(got["S1"], "SCH-01")[0] == "FAIL" and "country" in check(got["S1"], "SCH-01")[1]
+    assert "customer_name→customer_full_name" in check(got["S2"], "SCH-01")[1] and "discount_code" in check(got["S4"], "SCH-01")[1]
+    assert check(got["007"], "ROW-02")[0] == "FAIL"
+    # The second half lands in a batch of its own; the run is then whole.
+    drop("007", t.offset(half), "b.csv")
+    got = go()
+    assert got["007"].result == "PASS" and check(got["007"], "ROW-02")[0] == "PASS" and len(got) == 5
+    # A batch whose commit was lost is repeated and changes nothing.
+    commits = sorted((tmp_path / "state" / "checkpoint" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    for f in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
+        f.unlink(missing_ok=True)
+    again = go()
+    assert {r: (x.result, len(x.checks)) for r, x in again.items()} == {r: (x.result, len(x.checks)) for r, x in got.items()}
+    assert S.read_check_reports(spark, rep).count() == 5
+
+
+def test_comparisons_by_key_need_no_copies_per_run(spark, sf):
+    rs = fx.run_set(spark, sf)
+    facts = M.key_facts(rs)
+    plan = facts._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "SortAggregate" not in plan and "CartesianProduct" not in plan
+
+    def counted(r):
+        return {tuple(x) for x in M.key_facts(r).where("run_id = 'bad_missing' OR run_id = 'bad_duplicate'").collect()}
+
+    copies = fx.runs(spark, sf).where("run_id IN ('bad_missing', 'bad_duplicate')")
+    many = copies
+    heads = {r: fx.COLUMNS for r in ("bad_missing", "bad_duplicate")}
+    for i in range(12):
+        many = many.unionByName(copies.withColumn("run_id", F.concat("run_id", F.lit(f"_{i}"))))
+        heads |= {f"{r}_{i}": fx.COLUMNS for r in ("bad_missing", "bad_duplicate")}
+    large = replace(rs, outputs=many, headers=heads, cases={r: "baseline" for r in heads})
+    assert counted(large) == counted(rs) and any(f[1] == "ROW-02" and f[4] > 0 for f in counted(rs))
+
+
+def test_repeated_reference_keys_do_not_multiply_rows(spark, sf):
+    rs = fx.run_set(spark, sf)
+    twice = replace(rs, expected=rs.expected.unionByName(rs.expected), baseline=rs.baseline.unionByName(rs.baseline))
+    assert sorted(map(str, M.key_facts(twice).collect())) == sorted(map(str, M.key_facts(rs).collect()))
