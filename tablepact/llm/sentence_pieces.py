@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -29,6 +30,9 @@ SPACE = "▁"
 BATCH_CHARS = 1 << 20
 #: Chunks up to this many characters are remembered.
 REMEMBERED = 64
+#: Texts up to this many characters are merged on plain lists.
+SHORT = 40
+NEVER = float("-inf")
 
 
 class Pieces:
@@ -69,16 +73,25 @@ class Pieces:
         self.hard = re.compile("|".join(sorted(hard, key=len, reverse=True))) if hard else None
         pairs = {p[i : i + 2] for p in self.id for i in range(len(p) - 1)}
         self.chunks = self._cutter(pairs, single)
-        self.parts = re.compile(f"[{''.join(map(re.escape, sorted(single)))}]+|(?s:.)") if single else re.compile("(?s:.)")
+        known = f"[{''.join(map(re.escape, sorted(single)))}]+" if single else "(?!)"
+        self.parts, self.plain = re.compile(f"{known}|(?s:.)"), re.compile(known).fullmatch
         # Only pieces that their own text merges to can stand in a result.
         whole = {p for p in self.id if len(p) == 1 or self.merged(p) == [p]}
         self.automaton = ahocorasick.Automaton()
         for p in whole:
             self.automaton.add_word(p, len(p))
         self.automaton.make_automaton()
+        #: The longest such piece that each path of the automaton's trie begins with, the path itself included.
+        self.longest: dict[str, str] = {}
+        for p in sorted(whole, key=len):
+            for k in range(1, len(p) + 1):
+                if p[:k] not in self.longest:
+                    self.longest[p[:k]] = p[:k] if p[:k] in whole else self.longest[p[: k - 1]]
+        self.reach = max(map(len, whole), default=1)
         #: The longest such piece that a piece begins with and is not; empty if there is none.
         self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in whole), "") for p in whole}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.pair: dict[tuple[str, str], bool] = {}
 
     @staticmethod
@@ -97,6 +110,8 @@ class Pieces:
     def merged(self, text: str) -> list[str]:
         """``text`` by the definition: the best-scored pair of neighbours merges, the leftmost of equals first."""
         n = len(text)
+        if n <= SHORT:  # a list of scores is faster than a heap
+            return self._merged_short(text)
         start, end = list(range(n)), list(range(1, n + 1))  # symbol i covers text[start[i]:end[i]]; merged ones end at 0
         left, right = list(range(-1, n - 1)), [*range(1, n), -1]
         heap: list[tuple[float, int, int, int]] = []
@@ -121,6 +136,22 @@ class Pieces:
             offer(a, right[a])
         return [text[s:e] for s, e in zip(start, end, strict=True) if e]
 
+    def _merged_short(self, text: str) -> list[str]:
+        parts, score = list(text), self.score.get
+        scores = [score(a + b, NEVER) for a, b in zip(parts, parts[1:], strict=False)]
+        while scores:
+            top = max(scores)
+            if top == NEVER:
+                break
+            i = scores.index(top)
+            parts[i] += parts.pop(i + 1)
+            del scores[i]
+            if i < len(scores):
+                scores[i] = score(parts[i] + parts[i + 1], NEVER)
+            if i:
+                scores[i - 1] = score(parts[i - 1] + parts[i], NEVER)
+        return parts
+
     def _apart(self, a: str, b: str) -> bool:
         """Whether ``a`` and ``b`` stay neighbours when their joint text is merged again."""
         if len(self.pair) >= self.limit:
@@ -133,16 +164,11 @@ class Pieces:
         shorter, apart = self.shorter, self.pair
         if text in shorter:
             return [text]
-        n = len(text)
-        longest = [1] * n
-        for last, size in self.automaton.iter(text):
-            first = last - size + 1
-            if size > longest[first]:
-                longest[first] = size
+        n, reach, longest, match = len(text), self.reach, self.longest, self.automaton.longest_prefix
         dead = bytearray(n // 8 + 1)  # a bit for each position that no compatible sequence goes on from
         found: list[str] = []
         at, before = 0, ""
-        piece = text[: longest[0]]
+        piece = longest[text[: match(text[:reach])]]
         while at < n:
             while piece:
                 to = at + len(piece)
@@ -157,7 +183,8 @@ class Pieces:
                 found.append(piece)
                 at += len(piece)
                 if at < n:
-                    before, piece = piece, text[at : at + longest[at]]
+                    ahead = text[at : at + reach]
+                    before, piece = piece, longest[ahead[: match(ahead)]]
             elif found:
                 dead[at >> 3] |= 1 << (at & 7)
                 piece = found.pop()
@@ -182,8 +209,9 @@ class Pieces:
         if self.hard is not None and self.hard.search(chunk):
             return self._ids(self.merged(chunk))
         if not self.tied_spaces or SPACE * 2 not in chunk:
-            pieces = [q for part in self.parts.findall(chunk) for q in (self.backtracked(part) if part[0] in self.id else [part])]
-            return self._ids(pieces)
+            if self.plain(chunk):
+                return [self.id[p] for p in self.backtracked(chunk)]
+            return self._ids(q for part in self.parts.findall(chunk) for q in (self.backtracked(part) if part[0] in self.id else [part]))
         # Runs of spaces: their merges come after all others, so the last space of a run goes to the word if the word takes it.
         ids: list[int] = []
         for run, word in re.findall(f"({SPACE}*)([^{SPACE}]*)", chunk):
@@ -201,16 +229,18 @@ class Pieces:
         """The ids of ``text`` as the library's ``encode`` gives them."""
         text = self.library.normalize(text)
         if not text:
-            return np.empty(0, dtype="<i4")
+            return np.empty(0, dtype=np.int32)
         chunks = self.chunks(text)
-        known = self.known
-        if len(known) > self.limit:
-            known.clear()
-        long = {}
+        if len(self.known) > self.limit // 2:  # what the last texts did not use is forgotten
+            self.older, self.known = self.known, {}
+        known, older, long = self.known, self.older, {}
         for c in set(chunks).difference(known):
-            (known if len(c) <= REMEMBERED else long)[c] = np.asarray(self._chunk(c), dtype="<i4").tobytes()
+            if c in older:
+                known[c] = older[c]
+            else:
+                (known if len(c) <= REMEMBERED else long)[c] = array("i", self._chunk(c)).tobytes()
         got = b"".join([known.get(c) or long[c] for c in chunks] if long else map(known.__getitem__, chunks))
-        return np.frombuffer(got, dtype="<i4")
+        return np.frombuffer(got, dtype=np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
         """The library's text of ``ids``."""
