@@ -40,56 +40,51 @@ def ratio(a: str, b: str) -> str:
     return f"CASE WHEN abs({r}) < double('inf') THEN {r} END"
 
 
-def _hundredths(x: str) -> str:
-    """|x| below 2**53 as a whole number of hundredths, rounded to nearest, ties to even.
-
-    The tie is judged on the double's exact value, on 64-bit integers: a fraction is a
-    whole multiple of 2**-58 (from 1/64 up; the only near-ties below, 0.005 and 0.015,
-    come out right too), and hundredths are that multiple * 25 / 2**56. Decimal casts
-    would round the shortest text instead: 2.675 is below 2.675 in binary and has to
-    give 2.67.
-    """
-    v = f"(CAST(rint((abs({x}) - floor(abs({x}))) * {float(2**58)!r}D) AS BIGINT) * 25)"
-    return f"(floor(abs({x})) * 100 + shiftright({v} + {2**55 - 1}L + (shiftright({v}, 56) & 1L), 56))"
-
-
-def _money(x: str) -> str:
-    return f"(CAST({_hundredths(x)} AS DECIMAL(18, 0)) * 0.01BD)"
-
-
 def _bound(x: str, body: Callable[[str], str]) -> str:
     """``body`` over a column reference as it is; any other expression is evaluated once first."""
     return body(x) if re.fullmatch(r"[\w.`]+", x) else bind(f"CAST({x} AS DOUBLE)", "x", body("x"))
 
 
-def _scaled(x: str, places: int) -> str:
-    """|x| below 2**53 as a whole number of 10**-places, ties of the exact value to even, as DECIMAL(38, 0)."""
-    part = f"CAST(rint((abs({x}) - floor(abs({x}))) * {float(2**58)!r}D) AS DECIMAL(20, 0)) * CAST({10**places} AS DECIMAL(12, 0))"
-    whole, rest = f"CAST(({part}) div {2**58}L AS DECIMAL(20, 0))", f"(({part}) % {2**58}BD)"
-    up = f"if({rest} > {2**57}BD OR ({rest} = {2**57}BD AND {whole} % 2 = 1), 1, 0)"
-    return f"CAST(CAST(floor(abs({x})) AS DECIMAL(17, 0)) * CAST({10**places} AS DECIMAL(12, 0)) + {whole} + {up} AS DECIMAL(38, 0))"
-
+def _rounded(x: str, places: int, text: Callable[[str, str], str]) -> str:
+    """``text(whole, fraction)`` of |x| below 2**53 rounded to ``places`` (up to four), ties of the exact value to even.
 
-def _beyond(x: str, places: int) -> str:
-    """Text of |x| from 2**53 on, where doubles are whole: the shortest digits that name the double, or ``inf``."""
-    tail = f", '.{'0' * places}'" if places else ""
-    whole = f"CAST(try_cast(abs({x}) AS DECIMAL(38, 0)) AS STRING)"
-    return f"if(abs({x}) = double('inf'), 'inf', concat(coalesce({whole}, format_string('%.0f', abs({x}))){tail}))"
+    The fraction times 5**places is exact in two limbs of 64-bit integers, of 2**-30 and 2**-82; times 2**places it is only
+    shifted. Bits below 2**-82 belong to fractions under 2**-30, which round to zero at any of these places.
+    """
+    whole = f"CAST(floor(abs({x})) AS BIGINT)"
+    high = f"CAST(floor((abs({x}) - floor(abs({x}))) * {float(2**30)!r}D) AS BIGINT)"
+    low = f"CAST(((abs({x}) - floor(abs({x}))) * {float(2**30)!r}D - h) * {float(2**52)!r}D AS BIGINT)"
+    shift, half = 30 - places, 2 ** (29 - places)
+    up = (f"if(a & {2**shift - 1}L > {half}L OR (a & {2**shift - 1}L = {half}L AND (b & {2**52 - 1}L > 0 OR "
+          f"{f'shiftright(a, {shift})' if places else whole} % 2 = 1)), 1L, 0L)")
+    steps = f"shiftright(a, {shift}) + {up}"
+    carried = f"{whole} + if(k = {10**places}L, 1L, 0L)" if places else f"{whole} + k"
+    body = bind(steps, "k", text(f"({carried})", f"if(k = {10**places}L, 0L, k)"))
+    limbs = bind(f"{5**places}L * l", "b", bind(f"{5**places}L * h + shiftright(b, 52)", "a", body))
+    return bind(high, "h", bind(low, "l", limbs))
+
+
+def whole_digits(x: str) -> str:
+    """All decimal digits of a finite |x| from 2**53 on: its mantissa in limbs of nine digits, doubled 29 times a step (2**29 is less than a limb, so one carries one)."""
+    limb = 10**9
+    exponent = f"greatest(CAST(floor(log2(abs({x}))) AS INT) - 55, 0)"
+    times = (f"aggregate(d, named_struct('a', CAST(array() AS ARRAY<BIGINT>), 'c', 0L), (s, q) -> named_struct('a', "
+             f"concat(s.a, array((q * f + s.c) % {limb}L)), 'c', (q * f + s.c) div {limb}L), s -> if(s.c = 0, s.a, concat(s.a, array(s.c))))")
+    mantissa = f"transform(sequence(0, 1), i -> CAST(abs({x}) / pow(2D, e) AS BIGINT) div if(i = 0, 1L, {limb}L) % {limb}L)"
+    factors = f"transform(sequence(0, e div 29), i -> if(i = 0, shiftleft(1L, e % 29), {2**29}L))"
+    limbs = bind(exponent, "e", f"aggregate({factors}, {mantissa}, (d, f) -> {times})")
+    return f"ltrim('0', array_join(transform(reverse({limbs}), d -> lpad(CAST(d AS STRING), 9, '0')), ''))"
 
 
 def fixed_decimal(x: str, places: int = 2) -> str:
-    """Text with up to four decimals, rounded on the exact binary value below 2**53; no finite value is replaced or lost; NULL stays NULL."""
+    """Text with up to four decimals, rounded on the exact binary value at any size; NULL stays NULL."""
 
     def body(x: str) -> str:
-        if places == 2:
-            small = f"CAST({_money(x)} AS STRING)"
-        elif places:
-            small = bind(f"CAST({_scaled(x, places)} AS STRING)", "t", f"concat(substr(lpad(t, greatest(length(t), {places + 1}), '0'), 1, "
-                         f"greatest(length(t), {places + 1}) - {places}), '.', right(lpad(t, greatest(length(t), {places + 1}), '0'), {places}))")
-        else:
-            small = f"CAST(CAST(rint(abs({x})) AS DECIMAL(38, 0)) AS STRING)"
+        decimal = (lambda w, k: f"concat(CAST({w} AS STRING), '.', lpad(CAST({k} AS STRING), {places}, '0'))") if places else (lambda w, k: f"CAST({w} AS STRING)")
         minus = f"if({x} < 0 AND rint({x}) <> 0, '-', '')" if not places else f"if({x} < 0, '-', '')"
-        text = f"CASE WHEN abs({x}) < {float(2**53)!r}D THEN {small} ELSE {_beyond(x, places)} END"
+        tail = f", '.{'0' * places}'" if places else ""
+        far = f"if(abs({x}) = double('inf'), 'inf', concat({whole_digits(x)}{tail}))"
+        text = f"CASE WHEN abs({x}) < {float(2**53)!r}D THEN {_rounded(x, places, decimal)} ELSE {far} END"
         return f"CASE WHEN {x} IS NULL THEN NULL WHEN isnan({x}) THEN 'nan' ELSE concat({minus}, {text}) END"
 
     return _bound(x, body)
@@ -107,10 +102,8 @@ def int_text(x: str) -> str:
 
 def currency_text(c: str) -> str:
     """``1249.5`` -> ``$1,249.50``; the sign goes first, empty cells stay empty, infinity is ``$inf``."""
-    near = f"format_number(CAST(replace({fixed_decimal('x')}, '-', '') AS DECIMAL(38, 2)), 2)"
-    far = "coalesce(format_number(try_cast(abs(x) AS DECIMAL(38, 0)), 2), format_string('%,.2f', abs(x)))"
-    size = f"CASE WHEN x IS NULL THEN NULL WHEN abs(x) = double('inf') THEN 'inf' WHEN abs(x) < {float(2**53)!r}D THEN {near} ELSE {far} END"
-    return f"CASE WHEN {is_missing(c)} THEN {c} ELSE {bind(to_num(c), 'x', f"concat(if(x < 0, '-$', '$'), {size})")} END"
+    grouped = f"regexp_replace({fixed_decimal('abs(x)')}, {pattern('([0-9])(?=(?:[0-9]{3})+[.])')}, '$1,')"
+    return f"CASE WHEN {is_missing(c)} THEN {c} ELSE {bind(to_num(c), 'x', f"concat(if(x < 0, '-$', '$'), {grouped})")} END"
 
 
 def minor_units(c: str) -> str:

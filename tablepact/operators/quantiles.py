@@ -1,9 +1,10 @@
 """Exact quantiles that no single task has to hold.
 
-``percentile`` keeps every distinct value of a group in one buffer. Here the values
-are counted first (map-side combined, so a value that fills a third of the table
-is one row), counts are totalled per logarithmic bucket, and only the one or two
-buckets that hold the wanted ranks are ordered.
+``percentile`` keeps every distinct value of a group in one buffer. Here the values are counted first (map-side
+combined, so a value that fills a third of the table is one row) and a rank is then found by selection: every
+double has a whole number that is ordered like it, and rounds of 21 of its 63 bits narrow the range in which the
+rank lies. A round counts per bucket, so what it orders is at most 2**21 rows whatever the values are, and after
+three rounds the range is one value. Tiny, narrow, negative and constant columns go the same way as any other.
 """
 
 from __future__ import annotations
@@ -13,19 +14,21 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sql import array, lit, name
+from ..functions.sql import array, bind, lit, name
 
-# Buckets per e-fold. A double has at most 2 * 709.8 * this many buckets, a fixed
-# number of small rows per group; data seen in practice touch a few thousand.
-_PER_E = 4096
-# Largest count table that one aggregation buffer may hold (some tens of megabytes).
-COMPACT_ROWS = 500_000
+#: Bits of a round; three rounds cover a double.
+_STEP = 21
 
 
-# Never NULL, so the join below adds no filter that would make its two inputs
-# different plans: both read the same shuffled counts.
-_LOG = f"floor(log1p(abs(v)) * {_PER_E})"
-_BUCKET = f"coalesce(CASE WHEN v < 0 THEN -{_LOG} ELSE {_LOG} END, 0L)"
+def ordered_bits(v: str) -> str:
+    """A whole number that is ordered like the double ``v`` (not NaN): its exponent and mantissa, negative for negative values.
+
+    Powers of two are exact, so the estimated exponent is put right by comparison and the mantissa is exact.
+    """
+    guess = bind("CAST(floor(log2(a)) AS INT)", "g", "g - if(pow(2D, g) > a, 1, 0) + if(pow(2D, g) * 2 <= a, 1, 0)")
+    normal = bind(guess, "e", f"(e + 1022) * {2**52}L + CAST(a / pow(2D, e) * {float(2**52)!r}D AS BIGINT)")
+    size = f"CASE WHEN a < 2.2250738585072014E-308D THEN CAST(a / 4.9E-324D AS BIGINT) WHEN a = double('inf') THEN {2047 * 2**52}L ELSE {normal} END"
+    return bind(f"abs({v})", "a", f"if({v} < 0, -1L, 1L) * ({size})")
 
 
 def value_counts(df: DataFrame, by: Sequence[str], columns: Sequence[str] | Mapping[str, str]) -> DataFrame:
@@ -43,42 +46,33 @@ def value_counts(df: DataFrame, by: Sequence[str], columns: Sequence[str] | Mapp
     )
 
 
-def quantiles(counts: DataFrame, by: Sequence[str], probs: Sequence[float], rows: int | None = None) -> DataFrame:
-    """``(by..., prob, value)`` from a ``(by..., v, n)`` table; linear interpolation.
-
-    A group without values has no rows. ``rows`` is the measured size of ``counts``:
-    up to :data:`COMPACT_ROWS` distinct values the weighted ``percentile`` does it in
-    one aggregation, beyond that (or unmeasured) the bucketed way below.
-    """
+def quantiles(counts: DataFrame, by: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """``(by..., prob, value)`` from a ``(by..., v, n)`` table; linear interpolation. A group without values has no rows."""
     by = list(by)
     group = by or ["_all"]
-    c = counts if by else counts.withColumn("_all", F.lit(0))
+    c = (counts if by else counts.withColumn("_all", F.lit(0))).select(*group, "v", "n", F.expr(ordered_bits("v")).alias("_bits"))
     wanted = ", ".join(f"{float(p)!r}D" for p in probs)
-    if rows is not None and rows <= COMPACT_ROWS:
-        q = c.groupBy(*group).agg(F.expr(f"percentile(v, array({wanted}), n)").alias("_q")).where("_q IS NOT NULL")
-        return q.selectExpr(*map(name, by), f"explode(map_from_arrays(array({wanted}), _q)) AS (prob, value)")
-    c = c.select(*group, "v", "n", F.expr(_BUCKET).alias("_b"))
     part = ", ".join(name(g) for g in group)
-    # One row per bucket and group: a bounded number of rows for this window.
-    spans = c.groupBy(*group, "_b").agg(F.sum("n").alias("_nb")).selectExpr(
-        *map(name, group), "_b", "_nb",
-        f"coalesce(sum(_nb) OVER (PARTITION BY {part} ORDER BY _b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS _start",
-        f"sum(_nb) OVER (PARTITION BY {part}) AS _total",
-    )
     rank = "p * (_total - 1)"
-    ranks = (f"transform(array({wanted}), p -> named_struct('prob', p, 'lo', floor({rank}), 'hi', ceil({rank}), "
-             f"'frac', {rank} - floor({rank})))")
-    spans = spans.withColumn(
-        "_ranks", F.expr(f"filter({ranks}, r -> r.hi >= _start AND r.lo < _start + _nb)")
-    ).where("size(_ranks) > 0")
-    placed = c.join(spans, [*group, "_b"]).selectExpr(
-        *map(name, group), "v", "n", "_ranks",
-        f"_start + sum(n) OVER (PARTITION BY {part}, _b ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _end",
-    ).selectExpr(*map(name, group), "v", "_end - n AS _from", "_end", "explode(_ranks) AS r")
-    at = "max(CASE WHEN _from <= r.{0} AND r.{0} < _end THEN v END)"
-    out = placed.groupBy(*group, F.expr("r.prob").alias("prob"), F.expr("r.frac").alias("_frac")).agg(
-        F.expr(at.format("lo")).alias("_lo"), F.expr(at.format("hi")).alias("_hi")
-    )
+    ranks = (f"flatten(transform(array({wanted}), p -> transform(array(floor({rank}), ceil({rank})), (r, i) -> "
+             f"named_struct('prob', p, 'side', i, 'frac', {rank} - floor({rank}), 'rank', r))))")
+    # Where a rank lies: in the range of values whose upper bits are _at; its place there is _rank.
+    sought = c.groupBy(*group).agg(F.sum("n").alias("_total")).selectExpr(*map(name, group), f"explode({ranks}) AS r")
+    sought = sought.selectExpr(*map(name, group), "r.prob AS prob", "r.side AS _side", "r.frac AS _frac", "r.rank AS _rank", "-1L AS _at")
+    for shift in (2 * _STEP, _STEP, 0):
+        # The first round looks at all values; later ones only at those in a sought range.
+        inside = c.withColumn("_at", F.lit(-1).cast("bigint"))
+        if shift < 2 * _STEP:
+            ranges = sought.select(*group, "_at").distinct()
+            inside = c.withColumn("_at", F.shiftright("_bits", shift + _STEP)).join(ranges, [*group, "_at"])
+        buckets = inside.groupBy(*group, "_at", F.shiftright("_bits", shift).alias("_to")).agg(F.sum("n").alias("_nb"), F.max("v").alias("_v"))
+        spans = buckets.selectExpr(
+            *map(name, group), "_at", "_to", "_nb", "_v",
+            f"sum(_nb) OVER (PARTITION BY {part}, _at ORDER BY _to ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _end")
+        sought = sought.join(spans, [*group, "_at"]).where("_rank < _end AND _rank >= _end - _nb").selectExpr(
+            *map(name, group), "prob", "_side", "_frac", "_rank - (_end - _nb) AS _rank", "_to AS _at", *(["_v"] if not shift else []))
+    out = sought.groupBy(*group, "prob", "_frac").agg(
+        F.max(F.when(F.col("_side") == 0, F.col("_v"))).alias("_lo"), F.max(F.when(F.col("_side") == 1, F.col("_v"))).alias("_hi"))
     value = ("CASE WHEN _hi = _lo THEN _lo WHEN _frac = 0.5 THEN (_lo + _hi) / 2 "
              "WHEN _frac < 0.5 THEN _lo + (_hi - _lo) * _frac ELSE _hi - (_hi - _lo) * (1 - _frac) END")
     return out.selectExpr(*map(name, by), "prob", f"{value} AS value")

@@ -64,12 +64,12 @@ def of_kind(facts: DataFrame, kind: str) -> DataFrame:
 
 def profile(df: DataFrame, contract: Contract, by: Sequence[str] = ()) -> DataFrame:
     """Long profile of a trusted output; see :func:`profile_of`."""
-    f, rows = materialize(value_facts(df, contract, by), "profile_facts")
+    f, _ = materialize(value_facts(df, contract, by), "profile_facts")
     count = df.groupBy(*by).agg(F.count(F.lit(1)).cast("double").alias("value"))
-    return profile_of(f, count, by, rows)
+    return profile_of(f, count, by)
 
 
-def profile_of(f: DataFrame, count: DataFrame, by: Sequence[str] = (), rows: int | None = None) -> DataFrame:
+def profile_of(f: DataFrame, count: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Long profile ``(by..., column, metric, key, value)`` of a trusted output.
 
     Medians and 5th/95th percentiles of the numeric columns, first and last date (as
@@ -77,7 +77,7 @@ def profile_of(f: DataFrame, count: DataFrame, by: Sequence[str] = (), rows: int
     """
     by = list(by)
     g = [*by, "column"]
-    q = quantiles(of_kind(f, "number").select(*g, "v", "n"), g, [0.05, 0.5, 0.95], rows)
+    q = quantiles(of_kind(f, "number").select(*g, "v", "n"), g, [0.05, 0.5, 0.95])
     metric = F.when(F.col("prob") == 0.5, "median").when(F.col("prob") < 0.5, "p05").otherwise("p95")
     numbers = q.select(*g, metric.alias("metric"), F.lit("").alias("key"), "value")
     bounds = of_kind(f, "bound").groupBy(*g).agg(F.min("v").alias("min"), F.max("v").alias("max")).select(
@@ -119,11 +119,11 @@ def distribution_metrics(facts: DataFrame, rs: RunSet, reference: DataFrame) ->
     return js_distance(mine.join(known, [RUN, "column"], "left_semi"), ref, [RUN, "column"])
 
 
-def level_metrics(facts: DataFrame, reference: DataFrame, contract: Contract, rows: int | None = None) -> DataFrame:
+def level_metrics(facts: DataFrame, reference: DataFrame, contract: Contract) -> DataFrame:
     """SEM-01: ``(run_id, median, reference_median, ratio)`` of the level column."""
     column = contract.level_column
     hist = of_kind(facts, "number").where(F.col("column") == column).select(RUN, "v", "n")
-    mid = quantiles(hist, [RUN], [0.5], rows).select(RUN, F.col("value").alias("median"))
+    mid = quantiles(hist, [RUN], [0.5]).select(RUN, F.col("value").alias("median"))
     ref = reference.where((F.col("column") == column) & (F.col("metric") == "median")).agg(F.max("value").alias("m"))
     ref_value = ref.scalar()
     return mid.withColumn("reference_median", ref_value).withColumn(

@@ -80,7 +80,7 @@ def run_metrics(rs: RunSet, checks: Collection[str] = tuple(CHECKS), reference:
     context = {"CLN-06": rs.inputs, "SEM-02": rs.baseline, "SEM-04": rs.baseline}
     key_checks = [x for x in M.KEY_CHECKS if x in checks and context.get(x, rs.expected) is not None]
     if key_checks and keyed:
-        facts, n = materialize(M.key_facts(rs, key_checks), "key_facts")
+        facts, _ = materialize(M.key_facts(rs, key_checks), "key_facts")
         if "ROW-02" in key_checks:
             sources.append(M.accounting_metrics(facts))
         if "CLN-08" in key_checks:
@@ -91,7 +91,7 @@ def run_metrics(rs: RunSet, checks: Collection[str] = tuple(CHECKS), reference:
                 F.sort_array(F.collect_list(items)).alias("imputed")
             ))
         if "SEM-02" in key_checks and c.level_column:
-            r = M.ratio_metrics(facts, c, n)
+            r = M.ratio_metrics(facts, c)
             sources.append(r.select(RUN, F.struct(*[x for x in r.columns if x != RUN]).alias("sem02")))
         if "SEM-04" in key_checks and c.date_column:
             r = M.date_metrics(facts)
@@ -99,9 +99,9 @@ def run_metrics(rs: RunSet, checks: Collection[str] = tuple(CHECKS), reference:
     if any(x in checks for x in ("SEM-01", "SEM-03", "SEM-05")) and (reference is not None or rs.baseline is not None):
         ref = reference if reference is not None else P.profile(rs.baseline, c)
         ref, _ = materialize(ref, "reference_profile")
-        values, n = materialize(P.value_facts(out, c, [RUN]), "value_facts")
+        values, _ = materialize(P.value_facts(out, c, [RUN]), "value_facts")
         if "SEM-01" in checks and c.level_column:
-            r = P.level_metrics(values, ref, c, n)
+            r = P.level_metrics(values, ref, c)
             sources.append(r.select(RUN, F.struct("median", "reference_median", "ratio").alias("sem01")))
         if "SEM-03" in checks:
             sources.append(P.window_metrics(values))

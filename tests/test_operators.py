@@ -13,21 +13,37 @@ from tablepact.operators.asof import asof_backward, newest_per_group
 from tablepact.operators.clean import clean, row_accounting
 from tablepact.operators.diff import cell_diff
 from tablepact.operators.fingerprint import canonicalize, fingerprints
-from tablepact.operators.quantiles import quantiles, value_counts
+from tablepact.operators.quantiles import ordered_bits, quantiles, value_counts
 from tablepact.workload import fixtures as fx
 
 
-@pytest.mark.parametrize("rows", [None, 10])
-def test_quantiles_match_numpy_under_skew(spark, rows):
+def test_quantiles_match_numpy_at_any_shape(spark):
     rng = random.Random(3)
-    data = [("a", 5.0)] * 400 + [("a", rng.gauss(0, 100)) for _ in range(601)] + [("b", float(i)) for i in range(10)] + [("c", -0.0)]
+    tiny = 5e-324
+    columns = {
+        "skewed": [5.0] * 400 + [rng.gauss(0, 100) for _ in range(601)], "few": [float(i) for i in range(10)], "zero": [-0.0, 0.0],
+        "narrow": [1 + i * 2**-52 for i in range(500)], "tiny": [i * tiny for i in range(-50, 51)], "one": [7.25], "same": [-3.5] * 99,
+        "small": [1e-300 * rng.random() for _ in range(300)], "wide": [rng.choice([-1, 1]) * 10.0 ** rng.randint(-300, 300) for _ in range(301)],
+        "powers": [2.0**e for e in range(-1074, 1024, 7)] + [-(2.0**e) for e in range(-1074, 1024, 5)], "largest": [1.7976931348623157e308, -1.0],
+    }
+    data = [(g, x) for g, xs in columns.items() for x in xs]
     df = spark.createDataFrame(data, "g string, x double").repartition(5)
     probs = [0.0, 0.05, 0.5, 0.95, 1.0]
-    got = {(r.g, r.prob): r.value for r in quantiles(value_counts(df, ["g"], ["x"]).drop("column"), ["g"], probs, rows).collect()}
-    for g in "abc":
-        xs = [x for k, x in data if k == g]
+    got = {(r.g, r.prob): r.value for r in quantiles(value_counts(df, ["g"], ["x"]).drop("column"), ["g"], probs).collect()}
+    for g, xs in columns.items():
         for p in probs:
-            assert got[(g, p)] == pytest.approx(np.quantile(xs, p), abs=1e-9)
+            assert got[(g, p)] == pytest.approx(np.quantile(xs, p), rel=1e-12, abs=tiny), (g, p)
+
+
+def test_whole_numbers_are_ordered_like_their_doubles(spark):
+    rng = random.Random(9)
+    xs = [0.0, 5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, float("inf"), 1.0, 1 - 2**-53, 1 + 2**-52]
+    xs += [2.0**e * f for e in range(-1070, 1020, 11) for f in (1, 1 - 2**-53, 1 + 2**-52)] + [rng.lognormvariate(0, 200) for _ in range(500)]
+    xs = sorted({s * x for x in xs for s in (1, -1)})
+    df = spark.createDataFrame([(x,) for x in xs], "x double").selectExpr("x", f"{ordered_bits('x')} AS b")
+    bits = {r.x: r.b for r in df.collect()}
+    expect = [int(np.float64(abs(x)).view(np.int64)) * (-1 if x < 0 else 1) for x in xs]
+    assert [bits[x] for x in xs] == expect
 
 
 def test_median_without_values_has_no_row(spark):
