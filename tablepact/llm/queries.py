@@ -108,8 +108,9 @@ FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
 mixed AS (SELECT *, (greatest(0, least(size, floor(target) - before)) + greatest(0, least(size, floor(target) - before - source_size))
 + greatest(0, least(size, floor(target) - before - 2 * source_size)))::BIGINT AS taken FROM placed)"""
 #: Continues it: each pass's place in training, by the source's ramp.
-PASSES_SQL = """ramps AS (SELECT source, [-0.5, 0, 0.5][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS k
-FROM targets WHERE floor(target) >= 1),
+RAMPS_SQL = """ramps AS (SELECT source, [-0.5, 0, 0.5][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS k
+FROM targets WHERE floor(target) >= 1)"""
+PASSES_SQL = RAMPS_SQL + """,
 passes AS (SELECT m.doc_id, copy, k, greatest(0, least(size, floor(target) - before - copy * source_size)) AS words,
 (copy * source_size + before + words / 2) / floor(target) AS share
 FROM mixed m JOIN ramps r ON m.source IS NOT DISTINCT FROM r.source, range(3) c(copy)),
@@ -117,8 +118,13 @@ ordered AS (SELECT doc_id, copy, CASE WHEN k = 0 THEN share ELSE (sqrt((1 - k) *
 FROM passes WHERE words > 0)"""
 ORACLES["op9_mixing"] = rf"""WITH sized AS (SELECT doc_id, source,
 coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
-{MIX_SQL}
-SELECT doc_id, size, source_size::BIGINT AS source_size, target, taken FROM mixed"""
+{MIX_SQL},
+{RAMPS_SQL},
+shared AS (SELECT m.*, k, list_transform(list_filter([0, 1, 2], lambda c: floor(target) - before - c * source_size > 0 AND size > 0),
+lambda c: (c * source_size + before + greatest(0, least(size, floor(target) - before - c * source_size)) / 2) / floor(target)) AS shares
+FROM mixed m LEFT JOIN ramps r ON m.source IS NOT DISTINCT FROM r.source)
+SELECT doc_id, size, source_size::BIGINT AS source_size, target, taken, list_transform(shares, lambda s: CASE WHEN k = 0 THEN s
+ELSE (sqrt((1 - k) * (1 - k) + 4 * k * s) - (1 - k)) / (2 * k) END) AS positions FROM shared"""
 
 
 @query
