@@ -14,21 +14,25 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sql import array, bind, lit, name
+from ..functions.sql import array, lit, name
 
 #: Bits of a round; three rounds cover a double.
 _STEP = 21
 
 
-def ordered_bits(v: str) -> str:
-    """A whole number that is ordered like the double ``v`` (not NaN): its exponent and mantissa, negative for negative values.
+def _with_bits(df: DataFrame, v: str = "v") -> DataFrame:
+    """``df`` with ``_bits``: a whole number that is ordered like the double ``v`` (not NaN): its exponent and mantissa,
+    negative for negative values.
 
-    Powers of two are exact, so the estimated exponent is put right by comparison and the mantissa is exact.
+    Powers of two are exact, so the estimated exponent is put right by comparison and the mantissa is exact. Never NULL: a
+    join on it adds no filter that would make the plans of its inputs differ, and all rounds read the same shuffled counts.
     """
-    guess = bind("CAST(floor(log2(a)) AS INT)", "g", "g - if(pow(2D, g) > a, 1, 0) + if(pow(2D, g) * 2 <= a, 1, 0)")
-    normal = bind(guess, "e", f"(e + 1022) * {2**52}L + CAST(a / pow(2D, e) * {float(2**52)!r}D AS BIGINT)")
-    size = f"CASE WHEN a < 2.2250738585072014E-308D THEN CAST(a / 4.9E-324D AS BIGINT) WHEN a = double('inf') THEN {2047 * 2**52}L ELSE {normal} END"
-    return bind(f"abs({v})", "a", f"if({v} < 0, -1L, 1L) * ({size})")
+    a = f"abs({v})"
+    guess = df.withColumn("_g", F.expr(f"CAST(floor(log2({a})) AS INT)"))
+    exponent = guess.withColumn("_e", F.expr(f"_g - if(pow(2D, _g) > {a}, 1, 0) + if(pow(2D, _g) * 2 <= {a}, 1, 0)"))
+    size = (f"CASE WHEN {a} < 2.2250738585072014E-308D THEN CAST({a} / 4.9E-324D AS BIGINT) WHEN {a} = double('inf') THEN {2047 * 2**52}L "
+            f"ELSE (_e + 1022) * {2**52}L + CAST({a} / pow(2D, _e) * {float(2**52)!r}D AS BIGINT) END")
+    return exponent.withColumn("_bits", F.expr(f"coalesce(if({v} < 0, -1L, 1L) * ({size}), 0L)")).drop("_g", "_e")
 
 
 def value_counts(df: DataFrame, by: Sequence[str], columns: Sequence[str] | Mapping[str, str]) -> DataFrame:
@@ -47,32 +51,41 @@ def value_counts(df: DataFrame, by: Sequence[str], columns: Sequence[str] | Mapp
 
 
 def quantiles(counts: DataFrame, by: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """``(by..., prob, value)`` from a ``(by..., v, n)`` table; linear interpolation. A group without values has no rows."""
+    """``(by..., prob, value)`` from a ``(by..., v, n)`` table; linear interpolation.
+
+    A group without values has no rows, nor has a group with a NULL name.
+    """
     by = list(by)
     group = by or ["_all"]
-    c = (counts if by else counts.withColumn("_all", F.lit(0))).select(*group, "v", "n", F.expr(ordered_bits("v")).alias("_bits"))
+    c = (counts if by else counts.withColumn("_all", F.lit(0))).select(*group, "v", "n")
+    # Joins would add this to some of the rounds' inputs only, and they would no longer share one shuffle.
+    c = _with_bits(c.dropna(subset=group))
     wanted = ", ".join(f"{float(p)!r}D" for p in probs)
     part = ", ".join(name(g) for g in group)
     rank = "p * (_total - 1)"
     ranks = (f"flatten(transform(array({wanted}), p -> transform(array(floor({rank}), ceil({rank})), (r, i) -> "
              f"named_struct('prob', p, 'side', i, 'frac', {rank} - floor({rank}), 'rank', r))))")
-    # Where a rank lies: in the range of values whose upper bits are _at; its place there is _rank.
-    sought = c.groupBy(*group).agg(F.sum("n").alias("_total")).selectExpr(*map(name, group), f"explode({ranks}) AS r")
-    sought = sought.selectExpr(*map(name, group), "r.prob AS prob", "r.side AS _side", "r.frac AS _frac", "r.rank AS _rank", "-1L AS _at")
+    here = "filter({}, r -> r.rank >= _end - _nb AND r.rank < _end)"
+    inside = "transform({}, r -> named_struct('prob', r.prob, 'side', r.side, 'frac', r.frac, 'rank', r.rank - (_end - _nb)))"
+    upper, sought = [], None
     for shift in (2 * _STEP, _STEP, 0):
-        # The first round looks at all values; later ones only at those in a sought range.
-        inside = c.withColumn("_at", F.lit(-1).cast("bigint"))
-        if shift < 2 * _STEP:
-            ranges = sought.select(*group, "_at").distinct()
-            inside = c.withColumn("_at", F.shiftright("_bits", shift + _STEP)).join(ranges, [*group, "_at"])
-        buckets = inside.groupBy(*group, "_at", F.shiftright("_bits", shift).alias("_to")).agg(F.sum("n").alias("_nb"), F.max("v").alias("_v"))
+        # The first round looks at all values; later ones only at those in a range that holds a rank, with the ranks
+        # (and the places in the range) that it holds. A range is met once.
+        values = c
+        if sought is not None:
+            values = c.withColumn("_at", F.shiftright("_bits", shift + _STEP)).join(sought, [*group, "_at"])
+            upper = ["_at", "_ranks"]
+        buckets = values.groupBy(*group, *upper, F.shiftright("_bits", shift).alias("_to")).agg(F.sum("n").alias("_nb"), F.max("v").alias("_v"))
+        of = part + (", _at" if upper else "")
         spans = buckets.selectExpr(
-            *map(name, group), "_at", "_to", "_nb", "_v",
-            f"sum(_nb) OVER (PARTITION BY {part}, _at ORDER BY _to ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _end")
-        sought = sought.join(spans, [*group, "_at"]).where("_rank < _end AND _rank >= _end - _nb").selectExpr(
-            *map(name, group), "prob", "_side", "_frac", "_rank - (_end - _nb) AS _rank", "_to AS _at", *(["_v"] if not shift else []))
-    out = sought.groupBy(*group, "prob", "_frac").agg(
-        F.max(F.when(F.col("_side") == 0, F.col("_v"))).alias("_lo"), F.max(F.when(F.col("_side") == 1, F.col("_v"))).alias("_hi"))
+            "*", f"sum(_nb) OVER (PARTITION BY {of} ORDER BY _to ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _end",
+            *([] if upper else [f"sum(_nb) OVER (PARTITION BY {part}) AS _total"]))
+        if not upper:
+            spans = spans.withColumn("_ranks", F.expr(ranks))
+        held = spans.withColumn("_ranks", F.expr(here.format("_ranks"))).where("size(_ranks) > 0")
+        sought = held.select(*group, F.col("_to").alias("_at"), F.expr(inside.format("_ranks")).alias("_ranks"), *(["_v"] if not shift else []))
+    out = sought.select(*group, "_v", F.explode("_ranks").alias("r")).groupBy(*group, F.col("r.prob").alias("prob"), F.col("r.frac").alias("_frac")).agg(
+        F.max(F.when(F.col("r.side") == 0, F.col("_v"))).alias("_lo"), F.max(F.when(F.col("r.side") == 1, F.col("_v"))).alias("_hi"))
     value = ("CASE WHEN _hi = _lo THEN _lo WHEN _frac = 0.5 THEN (_lo + _hi) / 2 "
              "WHEN _frac < 0.5 THEN _lo + (_hi - _lo) * _frac ELSE _hi - (_hi - _lo) * (1 - _frac) END")
     return out.selectExpr(*map(name, by), "prob", f"{value} AS value")

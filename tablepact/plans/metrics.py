@@ -183,18 +183,41 @@ KEY_CHECKS = ("ROW-02", "CLN-06", "CLN-08", "SEM-02", "SEM-04")
 FEW_KEYS = 200_000
 
 
-def _unique(df: DataFrame, by: list[str], columns: Collection[str]) -> DataFrame:
+def _repeated(sides: Mapping[str, DataFrame]) -> dict[str, tuple[DataFrame, int]]:
+    """Keys that occur more than once, of several tables in one job: ``(group, _k, n)`` and their number per table.
+
+    A table has columns ``group`` (its run or case, null if it has none) and ``_k``.
+    """
+    every = reduce(DataFrame.unionByName, (df.select(F.lit(side).alias("side"), F.col("group").cast("string").alias("group"), "_k") for side, df in sides.items()))
+    found, n = materialize(every.groupBy("side", "group", "_k").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated_keys")
+    sizes = {r["side"]: r["n"] for r in found.groupBy("side").agg(F.count(F.lit(1)).alias("n")).collect()} if n else {}
+    return {side: (found.where(F.col("side") == side).drop("side"), sizes.get(side, 0)) for side in sides}
+
+
+def _unique(df: DataFrame, by: list[str], columns: Collection[str], repeated: DataFrame, n: int) -> DataFrame:
     """One row per key of a reference table. It should be so; where keys repeat, the smallest row stands for them."""
-    repeated, n = materialize(df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*by), "repeated")
     if not n:
         return df
-    row = F.struct(*columns)
-    first = df.join(repeated, by, "left_semi").groupBy(*by).agg(F.min(row).alias("_row")).select(*by, "_row.*")
-    return df.join(repeated, by, "left_anti").select(*by, *columns).unionByName(first)
+    keys = repeated.select("_k").distinct()
+    first = df.join(keys, "_k", "left_semi").groupBy(*by).agg(F.min(F.struct(*columns)).alias("_row")).select(*by, "_row.*")
+    return df.join(keys, "_k", "left_anti").select(*by, *columns).unionByName(first)
 
 
 def key_facts(rs: RunSet, checks: Collection[str] = KEY_CHECKS) -> DataFrame:
-    """Everything the key comparisons need, as counted facts ``(run_id, kind, name, v, n)``.
+    """Everything the key comparisons need, as counted facts ``(run_id, kind, name, v, n)``; see :func:`key_patterns`.
+
+    The facts are compact and written, as several checks read them.
+    """
+    patterns, facts, totals = key_patterns(rs, checks)
+    counted = patterns.selectExpr(RUN, f"explode({array(facts)}) AS f").where("f IS NOT NULL").selectExpr(RUN, "f.kind", "f.name", "f.v", "f.w AS n")
+    for t in totals:
+        counted = counted.unionByName(t)
+    summed = counted.groupBy(RUN, "kind", "name", "v").agg(F.sum("n").alias("n"))
+    return materialize(summed.where("n <> 0").select(RUN, "kind", "name", F.nanvl("v", F.lit(None).cast("double")).alias("v"), "n"), "key_facts")[0]
+
+
+def key_patterns(rs: RunSet, checks: Collection[str] = KEY_CHECKS) -> tuple[DataFrame, list[str], list[DataFrame]]:
+    """What holds for the output rows, counted; the facts that follow from a pattern; and facts of whole runs.
 
     Outputs are dealt by (case, key) once and meet truth, input mask and baseline there, each folded once per key and
     never repeated per run. What holds for a row becomes a number of bits and the few values that matter;
@@ -221,8 +244,14 @@ def key_facts(rs: RunSet, checks: Collection[str] = KEY_CHECKS) -> DataFrame:
         return [f"{rs.column(df, n)} AS {name(prefix + n)}" for n in only]
 
     out = rs.outputs.selectExpr(RUN, CASE, k, ORD, *cells(rs.outputs, "o_", need)).where("_k IS NOT NULL")
-    counts = out.groupBy(RUN, "_k").agg(F.count(F.lit(1)).alias("n_out")).where("n_out > 1")
-    repeated, n_repeated = materialize(counts, "repeated_keys")
+    sides = {"outputs": out.select(F.col(RUN).alias("group"), "_k")}
+    if with_truth:
+        sides["truth"] = rs.expected.selectExpr(f"{name(CASE)} AS group", k).where("_k IS NOT NULL")
+    if compare_level or compare_date:
+        sides["baseline"] = rs.baseline.selectExpr("CAST(NULL AS STRING) AS group", k).where("_k IS NOT NULL")
+    twice = _repeated(sides)
+    repeated, n_repeated = twice["outputs"]
+    repeated = repeated.select(F.col("group").alias(RUN), "_k", F.col("n").alias("n_out"))
     rows = out
     if n_repeated:
         few = F.broadcast(repeated) if n_repeated <= FEW_KEYS else repeated
@@ -237,8 +266,12 @@ def key_facts(rs: RunSet, checks: Collection[str] = KEY_CHECKS) -> DataFrame:
 
     if with_truth:
         e_cells = cells(rs.expected, "e_", need)
-        exp = _unique(rs.expected.selectExpr(CASE, k, *e_cells).where("_k IS NOT NULL"), by_key, ["e_" + n for n in need])
-        rows = rows.join(exp.withColumn("_e", F.lit(True)), by_key, "left")
+        exp = _unique(rs.expected.selectExpr(CASE, k, *e_cells).where("_k IS NOT NULL"), by_key, ["e_" + n for n in need], *twice["truth"])
+        # Whether a cell equals itself (a text in a number column does not) is known once per key; most cells of a run
+        # are spelled like the truth's and need no more than that.
+        itself = " + ".join(f"CASE WHEN {tolerant_equal(name('e_' + n), name('e_' + n), c[n].dtype, c.numeric_abs)} THEN {2**i}L ELSE 0L END"
+                            for i, n in enumerate(truth_columns)) if compare_cells else "0L"
+        rows = rows.join(exp.withColumn("_e", F.expr(itself)), by_key, "left")
         if "ROW-02" in checks:
             total(exp.groupBy(CASE).agg(F.count(F.lit(1)).alias("_n")), "ROW-02", "missing", "_n")
     flags = [i.name for i in imputed if i.name in rs.inputs.columns]
@@ -259,9 +292,11 @@ def key_facts(rs: RunSet, checks: Collection[str] = KEY_CHECKS) -> DataFrame:
     with_base = compare_level or compare_date
     if with_base:
         only = [level] * compare_level + [date] * compare_date
-        base = _unique(rs.baseline.selectExpr(k, *cells(rs.baseline, "b_", only)).where("_k IS NOT NULL"), ["_k"], ["b_" + n for n in only])
+        base = _unique(rs.baseline.selectExpr(k, *cells(rs.baseline, "b_", only)).where("_k IS NOT NULL"), ["_k"], ["b_" + n for n in only], *twice["baseline"])
         if compare_date:
-            base = base.withColumn("_sref", F.expr(X.strip(name("b_" + date)))).withColumn("_ref", F.expr(D.date_of("_sref"))).drop("_sref", "b_" + date)
+            base = base.withColumn("_sref", F.expr(X.strip(name("b_" + date)))).withColumn("_ref", F.expr(D.date_of("_sref"))).drop("_sref")
+        if compare_level:
+            base = base.withColumn("_lb", F.expr(N.to_num(name("b_" + level))))
         # The baseline holds for every case; cases are few, runs are not.
         base = base.withColumn(CASE, F.explode(per_run.agg(F.collect_set(CASE).alias("c")).scalar()))
         rows = rows.join(base.withColumn("_b", F.lit(True)), by_key, "left")
@@ -298,9 +333,9 @@ def key_facts(rs: RunSet, checks: Collection[str] = KEY_CHECKS) -> DataFrame:
         fact("_e IS NOT NULL", "ROW-02", "missing", sign="-")
     if compare_cells:
         fact("_e IS NOT NULL", "CLN-08", "compared")
-        for n in truth_columns:
+        for i, n in enumerate(truth_columns):
             if n in rs.expected.columns:
-                same = tolerant_equal(o(n), e(n), c[n].dtype, c.numeric_abs)
+                same = f"CASE WHEN {o(n)} = {e(n)} THEN _e & {2**i}L <> 0 ELSE {tolerant_equal(o(n), e(n), c[n].dtype, c.numeric_abs)} END"
                 fact(f"_e IS NOT NULL AND {o(n)} IS NOT NULL AND NOT {same}", "CLN-08", n)
     if "CLN-06" in checks:
         for i in imputed:
@@ -315,11 +350,11 @@ def key_facts(rs: RunSet, checks: Collection[str] = KEY_CHECKS) -> DataFrame:
             else:
                 fact(hit, "CLN-06", i.name, f"CASE WHEN {o(i.name)} = {lit(i.impute.value)} THEN 1D ELSE 0D END")
     if compare_level:
-        extra += [f"{N.to_num(o(level))} AS _lo", f"{N.to_num(name('b_' + level))} AS _lb"]
+        extra.append(f"CASE WHEN {o(level)} = {name('b_' + level)} THEN _lb ELSE {N.to_num(o(level))} END AS _lo")
         fact(f"_b IS NOT NULL AND NOT {was_missing(level)}", "SEM-02", "ratio", N.ratio("_lo", "_lb"))
     if compare_date:
-        stripped.append(f"{X.strip(o(date))} AS _snew")
-        extra.append(f"{D.date_of('_snew')} AS _new")
+        stripped.append(f"CASE WHEN {o(date)} = {name('b_' + date)} THEN NULL ELSE {X.strip(o(date))} END AS _snew")
+        extra.append(f"CASE WHEN {o(date)} = {name('b_' + date)} THEN _ref ELSE {D.date_of('_snew')} END AS _new")
         found = "_b IS NOT NULL AND _new IS NOT NULL"
         same = "coalesce(_new = _ref, false)"
         swapped = "coalesce(month(_new) = day(_ref) AND day(_new) = month(_ref), false)"
@@ -333,16 +368,14 @@ def key_facts(rs: RunSet, checks: Collection[str] = KEY_CHECKS) -> DataFrame:
     bit = " + ".join(f"CASE WHEN {when} THEN {2**i}L ELSE 0L END" for i, when in enumerate(bits)) or "0L"
     pattern = rows.selectExpr("*", *stripped).selectExpr("*", *extra).selectExpr(RUN, f"{bit} AS bits", *(f"{v} AS {n}" for n, v in values.items()))
     pattern = pattern.groupBy(RUN, "bits", *values).agg(F.count(F.lit(1)).alias("n"))
-    counted = pattern.selectExpr(RUN, f"explode({array(facts)}) AS f").where("f IS NOT NULL").selectExpr(RUN, "f.kind", "f.name", "f.v", "f.w AS n")
+    whole: list[DataFrame] = []
     if "ROW-02" in checks and with_truth and n_repeated:
-        counted = counted.unionByName(repeated.groupBy(RUN).agg(F.sum(F.col("n_out") - 1).alias("n")).selectExpr(
+        whole.append(repeated.groupBy(RUN).agg(F.sum(F.col("n_out") - 1).alias("n")).selectExpr(
             RUN, "'ROW-02' AS kind", "'duplicate' AS name", "CAST(NULL AS DOUBLE) AS v", "n"))
     if totals:
-        # A few rows per case, written: the join to runs then has a key of its own even if there is one case only.
-        every, _ = materialize(reduce(DataFrame.unionByName, totals), "totals")
-        counted = counted.unionByName(per_run.join(every, CASE).selectExpr(RUN, "kind", "name", "CAST(NULL AS DOUBLE) AS v", "n"))
-    summed = counted.groupBy(RUN, "kind", "name", "v").agg(F.sum("n").alias("n"))
-    return summed.where("n <> 0").select(RUN, "kind", "name", F.nanvl("v", F.lit(None).cast("double")).alias("v"), "n")
+        # A few rows per case and run.
+        whole.append(per_run.join(reduce(DataFrame.unionByName, totals), CASE).selectExpr(RUN, "kind", "name", "CAST(NULL AS DOUBLE) AS v", "n"))
+    return pattern, facts, whole
 
 
 def facts_of(facts: DataFrame, *kinds: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contract import Contract
+from ..functions.compare import close_name
 from ..functions.sql import array, lit, name
 from ..operators.ordering import ORD
 from .headers import CASE, RUN, compared, drift
@@ -24,6 +25,9 @@ def _texts(items: Sequence[str]) -> str:
     return f"CAST({array(lit(i) for i in items)} AS ARRAY<STRING>)"
 
 
+_META = [RUN, CASE, "header", "layouts", "missing", "extra", "renames", "input_header", "input_removed", "input_added", "expected_rows"]
+
+
 @dataclass(frozen=True)
 class RunSet:
     """Any number of runs, validated together by one plan.
@@ -73,10 +77,27 @@ class RunSet:
 
     def meta(self) -> DataFrame:
         """One row per run, with what its header and its input's header say."""
+        if self.header_table is None and self.input_header_table is None:
+            return self._listed_meta()
         rows = [(lit(c), f"CAST({lit(n)} AS BIGINT)") for c, n in (self.expected_rows or {}).items()]
         counts = values_table(self.spark, [CASE, "expected_rows"], rows or [("CAST(NULL AS STRING)", "CAST(NULL AS BIGINT)")])
         found = compared(self.run_headers(), self.contract.names).join(self.case_inputs(), CASE, "left").join(counts, CASE, "left")
-        return found.select(RUN, CASE, "header", "layouts", "missing", "extra", "renames", "input_header", "input_removed", "input_added", "expected_rows")
+        return found.select(*_META)
+
+    def _listed_meta(self) -> DataFrame:
+        """The same of headers that the caller has as lists: an inline table."""
+        want, base = self.contract.names, self.baseline_header or []
+        rows = []
+        for run, header in self.headers.items():
+            case = self.cases[run]
+            missing, extra = [c for c in want if c not in header], [c for c in header if c not in want]
+            renames = [f"{m}→{found}" for m in missing if (found := close_name(m, extra))]
+            inp = self.input_headers.get(case)
+            none = "CAST(NULL AS ARRAY<STRING>)"
+            drifted = (none, none, none) if inp is None else (_texts(inp), _texts([c for c in base if c not in inp]), _texts([c for c in inp if c not in base]))
+            count = (self.expected_rows or {}).get(case)
+            rows.append((lit(run), lit(case), _texts(header), "1L", _texts(missing), _texts(extra), _texts(renames), *drifted, f"CAST({lit(count)} AS BIGINT)"))
+        return values_table(self.spark, _META, rows)
 
     def run_cases(self) -> DataFrame:
         """``(run_id, case)``, one row per run."""

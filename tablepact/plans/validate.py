@@ -80,7 +80,7 @@ def run_metrics(rs: RunSet, checks: Collection[str] = tuple(CHECKS), reference:
     context = {"CLN-06": rs.inputs, "SEM-02": rs.baseline, "SEM-04": rs.baseline}
     key_checks = [x for x in M.KEY_CHECKS if x in checks and context.get(x, rs.expected) is not None]
     if key_checks and keyed:
-        facts, _ = materialize(M.key_facts(rs, key_checks), "key_facts")
+        facts = M.key_facts(rs, key_checks)
         if "ROW-02" in key_checks:
             sources.append(M.accounting_metrics(facts))
         if "CLN-08" in key_checks:
@@ -91,7 +91,8 @@ def run_metrics(rs: RunSet, checks: Collection[str] = tuple(CHECKS), reference:
                 F.sort_array(F.collect_list(items)).alias("imputed")
             ))
         if "SEM-02" in key_checks and c.level_column:
-            r = M.ratio_metrics(facts, c)
+            # Selections have plans of their own: one plan for all would be planned anew after each of their stages.
+            r, _ = materialize(M.ratio_metrics(facts, c), "ratio_metrics")
             sources.append(r.select(RUN, F.struct(*[x for x in r.columns if x != RUN]).alias("sem02")))
         if "SEM-04" in key_checks and c.date_column:
             r = M.date_metrics(facts)
@@ -101,7 +102,7 @@ def run_metrics(rs: RunSet, checks: Collection[str] = tuple(CHECKS), reference:
         ref, _ = materialize(ref, "reference_profile")
         values, _ = materialize(P.value_facts(out, c, [RUN]), "value_facts")
         if "SEM-01" in checks and c.level_column:
-            r = P.level_metrics(values, ref, c)
+            r, _ = materialize(P.level_metrics(values, ref, c), "level_metrics")
             sources.append(r.select(RUN, F.struct("median", "reference_median", "ratio").alias("sem01")))
         if "SEM-03" in checks:
             sources.append(P.window_metrics(values))

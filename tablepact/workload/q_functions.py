@@ -128,12 +128,12 @@ SELECT event_id, format('{:.2f}', x) AS two, CAST(round_even(x, 0) AS BIGINT) AS
   format('{:.3f}', h3) AS three, format('{:.4f}', h4) AS four, format('{:.2f}', far) AS far
 FROM (SELECT event_id, (CAST(round(value * 100) AS BIGINT) * 10 + 5) / 1000.0::DOUBLE * (CASE WHEN event_id % 3 = 0 THEN -1 ELSE 1 END) AS x,
   (event_id % 4001) / 8.0::DOUBLE AS y, (event_id * 10 + 5) / 10000.0::DOUBLE AS h3, (event_id * 10 + 5) / 100000.0::DOUBLE AS h4,
-  (event_id + 1)::DOUBLE * CASE event_id % 3 WHEN 0 THEN 1e20 WHEN 1 THEN 1e37 ELSE 1e298 END AS far FROM events)""")
+  (event_id + 1)::DOUBLE * CASE event_id % 3 WHEN 0 THEN 1e20 WHEN 1 THEN 1e37 ELSE 1e28 END AS far FROM events)""")
 def _(spark, sf):
     e = events(spark, sf).selectExpr(
         "event_id", f"({_N} * 10 + 5) / 1000D * (CASE WHEN event_id % 3 = 0 THEN -1 ELSE 1 END) AS x",
         "(event_id % 4001) / 8D AS y", "(event_id * 10 + 5) / 10000D AS h3", "(event_id * 10 + 5) / 100000D AS h4",
-        "CAST(event_id + 1 AS DOUBLE) * CASE event_id % 3 WHEN 0 THEN 1e20D WHEN 1 THEN 1e37D ELSE 1e298D END AS far")
+        "CAST(event_id + 1 AS DOUBLE) * CASE event_id % 3 WHEN 0 THEN 1e20D WHEN 1 THEN 1e37D ELSE 1e28D END AS far")
     return e.selectExpr("event_id", f"{N.fixed_decimal('x')} AS two", f"CAST({N.round_even('x')} AS BIGINT) AS whole", f"{N.fixed_decimal('y')} AS eighths",
                         f"{N.fixed_decimal('h3', 3)} AS three", f"{N.fixed_decimal('h4', 4)} AS four", f"{N.fixed_decimal('far')} AS far")
 

@@ -175,8 +175,8 @@ def test_landing_stream_sees_drift_and_merges_batches(spark, sf, tmp_path):
 
 def test_comparisons_by_key_need_no_copies_per_run(spark, sf):
     rs = fx.run_set(spark, sf)
-    facts = M.key_facts(rs)
-    plan = facts._jdf.queryExecution().executedPlan().toString()
+    patterns, _, _ = M.key_patterns(rs)
+    plan = patterns._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "SortAggregate" not in plan and "CartesianProduct" not in plan
 
     def counted(r):

@@ -13,7 +13,7 @@ from tablepact.operators.asof import asof_backward, newest_per_group
 from tablepact.operators.clean import clean, row_accounting
 from tablepact.operators.diff import cell_diff
 from tablepact.operators.fingerprint import canonicalize, fingerprints
-from tablepact.operators.quantiles import ordered_bits, quantiles, value_counts
+from tablepact.operators.quantiles import _with_bits, quantiles, value_counts
 from tablepact.workload import fixtures as fx
 
 
@@ -40,8 +40,8 @@ def test_whole_numbers_are_ordered_like_their_doubles(spark):
     xs = [0.0, 5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, float("inf"), 1.0, 1 - 2**-53, 1 + 2**-52]
     xs += [2.0**e * f for e in range(-1070, 1020, 11) for f in (1, 1 - 2**-53, 1 + 2**-52)] + [rng.lognormvariate(0, 200) for _ in range(500)]
     xs = sorted({s * x for x in xs for s in (1, -1)})
-    df = spark.createDataFrame([(x,) for x in xs], "x double").selectExpr("x", f"{ordered_bits('x')} AS b")
-    bits = {r.x: r.b for r in df.collect()}
+    df = _with_bits(spark.createDataFrame([(x,) for x in xs], "v double"))
+    bits = {r.v: r._bits for r in df.collect()}
     expect = [int(np.float64(abs(x)).view(np.int64)) * (-1 if x < 0 else 1) for x in xs]
     assert [bits[x] for x in xs] == expect
 
