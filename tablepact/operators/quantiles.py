@@ -28,7 +28,7 @@ def _with_bits(df: DataFrame, v: str = "v") -> DataFrame:
     join on it adds no filter that would make the plans of its inputs differ, and all rounds read the same shuffled counts.
     """
     a = f"abs({v})"
-    guess = df.withColumn("_g", F.expr(f"CAST(floor(log2({a})) AS INT)"))
+    guess = df.withColumn("_g", F.expr(f"CASE WHEN {a} > 0 AND {a} < double('inf') THEN CAST(floor(log2({a})) AS INT) END"))
     exponent = guess.withColumn("_e", F.expr(f"_g - if(pow(2D, _g) > {a}, 1, 0) + if(pow(2D, _g) * 2 <= {a}, 1, 0)"))
     size = (f"CASE WHEN {a} < 2.2250738585072014E-308D THEN CAST({a} / 4.9E-324D AS BIGINT) WHEN {a} = double('inf') THEN {2047 * 2**52}L "
             f"ELSE (_e + 1022) * {2**52}L + CAST({a} / pow(2D, _e) * {float(2**52)!r}D AS BIGINT) END")
