@@ -9,8 +9,9 @@ one signature. Two sets that are similar enough differ in at most ``reach`` shin
 * documents that pass over too many for that are joined among themselves on half as many, larger segments,
   matched up to one deletion (a subset meets itself and its one-deletion neighbourhood).
 
-Every candidate pair is verified on whole sets, unless links found before hold its documents
-together already. Nothing is sampled, capped or dropped.
+Candidates that meet in a key are sifted by sketches there: the parities of shingles' counts in 512 places bound
+from below in how many shingles two sets differ, so nothing similar is lost. What is left is verified on whole sets,
+unless links found before hold its documents together already. Nothing is sampled, capped or dropped.
 """
 
 from __future__ import annotations
@@ -19,10 +20,10 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, int64, runs, written
+from .common import components, int64, written
 
 #: Ratio of the sizes in a band.
 BAND = 1.4
@@ -228,49 +229,78 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[:4]], names=names)
 
 
-def _pairs_of(batches: Iterator[pa.RecordBatch], mode: str) -> Iterator[pa.RecordBatch]:
-    """Per key (rows sorted by key, component, node): pairs ``(a, b, meta)`` of nodes from different components.
+#: 64-bit words of a document's sketch.
+WORDS = 8
+_SKETCH = [f"s{i}" for i in range(WORDS)]
+#: Rows of a key that one task compares; larger groups are cut into tiles.
+TILE = 4096
 
-    ``star``: the first node with the first of every other component. ``all``: every pair, unless more than
-    ``COSTLY`` components meet: then a row ``(node, null, meta)`` for each node. ``deletions``: every pair with an
-    exact subset on at least one side; ``meta`` tells which rows are neighbours. Otherwise a pair's ``meta`` is
-    the larger one: the slot is the same, so that is the larger need.
-    """
-    names, out, size = ["key", "comp", "node", "meta"], [], 0
 
-    def batch() -> pa.RecordBatch:
-        a, b, e = (np.concatenate(x) for x in zip(*out, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b, mask=b == _NONE), pa.array(e)], names=["a", "b", "meta"])
+def _sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """Per set the parities of its shingles' counts in 512 places: two sets differ in at least as many shingles as places."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    flat = np.concatenate([*sets, np.zeros(0, dtype=_U)])
+    place = (flat & _U(64 * WORDS - 1)).astype(np.int64)
+    odd = np.bincount(owner * 64 * WORDS + place, minlength=64 * WORDS * len(sets)) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).reshape(len(sets), WORDS)
+
 
-    for _, comp, node, meta in runs(batches, 1, lambda b: [int64(b[c]) for c in names]):
-        if comp[0] == comp[-1]:
+def _met(batches: Iterator[pa.RecordBatch], percent: int, deletions: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs ``(a, b, meta)`` of nodes from different components that meet in a tile of a key and may be similar by their sketches.
+
+    Rows come sorted by ``key, tx, ty``. A tile of two different chunks pairs rows across them only. With ``deletions``, one
+    side's subset must be exact (``meta`` 0). Otherwise a pair's ``meta`` is the larger one: the slot is the
+    same, so that is the larger need. A node of several texts has no sketch and meets all.
+    """
+    names = ["key", "tx", "ty", "chunk", "comp", "node", "meta", "size", *_SKETCH]
+
+    def pairs(cols: list[np.ndarray], change: np.ndarray) -> Iterator[pa.RecordBatch]:
+        _, tx, ty, chunk, comp, node, meta, size = cols[:8]
+        bits = np.stack(cols[8:], axis=1)
+        begin = np.concatenate([[0], change, [len(node)]])
+        end = np.repeat(begin[1:], np.diff(begin))
+        out, held, d, at = [], 0, 1, np.arange(len(node))
+        while True:
+            at = at[at + d < end[at]]
+            if not len(at):
+                break
+            x, y = at, at + d
+            ok = (comp[x] != comp[y]) & ((tx[x] == ty[x]) | (chunk[x] != chunk[y]))
+            if deletions:
+                ok &= (meta[x] == 0) | (meta[y] == 0)
+            free = (size[x] < 0) | (size[y] < 0)
+            ok &= free | (100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y]))
+            x, y, free = x[ok], y[ok], free[ok]
+            differ = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64)
+            ok = free | (differ * (100 + percent) <= (size[x] + size[y]) * (100 - percent))
+            x, y = x[ok], y[ok]
+            if len(x):
+                out.append((np.minimum(node[x], node[y]), np.maximum(node[x], node[y]), np.maximum(meta[x], meta[y])))
+                held += len(x)
+            if held > 1 << 16:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["a", "b", "meta"])
+                out, held = [], 0
+            d += 1
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["a", "b", "meta"])
+
+    def changes(cols: list[np.ndarray]) -> np.ndarray:
+        return np.flatnonzero((cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1]) | (cols[2][1:] != cols[2][:-1])) + 1
+
+    held: list[np.ndarray] | None = None
+    for batch in batches:
+        if not batch.num_rows:
             continue
-        begins = np.flatnonzero(np.concatenate([[True], comp[1:] != comp[:-1]]))
-        if mode == "star":
-            x, y = np.zeros(len(begins) - 1, dtype=np.int64), begins[1:]
-            out.append((node[x], node[y], np.maximum(meta[x], meta[y])))
-        elif mode == "all" and len(begins) > COSTLY:
-            out.append((node, np.full(len(node), _NONE), meta))
-        else:
-            for at in range(int(begins[-1])):
-                y = int(np.searchsorted(comp, comp[at], side="right"))
-                a, b, e, f = np.full(len(node) - y, node[at]), node[y:], meta[at], meta[y:]
-                if mode == "deletions" and e:
-                    a, b, f = a[f == 0], b[f == 0], f[f == 0]
-                out.append((np.minimum(a, b), np.maximum(a, b), np.maximum(e, f)))
-                size += len(a)
-                if size > 1 << 16:
-                    yield batch()
-                    out, size = [], 0
-        size += len(node)
-        if size > 1 << 16 and out:
-            yield batch()
-            out, size = [], 0
-    if out:
-        yield batch()
-
-
-_NONE = np.iinfo(np.int64).min
+        cols = [int64(batch[c]) for c in names]
+        if held is not None:
+            cols = [np.concatenate(x) for x in zip(held, cols, strict=True)]
+        change = changes(cols)
+        cut = int(change[-1]) if len(change) else 0
+        if cut:  # the last tile may go on in the next batch
+            yield from pairs([c[:cut] for c in cols], change[:-1])
+        held = [c[cut:] for c in cols]
+    if held is not None:
+        yield from pairs(held, changes(held))
 
 
 def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -286,10 +316,14 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = shingles_of(batch["text"].to_pylist(), n)
-            both = _prints(sets)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([len(s) for s in sets], pa.int64()), pa.array([p for p, _ in both], pa.int64()),
-                                              pa.array([q for _, q in both], pa.int64())], names=["doc_id", "n_shingles", "f1", "f2"])
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sets = shingles_of(part["text"].to_pylist(), n)
+                both, bits = _prints(sets), _sketches(sets)
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"], pa.array([len(s) for s in sets], pa.int64()), pa.array([p for p, _ in both], pa.int64()),
+                     pa.array([q for _, q in both], pa.int64()), *(pa.array(np.ascontiguousarray(c)) for c in bits.T)],
+                    names=["doc_id", "n_shingles", "f1", "f2", *_SKETCH])
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()  # combines copies before the shuffle; at most the documents of a split
@@ -305,10 +339,14 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
                                                      names=["key", "node", "meta"])
 
     known = docs.filter("doc_id IS NOT NULL")
-    each = written(docs.mapInArrow(prints, "doc_id long, n_shingles long, f1 long, f2 long"), "prints")
+    each = written(docs.mapInArrow(prints, "doc_id long, n_shingles long, f1 long, f2 long, " + ", ".join(f"{c} long" for c in _SKETCH)), "prints")
     sets = each.filter("doc_id IS NOT NULL AND n_shingles > 0")
+    # Of an id with several texts there is no one sketch.
+    one = " AND ".join(f"min({c}) = max({c})" for c in ("n_shingles", "f1", "f2"))
+    sketch = written(sets.groupBy(F.col("doc_id").alias("node")).agg(
+        F.expr(one).alias("one"), F.max("n_shingles").alias("size"), *(F.max(c).alias(c) for c in _SKETCH)).filter("one").drop("one"), "sketches")
     first = sets.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
-    edges = written(sets.join(first, ["f1", "f2", "n_shingles"]).filter("a <> doc_id").select("a", F.col("doc_id").alias("b")), "copies")
+    copies = written(sets.join(first, ["f1", "f2", "n_shingles"]).filter("a <> doc_id").select("a", F.col("doc_id").alias("b")), "copies")
 
     shared = written(known.mapInArrow(keys, "key long, node long, meta int").repartition("key").sortWithinPartitions("key", "node").mapInArrow(
         _shared, "key long, node long, meta long, first long"), "shared")
@@ -344,34 +382,75 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         rows = centre.unionByName(member).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
         return written(rows.mapInArrow(compare, "a long, b long"), "links")
 
-    def grouped(df: DataFrame, joined: DataFrame, mode: str) -> DataFrame:
-        """``(a, b, slot, n, need)``: pairs of rows ``(key, node, meta)`` whose keys hold several components, ``n`` keys of a slot."""
-        df = df.join(joined.withColumnRenamed("id", "node"), "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
-        split = df.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key")
-        df = df.join(split, "key").select("key", "comp", "node", "meta").repartition("key").sortWithinPartitions("key", "comp", "node")
-        pairs = df.mapInArrow(lambda batches: _pairs_of(batches, mode), "a long, b long, meta long")
-        return written(pairs.groupBy("a", "b", slot).agg(F.count(F.lit(1)).alias("n"), F.min(need).alias("need")), "pairs")
+    def plausible(pairs: DataFrame) -> DataFrame:
+        """The pairs ``(a, b)`` whose sketches do not rule a link out."""
+        for side in "ab":
+            named = sketch.select(F.col("node").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in ("size", *_SKETCH)))
+            pairs = pairs.join(named, side, "left")
+        differ = " + ".join(f"bit_count(a_{c} ^ b_{c})" for c in _SKETCH)
+        return pairs.filter(f"a_size IS NULL OR b_size IS NULL OR (100 * least(a_size, b_size) >= {percent} * greatest(a_size, b_size) AND "
+                            f"({differ}) * {100 + percent} <= (a_size + b_size) * {100 - percent})").select("a", "b")
+
+    key = Window.partitionBy("key")
+
+    def open_keys(df: DataFrame, joined: DataFrame) -> DataFrame:
+        """Rows ``(key, node, meta)`` whose key holds several components, with their component, the key's rows and components, and
+        the key's first row; ``lead`` marks the first row of a component."""
+        df = df.select("key", "node", "meta").join(joined.withColumnRenamed("id", "node"), "node", "left")
+        df = df.select("key", F.coalesce("component", "node").alias("comp"), "node", "meta")
+        inside = key.orderBy("comp", "node")
+        df = df.select("*", F.dense_rank().over(key.orderBy("comp")).alias("rank"), F.lag("comp").over(inside).alias("before"),
+                       F.first("node").over(inside).alias("first"), F.first("meta").over(inside).alias("first_meta"))
+        df = df.select("key", "comp", "node", "meta", "first", "first_meta", F.expr("before IS NULL OR before <> comp").alias("lead"),
+                       F.max("rank").over(key).alias("comps"), F.count(F.lit(1)).over(key).alias("rows"))
+        return written(df.filter("comps > 1"), "open")
+
+    def meeting(rows: DataFrame, deletions: bool) -> DataFrame:
+        """``(a, b, meta)`` of rows that meet in a key, come from different components and may be similar."""
+        n = F.ceil(F.col("rows") / TILE).cast("long")
+        df = rows.withColumn("tiles", n).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("tiles")))
+        df = df.join(sketch, "node", "left").select("key", "chunk", "comp", "node", "meta", F.coalesce("size", F.lit(-1)).alias("size"), "tiles",
+                                                    *(F.coalesce(c, F.lit(0)).alias(c) for c in _SKETCH))
+        df = df.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+        df = df.select("key", F.least("chunk", "other").alias("tx"), F.greatest("chunk", "other").alias("ty"), "chunk", "comp", "node", "meta", "size", *_SKETCH)
+        tile = ("key", "tx", "ty")
+        return df.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(lambda batches: _met(batches, percent, deletions), "a long, b long, meta long")
+
+    def contracted(joined: DataFrame, new: DataFrame) -> DataFrame:
+        """``joined`` with the links ``new(a, b)``: only components that a link touches are worked on."""
+        for side in "ab":
+            named = joined.select(F.col("id").alias(side), F.col("component").alias("c"))
+            new = new.join(named, side, "left").withColumn(side, F.coalesce("c", side)).drop("c")
+        to = written(components(written(new.select("a", "b"), "between")), "contracted")
+        moved = joined.join(to.select(F.col("id").alias("component"), F.col("component").alias("to")), "component", "left")
+        fresh = to.join(joined.select("id"), "id", "left_anti").select("id", "component")
+        return written(moved.select("id", F.coalesce("to", "component").alias("component")).unionByName(fresh), "joined")
 
     # The neighbour that a node shares most keys with goes first; then components' first nodes; then what is left.
     most = shared.filter("node <> first").groupBy("first", "node", slot).agg(F.count(F.lit(1)).alias("n"), F.min(need).alias("need")).filter("n >= need")
     most = most.groupBy("node").agg(F.max(F.struct("n", "first")).alias("m")).select(F.col("m.first").alias("a"), F.col("node").alias("b"))
-    edges = edges.unionByName(verified(written(most, "nearest")))
-    rows = shared.select("key", "node", "meta")
-    joined = written(components(edges), "joined")
-    for mode in ("star", "all"):
-        pairs = grouped(rows, joined, mode)
-        if mode == "all":  # keys passed over lower what a pair must share
-            over = written(pairs.filter("b IS NULL").select(F.col("a").alias("node"), "slot", F.col("n").alias("over"), (F.col("need") - F.col("n")).alias("left")), "over")
-            x, y = (over.select(F.col("node").alias(c), "slot", F.col("over").alias(f"over_{c}")) for c in "ab")
-            # Both sides' needs hold; less the larger number passed over is at most the larger of the two.
-            pairs = pairs.filter("b IS NOT NULL").join(x, ["a", "slot"], "left").join(y, ["b", "slot"], "left").withColumn(
-                "need", F.col("need") - F.greatest(F.coalesce("over_a", F.lit(0)), F.coalesce("over_b", F.lit(0))))
-        real = written(pairs.filter("n >= need").select("a", "b").distinct(), "real")
-        if not real.isEmpty():
-            new = verified(real)
-            if not new.isEmpty():
-                edges = edges.unionByName(new)
-                joined = written(components(edges), "joined")
+    joined = written(components(copies.unionByName(verified(written(plausible(most), "nearest")))), "joined")
+
+    rows = open_keys(shared, joined)
+    star = rows.filter("lead AND node <> first").select(
+        F.least("first", "node").alias("a"), F.greatest("first", "node").alias("b"), F.greatest("meta", "first_meta").alias("meta"))
+    star = star.groupBy("a", "b", slot).agg(F.count(F.lit(1)).alias("n"), F.min(need).alias("need")).filter("n >= need").select("a", "b").distinct()
+    real = written(plausible(star), "real")
+    if not real.isEmpty():
+        joined = contracted(joined, verified(real))
+
+    rows = open_keys(rows, joined)
+    # Keys passed over lower what a pair must share: both sides' needs hold; less the larger number passed over is at most the larger of the two.
+    over = written(rows.filter(F.col("comps") > COSTLY).groupBy("node", slot).agg(F.count(F.lit(1)).alias("over"), F.min(need).alias("need")).select(
+        "node", "slot", "over", (F.col("need") - F.col("over")).alias("left")), "over")
+    x, y = (over.select(F.col("node").alias(c), "slot", F.col("over").alias(f"over_{c}")) for c in "ab")
+    pairs = written(meeting(rows.filter(F.col("comps") <= COSTLY), False).groupBy("a", "b", slot).agg(
+        F.count(F.lit(1)).alias("n"), F.min(need).alias("need")), "pairs")
+    pairs = pairs.join(x, ["a", "slot"], "left").join(y, ["b", "slot"], "left").filter(
+        F.col("n") >= F.col("need") - F.greatest(F.coalesce("over_a", F.lit(0)), F.coalesce("over_b", F.lit(0))))
+    real = written(pairs.select("a", "b").distinct(), "real")
+    if not real.isEmpty():
+        joined = contracted(joined, verified(real))
 
     loaded = written(over.filter("left <= 0").groupBy("node").agg(F.collect_set("slot").alias("slots")), "loaded")
     if not loaded.isEmpty():  # at most two slots a node
@@ -386,8 +465,9 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(ids[at : at + 256][which]), pa.array(less.astype(np.int64))], names=["key", "node", "meta"])
 
         near = known.join(F.broadcast(loaded) if few else loaded, known["doc_id"] == loaded["node"]).select("doc_id", "text", "slots")
-        close = written(near.mapInArrow(neighbours, "key long, node long, meta long").distinct(), "neighbours")
-        new = verified(written(grouped(close, joined, "deletions").select("a", "b").distinct(), "close"))
-        joined = written(components(edges.unionByName(new)), "joined")
-    return each.join(joined, F.col("doc_id") == F.col("id"), "left").select(
+        close = open_keys(near.mapInArrow(neighbours, "key long, node long, meta long"), joined)
+        real = written(meeting(close, True).select("a", "b").distinct(), "close")
+        if not real.isEmpty():
+            joined = contracted(joined, verified(real))
+    return each.select("doc_id", "n_shingles").join(joined, F.col("doc_id") == F.col("id"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
