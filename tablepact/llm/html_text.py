@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -40,20 +41,34 @@ _LONG = re.compile(r"comment|disqus|repl(?:y|ies)|respond|cookie|consent|disclai
 _ARTICLE = ("article", "main")
 _PARAGRAPHS = frozenset("p pre blockquote dd td li".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(?P<end>/)?(?P<tag>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+# Possessive throughout, and every alternative that has begun ends with the page at the latest: time is linear in the page. A quote
+# sign counts after "=" alone; one that is never closed is a sign like others.
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|<(?P<end>/)?(?P<tag>[A-Za-z][^\s/>]*+)"
+    r"(?P<attrs>(?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?|[\"'])*+)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 
 @dataclass(slots=True)
 class Node:
     tag: str
-    path: str
+    step: str
     up: Node | None
+    length: int = 0  # of the path, whose text is only made where it is asked for
     dropped: bool = False
     noisy: str = ""  # class, id and role, if only they say that it is not the article
     links: int = 0
     inside: list = field(default_factory=list)  # str, Node, or None for a line break
 
+    @property
+    def path(self) -> str:
+        """Steps from the page's root, without the root."""
+        steps, n = [], self
+        while n.up:
+            steps.append(n.step)
+            n = n.up
+        return ">".join(reversed(steps))
+
 
 def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): next((html.unescape(v) for v in m.groups()[1:] if v is not None), "") for m in _ATTR.finditer(text)} if text.strip(" /\n\t") else {}
@@ -66,10 +81,24 @@ def _step(tag: str, attributes: dict[str, str]) -> str:
 
 
 def parse(page: str) -> Node:
-    """Block elements as a tree; inline elements only pass their text on, links count its length."""
+    """Block elements as a tree; inline elements only pass their text on, links count its length.
+
+    What follows the last ``>`` is text, up to a comment; a tag that never ends reaches to that sign.
+    """
     root = node = Node("", "", None)
     at, link = 0, 0
     named: list[Node] = []
+    opened: Counter[str] = Counter()  # tags of the node and those above it
+    last = page.rfind(">") + 1
+    page, tail = page[:last], page[last:].partition("<!--")[0]
+
+    def closed(n: Node) -> Node:
+        """What is open once ``n``, the node or one above it, has ended."""
+        x = node
+        while x is not n.up:
+            opened[x.tag] -= 1
+            x = x.up
+        return x
 
     def text(piece: str) -> None:
         if piece:
@@ -91,15 +120,14 @@ def parse(page: str) -> Node:
         if m["end"]:
             if tag == "a":
                 link = max(0, link - 1)
-            elif tag in BLOCK or tag in DROPPED:
+            elif opened[tag] > 0:
                 n = node
-                while n.up and n.tag != tag:
+                while n.tag != tag:
                     n = n.up
-                if n.up:
-                    node, link = n.up, 0
+                node, link = closed(n), 0
             continue
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            close = re.compile(rf"</{re.escape(tag)}\s*+>", re.I).search(page, at)
             at = close.end() if close else len(page)
             continue
         if tag == "br" or tag == "hr":
@@ -108,25 +136,28 @@ def parse(page: str) -> Node:
             link += 1
         elif tag not in VOID and (tag in BLOCK or tag in DROPPED):
             if node.tag == "p" and tag in BLOCK:
-                node = node.up
-            if tag in _IMPLIED:
+                node = closed(node)
+            if tag in _IMPLIED and any(opened[x] > 0 for x in _IMPLIED[tag][0]):
                 ends, until = _IMPLIED[tag]
                 n = node
                 while n.up and n.tag not in until and n.tag not in ends:
                     n = n.up
                 if n.tag in ends:
-                    node = n.up
+                    node = closed(n)
             attributes = _attributes(m["attrs"]) if m["attrs"] else {}
             marks = " ".join(attributes.get(k, "") for k in ("class", "id", "role"))
-            noisy = tag not in ("html", "body", "article", "main") and bool(marks.strip()) and bool(NOISE.search(_STATE.sub(" ", marks)))
+            # A form may frame the whole page, as a name may.
+            noisy = tag == "form" or tag not in ("html", "body", "article", "main") and bool(marks.strip()) and bool(NOISE.search(_STATE.sub(" ", marks)))
             hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "")
-            new = Node(tag, f"{node.path}>{_step(tag, attributes)}" if node.path else _step(tag, attributes), node,
-                       tag in DROPPED or tag == "header" or noisy or hidden)
-            if noisy and not (tag in DROPPED or tag == "header" or hidden):
-                new.noisy = marks
+            step, never = _step(tag, attributes), tag in DROPPED and tag != "form" or tag == "header" or hidden
+            new = Node(tag, step, node, node.length + bool(node.up) + len(step), never or noisy)
+            if noisy and not never:
+                new.noisy = marks if marks.strip() else tag
                 named.append(new)
             node.inside.append(new)
+            opened[tag] += 1
             node, link = new, 0
+    text(tail)
     if named:
         _restore(root, named)
     return root
@@ -253,7 +284,9 @@ def _whole(root: Node, best: list[Node]) -> list[Node]:
             up = at.up
             page = up.tag in ("", "html", "body")
             for x in up.inside:
-                if isinstance(x, Node) and x is not at and not x.dropped and not more:
+                if more:
+                    break
+                if isinstance(x, Node) and x is not at and not x.dropped:
                     more = (0 if x.tag == "div" or page and x.tag in _HEADINGS else near[id(x)]) > 0 if page or id(up) in frames else every[id(x)] > 0
             more = more or up.tag in CONTAINERS and not page and _own(up) > 0
             if more and up.tag in CONTAINERS:
@@ -272,7 +305,7 @@ def vote(root: Node) -> tuple[str, float] | None:
 
 def extract(root: Node, path: str | None) -> str:
     """Text of the outermost containers under ``path``, else of the page's own best one, taken whole."""
-    found = [n for n in _walk(root) if n.path == path] if path else []
+    found = [n for n in _walk(root) if n.length == len(path) and path.endswith(n.step) and n.path == path] if path else []
     found = [n for n in found if blocks(n)]
     if not found:
         best = max(scores(root).values(), key=lambda x: x[0], default=None)

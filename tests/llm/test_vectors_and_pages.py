@@ -119,4 +119,25 @@ def test_names_of_wrappers_drop_no_article():
 
 
 def test_every_operator_is_registered():
-    assert sorted({int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")}) == list(range(1, 11)) and "pipeline" in QUERIES
+    assert sorted({int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")}) == list(range(1, 14)) and "pipeline" in QUERIES
+
+
+@pytest.mark.parametrize("page", ['<x"' * 100_000, '<p a="' * 50_000 + ">", "<!x" * 50_000, "<a b='>\" " * 30_000, "<div>" * 50_000 + "</p>" * 50_000,
+                                  "<ul>" + "<div>" * 20_000 + "<td></td>" * 20_000, "</script " * 50_000, "<script>" * 50_000])
+def test_broken_pages_take_linear_time(page):
+    import time
+
+    began = time.perf_counter()
+    extract(parse(page), "html>body>div")
+    assert time.perf_counter() - began < 5
+
+
+@pytest.mark.parametrize("html, want", [
+    ('<p title="x>text one two</p>', "text one two"),
+    ("<p title=it's>text one two</p><p class='b'>more</p>", "text one two\nmore"),
+    ("<body><form><div><p>all the words of a page</p><input><button>go</button></div></form></body>", "all the words of a page"),
+    ("<article><p>long enough a text to be the article</p><form><p>your name</p><input></form></article>", "long enough a text to be the article"),
+    ("<p>a &lt; b <b and no end", "a < b <b and no end"),
+])
+def test_broken_markup_leaves_the_text(html, want):
+    assert extract(parse(html), None) == want
