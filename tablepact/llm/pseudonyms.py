@@ -29,7 +29,7 @@ _NUMERIC = re.compile(
     r"|(?<![0-9A-Za-z])(?P<card>[0-9]{4}(?:[\x20-]?[0-9]{4}){2}[\x20-]?[0-9]{1,7}|[0-9]{13,19})(?![0-9A-Za-z])"
     r"|(?<![0-9A-Za-z+])(?P<phone>\+[0-9]{1,3}[\x20.-]?\(?[0-9]{1,4}\)?(?:[\x20.-]?[0-9]{2,4}){1,4}|\([0-9]{3}\)\x20?[0-9]{3}[\x20.-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9A-Za-z])")
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
 def luhn(digits: str) -> bool:
@@ -48,7 +48,7 @@ class Feistel:
     """A keyed permutation of ``range(n)`` for any ``n``, told apart by ``format``."""
 
     def __init__(self, key: bytes):
-        self.key = key
+        self.key = key if len(key) <= 64 else hashlib.blake2b(key).digest()  # the hash takes keys of up to 64 bytes
 
     def permute(self, x: int, n: int, format: str, back: bool = False) -> int:
         if n < 2:
@@ -171,16 +171,22 @@ class Pseudonyms:
 
     def replace(self, text: str) -> tuple[str, list[tuple[int, int, str]]]:
         """The text with every valid value replaced, and the replaced spans of the original by start."""
-        spans = []
-        at = text.find("@")
-        while at >= 0:  # addresses are found from their @ sign
-            left = _LOCAL.search(text, max(0, at - 64), at)
-            m = _EMAIL.match(text, left.start()) if left else None
-            if m and m.end() > at:
-                spans.append((m.start(), m.end(), "email"))
-            at = text.find("@", max(at + 1, m.end() if m else 0))
-        for m in _NUMERIC.finditer(text):
-            if not any(a < m.end() and m.start() < b for a, b, _ in spans[: text.count("@")]):
+        mails: list[tuple[int, int, str]] = []
+        at, done = text.find("@"), 0
+        while at >= 0:  # addresses are found from their @ sign; no local part reaches beyond the address before
+            start = at
+            while start > done and text[start - 1] in _LOCAL:
+                start -= 1
+            m = _EMAIL.match(text, start) if start < at else None
+            done = m.end() if m else at + 1
+            if m:
+                mails.append((start, done, "email"))
+            at = text.find("@", done)
+        spans, i = list(mails), 0
+        for m in _NUMERIC.finditer(text):  # both lists ascend
+            while i < len(mails) and mails[i][1] <= m.start():
+                i += 1
+            if i == len(mails) or mails[i][0] >= m.end():
                 spans.append((m.start(), m.end(), m.lastgroup))
         parts, found, at = [], [], 0
         for a, b, kind in sorted(spans):
