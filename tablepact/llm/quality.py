@@ -8,15 +8,18 @@ logistic curve calibrated on labelled texts that are in neither dictionary.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: A text is compressed in pieces of this many bytes, all of them, so that the dictionaries matter throughout.
 PIECE = 4096
 #: Bytes added to the size that normalises the difference.
@@ -72,25 +75,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, share: float, ridge: float = 1e-6) -
     return float(b[0]), float(b[1])
 
 
-def _dictionary(texts: Sequence[str], size: int) -> bytes:
-    each = max(1024, size // max(1, len(texts)))
-    return b"".join(t.encode("utf-8", "replace")[:each] for t in texts)[:size] or b" " * 8
-
-
-def fit(good: Sequence[str], bad: Sequence[str], share: float = 0.5, dictionary: int = 400 * 1024) -> Model:
-    """Every other text of each label fills that label's dictionary, the others fit the curve.
-
-    ``share``: how many of all labelled texts are good, so that the score is a probability.
-    """
-    model = Model(_dictionary(good[::2], dictionary), _dictionary(bad[::2], dictionary), 0.0, 0.0)
-    held = [(t, 1) for t in good[1::2]] + [(t, 0) for t in bad[1::2]]
-    if len({y for _, y in held}) < 2:
-        return model
-    scorer = model.scorer()
-    scale = 100.0
-    x = np.array([scorer.difference(t) for t, _ in held]) * scale
-    slope, offset = _logistic(x, np.array([y for _, y in held]), share)
-    return Model(model.good, model.bad, slope * scale, offset)
+def piece_of(raw: bytes, size: int, parts: int = 3) -> bytes:
+    """``size`` bytes of a text: from each of ``parts`` equal stretches of the whole a run whose place the text's hash says."""
+    if len(raw) <= size:
+        return raw
+    each, stretch, mark = size // parts, len(raw) // parts, zlib.crc32(raw)
+    starts = [i * stretch + (mark >> 8 * i) % (stretch - each + 1) for i in range(parts)]
+    return b"".join(raw[a : a + each] for a in starts)
 
 
 def held_out(doc_id):
@@ -98,23 +89,48 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 1000, longest: int = 16_384) -> Model:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 1000, dictionary: int = 400 * 1024) -> Model:
     """Fit on at most ``per_class`` labelled documents of each class, those whose ids hash lowest.
 
-    Bounded by documented parameters: ``longest`` characters of a text serve for fitting (scoring reads
-    whole texts). Labels that are null, held out or without a document don't count; with one class
-    missing every score is 0.5.
+    Every other one gives an equal share of its class's dictionary of at most ``dictionary`` bytes, drawn from the beginning, the
+    middle and the end of the text; the others, scored whole, fit the curve. Both bounds are the only ones. Of several
+    rows under one id the smallest text counts. Labels that are null, held out or without a document don't count;
+    with one class missing every score is 0.5. Texts stay with the tasks: the driver gets the dictionaries and one number a text.
     """
     known = labels.select(F.col("doc_id").alias("doc_id"), "quality").filter(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
     counts = {r["quality"]: r["count"] for r in known.filter("quality IN (0, 1)").groupBy("quality").count().collect()}
-    texts: dict[int, list[str]] = {}
-    for q in (1, 0):
-        ids = known.filter(F.col("quality") == q).select("doc_id").distinct().orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(per_class)
-        # At most per_class ids.
-        found = docs.select("doc_id", F.substring("text", 1, longest).alias("text")).join(F.broadcast(ids), "doc_id").filter("text IS NOT NULL")
-        rows = found.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id", "text").limit(per_class).collect()
-        texts[q] = [r["text"] for r in rows]
-    return fit(texts[1], texts[0], counts.get(1, 0) / max(1, sum(counts.values())))
+    mark = F.md5(F.col("doc_id").cast("string"))
+    ids = [known.filter(F.col("quality") == q).select("doc_id").distinct().orderBy(mark, "doc_id").limit(per_class).select(
+        "doc_id", F.lit(q).alias("q")) for q in (0, 1)]
+    # At most per_class ids a class.
+    found = docs.select("doc_id", "text").filter("text IS NOT NULL").join(F.broadcast(ids[0].unionByName(ids[1])), "doc_id")
+    found = found.groupBy("q", "doc_id").agg(F.min("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy("q").orderBy("mark", "doc_id"))
+    found = written(found.withColumn("mark", mark).withColumn("place", place), "labelled")
+    halves = {(r["q"], r["odd"]): r["n"] for r in found.groupBy("q", (F.col("place") % 2).alias("odd")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    size = {q: dictionary // max(1, halves.get((q, 1), 0)) for q in (0, 1)}
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pieces = [piece_of(t.encode("utf-8", "replace"), size[q]) for q, t in zip(batch["q"].to_pylist(), batch["text"].to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch["q"], batch["place"], pa.array(pieces, pa.binary())], names=["q", "place", "piece"])
+
+    pieces = found.filter("place % 2 = 1").select("q", "place", "text").mapInArrow(cut, "q int, place int, piece binary").orderBy("place").collect()
+    good, bad = (b"".join(bytes(r["piece"]) for r in pieces if r["q"] == q) or b" " * 8 for q in (1, 0))
+    model = Model(good, bad, 0.0, 0.0)
+    if not all(halves.get((q, 0)) for q in (0, 1)):
+        return model
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = model.scorer()
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch["q"], batch["place"], pa.array([scorer.difference(t) for t in batch["text"].to_pylist()], pa.float64())],
+                                             names=["q", "place", "x"])
+
+    held = found.filter("place % 2 = 0").select("q", "place", "text").mapInArrow(measured, "q int, place int, x double").orderBy("q", "place").collect()
+    scale = 100.0
+    slope, offset = _logistic(np.array([r["x"] for r in held]) * scale, np.array([r["q"] for r in held]), counts.get(1, 0) / max(1, sum(counts.values())))
+    return Model(good, bad, slope * scale, offset)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

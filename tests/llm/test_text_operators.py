@@ -401,3 +401,25 @@ def test_pipeline_packs_what_the_mix_holds_in_its_order(spark, sf, monkeypatch):
             assert r["start"] == place and r["doc_tokens"] == len(ids) and r["ids_crc32"] == zlib.crc32(ids[place : place + r["length"]].tobytes())
             place += r["length"]
         assert place == len(ids)
+
+
+def test_long_local_parts_and_many_matches():
+    import time
+
+    names = Pseudonyms(b"k" * 100)
+    long = "abcdefghij" * 8
+    new, spans = names.replace(f"to {long}@example.org.")
+    assert spans == [(3, 95, "email")] and sum(a != b for a, b in zip(new[3:83], long, strict=True)) > 60
+    began = time.perf_counter()
+    _, spans = names.replace("a.b@example.org 192.168.0.1 " * 5000)
+    assert len(spans) == 10_000 and time.perf_counter() - began < 20
+    assert names.replace("x" * 200_000 + "@ " + "@" * 1000)[1] == []
+
+
+def test_pieces_come_from_the_whole_text():
+    from tablepact.llm.quality import piece_of
+
+    raw = bytes(range(256)) * 40
+    assert piece_of(raw, 20_000) == raw and len(piece_of(raw, 819)) == 819
+    third = "a" * 4000 + "b" * 4000 + "c" * 4000
+    assert {chr(c) for c in piece_of(third.encode(), 900)} == set("abc")
