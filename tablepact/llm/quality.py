@@ -89,11 +89,11 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 1000, dictionary: int = 400 * 1024) -> Model:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 1000, dictionary: int = 800 * 1024, parts: int = 3) -> Model:
     """Fit on at most ``per_class`` labelled documents of each class, those whose ids hash lowest.
 
-    Every other one gives an equal share of its class's dictionary of at most ``dictionary`` bytes, drawn from the beginning, the
-    middle and the end of the text; the others, scored whole, fit the curve. Both bounds are the only ones. Of several
+    Every other one gives an equal share of its class's dictionary of at most ``dictionary`` bytes, drawn from ``parts``
+    equal stretches of the whole text; the others, scored whole, fit the curve. Both bounds are the only ones. Of several
     rows under one id the smallest text counts. Labels that are null, held out or without a document don't count;
     with one class missing every score is 0.5. Texts stay with the tasks: the driver gets the dictionaries and one number a text.
     """
@@ -112,7 +112,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1000, dictionary:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pieces = [piece_of(t.encode("utf-8", "replace"), size[q]) for q, t in zip(batch["q"].to_pylist(), batch["text"].to_pylist(), strict=True)]
+            pieces = [piece_of(t.encode("utf-8", "replace"), size[q], parts) for q, t in zip(batch["q"].to_pylist(), batch["text"].to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch["q"], batch["place"], pa.array(pieces, pa.binary())], names=["q", "place", "piece"])
 
     pieces = found.filter("place % 2 = 1").select("q", "place", "text").mapInArrow(cut, "q int, place int, piece binary").orderBy("place").collect()
