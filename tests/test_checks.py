@@ -196,3 +196,9 @@ def test_repeated_reference_keys_do_not_multiply_rows(spark, sf):
     rs = fx.run_set(spark, sf)
     twice = replace(rs, expected=rs.expected.unionByName(rs.expected), baseline=rs.baseline.unionByName(rs.baseline))
     assert sorted(map(str, M.key_facts(twice).collect())) == sorted(map(str, M.key_facts(rs).collect()))
+
+
+def test_saved_runs_are_neither_shuffled_nor_stored(spark, sf):
+    runs = fx.runs(spark, sf)
+    assert sorted(runs.inputFiles()) == sorted(fx.truth(spark, sf).inputFiles())
+    assert "Exchange" not in runs._jdf.queryExecution().executedPlan().toString()
