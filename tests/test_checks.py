@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablepact.contract import ORDERS
+from tablepact.operators.aggregates import duplicate_rows
 from tablepact.plans import metrics as M
 from tablepact.plans.determinism import determinism, run_fingerprints
 from tablepact.plans.provenance import input_provenance, no_output
@@ -202,3 +203,12 @@ def test_saved_runs_are_neither_shuffled_nor_stored(spark, sf):
     runs = fx.runs(spark, sf)
     assert sorted(runs.inputFiles()) == sorted(fx.truth(spark, sf).inputFiles())
     assert "Exchange" not in runs._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_without_copies_are_not_shuffled_whole(spark, request):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.autoBroadcastJoinThreshold"))
+    rows = spark.range(3000).selectExpr("'a' AS run", "id % 2999 AS k", "repeat(cast(id % 2999 AS string), 50) AS text")
+    found = duplicate_rows(rows, ["run"], ["k", "text"])
+    assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in found.collect()] == [("a", 1)]
