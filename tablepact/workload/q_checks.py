@@ -194,7 +194,7 @@ def _(spark, sf):
     """SCH-03 of every drift case: the input is stored as CSV and its header read from the file."""
     path = new_path(spark, "case_files")
     for n, make in G.CASES.items():
-        write_clean_csv(make(fx.messy(spark, sf)), f"{path}/case={n}")
+        write_clean_csv(make(fx.messy(spark, sf)), f"{path}/case={n}", "gzip")
     case = folder_value(F.col("file"), "case")
     heads, _ = materialize(by_run(csv_headers(spark, path), case, case), "case_headers")
     truth = fx.truth(spark, sf).select(ORD, *fx.COLUMNS).withColumns({"run_id": F.lit("baseline"), "case": F.lit("baseline")})

@@ -212,3 +212,9 @@ def test_rows_without_copies_are_not_shuffled_whole(spark, request):
     found = duplicate_rows(rows, ["run"], ["k", "text"])
     assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
     assert [tuple(r) for r in found.collect()] == [("a", 1)]
+
+
+def test_compressed_csv_keeps_headers(spark, sf, tmp_path):
+    S.write_clean_csv(fx.truth(spark, sf), str(tmp_path / "out"), "gzip")
+    assert list((tmp_path / "out").glob("*.csv.gz"))
+    assert {tuple(r.header) for r in S.csv_headers(spark, str(tmp_path / "out")).collect()} == {tuple(ORDERS.names)}
