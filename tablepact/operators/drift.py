@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions import numeric as N
-from ..functions.sql import array, lit, literal_map
+from ..functions.sql import array, lit, literal_map, name
 
 # Fixed values of the drift cases.
 DISCOUNT_CODES = ("SAVE10", "WELCOME5", "SPRING15", "VIP20")
@@ -102,3 +102,25 @@ CASES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "S1": s1_drop, "S2": s2_rename, "S3": s3_currency, "S4": s4_add, "S5": s5_combined,
     "M1": m1_cents, "M2": m2_date_swap, "M3": m3_iso_codes,
 }
+
+#: Columns that a case computes anew. All others are the table's own, also under another name.
+COMPUTED: dict[str, tuple[str, ...]] = {
+    "S3": ("unit_price",), "S4": ("discount_code",), "S5": ("unit_price", "discount_code"),
+    "M1": ("unit_price",), "M2": ("order_date",), "M3": ("country",),
+}
+RENAMED: dict[str, dict[str, str]] = {"S2": {"customer_full_name": "customer_name"}, "S5": {"customer_full_name": "customer_name"}}
+
+
+def side_by_side(df: DataFrame, cases: Sequence[str]) -> tuple[DataFrame, dict[str, dict[str, str]]]:
+    """Row-wise cases in one table: ``df`` and, for each case, only the columns it computes; and per case the column
+    behind every name of its header. Cases that share a column then share the work on it."""
+    tables, own = {}, list(df.columns)
+    wide = df
+    for case in cases:
+        made = {c: f"{case}:{c}" for c in COMPUTED.get(case, ())}
+        carried = [c for c in wide.columns if c not in own]
+        drifted = CASES[case](wide.withColumn("_own", F.struct(*[F.col(name(c)) for c in own])))
+        renamed = RENAMED.get(case, {})
+        tables[case] = {c: made.get(c) or renamed.get(c, c) for c in drifted.columns if c != "_own" and c not in carried}
+        wide = drifted.select("_own.*", *[F.col(name(c)) for c in carried], *[F.col(name(c)).alias(to) for c, to in made.items()])
+    return wide, tables

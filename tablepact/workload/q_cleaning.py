@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..contract import ORDERS
 from ..functions import dates as D
 from ..operators import drift as G
 from ..operators.clean import clean, row_accounting
-from ..operators.fingerprint import canonicalize, fingerprints
+from ..operators.fingerprint import canonicalize, shared_fingerprints
 from . import fixtures as fx
 from . import oracle as O
 from .registry import query
@@ -155,20 +156,12 @@ def _(spark, sf):
 @query("manifest_content_hashes", """
 SELECT unnest(['S1', 'S2', 'S3', 'S4', 'S5', 'M1', 'M2', 'M3']) AS "case", false AS same_as_baseline""")
 def _(spark, sf):
-    """Content hash of every drifted input against the baseline's."""
-    base = fx.messy(spark, sf)
-
-    def print_of(name):
-        df = _case_input(spark, sf, name).drop("_ord")
-        cols = df.columns
-        return fingerprints(canonicalize(df, [], cols), [], cols).select(F.lit(name).alias("case"), "content_hash")
-
-    mine = None
-    for name in ("S1", "S2", "S3", "S4", "S5", "M1", "M2", "M3"):
-        mine = print_of(name) if mine is None else mine.unionByName(print_of(name))
-    cols = [c for c in base.columns if c != "_ord"]
-    h = fingerprints(canonicalize(base.drop("_ord"), [], cols), [], cols).select("content_hash").scalar()
-    return mine.select("case", (F.col("content_hash") == h).alias("same_as_baseline"))
+    """Content hash of every drifted input against the baseline's. What the inputs share is rewritten and hashed once."""
+    base = fx.messy(spark, sf).drop("_ord")
+    wide, tables = G.side_by_side(base, ("baseline", "S1", "S2", "S3", "S4", "S5", "M1", "M2", "M3"))
+    prints = shared_fingerprints(canonicalize(wide, [], wide.columns), tables)
+    same = F.col("content_hash") == F.max(F.expr("CASE WHEN `table` = 'baseline' THEN content_hash END")).over(Window.partitionBy())
+    return prints.select(F.col("table").alias("case"), same.alias("same_as_baseline")).where("case <> 'baseline'")
 
 
 @query("manifest_day_split", """

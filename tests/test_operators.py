@@ -170,3 +170,33 @@ def test_contract_document_round_trip(tmp_path):
     assert Contract.from_yaml(p) == ORDERS
     with pytest.raises(ValueError):
         Contract.from_dict({"key": "nope", "columns": [{"name": "a"}]})
+
+
+def test_drift_cases_side_by_side_have_the_hashes_of_their_own_tables(spark):
+    from tablepact.operators import drift as G
+    from tablepact.operators.fingerprint import shared_fingerprints
+
+    columns = [c for c in ORDERS.names]
+    rows = [(str(i), f"N{i}", None if i == 3 else f"n{i}@x", ["usa", "", "India"][i % 3], f"0{1 + i % 9}/0{1 + i % 7}/2026", "Desk Lamp", "Home",
+             str(i % 4), ["1249.5", "", "7.125", "nan"][i % 4], "shipped") for i in range(40)]
+    df = spark.createDataFrame(rows + rows[:3], ", ".join(f"{c} string" for c in columns)).repartition(3)
+    cases = ("baseline", "S1", "S2", "S3", "S4", "S5", "M1", "M2", "M3")
+    wide, tables = G.side_by_side(df, cases)
+    cells = wide.collect()
+    for case in ("S5", "M1", "M2", "M3"):
+        drifted = G.CASES[case](df)
+        assert list(tables[case]) == drifted.columns
+        assert sorted(str([r[at] for at in tables[case].values()]) for r in cells) == sorted(str(list(r)) for r in drifted.collect()), case
+    got = {r["table"]: r.content_hash for r in shared_fingerprints(canonicalize(wide, [], wide.columns), tables).collect()}
+    for case in ("baseline", "S5"):
+        drifted = G.CASES[case](df)
+        alone = fingerprints(canonicalize(drifted, [], drifted.columns), [], drifted.columns).first()
+        assert got[case] == alone.content_hash, case
+    assert len(set(got.values())) == len(cases)
+
+
+def test_manifest_hashes_read_the_input_twice_for_all_cases(spark, sf):
+    from tablepact.workload.catalog import QUERIES
+
+    plan = QUERIES["manifest_content_hashes"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") <= 2, plan
