@@ -120,3 +120,18 @@ def test_tolerant_equal(spark):
 def test_close_name():
     assert compare.close_name("customer_name", ["customer_full_name", "email"]) == "customer_full_name"
     assert compare.close_name("country", ["price"]) is None
+
+
+def test_rounding_by_plain_arithmetic_agrees_with_python(spark):
+    rng = random.Random(21)
+    values = [0.0, -0.0, 0.5, 1.5, 2.5, -0.5, -1.5, 0.005, 0.015, 2.675, 1.005, -2.675, 0.0025, 99.995, 1e11 + 0.005, 2.0**46, 2.0**46 - 0.5, 2.0**52 + 0.5,
+              2.0**53 - 1, 703687441776.635, 703687441776.645, 0.0049999999999999996, 0.994999999999999999, 1e-320, -1e-9, 123456.78]
+    values += [rng.choice([-1, 1]) * rng.randint(0, 10**7) / rng.choice([1, 2, 8, 100, 200, 1000, 2000]) for _ in range(400)]
+    values += [rng.uniform(-1, 1) * 10.0 ** rng.randint(-6, 15) for _ in range(400)]
+    for places in (1, 2, 3, 4):
+        want = [f"{v:.{places}f}" if v != 0 else f"{0.0:.{places}f}" for v in values]
+        assert evaluate(spark, values, numeric.fixed_decimal("c", places), "double") == want, places
+    assert evaluate(spark, values, numeric.int_text("c"), "double") == [str(round(v)) for v in values]
+    # Lambdas are evaluated outside of generated code; whole numbers below 2**53 need none.
+    below = numeric.int_text("c").split("ELSE concat(")[1].split(" ELSE ")[0]
+    assert "transform" not in below and "rint" in below
