@@ -200,3 +200,16 @@ def test_manifest_hashes_read_the_input_twice_for_all_cases(spark, sf):
 
     plan = QUERIES["manifest_content_hashes"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parquet") <= 2, plan
+
+
+def test_cell_diff_shuffles_the_cells_of_differing_keys_only(spark):
+    a = spark.range(3000).selectExpr("CAST(id AS STRING) AS k", "concat('c', id) AS c", "CAST(NULL AS STRING) AS d")
+    b = a.where("k <> '7'").selectExpr("k", "if(k IN ('11', '12'), 'x', c) AS c", "if(k = '13', '', d) AS d")
+    b = b.unionByName(b.where("k IN ('20', '21')")).unionByName(spark.sql("SELECT CAST(NULL AS STRING) AS k, 'z' AS c, 'z' AS d"))
+    d = cell_diff(a, b, "k", ["c", "d"])
+    got = {(r.k, r.column, r.a, r.b, r.copies) for r in d.collect()}
+    assert got == {("7", "<row>", "true", "false", 1), (None, "<row>", "false", "true", 1), ("11", "c", "c11", "x", 1), ("12", "c", "c12", "x", 1),
+                   ("13", "d", None, "", 1), ("20", "c", None, "c20", 1), ("20", "d", None, None, 1), ("21", "c", None, "c21", 1), ("21", "d", None, None, 1)}
+    files = d.inputFiles()
+    assert files and all("diff_rows" in f for f in files)
+    assert spark.read.parquet(*files).count() == 1 + 1 + 3 * 2 + 2 * 3
