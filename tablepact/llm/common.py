@@ -195,14 +195,18 @@ class PieceCoder:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in set(plain)]
         self.alphabet = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+        # Each id's four bytes.
+        self.codes = [i.to_bytes(4, "little") for i in range(max([-1, *self.tokenizer.get_vocab().values()]) + 1)]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in got]
 
     def _part(self, part: str) -> bytes:
-        raw = part.encode().decode("latin-1").translate(self.alphabet)
-        return b"".join([t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(raw)])
+        # ASCII letters and digits stand for themselves.
+        raw = part if part.isascii() and part.isalnum() else part.encode().decode("latin-1").translate(self.alphabet)
+        codes = self.codes
+        return b"".join([codes[t.id] for t in self.tokenizer.model.tokenize(raw)])
 
     def pieces(self, text: str) -> list[str] | None:
         # Python counts these four controls as white space, the tokenizer does not.
@@ -233,17 +237,20 @@ class PieceCoder:
 
     def _learn(self, new: list[str]) -> None:
         other = []
+        parts, lower = self.parts, self.cut == "words"
         for p in new:
-            if max(p) > "\xff":
+            if not p.isascii() and max(p) > "\xff":
                 other.append(p)
                 continue
-            cut = self.split(p.lower() if self.cut == "words" else p)
+            q = p.lower() if lower else p
+            # Letters, with a space before them or not, are one part: no need to search for its ends.
+            cut = (q,) if (q[1:] if q[0] == " " else q).isalpha() else self.split(q)
             for x in cut:
-                if x not in self.parts:
-                    self.parts[x] = self._part(x)
-            self.known[p] = b"".join([self.parts[x] for x in cut]) if len(cut) > 1 else self.parts[cut[0]]
-            if len(self.parts) > self.limit:
-                self.parts.clear()
+                if x not in parts:
+                    parts[x] = self._part(x)
+            self.known[p] = b"".join([parts[x] for x in cut]) if len(cut) > 1 else parts[cut[0]]
+            if len(parts) > self.limit:
+                parts.clear()
         if other:
             self.known.update(zip(other, self._encode(other), strict=True))
 

@@ -26,18 +26,20 @@ PIECE_SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_token
 
 def best_cuts(places: list[int], costs: list[float], window: int) -> list[int]:
     """Cheapest cut places up to the last one. ``places`` ascend from 0, no gap exceeds ``window``."""
-    best, back = [0.0] * len(places), [0] * len(places)
-    queue: deque[tuple[float, int, int]] = deque([(0.0, 0, 0)])  # (best + place, place, index), ascending in the first
+    # Of a place: its best cost and itself, which is all that later places compare. ``queue``: places in reach, ascending in it.
+    least, back = [0.0] * len(places), [0] * len(places)
+    queue = deque([0])
+    drop, undo, add = queue.popleft, queue.pop, queue.append
     for j in range(1, len(places)):
-        p = places[j]
-        while queue[0][1] < p - window:
-            queue.popleft()
-        least, _, back[j] = queue[0]
-        best[j] = costs[j] + least + window - p
-        key = best[j] + p
-        while queue and queue[-1][0] >= key:
-            queue.pop()
-        queue.append((key, p, j))
+        i, reach = queue[0], places[j] - window
+        while places[i] < reach:
+            drop()
+            i = queue[0]
+        back[j] = i
+        least[j] = key = costs[j] + least[i] + window
+        while queue and least[queue[-1]] >= key:
+            undo()
+        add(j)
     cuts, j = [], len(places) - 1
     while j:
         cuts.append(places[j])

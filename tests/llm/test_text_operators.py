@@ -57,6 +57,17 @@ def test_pieces_encode_like_whole_texts(name, cut):
     assert [np.frombuffer(x, "<u4").tolist() for x in coder.ids(texts)] == [ids_of(name, t).tolist()[:-1] for t in texts]
 
 
+@pytest.mark.parametrize(("name", "cut"), [("byte_bpe_50k.json", "spaces"), ("word_bpe_49k.json", "words")])
+def test_letters_are_one_part_without_a_search(name, cut):
+    coder = PieceCoder(public_tokenizers.path(name), cut)
+    searched, split = [], coder.split
+    coder.split = lambda p: searched.append(p) or split(p)
+    letters = "".join(c for c in map(chr, range(256)) if c.isalpha())
+    texts = [letters, f"Ab {letters} cD", "a1 don't", " x2 y"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in coder.ids(texts)] == [ids_of(name, t).tolist()[:-1] for t in texts]
+    assert searched and not any(p.strip().isalpha() for p in searched)
+
+
 def test_block_round_trip_and_random_access():
     ids = np.random.default_rng(0).integers(0, 70_000, 3000).astype("<u4")
     ids[:5] = [0, 255, 256, 65_535, 2**31]
