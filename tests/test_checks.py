@@ -218,3 +218,26 @@ def test_compressed_csv_keeps_headers(spark, sf, tmp_path):
     S.write_clean_csv(fx.truth(spark, sf), str(tmp_path / "out"), "gzip")
     assert list((tmp_path / "out").glob("*.csv.gz"))
     assert {tuple(r.header) for r in S.csv_headers(spark, str(tmp_path / "out")).collect()} == {tuple(ORDERS.names)}
+
+
+def test_outputs_meet_references_unsorted(spark, sf, request):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.autoBroadcastJoinThreshold"))
+    patterns, _, _ = M.key_patterns(fx.run_set(spark, sf), ["SEM-02", "SEM-04"])
+    plan = patterns._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BuildRight" in plan
+    of_outputs = plan.split("ShuffledHashJoin")[0]
+    assert "SortMergeJoin" not in of_outputs and "Sort [" not in of_outputs
+
+
+def test_repeated_keys_are_found_by_hashes(spark, monkeypatch):
+    stored, write = [], M.materialize
+    monkeypatch.setattr(M, "materialize", lambda df, name: stored.append(df.columns) or write(df, name))
+    a = spark.createDataFrame([("x", 1), ("x", 1), ("x", 2), ("y", 1), ("y", 3), ("y", 3), ("y", 3)], "group string, _k long")
+    b = spark.createDataFrame([(None, 1), (None, 2), (None, 2)], "group string, _k long")
+    found = M._repeated({"outputs": a, "baseline": b})
+    assert stored[0] == ["_h"]  # eight bytes a row are shuffled
+    assert {s: (sorted(map(tuple, df.collect()), key=str), n) for s, (df, n) in found.items()} == {
+        "outputs": ([("x", 1, 2), ("y", 3, 3)], 2), "baseline": ([(None, 2, 2)], 1)}
+    none = M._repeated({"outputs": b.limit(0), "baseline": a.distinct()})
+    assert all(n == 0 and not df.collect() and df.columns == ["group", "_k", "n"] for df, n in none.values())
