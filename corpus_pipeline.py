@@ -31,9 +31,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the classifier rejects (score below 0.5). Empty texts have nothing that speaks
     against them and stay, as do all documents if ``labels`` lacks one of the classes."""
     model = train(docs, table(spark, sf_dir, "labels"))
-    whole = docs.select(F.struct("*").alias("doc"), F.col("text").alias("text"))
-    kept = score(whole, model).filter("predicted = 1 OR text IS NULL OR text = ''")
-    return kept.select("doc.*")
+    if {"score", "predicted"}.intersection(docs.columns):  # which the scores would replace
+        kept = score(docs.select(F.struct("*").alias("doc"), F.col("text").alias("text")), model)
+        return kept.filter("predicted = 1 OR text IS NULL OR text = ''").select("doc.*")
+    # A batch holds each text once.
+    return score(docs, model).filter("predicted = 1 OR text IS NULL OR text = ''").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -208,3 +208,17 @@ def test_models_that_are_not_merge_types_are_refused():
     proto.trainer_spec.model_type = pb.TrainerSpec.UNIGRAM
     with pytest.raises(ValueError):
         Pieces(proto.SerializeToString())
+
+
+def test_quality_reads_each_text_once(spark, sf, monkeypatch):
+    import corpus_pipeline
+
+    seen, score = [], corpus_pipeline.score
+    monkeypatch.setattr(corpus_pipeline, "score", lambda docs, model: seen.append(docs.dtypes) or score(docs, model))
+    docs = corpus_pipeline.table(spark, sf, "documents").select("doc_id", "text", "lang")
+    kept = corpus_pipeline.quality(spark, docs, sf)
+    assert seen[0] == docs.dtypes and kept.dtypes == docs.dtypes
+    named = docs.withColumn("score", docs["lang"])  # a column of the table that has the score's name stays
+    same = corpus_pipeline.quality(spark, named, sf)
+    assert same.dtypes == named.dtypes and sorted(same.drop("score").collect()) == sorted(kept.collect())
+    assert same.filter("score = lang").count() == same.filter("lang IS NOT NULL").count()
