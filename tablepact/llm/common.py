@@ -161,12 +161,16 @@ def tiled(members: DataFrame, probers: DataFrame, key: Sequence[str], fn: Callab
     return m.unionByName(p).repartition(*tile).sortWithinPartitions(*tile, "role").mapInArrow(fn, schema)
 
 
-class PieceCoder:
-    """Token ids of whole texts, remembered by piece.
+class _Uncut(Exception):
+    """A piece that the cutting rule does not cover: its text is encoded as a whole."""
+
+
+class PieceCoder(dict):
+    """Token ids of whole texts, remembered by piece: a store from pieces to their ids, which learns a missing piece.
 
     Pieces are cut where the tokenizer's own pre-tokenizer always cuts (see ``pieces``), so joining the
     pieces' ids gives the text's ids; the vocabulary's merges never cross a cut. A new piece of
-    Latin-1 is cut into the pre-tokenizer's parts, which recur more often, and those go straight to the
+    Latin-1 is cut into the pre-tokenizer's parts, which recur more often, are pieces themselves, and go straight to the
     library's model; other pieces, and texts that the cutting rule does not cover, are encoded as texts.
     ``limit`` bounds the memory: a full store starts anew.
     """
@@ -178,18 +182,19 @@ class PieceCoder:
     }
     _CLASSES = {"L": "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "N": "0-9\xb2\xb3\xb9\xbc-\xbe", "W": "\t-\r \x85\xa0"}
 
-    def __init__(self, path: str, cut: str, limit: int = 500_000):
+    def __init__(self, path: str, cut: str, limit: int = 800_000):
         import os
 
         from tokenizers import Tokenizer
 
+        super().__init__()
         # One task, one thread: the library must not start a pool in each worker.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.cut, self.limit = Tokenizer.from_file(path), cut, limit
         with open(path, encoding="utf-8") as f:
-            self.special = [t["content"] for t in json.load(f)["added_tokens"]]
-        self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+            special = [t["content"] for t in json.load(f)["added_tokens"]]
+        # Python counts these four controls as white space, the tokenizer does not.
+        self.uncut = (*special, "\x1c", "\x1d", "\x1e", "\x1f")
         self.split = re.compile("".join(self._CLASSES.get(c, c) for c in self._PARTS[cut])).findall
         # The byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -198,61 +203,58 @@ class PieceCoder:
         # Each id's four bytes.
         self.codes = [i.to_bytes(4, "little") for i in range(max([-1, *self.tokenizer.get_vocab().values()]) + 1)]
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        got = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in got]
+    def _encode(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _part(self, part: str) -> bytes:
         # ASCII letters and digits stand for themselves.
-        raw = part if part.isascii() and part.isalnum() else part.encode().decode("latin-1").translate(self.alphabet)
+        if part.isascii() and part[1:].isalnum() and (part[0] == " " or part[0].isalnum()):
+            raw = self.alphabet[32] + part[1:] if part[0] == " " else part
+        else:
+            raw = part.encode().decode("latin-1").translate(self.alphabet)
         codes = self.codes
         return b"".join([codes[t.id] for t in self.tokenizer.model.tokenize(raw)])
 
     def pieces(self, text: str) -> list[str] | None:
-        # Python counts these four controls as white space, the tokenizer does not.
-        if any(s in text for s in (*self.special, "\x1c", "\x1d", "\x1e", "\x1f")):
+        if any(s in text for s in self.uncut):
             return None
         if self.cut == "words":  # white space is dropped by the tokenizer and always ends a piece
             return text.split()
-        # A space before a character that is not white space always starts a piece.
-        head, *rest = text.split(" ")
-        if "" in rest or any(p[0].isspace() for p in rest):
-            return None
-        return ([head] if head else []) + [" " + p for p in rest]
+        # A space before a character that is not white space always starts a piece; others are met in __missing__.
+        return text.replace(" ", "\x1c ").split("\x1c")
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
+        known = self.__getitem__
         for text in texts:
             cut = self.pieces(text)
-            if cut is None:
-                yield self._encode([text])[0]
-                continue
-            new = set(cut).difference(self.known)
-            if new:
-                if len(self.known) + len(new) > self.limit:
-                    self.known.clear()
-                    new = set(cut)
-                self._learn(list(new))
-            yield b"".join(map(self.known.__getitem__, cut))
-
-    def _learn(self, new: list[str]) -> None:
-        other = []
-        parts, lower = self.parts, self.cut == "words"
-        for p in new:
-            if not p.isascii() and max(p) > "\xff":
-                other.append(p)
-                continue
-            q = p.lower() if lower else p
-            # Letters, with a space before them or not, are one part: no need to search for its ends.
-            cut = (q,) if (q[1:] if q[0] == " " else q).isalpha() else self.split(q)
-            for x in cut:
-                if x not in parts:
-                    parts[x] = self._part(x)
-            self.known[p] = b"".join([parts[x] for x in cut]) if len(cut) > 1 else parts[cut[0]]
-            if len(parts) > self.limit:
-                parts.clear()
-        if other:
-            self.known.update(zip(other, self._encode(other), strict=True))
+            try:
+                yield self._encode(text) if cut is None else b"".join(map(known, cut))
+            except _Uncut:
+                yield self._encode(text)
+
+    def __missing__(self, piece: str) -> bytes:
+        if not piece:
+            return b""
+        if len(self) >= self.limit:
+            self.clear()
+        words = self.cut == "words"
+        if not words and piece[0] == " " and (len(piece) == 1 or piece[1].isspace()):
+            raise _Uncut
+        if not piece.isascii() and max(piece) > "\xff":
+            self[piece] = ids = self._encode(piece)
+            return ids
+        lower = piece.lower() if words else piece
+        # Letters, with a space before them or not, are one part: no need to search for its ends.
+        parts = (lower,) if (lower[1:] if lower[0] == " " else lower).isalpha() else self.split(lower)
+        found = []
+        for part in parts:
+            ids = self.get(part)
+            if ids is None:
+                self[part] = ids = self._part(part)
+            found.append(ids)
+        self[piece] = ids = b"".join(found) if len(found) > 1 else found[0]
+        return ids
 
 
 @lru_cache(maxsize=2)

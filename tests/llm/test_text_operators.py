@@ -68,6 +68,16 @@ def test_letters_are_one_part_without_a_search(name, cut):
     assert searched and not any(p.strip().isalpha() for p in searched)
 
 
+@pytest.mark.parametrize(("name", "cut"), [("byte_bpe_50k.json", "spaces"), ("word_bpe_49k.json", "words")])
+def test_a_part_is_a_piece_and_goes_to_the_model_once(name, cut):
+    coder = PieceCoder(public_tokenizers.path(name), cut)
+    sent, part = [], coder._part
+    coder._part = lambda p: sent.append(p) or part(p)
+    texts = ["so lead. (lead)", " lead .", "x  lead", "x lead \n", "lead\t."]
+    assert [np.frombuffer(x, "<u4").tolist() for x in coder.ids(texts)] == [ids_of(name, t).tolist()[:-1] for t in texts]
+    assert len(sent) == len(set(sent)) and set(sent) <= set(coder)  # one store of both
+
+
 def test_block_round_trip_and_random_access():
     ids = np.random.default_rng(0).integers(0, 70_000, 3000).astype("<u4")
     ids[:5] = [0, 255, 256, 65_535, 2**31]
