@@ -20,6 +20,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ from .common import components, int64, written
 BAND = 1.4
 #: Unrelated groups that share a subset before it counts as costly.
 COSTLY = 24
-#: Document ids up to which the ids of candidates are broadcast (16 MB); beyond, texts are joined by a shuffle.
+#: Rows of candidates (some 64 MB) or of known components that are broadcast at most; beyond, texts or keys are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Members that one task compares with a copy of their centre.
 STAR = 256
@@ -204,8 +205,14 @@ def _prints(sets: list[np.ndarray]) -> list[tuple[int, int]]:
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose key is not alone, with the first node of the key; rows come sorted by key and node."""
-    held: list[np.ndarray] = []  # the last row, its key's first node, and whether a row before has its key
+    """Rows whose key is not alone, with the first node of the key; rows come sorted by key and node.
+
+    A key, random bits so far, gives way to the task's and its own number: these ascend, so later shuffles and files
+    compress better. A key's rows are all in one task.
+    """
+    held: list[np.ndarray] = []  # the last row, its key's first node, whether a row before has its key, and the key's number
+    context = TaskContext.get()
+    last = (context.partitionId() if context else 0) << 40
     names = ["key", "node", "meta", "first"]
     for batch in batches:
         if not batch.num_rows:
@@ -221,12 +228,14 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             same[0] = held[4][0]
         keep = same.copy()
         keep[:-1] |= k[1:] == k[:-1]
-        held = [x[-1:] for x in (k, n, e, first, same)]
+        number = last + np.cumsum(np.concatenate([[False], k[1:] != k[:-1]]))
+        last = int(number[-1])
+        held = [x[-1:] for x in (k, n, e, first, same, number)]
         keep[-1] = False  # until the next row is known
         if keep.any():
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (k, n, e, first)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (number, n, e, first)], names=names)
     if held and held[4][0]:
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[:4]], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (held[5], *held[1:4])], names=names)
 
 
 #: 64-bit words of a document's sketch.
@@ -328,9 +337,9 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()  # combines copies before the shuffle; at most the documents of a split
         for batch in batches:
-            ids, texts = int64(batch["doc_id"]), batch["text"].to_pylist()
+            ids = int64(batch["doc_id"])
             for at in range(0, len(ids), 256):
-                sets = shingles_of(texts[at : at + 256], n)
+                sets = shingles_of(batch["text"].slice(at, 256).to_pylist(), n)
                 marks = _prints(sets)
                 new = [i for i, m in enumerate(marks) if len(sets[i]) and m not in seen and not seen.add(m)]
                 k, which, meta = exact_keys([sets[i] for i in new], bands)
@@ -355,21 +364,20 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs ``(a, b)`` that link; every centre ``a`` is split into stars of about ``STAR`` members."""
-        nodes = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
-        few = nodes.count() <= BROADCAST_IDS
-        active = written(known.join(F.broadcast(nodes) if few else nodes, known["doc_id"] == nodes["node"], "left_semi"), "active")
         stars = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / STAR).cast("int").alias("n"))
-        centre = stars.join(active, F.col("a") == F.col("doc_id")).select(
-            "a", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), "text")
-        member = pairs.join(stars, "a").join(active, F.col("b") == F.col("doc_id")).select(
-            "a", F.pmod(F.xxhash64("b"), F.col("n")).cast("int").alias("salt"), "b", "text")
+        centre = stars.select(F.col("a").alias("node"), "a", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"))
+        member = pairs.join(stars, "a").select(F.col("b").alias("node"), "a", F.pmod(F.xxhash64("b"), F.col("n")).cast("int").alias("salt"), "b")
+        # Texts meet what is to be done with them at once, so they are shuffled to their star only.
+        roles = written(centre.unionByName(member), "roles")
+        few = roles.count() <= BROADCAST_IDS
+        rows = known.join(F.broadcast(roles) if few else roles, known["doc_id"] == roles["node"]).select("a", "salt", "b", "text")
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at, centres = None, []
-            for batch in batches:
+            for part in (batch.slice(i, 256) for batch in batches for i in range(0, batch.num_rows, 256)):
                 found = []
-                sets = shingles_of(batch["text"].to_pylist(), n)
-                for a, salt, b, s in zip(*(batch[c].to_pylist() for c in ("a", "salt", "b")), sets, strict=True):
+                sets = shingles_of(part["text"].to_pylist(), n)
+                for a, salt, b, s in zip(*(part[c].to_pylist() for c in ("a", "salt", "b")), sets, strict=True):
                     if (a, salt) != at:
                         at, centres = (a, salt), []
                     if b is None:
@@ -379,7 +387,7 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-        rows = centre.unionByName(member).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+        rows = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
         return written(rows.mapInArrow(compare, "a long, b long"), "links")
 
     def plausible(pairs: DataFrame) -> DataFrame:
@@ -396,7 +404,8 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     def open_keys(df: DataFrame, joined: DataFrame) -> DataFrame:
         """Rows ``(key, node, meta)`` whose key holds several components, with their component, the key's rows and components, and
         the key's first row; ``lead`` marks the first row of a component."""
-        df = df.select("key", "node", "meta").join(joined.withColumnRenamed("id", "node"), "node", "left")
+        named = joined.withColumnRenamed("id", "node")
+        df = df.select("key", "node", "meta").join(F.broadcast(named) if joined.count() <= BROADCAST_IDS else named, "node", "left")
         df = df.select("key", F.coalesce("component", "node").alias("comp"), "node", "meta")
         inside = key.orderBy("comp", "node")
         df = df.select("*", F.dense_rank().over(key.orderBy("comp")).alias("rank"), F.lag("comp").over(inside).alias("before"),
@@ -458,9 +467,9 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
         def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                ids, slots, texts = int64(batch["doc_id"]), [set(x) for x in batch["slots"].to_pylist()], batch["text"].to_pylist()
+                ids, slots = int64(batch["doc_id"]), [set(x) for x in batch["slots"].to_pylist()]
                 for at in range(0, len(ids), 256):
-                    k, which, less = deletion_keys(shingles_of(texts[at : at + 256], n), bands, slots[at : at + 256])
+                    k, which, less = deletion_keys(shingles_of(batch["text"].slice(at, 256).to_pylist(), n), bands, slots[at : at + 256])
                     if len(k):
                         yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(ids[at : at + 256][which]), pa.array(less.astype(np.int64))], names=["key", "node", "meta"])
 

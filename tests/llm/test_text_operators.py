@@ -6,6 +6,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -78,6 +79,18 @@ def test_a_part_is_a_piece_and_goes_to_the_model_once(name, cut):
     assert len(sent) == len(set(sent)) and set(sent) <= set(coder)  # one store of both
 
 
+def test_shared_keys_are_numbered_across_batches():
+    from tablepact.llm.ngram_join import _shared
+
+    keys = [-9, -9, 3, 5, 5, 5, 7, 8, 8]
+    for size in (1, 2, 4, 9):
+        parts = [(keys[i : i + size], range(i, min(i + size, 9))) for i in range(0, 9, size)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(list(n), pa.int64()), pa.array([0] * len(k), pa.int64())],
+                                              names=["key", "node", "meta"]) for k, n in parts]
+        got = [(r["key"], r["node"], r["first"]) for b in _shared(iter(batches)) for r in b.to_pylist()]
+        assert got == [(0, 0, 0), (0, 1, 0), (2, 3, 3), (2, 4, 3), (2, 5, 3), (4, 7, 7), (4, 8, 7)]
+
+
 def test_block_round_trip_and_random_access():
     ids = np.random.default_rng(0).integers(0, 70_000, 3000).astype("<u4")
     ids[:5] = [0, 255, 256, 65_535, 2**31]
