@@ -145,7 +145,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = model.scorer()
         for batch in batches:
-            s = np.array([scorer.score(t) for t in batch["text"].to_pylist()], dtype=float)
+            # One text at a time: a batch is not held twice.
+            s = np.array([scorer.score(t.as_py()) for t in batch["text"]], dtype=float)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=[*keep, "score", "predicted"])
 
     from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
