@@ -33,6 +33,13 @@ def int64(column: pa.Array) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``rows`` rows, so that neither Python's copy of the texts nor a result batch holds more."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def matrix(column: pa.Array) -> np.ndarray:
     """Equally long number lists as one matrix of doubles."""
     n = len(column)

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import sliced, written
 
 #: A text is compressed in pieces of this many bytes, all of them, so that the dictionaries matter throughout.
 PIECE = 4096
@@ -144,9 +144,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = model.scorer()
-        for batch in batches:
-            # One text at a time: a batch is not held twice.
-            s = np.array([scorer.score(t.as_py()) for t in batch["text"]], dtype=float)
+        for batch in sliced(batches):
+            s = np.array([scorer.score(t) for t in batch["text"].to_pylist()], dtype=float)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=[*keep, "score", "predicted"])
 
     from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType

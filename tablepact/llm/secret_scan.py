@@ -18,6 +18,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import sliced
+
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 # Runs are maximal, so a lower bound in the pattern equals dropping shorter matches.
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
@@ -167,7 +169,7 @@ def redact(docs: DataFrame, dictionary: str = IDENTIFIERS, threshold: float = 0.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         novelty = Novelty(dictionary)
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch["text"].to_pylist()
             changed = np.zeros(len(texts), dtype=bool)
             for i, text in enumerate(texts):

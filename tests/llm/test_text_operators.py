@@ -79,6 +79,14 @@ def test_a_part_is_a_piece_and_goes_to_the_model_once(name, cut):
     assert len(sent) == len(set(sent)) and set(sent) <= set(coder)  # one store of both
 
 
+def test_batches_are_sliced():
+    from tablepact.llm.common import sliced
+
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64())], names=["x"]) for n in (0, 1, 256, 600)]
+    got = [b["x"].to_pylist() for b in sliced(iter(batches))]
+    assert [len(x) for x in got] == [1, 256, 256, 256, 88] and [v for x in got for v in x] == [v for n in (1, 256, 600) for v in range(n)]
+
+
 def test_shared_keys_are_numbered_across_batches():
     from tablepact.llm.ngram_join import _shared
 
