@@ -83,7 +83,8 @@ def _joined(a: DataFrame, b: DataFrame, large: DataFrame) -> DataFrame:
     a = a.join(large, "sig", "left").select("sig", F.pmod(F.xxhash64("word"), F.coalesce("tiles", F.lit(1))).cast("int").alias("tile"), F.col("word").alias("a"), F.col("n").alias("na"))
     b = b.join(large, "sig", "left").select("sig", F.explode(F.sequence(F.lit(0), F.coalesce("tiles", F.lit(1)) - 1)).alias("tile"), F.col("word").alias("b"), F.col("n").alias("nb"))
     near = (F.levenshtein("a", "b", 1) == 1) & ((F.length("a") < F.length("b")) | (F.col("a") < F.col("b")))
-    return a.join(b, ["sig", "tile"]).filter(near).select("a", "na", "b", "nb")
+    # Spark sizes an exploded table like the words it comes from, and would broadcast all of their signatures.
+    return a.join(b.hint("merge"), ["sig", "tile"]).filter(near).select("a", "na", "b", "nb")
 
 
 def _large(keys: DataFrame) -> DataFrame:
